@@ -18,4 +18,4 @@ def parse_month_day_year(c) -> Column:
     zone, then widened to TIMESTAMP_NTZ (midnight) like the reference.
     """
     col = F.col(c) if isinstance(c, str) else c
-    return F.try_to_date(clean(col), F.lit(MONTH_DAY_YEAR)).cast("timestamp_ntz")
+    return F.try_to_date(clean(col), MONTH_DAY_YEAR).cast("timestamp_ntz")

@@ -19,14 +19,16 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 def _norm(v):
-    if v is None:
+    if v is None or v is pd.NA or v is pd.NaT:
         return None
-    if isinstance(v, float):
-        if math.isnan(v):
-            return None
-        return round(v, 6)
-    if hasattr(v, "item"):
+    if hasattr(v, "item") and not isinstance(v, (str, bytes)):
         return _norm(v.item())
+    if isinstance(v, bool):
+        return v
+    if isinstance(v, (int, float)):
+        if isinstance(v, float) and math.isnan(v):
+            return None
+        return round(float(v), 6)
     if isinstance(v, pd.Timestamp):
         return v.to_pydatetime().replace(tzinfo=None)
     return v
