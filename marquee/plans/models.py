@@ -185,6 +185,16 @@ class Catalogue:
         self._unique = unique_keys
         self._stg = None
         self._titles = None
+        self._mart = None
+
+    def materialised(self, titles: DataFrame, mart: DataFrame) -> "Catalogue":
+        """A catalogue whose per-title frame and mart read written tables
+        (so analyses and assertions start from files, not from the landing)."""
+        other = Catalogue(self.raw, self.unique_keys, self.strict_tokens, self.mart_drop)
+        other._stg = self._stg
+        other._titles = titles
+        other._mart = mart
+        return other
 
     # -- M1 ---------------------------------------------------------------
     @property
@@ -257,6 +267,8 @@ class Catalogue:
     @property
     def mart(self) -> DataFrame:
         """M5: one row per staging row with rollups, flags and score."""
+        if self._mart is not None:
+            return self._mart
         rollups = ["primary_country", "country_count", "all_countries", "primary_genre",
                    "genre_count", "all_genres", "cast_size", "director_count", "directors"]
         if self.unique_keys:
