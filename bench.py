@@ -36,10 +36,17 @@ def main() -> None:
     })
     spark.sparkContext.setCheckpointDir(scratch)
 
-    # Warm-up on the smallest data (JIT, class loading), not timed.
-    small = os.path.join(os.path.dirname(sf_dir.rstrip("/")), "sf0.001")
-    if os.path.isdir(small):
-        A.q10_co_production(build(land(synthetic_landing(spark, small))).catalogue).collect()
+    # Warm-up on a *different*, smaller scale (JIT, class loading), not
+    # timed; nothing is cached between the warm-up and the timed run.
+    parent = os.path.dirname(sf_dir.rstrip("/"))
+    for warm in ("sf0.01", "sf0.001"):
+        small = os.path.join(parent, warm)
+        if os.path.isdir(small) and os.path.abspath(small) != os.path.abspath(sf_dir):
+            wcat = build(land(synthetic_landing(spark, small))).catalogue
+            for name in sorted(A.ANALYSES):
+                A.ANALYSES[name](wcat).collect()
+            T.run_suite(wcat, max_year=MAX_YEAR)
+            break
 
     q: dict[str, float] = {}
     t0 = time.time()

@@ -9,18 +9,18 @@ from marquee.functions import round_half_away
 
 
 def share_of_total(grouped: DataFrame, count_col: str, out: str, n: int = 2) -> DataFrame:
-    """``ROUND(100.0 * c / SUM(c) OVER (), n)``.
-
-    An empty ``OVER ()`` window moves every row into one partition.  Instead
-    the grand total is a one-row global aggregate of the grouped rows
-    (exactly one row, so broadcasting it is bounded) that is cross-joined
-    back; Spark reuses the grouped exchange for both branches.
+    """``ROUND(100.0 * c / SUM(c) OVER (), n)`` on already-grouped rows.
+
+    The input is the analysis result itself (one row per country / genre),
+    the same rows that are sorted and returned to the driver, so the
+    single-partition window runs over a driver-sized set.  Computing the
+    total as a separate global aggregate instead would re-run the whole
+    upstream plan: the two branches prune different partial aggregates, so
+    their exchanges are not reused.
     """
-    total = grouped.agg(F.sum(count_col).alias("_total"))
-    return (grouped.crossJoin(F.broadcast(total))
-                   .withColumn(out, round_half_away(
-                       F.lit(100.0) * F.col(count_col) / F.col("_total"), n))
-                   .drop("_total"))
+    w = Window.partitionBy()
+    return grouped.withColumn(
+        out, round_half_away(F.lit(100.0) * F.col(count_col) / F.sum(count_col).over(w), n))
 
 
 def share_within(grouped: DataFrame, part_col: str, count_col: str, out: str,

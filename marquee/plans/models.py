@@ -217,7 +217,9 @@ class Catalogue:
         if self._titles is None:
             tok = _token_columns(self.staging, self.strict_tokens)
             if self.unique_keys:
-                base = tok.select("show_id", "c_toks", "g_toks", "p_toks",
+                # One title per row: keep the staging columns too, so the
+                # mart is a projection of this frame (no second token pass).
+                base = tok.select(*STAGING_COLUMNS, "c_toks", "g_toks", "p_toks",
                                   *_measure_stats_row())
             else:
                 base = tok.groupBy("show_id").agg(
@@ -272,10 +274,9 @@ class Catalogue:
         rollups = ["primary_country", "country_count", "all_countries", "primary_genre",
                    "genre_count", "all_genres", "cast_size", "director_count", "directors"]
         if self.unique_keys:
-            # 1:1 with staging: compute the rollups on the row itself.
-            tok = _token_columns(self.staging, self.strict_tokens)
-            wide = tok.select("*", *_title_level(F.col("c_toks"), F.col("g_toks"),
-                                                 F.col("p_toks")))
+            # 1:1 with staging: the per-title frame already holds the row's
+            # staging columns and rollups.
+            wide = self.titles
         else:
             wide = self.staging.join(self.titles.select("show_id", *rollups), "show_id", "left")
         flags = {

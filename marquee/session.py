@@ -40,6 +40,30 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
+                 target_partition_bytes: int = 256 << 20) -> dict:
+    """Throughput settings sized from the input, for a real cluster.
+
+    Shuffle partitions start at ~input/target (at least 2x the cores) and
+    AQE coalesces them down at run time; the skew-join split threshold is
+    set to the target so one hot key's partition is split into
+    target-sized pieces.  Broadcasts stay with AQE's runtime sizes: the
+    static threshold is kept at its default.
+    """
+    cores = executors * cores_per_executor
+    parts = max(2 * cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(min(target_partition_bytes, 512 << 20)),
+        "spark.sql.parquet.filterPushdown": "true",
+    }
+
+
 def workspace_dir(spark: SparkSession, name: str | None = None) -> str:
     """A fresh folder under the cluster's shared checkpoint location.
 
