@@ -1,11 +1,11 @@
 """Reusable relational operators built from DataFrame/Column primitives."""
 
 from marquee.operators.shares import share_of_total, share_within, running_total
-from marquee.operators.pairs import weighted_pairs
+from marquee.operators.pairs import value_counts, weighted_pairs
 from marquee.operators.distribution import distribution_summary
 from marquee.operators.profile import null_profile, unpivot_counts
 
 __all__ = [
-    "share_of_total", "share_within", "running_total", "weighted_pairs",
+    "share_of_total", "share_within", "running_total", "value_counts", "weighted_pairs",
     "distribution_summary", "null_profile", "unpivot_counts",
 ]

@@ -6,9 +6,18 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def weighted_pairs(names: Column) -> Column:
-    """All pairs (a, b) with a < b of the *distinct* values in ``names``, each
-    weighted by mult(a) * mult(b).
+def value_counts(names: Column) -> Column:
+    """Distinct values of an array with their multiplicity, in first-seen
+    order: ``array<struct<v: string, m: bigint>>``."""
+    distinct = F.array_distinct(names)
+    return F.transform(distinct, lambda x: F.struct(
+        x.alias("v"), F.size(F.filter(names, lambda y: y == x)).cast("bigint").alias("m")))
+
+
+def weighted_pairs(counted: Column) -> Column:
+    """All pairs (a, b) with a < b of the distinct values in ``counted``
+    (``array<struct<v, m>>``, see ``value_counts``), each weighted by
+    m(a) * m(b).
 
     This equals the pair count of a self-join of the exploded tokens on the
     title with ``a < b``, but the work per title is bounded by the number of
@@ -16,9 +25,6 @@ def weighted_pairs(names: Column) -> Column:
     shuffled until the final group-by on the pair.
     Returns ``array<struct<a: string, b: string, w: bigint>>``.
     """
-    distinct = F.array_distinct(names)
-    counted = F.transform(distinct, lambda x: F.struct(
-        x.alias("v"), F.size(F.filter(names, lambda y: y == x)).cast("bigint").alias("m")))
     return F.flatten(F.transform(counted, lambda a: F.transform(
         F.filter(counted, lambda b: a["v"] < b["v"]),
         lambda b: F.struct(a["v"].alias("a"), b["v"].alias("b"), (a["m"] * b["m"]).alias("w")))))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from marquee.functions import clean, pct, round_half_away, safe_ratio
 from marquee.operators import (
-    distribution_summary, running_total, share_of_total, share_within, weighted_pairs,
+    distribution_summary, running_total, share_of_total, share_within,
 )
 from marquee.plans.models import Catalogue
 
@@ -175,11 +175,8 @@ def q09_audience_mix(cat: Catalogue) -> DataFrame:
 def q10_co_production(cat: Catalogue, min_pairs: int = 5) -> DataFrame:
     """Country pairs per title from the title's own distinct countries
     (weighted by multiplicity and by the title's mart rows), then one
-    group-by on the pair."""
-    t = cat.titles
-    names = F.transform(F.col("c_toks"), lambda x: x["name"])
-    p = t.select("n_rows", "n_movies", "n_tv", "ry_sum", "ry_cnt",
-                 F.explode(weighted_pairs(names)).alias("p"))
+    group-by on the pair.  No self-join."""
+    p = cat.pair_facts()
     w = F.col("p.w")
     return (p.groupBy(F.col("p.a").alias("country_a"), F.col("p.b").alias("country_b"))
              .agg(F.sum(w * F.col("n_rows")).cast("bigint").alias("co_productions"),

@@ -169,6 +169,48 @@ def _sorted_merge(col: str) -> Column:
     return F.array_sort(F.flatten(F.collect_list(col)))
 
 
+def _at_first_position(arr: Column, field: str) -> Column:
+    return F.try_element_at(
+        F.transform(F.filter(arr, lambda t: t["pos"] == 1), lambda t: t[field]), F.lit(1))
+
+
+def _title_stats_agg() -> list[Column]:
+    """Bounded per-title aggregates over the copies of a repeated key: all
+    of them merge map-side, so a key with very many copies collapses to one
+    partial row per task before the shuffle."""
+    c, g, p = F.col("c_toks"), F.col("g_toks"), F.col("p_toks")
+    actors = F.filter(p, lambda t: t["role"] == "actor")
+    directors = F.filter(p, lambda t: t["role"] == "director")
+    return _measure_stats_agg() + [
+        F.max(_at_first_position(c, "name")).alias("primary_country"),
+        F.max(_at_first_position(g, "norm")).alias("primary_genre"),
+        F.sum(F.size(c)).alias("_nc"), F.sum(F.size(g)).alias("_ng"),
+        F.sum(F.size(actors)).alias("_na"), F.sum(F.size(directors)).alias("_nd"),
+    ]
+
+
+def _title_counts() -> list[Column]:
+    nc, ng, na, nd = (F.col(c).cast("bigint") for c in ("_nc", "_ng", "_na", "_nd"))
+    return [F.when(nc > 0, nc).alias("country_count"), F.when(ng > 0, ng).alias("genre_count"),
+            F.when(na + nd > 0, na).alias("cast_size"),
+            F.when(na + nd > 0, nd).alias("director_count")]
+
+
+STAT_COLUMNS = ["n_rows", "n_movies", "n_tv"] + [
+    f"{short}_{agg}" for short in MEASURES for agg in ("sum", "cnt", "min", "max")]
+ROLLUPS = ["primary_country", "country_count", "all_countries", "primary_genre", "genre_count",
+           "all_genres", "cast_size", "director_count", "directors"]
+BRIDGE_ARRAYS = {"countries": "c_toks", "genres": "g_toks", "people": "p_toks"}
+
+# A title with at least this many landed copies is "hot": its bridge rows
+# get their per-title counts through a broadcast of the (few) hot titles'
+# counts instead of a shuffle join that would put all its rows in one task.
+HOT_ROWS = 100_000
+# Broadcast bound: at most this many hot titles (key + 4 longs each).  The
+# number is counted first; above it, a plain shuffle join is used.
+MAX_HOT_KEYS = 100_000
+
+
 class Catalogue:
     """Builds and holds the models for one landed catalogue.
 
@@ -186,6 +228,7 @@ class Catalogue:
         self._stg = None
         self._titles = None
         self._mart = None
+        self._n_hot = None
 
     def materialised(self, titles: DataFrame, mart: DataFrame) -> "Catalogue":
         """A catalogue whose per-title frame and mart read written tables
@@ -209,36 +252,69 @@ class Catalogue:
             self._unique = has_unique_keys(self.staging)
         return self._unique
 
+    def _tokens(self) -> DataFrame:
+        return _token_columns(self.staging, self.strict_tokens)
+
     # -- per-title frame --------------------------------------------------
     @property
     def titles(self) -> DataFrame:
-        """One row per distinct show_id: merged token arrays, title-level
-        rollups and pre-aggregated mart measures."""
+        """One row per distinct show_id with the title-level rollups and the
+        pre-aggregated mart measures (``n_rows``, ``ry_sum``, ...).
+
+        Unique keys: a narrow projection that also keeps the row's staging
+        columns and token arrays.  Repeated keys: one ``groupBy(show_id)``
+        of bounded aggregates only (no token arrays)."""
         if self._titles is None:
-            tok = _token_columns(self.staging, self.strict_tokens)
+            tok = self._tokens()
             if self.unique_keys:
                 # One title per row: keep the staging columns too, so the
                 # mart is a projection of this frame (no second token pass).
                 base = tok.select(*STAGING_COLUMNS, "c_toks", "g_toks", "p_toks",
                                   *_measure_stats_row())
+                self._titles = base.select(
+                    "*", *_title_level(F.col("c_toks"), F.col("g_toks"), F.col("p_toks")))
             else:
-                base = tok.groupBy("show_id").agg(
-                    _sorted_merge("c_toks").alias("c_toks"),
-                    _sorted_merge("g_toks").alias("g_toks"),
-                    _sorted_merge("p_toks").alias("p_toks"),
-                    *_measure_stats_agg())
-            self._titles = base.select(
-                "*", *_title_level(F.col("c_toks"), F.col("g_toks"), F.col("p_toks")))
+                agg = tok.groupBy("show_id").agg(*_title_stats_agg())
+                self._titles = agg.select("show_id", *STAT_COLUMNS, "primary_country",
+                                          "primary_genre", *_title_counts())
         return self._titles
 
     # -- M2-M4 ------------------------------------------------------------
-    def _explode(self, arr: str, *extra: str) -> DataFrame:
-        return self.titles.select("show_id", *extra, F.explode(arr).alias("t"))
+    def _hot_title_count(self, counts: DataFrame) -> int:
+        if self._n_hot is None:
+            self._n_hot = counts.filter(F.col("n_rows") >= HOT_ROWS).count()
+        return self._n_hot
+
+    def _with_title_values(self, rows: DataFrame, cols: list[str]) -> DataFrame:
+        """Many-to-one join of per-copy rows with per-title values.
+
+        Hot titles (>= HOT_ROWS copies, counted first, at most MAX_HOT_KEYS)
+        are split off and served by a broadcast hash join, so their rows
+        stay spread over the input tasks; the rest go through a shuffle
+        join where no key is large."""
+        values = self.titles.select("show_id", "n_rows", *cols)
+        n_hot = self._hot_title_count(values)
+        if n_hot == 0 or n_hot > MAX_HOT_KEYS:
+            return rows.join(values.drop("n_rows"), "show_id")
+        hot = F.broadcast(values.filter(F.col("n_rows") >= HOT_ROWS).drop("n_rows"))
+        cold = values.filter(F.col("n_rows") < HOT_ROWS).drop("n_rows")
+        return (rows.join(hot, "show_id")
+                    .unionByName(rows.join(hot.select("show_id"), "show_id", "left_anti")
+                                     .join(cold, "show_id")))
+
+    def _explode(self, kind: str, *extra: str) -> DataFrame:
+        arr = BRIDGE_ARRAYS[kind]
+        if self.unique_keys:
+            return self.titles.select("show_id", *extra, F.explode(arr).alias("t"))
+        # Join per landed copy (one row per copy), explode afterwards.
+        per_copy = self._tokens().select("show_id", arr)
+        joined = self._with_title_values(per_copy, list(extra))
+        return joined.select("show_id", *extra, F.explode(arr).alias("t"))
 
     @property
     def countries(self) -> DataFrame:
         """M2: one row per (title, country token), position from the raw list."""
-        return self._explode("c_toks", "country_count").select(
+        return self._explode("countries", "country_count").select(
             "show_id", F.col("t.title_type").alias("title_type"),
             F.col("t.name").alias("country"),
             F.col("t.pos").alias("country_position"),
@@ -248,7 +324,7 @@ class Catalogue:
     @property
     def genres(self) -> DataFrame:
         """M3: one row per (title, genre label) with the normalised genre."""
-        return self._explode("g_toks", "genre_count").select(
+        return self._explode("genres", "genre_count").select(
             "show_id", F.col("t.title_type").alias("title_type"),
             F.col("t.name").alias("genre"),
             F.col("t.pos").alias("genre_position"),
@@ -258,7 +334,7 @@ class Catalogue:
     @property
     def people(self) -> DataFrame:
         """M4: actors and directors in one bridge with a role discriminator."""
-        return self._explode("p_toks").select(
+        return self._explode("people").select(
             "show_id", F.col("t.title_type").alias("title_type"),
             F.col("t.name").alias("person_name"),
             F.col("t.role").alias("role"),
@@ -271,14 +347,28 @@ class Catalogue:
         """M5: one row per staging row with rollups, flags and score."""
         if self._mart is not None:
             return self._mart
-        rollups = ["primary_country", "country_count", "all_countries", "primary_genre",
-                   "genre_count", "all_genres", "cast_size", "director_count", "directors"]
         if self.unique_keys:
             # 1:1 with staging: the per-title frame already holds the row's
             # staging columns and rollups.
             wide = self.titles
         else:
-            wide = self.staging.join(self.titles.select("show_id", *rollups), "show_id", "left")
+            # The string rollups concatenate the tokens of every copy, as
+            # the reference defines them; their size grows with the copies.
+            # Counts and primary values come from bounded aggregates.
+            agg = self._tokens().groupBy("show_id").agg(
+                *_title_stats_agg(),
+                _sorted_merge("c_toks").alias("_c"), _sorted_merge("g_toks").alias("_g"),
+                _sorted_merge("p_toks").alias("_p"))
+            dirs = F.filter(F.col("_p"), lambda t: t["role"] == "director")
+            rollups = agg.select(
+                "show_id", "primary_country", "primary_genre", *_title_counts(),
+                _nonempty(F.col("_c"), F.array_join(F.transform("_c", lambda t: t["name"]), ", "))
+                .alias("all_countries"),
+                _nonempty(F.col("_g"), F.array_join(F.transform("_g", lambda t: t["norm"]), ", "))
+                .alias("all_genres"),
+                _nonempty(dirs, F.array_join(F.transform(dirs, lambda t: t["name"]), ", "))
+                .alias("directors"))
+            wide = self.staging.join(rollups, "show_id", "left")
         flags = {
             "missing_director": F.col("director_raw").isNull(),
             "missing_cast": F.col("cast_raw").isNull(),
@@ -298,15 +388,44 @@ class Catalogue:
 
     # -- bridge x mart, pre-aggregated ----------------------------------
     def bridge_facts(self, kind: str) -> DataFrame:
-        """Bridge rows of ``kind`` each standing for its join with the mart:
-        ``w`` = number of mart rows of the title, plus the title's summed
-        mart measures (``ry_sum``, ``ry_cnt``, ...) and ``primary_country``.
-        Aggregating ``w`` and the sums equals aggregating the join."""
-        arr = {"countries": "c_toks", "genres": "g_toks", "people": "p_toks"}[kind]
-        stats = ["n_rows", "n_movies", "n_tv", "primary_country", "country_count"]
-        for short in MEASURES:
-            stats += [f"{short}_sum", f"{short}_cnt", f"{short}_min", f"{short}_max"]
+        """Bridge rows of ``kind`` (struct ``t``), each standing for its join
+        with the mart: weight ``w`` = bridge rows x mart rows of the title it
+        stands for, the matching sums of the mart measures (``ry_sum``,
+        ``ry_cnt``, ...), their min/max, and the title's ``primary_country``
+        and ``country_count``.  Aggregating ``w`` and the sums equals
+        aggregating the reference's bridge JOIN mart.
+
+        Repeated keys: identical bridge rows of a title are first counted
+        (``cnt``), so each title contributes at most one row per distinct
+        token, and only then joined to the one-row-per-title measures."""
+        stats = STAT_COLUMNS + ["primary_country", "country_count"]
+        arr = BRIDGE_ARRAYS[kind]
         t = self.titles
         if self.mart_drop is not None:
             t = t.join(self.mart.select("show_id").distinct(), "show_id", "left_semi")
-        return t.select(*stats, F.col("n_rows").alias("w"), F.explode(arr).alias("t"))
+        if self.unique_keys:
+            return t.select(*stats, F.col("n_rows").alias("w"), F.explode(arr).alias("t"))
+        counted = (self._tokens().select("show_id", F.explode(arr).alias("t"))
+                   .groupBy("show_id", "t").agg(F.count(F.lit(1)).alias("cnt")))
+        j = counted.join(t.select("show_id", *stats), "show_id")
+        cnt = F.col("cnt")
+        scaled = {f"{short}_{a}": (F.col(f"{short}_{a}") * cnt).alias(f"{short}_{a}")
+                  for short in MEASURES for a in ("sum", "cnt")}
+        return j.select(*[scaled.get(c, F.col(c)) for c in stats],
+                        (F.col("n_rows") * cnt).alias("w"), "t")
+
+    def pair_facts(self) -> DataFrame:
+        """Per title: its distinct countries with multiplicity, paired (a < b)
+        and weighted, next to the title's mart measures (for Q10).  Work per
+        title is bounded by its number of distinct countries."""
+        from marquee.operators.pairs import value_counts, weighted_pairs
+        keep = ["n_rows", "n_movies", "n_tv", "ry_sum", "ry_cnt"]
+        if self.unique_keys:
+            names = F.transform(F.col("c_toks"), lambda x: x["name"])
+            return self.titles.select(*keep, F.explode(weighted_pairs(value_counts(names)))
+                                      .alias("p"))
+        per = (self._tokens().select("show_id", F.explode("c_toks.name").alias("v"))
+               .groupBy("show_id", "v").agg(F.count(F.lit(1)).alias("m"))
+               .groupBy("show_id").agg(F.collect_list(F.struct("v", "m")).alias("vm")))
+        return (per.join(self.titles.select("show_id", *keep), "show_id")
+                   .select(*keep, F.explode(weighted_pairs(F.col("vm"))).alias("p")))

@@ -26,8 +26,10 @@ def test_grouped_plan_equals_oracle_on_unique_keys(spark, name):
     assert ok, msg
 
 
-def test_hot_key_many_copies(spark):
-    """One key holding many copies: grouped plan, exact weighted results."""
+def test_hot_key_many_copies(spark, monkeypatch):
+    """One key holding many copies: grouped plan, exact weighted results,
+    and the hot/cold split of the bridge join gives the same rows."""
+    from marquee.plans import models
     raw = synthetic_landing(spark, SF_SMALL)
     hot = raw.filter(F.col("show_id") == "s4")
     many = raw.unionByName(hot.crossJoin(spark.range(300)).drop("id"))
@@ -45,6 +47,14 @@ def test_hot_key_many_copies(spark):
     got = {(r["country_a"], r["country_b"]): r["co_productions"] for r in q10.collect()}
     for r in base:
         assert got[(r["country_a"], r["country_b"])] >= r["co_productions"] * 301 ** 3
+    plain = cat.countries
+    monkeypatch.setattr(models, "HOT_ROWS", 100)
+    split = Catalogue(many)
+    bridge = split.countries
+    assert split._n_hot == 1
+    assert "BroadcastHashJoin" in bridge._jdf.queryExecution().executedPlan().toString()
+    assert bridge.count() == plain.count()
+    assert bridge.exceptAll(plain).count() == 0
 
 
 def test_build_reads_back_and_matches(spark):
