@@ -32,6 +32,10 @@ def _wavg(sum_col: str, cnt_col: str, weight: Column | None = None) -> Column:
     return safe_ratio(F.sum(s), F.sum(c))
 
 
+# The three rows of the cleaning-impact table.
+IMPACT_FIELDS = ("country", "genre (platform labels)", "genre (normalised)")
+
+
 def q01_cleaning_impact(cat: Catalogue, approx: bool = False) -> DataFrame:
     """Naive distinct count of the packed column vs the exploded one."""
     distinct = (lambda c: F.approx_count_distinct(c)) if approx else F.count_distinct
@@ -42,11 +46,11 @@ def q01_cleaning_impact(cat: Catalogue, approx: bool = False) -> DataFrame:
                          distinct("genre_normalised").alias("normalised"))
     one = raw.crossJoin(ctry).crossJoin(gen)  # three one-row aggregates
     rows = F.array(
-        F.struct(F.lit("country").alias("field"), F.col("raw_country").alias("naive"),
+        F.struct(F.lit(IMPACT_FIELDS[0]).alias("field"), F.col("raw_country").alias("naive"),
                  F.col("real_countries").alias("true")),
-        F.struct(F.lit("genre (Netflix labels)").alias("field"),
+        F.struct(F.lit(IMPACT_FIELDS[1]).alias("field"),
                  F.col("raw_genre").alias("naive"), F.col("labels").alias("true")),
-        F.struct(F.lit("genre (normalised)").alias("field"),
+        F.struct(F.lit(IMPACT_FIELDS[2]).alias("field"),
                  F.col("raw_genre").alias("naive"), F.col("normalised").alias("true")),
     )
     return one.select(F.inline(rows)).select(

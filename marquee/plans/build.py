@@ -22,7 +22,7 @@ from marquee.session import workspace_dir
 from marquee.sources import sinks
 
 LAYERS = (
-    ("staging", "view", ("stg_netflix_titles",)),
+    ("staging", "view", ("stg_titles",)),
     ("intermediate", "table", ("int_title_countries", "int_title_genres", "int_title_people",
                                "int_title_tokens")),
     ("marts", "table", ("dim_title",)),
@@ -59,7 +59,7 @@ class Warehouse:
 
 def _model_frame(cat: Catalogue, model: str) -> DataFrame:
     return {
-        "stg_netflix_titles": lambda: cat.staging,
+        "stg_titles": lambda: cat.staging,
         "int_title_tokens": lambda: cat.titles,
         "int_title_countries": lambda: cat.countries,
         "int_title_genres": lambda: cat.genres,

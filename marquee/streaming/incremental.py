@@ -23,7 +23,7 @@ from marquee.plans.models import Catalogue
 from marquee.session import workspace_dir
 from marquee.sources.landing import all_string_schema
 
-TABLES = ("stg_netflix_titles", "int_title_countries", "int_title_genres", "int_title_people")
+TABLES = ("stg_titles", "int_title_countries", "int_title_genres", "int_title_people")
 
 
 def read_landing_stream(spark: SparkSession, source_dir: str,
@@ -45,7 +45,7 @@ def _write_batch(sink_root: str):
         # batch is typed and exploded per row, no shuffle.
         cat = Catalogue(batch, unique_keys=True)
         frames = {
-            "stg_netflix_titles": cat.staging,
+            "stg_titles": cat.staging,
             "int_title_countries": cat.countries,
             "int_title_genres": cat.genres,
             "int_title_people": cat.people,

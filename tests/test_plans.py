@@ -61,7 +61,7 @@ def test_build_reads_back_and_matches(spark):
     raw = land(synthetic_landing(spark, SF_SMALL))
     wh = build(raw)
     names = [b.model for b in wh.report]
-    assert names[0] == "stg_netflix_titles" and names[-1] == "dim_title"
+    assert names[0] == "stg_titles" and names[-1] == "dim_title"
     assert {b.model: b.rows for b in wh.report}["dim_title"] == 1500
     ok, msg = compare(A.q04_country_production(wh.catalogue),
                       O.with_models(O.ANALYSIS_SQL["q04_country_production"]), SF_SMALL)
