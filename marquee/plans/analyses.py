@@ -94,8 +94,8 @@ def q04_country_production(cat: Catalogue) -> DataFrame:
         F.sum(w).cast("bigint").alias("titles"),
         _flag_sum(F.col("t.pos") == 1, w).alias("primary_titles"),
         _flag_sum(F.col("country_count") > 1, w).alias("co_produced_titles"),
-        _flag_sum(F.col("t.title_type") == "Movie", w).alias("movies"),
-        _flag_sum(F.col("t.title_type") == "TV Show", w).alias("tv_shows"),
+        _flag_sum(F.col("title_type") == "Movie", w).alias("movies"),
+        _flag_sum(F.col("title_type") == "TV Show", w).alias("tv_shows"),
         round_half_away(_wavg("ry_sum", "ry_cnt"), 0).alias("avg_release_year"),
     ).withColumn("pct_tv", pct("tv_shows", "titles", 1))
     out = share_of_total(g, "titles", "pct_of_all_credits", 2)
@@ -109,8 +109,8 @@ def q05_genre_profile(cat: Catalogue) -> DataFrame:
     w = F.col("w")
     g = f.groupBy(F.col("t.norm").alias("genre")).agg(
         F.sum(w).cast("bigint").alias("titles"),
-        _flag_sum(F.col("t.title_type") == "Movie", w).alias("movies"),
-        _flag_sum(F.col("t.title_type") == "TV Show", w).alias("tv_shows"),
+        _flag_sum(F.col("title_type") == "Movie", w).alias("movies"),
+        _flag_sum(F.col("title_type") == "TV Show", w).alias("tv_shows"),
         round_half_away(_wavg("dm_sum", "dm_cnt"), 1).alias("avg_movie_minutes"),
         round_half_away(_wavg("se_sum", "se_cnt"), 2).alias("avg_seasons"),
         round_half_away(_wavg("ry_sum", "ry_cnt"), 0).alias("avg_release_year"),
@@ -140,8 +140,8 @@ def q07_top_people(cat: Catalogue, min_credits: int = 10) -> DataFrame:
     w = F.col("w")
     return (f.groupBy(F.col("t.name").alias("person_name"), F.col("t.role").alias("role"))
              .agg(F.sum(w).cast("bigint").alias("credits"),
-                  _flag_sum(F.col("t.title_type") == "Movie", w).alias("movies"),
-                  _flag_sum(F.col("t.title_type") == "TV Show", w).alias("tv_shows"),
+                  _flag_sum(F.col("title_type") == "Movie", w).alias("movies"),
+                  _flag_sum(F.col("title_type") == "TV Show", w).alias("tv_shows"),
                   _flag_sum((F.col("t.role") == "actor") & (F.col("t.pos") <= 3), w)
                   .alias("top_billed_credits"),
                   F.count_distinct("primary_country").alias("countries"),

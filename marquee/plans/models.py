@@ -95,20 +95,17 @@ def _with_type(toks: Column, **extra: Column) -> Column:
 
 
 def _token_columns(stg: DataFrame, strict: bool = True) -> DataFrame:
-    """Per landed row: the token arrays of its four packed cells.  Each token
-    carries the row's title_type so bridges can be exploded from either a
-    single row or a merged per-title frame."""
-    tt = F.col("title_type")
+    """Per landed row: the token arrays of its four packed cells
+    (``c_toks``: pos, name; ``g_toks``: pos, name, norm; ``p_toks``: pos,
+    name, role with actors before directors)."""
     return stg.select(
         "*",
-        _with_type(nonblank_tokens("country_raw", strict=strict), title_type=tt).alias("c_toks"),
-        _with_type(nonblank_tokens("genres_raw", strict=strict), title_type=tt,
+        nonblank_tokens("country_raw", strict=strict).alias("c_toks"),
+        _with_type(nonblank_tokens("genres_raw", strict=strict),
                    norm=lambda t: normalise_genre(t["name"])).alias("g_toks"),
         F.concat(
-            _with_type(nonblank_tokens("cast_raw", strict=strict),
-                       role=F.lit("actor"), title_type=tt),
-            _with_type(nonblank_tokens("director_raw", strict=strict),
-                       role=F.lit("director"), title_type=tt),
+            _with_type(nonblank_tokens("cast_raw", strict=strict), role=F.lit("actor")),
+            _with_type(nonblank_tokens("director_raw", strict=strict), role=F.lit("director")),
         ).alias("p_toks"),
     )
 
@@ -305,17 +302,18 @@ class Catalogue:
     def _explode(self, kind: str, *extra: str) -> DataFrame:
         arr = BRIDGE_ARRAYS[kind]
         if self.unique_keys:
-            return self.titles.select("show_id", *extra, F.explode(arr).alias("t"))
+            return self.titles.select("show_id", "title_type", *extra,
+                                      F.explode(arr).alias("t"))
         # Join per landed copy (one row per copy), explode afterwards.
-        per_copy = self._tokens().select("show_id", arr)
+        per_copy = self._tokens().select("show_id", "title_type", arr)
         joined = self._with_title_values(per_copy, list(extra))
-        return joined.select("show_id", *extra, F.explode(arr).alias("t"))
+        return joined.select("show_id", "title_type", *extra, F.explode(arr).alias("t"))
 
     @property
     def countries(self) -> DataFrame:
         """M2: one row per (title, country token), position from the raw list."""
         return self._explode("countries", "country_count").select(
-            "show_id", F.col("t.title_type").alias("title_type"),
+            "show_id", "title_type",
             F.col("t.name").alias("country"),
             F.col("t.pos").alias("country_position"),
             (F.col("t.pos") == 1).alias("is_primary_country"),
@@ -325,7 +323,7 @@ class Catalogue:
     def genres(self) -> DataFrame:
         """M3: one row per (title, genre label) with the normalised genre."""
         return self._explode("genres", "genre_count").select(
-            "show_id", F.col("t.title_type").alias("title_type"),
+            "show_id", "title_type",
             F.col("t.name").alias("genre"),
             F.col("t.pos").alias("genre_position"),
             "genre_count",
@@ -335,7 +333,7 @@ class Catalogue:
     def people(self) -> DataFrame:
         """M4: actors and directors in one bridge with a role discriminator."""
         return self._explode("people").select(
-            "show_id", F.col("t.title_type").alias("title_type"),
+            "show_id", "title_type",
             F.col("t.name").alias("person_name"),
             F.col("t.role").alias("role"),
             F.col("t.pos").alias("billing_position"),
@@ -388,8 +386,9 @@ class Catalogue:
 
     # -- bridge x mart, pre-aggregated ----------------------------------
     def bridge_facts(self, kind: str) -> DataFrame:
-        """Bridge rows of ``kind`` (struct ``t``), each standing for its join
-        with the mart: weight ``w`` = bridge rows x mart rows of the title it
+        """Bridge rows of ``kind`` (struct ``t`` plus ``title_type``), each
+        standing for its join with the mart: weight ``w`` = bridge rows x
+        mart rows of the title it
         stands for, the matching sums of the mart measures (``ry_sum``,
         ``ry_cnt``, ...), their min/max, and the title's ``primary_country``
         and ``country_count``.  Aggregating ``w`` and the sums equals
@@ -404,14 +403,15 @@ class Catalogue:
         if self.mart_drop is not None:
             t = t.join(self.mart.select("show_id").distinct(), "show_id", "left_semi")
         if self.unique_keys:
-            return t.select(*stats, F.col("n_rows").alias("w"), F.explode(arr).alias("t"))
-        counted = (self._tokens().select("show_id", F.explode(arr).alias("t"))
-                   .groupBy("show_id", "t").agg(F.count(F.lit(1)).alias("cnt")))
+            return t.select(*stats, "title_type", F.col("n_rows").alias("w"),
+                            F.explode(arr).alias("t"))
+        counted = (self._tokens().select("show_id", "title_type", F.explode(arr).alias("t"))
+                   .groupBy("show_id", "title_type", "t").agg(F.count(F.lit(1)).alias("cnt")))
         j = counted.join(t.select("show_id", *stats), "show_id")
         cnt = F.col("cnt")
         scaled = {f"{short}_{a}": (F.col(f"{short}_{a}") * cnt).alias(f"{short}_{a}")
                   for short in MEASURES for a in ("sum", "cnt")}
-        return j.select(*[scaled.get(c, F.col(c)) for c in stats],
+        return j.select(*[scaled.get(c, F.col(c)) for c in stats], "title_type",
                         (F.col("n_rows") * cnt).alias("w"), "t")
 
     def pair_facts(self) -> DataFrame:
