@@ -13,6 +13,7 @@ import os
 import time
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from marquee.plans import analyses as A
@@ -120,15 +121,21 @@ def run_tests(cat: Catalogue, stop_on_failure: bool = True, **kw) -> list[T.Asse
 
 def run_analyses(cat: Catalogue, out_dir: str | None = None,
                  preview_rows: int = 25) -> list[dict]:
-    """L3: run every analysis in name order, write each as a headed CSV (S8)
-    and keep a short preview (S9)."""
+    """L3: run every analysis in name order, write each as headed CSV (S8)
+    and keep a short preview (S9).
+
+    Each analysis runs once: its (small, aggregated) result is persisted
+    for the write and the ordered preview, then released.  The result is
+    written in parallel (one folder of headed CSV parts; small results come
+    out as one part after AQE coalescing), never funnelled into one task."""
     out = []
     for name in sorted(A.ANALYSES):
-        df = A.ANALYSES[name](cat)
-        path = None
-        if out_dir:
-            path = sinks.write_result_csv(df, f"{out_dir}/{name}")
-        head, rest = sinks.preview(df, preview_rows)
+        df = A.ANALYSES[name](cat).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            path = sinks.write_result_csv(df, f"{out_dir}/{name}") if out_dir else None
+            head, rest = sinks.preview(df, preview_rows)
+        finally:
+            df.unpersist()
         out.append({"analysis": name, "path": path, "preview": head,
                     "rows": len(head) + rest})
     return out

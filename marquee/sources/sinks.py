@@ -28,9 +28,10 @@ def as_table(df: DataFrame, path: str, partition_cols=None, sort_within=None) ->
     return df.sparkSession.read.parquet(path)
 
 
-def write_result_csv(df: DataFrame, path: str, single_file: bool = True) -> str:
-    """S8: one headed CSV per analysis.  Analyses return few rows, so one
-    output file is fine; pass ``single_file=False`` for large results."""
+def write_result_csv(df: DataFrame, path: str, single_file: bool = False) -> str:
+    """S8: one headed CSV (folder of headed parts) per analysis.
+    ``single_file=True`` forces one part through ``coalesce(1)``; use it
+    only for results known to be small."""
     out = df.coalesce(1) if single_file else df
     out.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
     return path
