@@ -106,11 +106,6 @@ def land(raw: DataFrame, root: str | None = None) -> DataFrame:
     return sinks.as_table(raw, f"{root}/raw")
 
 
-def catalogue_from_tables(wh: Warehouse) -> Catalogue:
-    """A catalogue whose models read the warehouse's written tables."""
-    return wh.catalogue
-
-
 def run_tests(cat: Catalogue, stop_on_failure: bool = True, **kw) -> list[T.AssertionResult]:
     """L2 test step: run the suite; optionally stop when anything failed."""
     results = T.run_suite(cat, **kw)
