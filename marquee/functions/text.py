@@ -32,6 +32,33 @@ def blank_to_null(c) -> Column:
     return F.nullif(clean(c), F.lit(""))
 
 
+def token_parts(c, sep: str = ",", strict: bool = True) -> Column:
+    """Split a packed cell on ``sep`` into *trimmed* tokens, keeping blank
+    tokens as '' so that a token's position is its index + 1 in the raw
+    list.  A NULL cell gives an empty array.
+
+    The trim happens on the whole string before the split (space separators
+    next to a separator and at both ends are removed), which equals trimming
+    every token, and keeps the expression codegen-friendly: no lambda.
+    ``strict=False`` splits the raw text untouched (used only to build a
+    deliberately broken model for the token assertion).
+    """
+    col = _col(c)
+    if strict:
+        zs = "[" + "".join(f"\\u{ord(ch):04x}" for ch in SPACE_SEPARATORS) + "]*"
+        text = clean(F.regexp_replace(col, zs + sep + zs, sep))
+    else:
+        text = col
+    return F.when(col.isNotNull(), F.split(text, sep, -1)).otherwise(
+        F.array().cast("array<string>"))
+
+
+def present_tokens(parts: Column, strict: bool = True) -> Column:
+    """The non-blank tokens of ``token_parts`` in order (all of them when
+    ``strict=False``)."""
+    return F.array_remove(parts, "") if strict else parts
+
+
 def nonblank_tokens(c, sep: str = ",", strict: bool = True) -> Column:
     """Split a packed cell on ``sep`` and keep the non-blank, trimmed tokens
     together with their 1-based position in the *unfiltered* list.

@@ -27,8 +27,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee.functions import (
-    audience_band, blank_to_null, clean, nonblank_tokens, normalise_genre,
-    parse_month_day_year, unit_measure,
+    audience_band, blank_to_null, clean, normalise_genre,
+    parse_month_day_year, present_tokens, token_parts, unit_measure,
 )
 
 STAGING_COLUMNS = (
@@ -88,25 +88,18 @@ def has_unique_keys(stg: DataFrame) -> bool:
     return len(dup.select("show_id").take(1)) == 0
 
 
-def _with_type(toks: Column, **extra: Column) -> Column:
-    return F.transform(toks, lambda t: F.struct(
-        t["pos"].alias("pos"), t["name"].alias("name"),
-        *[v(t).alias(k) if callable(v) else v.alias(k) for k, v in extra.items()]))
+# Token arrays per landed row: array<string>, trimmed, blanks kept as ''.
+PARTS = {"country": "c_parts", "genre": "g_parts", "actor": "a_parts", "director": "d_parts"}
 
 
 def _token_columns(stg: DataFrame, strict: bool = True) -> DataFrame:
-    """Per landed row: the token arrays of its four packed cells
-    (``c_toks``: pos, name; ``g_toks``: pos, name, norm; ``p_toks``: pos,
-    name, role with actors before directors)."""
+    """Per landed row: the split tokens of its four packed cells."""
     return stg.select(
         "*",
-        nonblank_tokens("country_raw", strict=strict).alias("c_toks"),
-        _with_type(nonblank_tokens("genres_raw", strict=strict),
-                   norm=lambda t: normalise_genre(t["name"])).alias("g_toks"),
-        F.concat(
-            _with_type(nonblank_tokens("cast_raw", strict=strict), role=F.lit("actor")),
-            _with_type(nonblank_tokens("director_raw", strict=strict), role=F.lit("director")),
-        ).alias("p_toks"),
+        token_parts("country_raw", strict=strict).alias("c_parts"),
+        token_parts("genres_raw", strict=strict).alias("g_parts"),
+        token_parts("cast_raw", strict=strict).alias("a_parts"),
+        token_parts("director_raw", strict=strict).alias("d_parts"),
     )
 
 
@@ -114,27 +107,54 @@ def _nonempty(arr: Column, value: Column) -> Column:
     return F.when(F.size(arr) > 0, value)
 
 
-def _title_level(c: Column, g: Column, p: Column) -> list[Column]:
-    """Per-title rollups from (possibly merged) token arrays.  A title with
-    no tokens of a kind has no bridge rows, hence NULL after the left join."""
-    actors = F.filter(p, lambda t: t["role"] == "actor")
-    directors = F.filter(p, lambda t: t["role"] == "director")
+def _first(parts: Column, strict: bool) -> Column:
+    """The token at position 1 when it is a token (NULL otherwise)."""
+    first = F.try_element_at(parts, F.lit(1))
+    return F.nullif(first, F.lit("")) if strict else first
+
+
+def _title_level(strict: bool = True) -> list[Column]:
+    """Per-title rollups from the row's own tokens.  A title with no tokens
+    of a kind has no bridge rows, hence NULL after the reference's left
+    join.  Only ``all_genres`` needs a lambda (element-wise relabelling)."""
+    c = present_tokens(F.col("c_parts"), strict)
+    g = present_tokens(F.col("g_parts"), strict)
+    a = present_tokens(F.col("a_parts"), strict)
+    d = present_tokens(F.col("d_parts"), strict)
+    people = F.size(a) + F.size(d)
     return [
-        F.array_max(F.transform(F.filter(c, lambda t: t["pos"] == 1),
-                                lambda t: t["name"])).alias("primary_country"),
+        _first(F.col("c_parts"), strict).alias("primary_country"),
         _nonempty(c, F.size(c).cast("bigint")).alias("country_count"),
-        _nonempty(c, F.array_join(F.transform(c, lambda t: t["name"]), ", ")).alias("all_countries"),
-        F.array_max(F.transform(F.filter(g, lambda t: t["pos"] == 1),
-                                lambda t: t["norm"])).alias("primary_genre"),
+        _nonempty(c, F.array_join(c, ", ")).alias("all_countries"),
+        normalise_genre(_first(F.col("g_parts"), strict)).alias("primary_genre"),
         _nonempty(g, F.size(g).cast("bigint")).alias("genre_count"),
-        _nonempty(g, F.array_join(F.transform(g, lambda t: t["norm"]), ", ")).alias("all_genres"),
-        _nonempty(p, F.size(actors).cast("bigint")).alias("cast_size"),
-        _nonempty(p, F.size(directors).cast("bigint")).alias("director_count"),
-        _nonempty(directors, F.array_join(F.transform(directors, lambda t: t["name"]), ", "))
-        .alias("directors"),
+        _nonempty(g, F.array_join(F.transform(g, normalise_genre), ", ")).alias("all_genres"),
+        F.when(people > 0, F.size(a).cast("bigint")).alias("cast_size"),
+        F.when(people > 0, F.size(d).cast("bigint")).alias("director_count"),
+        _nonempty(d, F.array_join(d, ", ")).alias("directors"),
     ]
 
 
+def _tokens_of(df: DataFrame, kind: str, keep: list, strict: bool = True) -> DataFrame:
+    """Explode one token kind to rows with ``t = struct(pos, name, ...)``
+    (``norm`` for genres, ``role`` for people), blank tokens dropped.
+    Generate + filter only, so the stage stays in whole-stage codegen."""
+    if kind == "people":
+        roles = df.select(*keep, F.inline(F.array(
+            F.struct(F.lit("actor").alias("role"), F.col("a_parts").alias("parts")),
+            F.struct(F.lit("director").alias("role"), F.col("d_parts").alias("parts")))))
+        x = roles.select(*keep, "role", F.posexplode("parts").alias("i", "name"))
+        extra = [F.col("role")]
+    else:
+        arr = {"countries": "c_parts", "genres": "g_parts"}[kind]
+        x = df.select(*keep, F.posexplode(arr).alias("i", "name"))
+        extra = [normalise_genre("name").alias("norm")] if kind == "genres" else []
+    if strict:
+        x = x.filter(F.col("name") != "")
+    t = F.struct((F.col("i") + 1).cast("bigint").alias("pos"), F.col("name").alias("name"), *extra)
+    return x.select(*keep, t.alias("t"))
+
+
 def _measure_stats_row() -> list[Column]:
     """Mart-side measures of a single row, in pre-aggregated form."""
     out = [F.lit(1).cast("bigint").alias("n_rows"),
@@ -160,29 +180,16 @@ def _measure_stats_agg() -> list[Column]:
     return out
 
 
-def _sorted_merge(col: str) -> Column:
-    # Copies of one title are merged in (position, name, ...) order, which is
-    # the reference's ORDER BY position with a deterministic tie-break.
-    return F.array_sort(F.flatten(F.collect_list(col)))
-
-
-def _at_first_position(arr: Column, field: str) -> Column:
-    return F.try_element_at(
-        F.transform(F.filter(arr, lambda t: t["pos"] == 1), lambda t: t[field]), F.lit(1))
-
-
-def _title_stats_agg() -> list[Column]:
+def _title_stats_agg(strict: bool = True) -> list[Column]:
     """Bounded per-title aggregates over the copies of a repeated key: all
     of them merge map-side, so a key with very many copies collapses to one
     partial row per task before the shuffle."""
-    c, g, p = F.col("c_toks"), F.col("g_toks"), F.col("p_toks")
-    actors = F.filter(p, lambda t: t["role"] == "actor")
-    directors = F.filter(p, lambda t: t["role"] == "director")
+    size = lambda c: F.size(present_tokens(F.col(c), strict))
     return _measure_stats_agg() + [
-        F.max(_at_first_position(c, "name")).alias("primary_country"),
-        F.max(_at_first_position(g, "norm")).alias("primary_genre"),
-        F.sum(F.size(c)).alias("_nc"), F.sum(F.size(g)).alias("_ng"),
-        F.sum(F.size(actors)).alias("_na"), F.sum(F.size(directors)).alias("_nd"),
+        F.max(_first(F.col("c_parts"), strict)).alias("primary_country"),
+        F.max(normalise_genre(_first(F.col("g_parts"), strict))).alias("primary_genre"),
+        F.sum(size("c_parts")).alias("_nc"), F.sum(size("g_parts")).alias("_ng"),
+        F.sum(size("a_parts")).alias("_na"), F.sum(size("d_parts")).alias("_nd"),
     ]
 
 
@@ -197,7 +204,7 @@ STAT_COLUMNS = ["n_rows", "n_movies", "n_tv"] + [
     f"{short}_{agg}" for short in MEASURES for agg in ("sum", "cnt", "min", "max")]
 ROLLUPS = ["primary_country", "country_count", "all_countries", "primary_genre", "genre_count",
            "all_genres", "cast_size", "director_count", "directors"]
-BRIDGE_ARRAYS = {"countries": "c_toks", "genres": "g_toks", "people": "p_toks"}
+PART_COLUMNS = ["c_parts", "g_parts", "a_parts", "d_parts"]
 
 # A title with at least this many landed copies is "hot": its bridge rows
 # get their per-title counts through a broadcast of the (few) hot titles'
@@ -266,12 +273,11 @@ class Catalogue:
             if self.unique_keys:
                 # One title per row: keep the staging columns too, so the
                 # mart is a projection of this frame (no second token pass).
-                base = tok.select(*STAGING_COLUMNS, "c_toks", "g_toks", "p_toks",
-                                  *_measure_stats_row())
-                self._titles = base.select(
-                    "*", *_title_level(F.col("c_toks"), F.col("g_toks"), F.col("p_toks")))
+                self._titles = tok.select(*STAGING_COLUMNS, *PART_COLUMNS,
+                                          *_measure_stats_row(),
+                                          *_title_level(self.strict_tokens))
             else:
-                agg = tok.groupBy("show_id").agg(*_title_stats_agg())
+                agg = tok.groupBy("show_id").agg(*_title_stats_agg(self.strict_tokens))
                 self._titles = agg.select("show_id", *STAT_COLUMNS, "primary_country",
                                           "primary_genre", *_title_counts())
         return self._titles
@@ -300,14 +306,13 @@ class Catalogue:
                                      .join(cold, "show_id")))
 
     def _explode(self, kind: str, *extra: str) -> DataFrame:
-        arr = BRIDGE_ARRAYS[kind]
+        keep = ["show_id", "title_type", *extra]
         if self.unique_keys:
-            return self.titles.select("show_id", "title_type", *extra,
-                                      F.explode(arr).alias("t"))
+            return _tokens_of(self.titles, kind, keep, self.strict_tokens)
         # Join per landed copy (one row per copy), explode afterwards.
-        per_copy = self._tokens().select("show_id", "title_type", arr)
+        per_copy = self._tokens().select("show_id", "title_type", *PART_COLUMNS)
         joined = self._with_title_values(per_copy, list(extra))
-        return joined.select("show_id", "title_type", *extra, F.explode(arr).alias("t"))
+        return _tokens_of(joined, kind, keep, self.strict_tokens)
 
     @property
     def countries(self) -> DataFrame:
@@ -353,19 +358,24 @@ class Catalogue:
             # The string rollups concatenate the tokens of every copy, as
             # the reference defines them; their size grows with the copies.
             # Counts and primary values come from bounded aggregates.
-            agg = self._tokens().groupBy("show_id").agg(
-                *_title_stats_agg(),
-                _sorted_merge("c_toks").alias("_c"), _sorted_merge("g_toks").alias("_g"),
-                _sorted_merge("p_toks").alias("_p"))
-            dirs = F.filter(F.col("_p"), lambda t: t["role"] == "director")
-            rollups = agg.select(
-                "show_id", "primary_country", "primary_genre", *_title_counts(),
-                _nonempty(F.col("_c"), F.array_join(F.transform("_c", lambda t: t["name"]), ", "))
-                .alias("all_countries"),
-                _nonempty(F.col("_g"), F.array_join(F.transform("_g", lambda t: t["norm"]), ", "))
-                .alias("all_genres"),
-                _nonempty(dirs, F.array_join(F.transform(dirs, lambda t: t["name"]), ", "))
-                .alias("directors"))
+            tok = self._tokens()
+            strict = self.strict_tokens
+
+            def merged(kind: str, field: str = "name", role: str | None = None) -> DataFrame:
+                x = _tokens_of(tok, kind, ["show_id"], strict)
+                if role:
+                    x = x.filter(F.col("t.role") == role)
+                v = F.array_sort(F.collect_list(F.struct("t.pos", F.col(f"t.{field}").alias("v"))))
+                return x.groupBy("show_id").agg(
+                    F.array_join(F.transform(v, lambda e: e["v"]), ", ").alias(kind + role if role else kind))
+            stats = tok.groupBy("show_id").agg(*_title_stats_agg(strict))
+            rollups = (stats.select("show_id", "primary_country", "primary_genre", *_title_counts())
+                       .join(merged("countries").withColumnRenamed("countries", "all_countries"),
+                             "show_id", "left")
+                       .join(merged("genres", "norm").withColumnRenamed("genres", "all_genres"),
+                             "show_id", "left")
+                       .join(merged("people", role="director")
+                             .withColumnRenamed("peopledirector", "directors"), "show_id", "left"))
             wide = self.staging.join(rollups, "show_id", "left")
         flags = {
             "missing_director": F.col("director_raw").isNull(),
@@ -398,14 +408,14 @@ class Catalogue:
         (``cnt``), so each title contributes at most one row per distinct
         token, and only then joined to the one-row-per-title measures."""
         stats = STAT_COLUMNS + ["primary_country", "country_count"]
-        arr = BRIDGE_ARRAYS[kind]
         t = self.titles
         if self.mart_drop is not None:
             t = t.join(self.mart.select("show_id").distinct(), "show_id", "left_semi")
         if self.unique_keys:
-            return t.select(*stats, "title_type", F.col("n_rows").alias("w"),
-                            F.explode(arr).alias("t"))
-        counted = (self._tokens().select("show_id", "title_type", F.explode(arr).alias("t"))
+            x = _tokens_of(t.withColumn("w", F.col("n_rows")), kind, [*stats, "title_type", "w"],
+                           self.strict_tokens)
+            return x
+        counted = (_tokens_of(self._tokens(), kind, ["show_id", "title_type"], self.strict_tokens)
                    .groupBy("show_id", "title_type", "t").agg(F.count(F.lit(1)).alias("cnt")))
         j = counted.join(t.select("show_id", *stats), "show_id")
         cnt = F.col("cnt")
@@ -421,11 +431,11 @@ class Catalogue:
         from marquee.operators.pairs import value_counts, weighted_pairs
         keep = ["n_rows", "n_movies", "n_tv", "ry_sum", "ry_cnt"]
         if self.unique_keys:
-            names = F.transform(F.col("c_toks"), lambda x: x["name"])
+            names = present_tokens(F.col("c_parts"), self.strict_tokens)
             return self.titles.select(*keep, F.explode(weighted_pairs(value_counts(names)))
                                       .alias("p"))
-        per = (self._tokens().select("show_id", F.explode("c_toks.name").alias("v"))
-               .groupBy("show_id", "v").agg(F.count(F.lit(1)).alias("m"))
+        per = (_tokens_of(self._tokens(), "countries", ["show_id"], self.strict_tokens)
+               .groupBy("show_id", F.col("t.name").alias("v")).agg(F.count(F.lit(1)).alias("m"))
                .groupBy("show_id").agg(F.collect_list(F.struct("v", "m")).alias("vm")))
         return (per.join(self.titles.select("show_id", *keep), "show_id")
                    .select(*keep, F.explode(weighted_pairs(F.col("vm"))).alias("p")))

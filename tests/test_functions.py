@@ -76,3 +76,13 @@ def test_tokens_positions_from_unfiltered_list(spark):
     assert [t["name"] for t in dup] == ["A", "A"]
     raw = one(spark, nonblank_tokens("x", strict=False), "a, ")
     assert [t["name"] for t in raw] == ["a", " "]
+
+
+def test_token_parts_trimmed_with_blank_positions(spark):
+    from marquee.functions import present_tokens, token_parts
+    parts = one(spark, token_parts("x"), "\u00a0, France ,,\u3000Spain , ")
+    assert parts == ["", "France", "", "Spain", ""]
+    assert one(spark, present_tokens(token_parts("x")), ", a b ,c") == ["a b", "c"]
+    assert one(spark, token_parts("x"), None) == []
+    assert one(spark, token_parts("x", strict=False), "a , ") == ["a ", " "]
+    assert one(spark, token_parts("x"), "\ta ,b") == ["\ta", "b"]
