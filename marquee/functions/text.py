@@ -45,8 +45,9 @@ def token_parts(c, sep: str = ",", strict: bool = True) -> Column:
     """
     col = _col(c)
     if strict:
-        zs = "[" + "".join(f"\\u{ord(ch):04x}" for ch in SPACE_SEPARATORS) + "]*"
-        text = clean(F.regexp_replace(col, zs + sep + zs, sep))
+        # \p{Zs} is the same set as SPACE_SEPARATORS, and is matched much
+        # faster than an explicit character class.
+        text = clean(F.regexp_replace(col, r"\p{Zs}*" + sep + r"\p{Zs}*", sep))
     else:
         text = col
     return F.when(col.isNotNull(), F.split(text, sep, -1)).otherwise(
