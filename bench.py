@@ -79,6 +79,7 @@ def main() -> None:
         "queries": {k: round(v, 3) for k, v in q.items()},
         "sf": os.path.basename(sf_dir.rstrip("/")).replace("sf", ""),
         "model_rows": rows,
+        "build_rows_per_sec": round(rows / q["build"]),
         "assertions_failed": failed,
         "cpus": cpus,
     }))

@@ -58,23 +58,3 @@ def present_tokens(parts: Column, strict: bool = True) -> Column:
     """The non-blank tokens of ``token_parts`` in order (all of them when
     ``strict=False``)."""
     return F.array_remove(parts, "") if strict else parts
-
-
-def nonblank_tokens(c, sep: str = ",", strict: bool = True) -> Column:
-    """Split a packed cell on ``sep`` and keep the non-blank, trimmed tokens
-    together with their 1-based position in the *unfiltered* list.
-
-    Returns ``array<struct<pos: bigint, name: string>>``; a NULL cell gives an
-    empty array.  Positions come from the raw split, so a leading separator
-    leaves position 1 empty and the first real token gets position 2.
-    ``strict=False`` keeps tokens untrimmed and blank ones too (used only to
-    build a deliberately broken model for the token assertion).
-    """
-    col = _col(c)
-    parts = F.split(F.coalesce(col, F.lit("")), sep, -1)
-    indexed = F.transform(
-        parts, lambda x, i: F.struct((i + 1).cast("bigint").alias("pos"),
-                                     (clean(x) if strict else x).alias("name")))
-    if strict:
-        return F.filter(indexed, lambda t: t["name"] != F.lit(""))
-    return F.filter(indexed, lambda t: col.isNotNull())

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from marquee.functions import (
-    audience_band, blank_to_null, clean, nonblank_tokens, normalise_genre,
+    audience_band, blank_to_null, clean, normalise_genre, present_tokens, token_parts,
     parse_month_day_year, pct, round_half_away, unit_measure,
 )
 
@@ -69,17 +69,13 @@ def test_bands_and_genres(spark):
 
 
 def test_tokens_positions_from_unfiltered_list(spark):
-    toks = one(spark, nonblank_tokens("x"), ", France,, Spain , ")
-    assert [(t["pos"], t["name"]) for t in toks] == [(2, "France"), (4, "Spain")]
-    assert one(spark, nonblank_tokens("x"), None) == []
-    dup = one(spark, nonblank_tokens("x"), "A, A")
-    assert [t["name"] for t in dup] == ["A", "A"]
-    raw = one(spark, nonblank_tokens("x", strict=False), "a, ")
-    assert [t["name"] for t in raw] == ["a", " "]
+    parts = one(spark, token_parts("x"), ", France,, Spain , ")
+    present = [(i + 1, t) for i, t in enumerate(parts) if t]
+    assert present == [(2, "France"), (4, "Spain")]
+    assert one(spark, present_tokens(token_parts("x")), "A, A") == ["A", "A"]
 
 
 def test_token_parts_trimmed_with_blank_positions(spark):
-    from marquee.functions import present_tokens, token_parts
     parts = one(spark, token_parts("x"), "\u00a0, France ,,\u3000Spain , ")
     assert parts == ["", "France", "", "Spain", ""]
     assert one(spark, present_tokens(token_parts("x")), ", a b ,c") == ["a b", "c"]
