@@ -86,9 +86,9 @@ def build(raw: DataFrame, root: str | None = None) -> Warehouse:
             df = _model_frame(cat, name)
             if mat == "view":
                 df = sinks.as_view(df, name)
+                rows = df.count()
             else:
-                df = sinks.as_table(df, f"{root}/{layer}/{name}")
-            rows = df.count()
+                df, rows = sinks.as_counted_table(df, f"{root}/{layer}/{name}")
             report.append(Built(layer, name, mat, rows, time.time() - t0))
             models[name] = df
             if name == "int_title_tokens":

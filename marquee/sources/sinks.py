@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def as_view(df: DataFrame, name: str) -> DataFrame:
@@ -18,14 +19,22 @@ def as_table(df: DataFrame, path: str, partition_cols=None, sort_within=None) ->
     does not re-run the upstream plan.  ``sort_within`` clusters rows inside
     each file (better min/max pruning for later key filters).
     """
-    w = df
+    return as_counted_table(df, path, partition_cols, sort_within)[0]
+
+
+def as_counted_table(df: DataFrame, path: str, partition_cols=None,
+                     sort_within=None) -> tuple[DataFrame, int]:
+    """``as_table`` that also returns the number of rows written, observed
+    during the write itself (no second job to count the table)."""
+    obs = Observation()
+    w = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     if sort_within:
         w = w.sortWithinPartitions(*sort_within)
     writer = w.write.mode("overwrite")
     if partition_cols:
         writer = writer.partitionBy(*partition_cols)
     writer.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.parquet(path), int(obs.get["rows"])
 
 
 def write_result_csv(df: DataFrame, path: str, single_file: bool = False) -> str:
