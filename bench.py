@@ -2,8 +2,10 @@
 
 Mirrors the reference's flow (landing -> layered build -> 10 analyses ->
 10 assertions) at ``$BENCH_SF_DIR`` on ``local[$BENCH_CPUS]`` and prints one
-JSON line.  ``value`` is the build + analyses + assertions time; the landing
-(deriving the catalogue from the TPC-H-like tables) is reported apart.
+JSON line.  ``value`` is the wall time of build + analyses + assertions; the
+landing (deriving the catalogue from the TPC-H-like tables) is reported
+apart.  Per-model and per-query entries are each job's own latency (jobs of
+one phase run side by side, so they overlap).
 """
 
 from __future__ import annotations
@@ -16,9 +18,8 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from marquee.plans import analyses as A  # noqa: E402
 from marquee.plans import assertions as T  # noqa: E402
-from marquee.plans.build import build, land  # noqa: E402
+from marquee.plans.build import build, land, run_analyses  # noqa: E402
 from marquee.session import get_session  # noqa: E402
 from marquee.sources.synthetic import synthetic_landing  # noqa: E402
 
@@ -43,8 +44,7 @@ def main() -> None:
         small = os.path.join(parent, warm)
         if os.path.isdir(small) and os.path.abspath(small) != os.path.abspath(sf_dir):
             wcat = build(land(synthetic_landing(spark, small))).catalogue
-            for name in sorted(A.ANALYSES):
-                A.ANALYSES[name](wcat).collect()
+            run_analyses(wcat)
             T.run_suite(wcat, max_year=MAX_YEAR)
             break
 
@@ -60,17 +60,17 @@ def main() -> None:
         q[f"model_{b.model}"] = b.seconds
 
     cat = wh.catalogue
-    for name in sorted(A.ANALYSES):
-        t = time.time()
-        A.ANALYSES[name](cat).collect()
-        q[f"q{name}"] = time.time() - t
+    t = time.time()
+    for r in run_analyses(cat):  # independent jobs, run side by side
+        q[f"q{r['analysis']}"] = r["seconds"]
+    q["analyses"] = time.time() - t
 
     t = time.time()
     results = T.run_suite(cat, max_year=MAX_YEAR)
     q["assertions"] = time.time() - t
     failed = [r.name for r in results if r.status != "pass"]
 
-    total = q["build"] + sum(v for k, v in q.items() if k.startswith("q")) + q["assertions"]
+    total = q["build"] + q["analyses"] + q["assertions"]
     rows = sum(b.rows for b in wh.report if b.model != "int_title_tokens")
     print(json.dumps({
         "metric": "build_analyses_assertions_sec",

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from marquee.functions import TITLE_TYPES, clean, parse_month_day_year
 from marquee.operators.profile import count_if_all
+from marquee.plans.jobs import DEFAULT_CONCURRENT_JOBS, run_concurrently
 from marquee.plans.models import Catalogue
 
 KEY_COLUMNS = ("show_id", "title", "title_type", "release_year")
@@ -129,23 +130,33 @@ class AssertionResult:
     sample: list
 
 
-def run_suite(cat: Catalogue, sample_rows: int = 5, **kw) -> list[AssertionResult]:
-    """T11: run every assertion in name order.  A query error is a failure;
-    an empty result is a pass.  Only the offending count and at most
-    ``sample_rows`` offending rows reach the driver."""
-    out = []
-    for name in sorted(ASSERTIONS):
+def run_suite(cat: Catalogue, sample_rows: int = 5, max_jobs: int = DEFAULT_CONCURRENT_JOBS,
+              **kw) -> list[AssertionResult]:
+    """T11: run every assertion; results in name order.  A query error is a
+    failure; an empty result is a pass.  Only the offending count and at
+    most ``sample_rows`` offending rows reach the driver.  The assertions
+    are independent jobs and run ``max_jobs`` at a time."""
+    try:
+        cat.unique_keys  # decide the plan once, before the threads start
+    except Exception:  # noqa: BLE001 - each assertion then reports the error itself
+        pass
+
+    def check(name: str):
         fn = ASSERTIONS[name]
-        t0 = time.time()
-        try:
-            df = fn(cat, **kw) if name == "release_year_plausible" else fn(cat)
-            sample = [r.asDict() for r in df.limit(sample_rows).collect()]
-            n = df.count() if len(sample) == sample_rows else len(sample)
-            out.append(AssertionResult(name, "pass" if n == 0 else "fail", n,
-                                       time.time() - t0, None, sample))
-        except Exception as exc:  # a broken assertion is a failed assertion
-            out.append(AssertionResult(name, "fail", -1, time.time() - t0,
-                                       str(exc).splitlines()[0][:300], []))
+        df = fn(cat, **kw) if name == "release_year_plausible" else fn(cat)
+        sample = [r.asDict() for r in df.limit(sample_rows).collect()]
+        n = df.count() if len(sample) == sample_rows else len(sample)
+        return n, sample
+
+    done = run_concurrently({n: (lambda n=n: check(n)) for n in sorted(ASSERTIONS)}, max_jobs)
+    out = []
+    for name, (res, secs) in done.items():
+        if isinstance(res, Exception):  # a broken assertion is a failed assertion
+            out.append(AssertionResult(name, "fail", -1, secs,
+                                       str(res).splitlines()[0][:300], []))
+        else:
+            n, sample = res
+            out.append(AssertionResult(name, "pass" if n == 0 else "fail", n, secs, None, sample))
     return out
 
 

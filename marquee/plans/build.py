@@ -1,7 +1,8 @@
 """Layered build, test and analysis runs (L1-L4, S7).
 
 Layer order is fixed (staging -> intermediate -> marts); inside a layer the
-models are independent and run in name order.  Staging is a view; bridges
+models are independent, are reported in name order and are built as
+concurrent jobs.  Staging is a view; bridges
 and the mart are written as Parquet tables under the session's shared
 checkpoint folder, which also cuts lineage so lost executors only redo the
 current layer.
@@ -18,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from marquee.plans import analyses as A
 from marquee.plans import assertions as T
+from marquee.plans.jobs import DEFAULT_CONCURRENT_JOBS, run_concurrently
 from marquee.plans.models import Catalogue
 from marquee.session import workspace_dir
 from marquee.sources import sinks
@@ -69,7 +71,8 @@ def _model_frame(cat: Catalogue, model: str) -> DataFrame:
     }[model]()
 
 
-def build(raw: DataFrame, root: str | None = None) -> Warehouse:
+def build(raw: DataFrame, root: str | None = None,
+          max_jobs: int = DEFAULT_CONCURRENT_JOBS) -> Warehouse:
     """L1: build every layer in order, recording rows and seconds per model
     (S7).  The landing should itself be a materialised table (see
     ``land``), so the build starts from files, not from upstream plans.
@@ -80,21 +83,36 @@ def build(raw: DataFrame, root: str | None = None) -> Warehouse:
     cat = Catalogue(raw)
     models: dict[str, DataFrame] = {}
     report: list[Built] = []
+
+    def make(c: Catalogue, layer: str, mat: str, name: str):
+        df = _model_frame(c, name)
+        if mat == "view":
+            df = sinks.as_view(df, name)
+            return df, df.count()
+        return sinks.as_counted_table(df, f"{root}/{layer}/{name}")
+
     for layer, mat, names in LAYERS:
-        for name in sorted(names, key=lambda n: (BUILD_ORDER.get(n, 1), n)):
-            t0 = time.time()
-            df = _model_frame(cat, name)
-            if mat == "view":
-                df = sinks.as_view(df, name)
-                rows = df.count()
-            else:
-                df, rows = sinks.as_counted_table(df, f"{root}/{layer}/{name}")
-            report.append(Built(layer, name, mat, rows, time.time() - t0))
-            models[name] = df
-            if name == "int_title_tokens":
-                cat = cat.materialised(df, None)
+        ordered = sorted(names, key=lambda n: (BUILD_ORDER.get(n, 1), n))
+        # Models the rest of the layer reads are built first, on their own.
+        first = [n for n in ordered if n in BUILD_ORDER]
+        rest = [n for n in ordered if n not in BUILD_ORDER]
+        for group in ([[n] for n in first] + [rest]):
+            if not group:
+                continue
+            done = run_concurrently(
+                {n: (lambda n=n, c=cat: make(c, layer, mat, n)) for n in group}, max_jobs)
+            for name in group:
+                res, secs = done[name]
+                if isinstance(res, Exception):
+                    raise res
+                df, rows = res
+                report.append(Built(layer, name, mat, rows, secs))
+                models[name] = df
+                if name == "int_title_tokens":
+                    cat = cat.materialised(df, None)
         if layer == "marts":
             cat = cat.materialised(models["int_title_tokens"], models["dim_title"])
+    report.sort(key=lambda b: ([x[0] for x in LAYERS].index(b.layer), b.model))
     return Warehouse(root, cat, models, report)
 
 
@@ -114,25 +132,33 @@ def run_tests(cat: Catalogue, stop_on_failure: bool = True, **kw) -> list[T.Asse
     return results
 
 
-def run_analyses(cat: Catalogue, out_dir: str | None = None,
-                 preview_rows: int = 25) -> list[dict]:
-    """L3: run every analysis in name order, write each as headed CSV (S8)
-    and keep a short preview (S9).
+def run_analyses(cat: Catalogue, out_dir: str | None = None, preview_rows: int = 25,
+                 max_jobs: int = DEFAULT_CONCURRENT_JOBS) -> list[dict]:
+    """L3: run every analysis, write each as headed CSV (S8) and keep a
+    short preview (S9); results in name order, jobs run concurrently.
 
     Each analysis runs once: its (small, aggregated) result is persisted
     for the write and the ordered preview, then released.  The result is
     written in parallel (one folder of headed CSV parts; small results come
     out as one part after AQE coalescing), never funnelled into one task."""
-    out = []
-    for name in sorted(A.ANALYSES):
+    cat.unique_keys  # decide the plan once, before the threads start
+
+    def one(name: str) -> dict:
         df = A.ANALYSES[name](cat).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             path = sinks.write_result_csv(df, f"{out_dir}/{name}") if out_dir else None
             head, rest = sinks.preview(df, preview_rows)
         finally:
             df.unpersist()
-        out.append({"analysis": name, "path": path, "preview": head,
-                    "rows": len(head) + rest})
+        return {"analysis": name, "path": path, "preview": head, "rows": len(head) + rest}
+
+    done = run_concurrently({n: (lambda n=n: one(n)) for n in sorted(A.ANALYSES)}, max_jobs)
+    out = []
+    for name, (res, secs) in done.items():
+        if isinstance(res, Exception):
+            raise res
+        res["seconds"] = secs
+        out.append(res)
     return out
 
 
