@@ -94,12 +94,12 @@ _T_SQL = {
         FROM (SELECT count(*) AS raw_rows FROM raw) r, (SELECT count(*) AS mart_rows FROM mart) m
         WHERE r.raw_rows <> m.mart_rows""",
     "t03_not_null_keys": """
-        , nn AS (
+        SELECT column_name, null_rows FROM (
             SELECT 'show_id' AS column_name, count(*) AS null_rows FROM mart WHERE show_id IS NULL
             UNION ALL SELECT 'title', count(*) FROM mart WHERE title IS NULL
             UNION ALL SELECT 'title_type', count(*) FROM mart WHERE title_type IS NULL
-            UNION ALL SELECT 'release_year', count(*) FROM mart WHERE release_year IS NULL)
-        SELECT column_name, null_rows FROM nn WHERE null_rows > 0""",
+            UNION ALL SELECT 'release_year', count(*) FROM mart WHERE release_year IS NULL) nn
+        WHERE null_rows > 0""",
     "t04_duration_units_split": """
         SELECT show_id, title, title_type, duration_minutes, seasons FROM mart
         WHERE (duration_minutes IS NOT NULL AND seasons IS NOT NULL)
@@ -120,14 +120,14 @@ _T_SQL = {
         UNION ALL SELECT 'person', person_name FROM bp
                   WHERE person_name = '' OR person_name <> TRIM(person_name)""",
     "t09_referential_integrity": """
-        , orphans AS (
+        SELECT model, orphans FROM (
             SELECT 'int_title_countries' AS model, count(*) AS orphans
             FROM bc b WHERE NOT EXISTS (SELECT 1 FROM mart d WHERE d.show_id = b.show_id)
             UNION ALL SELECT 'int_title_genres', count(*)
             FROM bg b WHERE NOT EXISTS (SELECT 1 FROM mart d WHERE d.show_id = b.show_id)
             UNION ALL SELECT 'int_title_people', count(*)
-            FROM bp b WHERE NOT EXISTS (SELECT 1 FROM mart d WHERE d.show_id = b.show_id))
-        SELECT model, orphans FROM orphans WHERE orphans > 0""",
+            FROM bp b WHERE NOT EXISTS (SELECT 1 FROM mart d WHERE d.show_id = b.show_id)) o
+        WHERE orphans > 0""",
     "t10_release_year_plausible": f"""
         SELECT show_id, title, release_year FROM mart
         WHERE release_year < 1900 OR release_year > {MAX_YEAR}""",
@@ -167,12 +167,35 @@ for _k, (_fn, _dirty) in _T_FN.items():
          mart_drop=MART_DROP_SQL if _dirty.get("mart_drop") else None)
 
 
-def _suite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    results = T.run_suite(_cat(spark, sf_dir), max_year=MAX_YEAR)
-    return T.suite_frame(spark, results).select("assertion", "status", "offending")
+# Suite inputs: the clean landing (all pass) and one with several defects.
+SUITE_DEFECTS = ("bad_type", "bad_rating", "bad_duration", "implausible_year")
+_SUITE_NAMES = {  # assertion name -> key of its SQL above
+    "accepted_values_audience": "t07_rating_mapped",
+    "accepted_values_type": "t06_accepted_title_types",
+    "date_added_parsed": "t05_date_added_parsed",
+    "duration_units_split": "t04_duration_units_split",
+    "no_empty_tokens": "t08_no_empty_tokens",
+    "not_null_keys": "t03_not_null_keys",
+    "referential_integrity": "t09_referential_integrity",
+    "release_year_plausible": "t10_release_year_plausible",
+    "row_count_preserved": "t02_row_count_preserved",
+    "unique_show_id": "t01_unique_show_id",
+}
+_SUITE_SQL = "\nUNION ALL\n".join(
+    f"SELECT '{name}' AS assertion, CASE WHEN count(*) = 0 THEN 'pass' ELSE 'fail' END AS status, "
+    f"count(*) AS offending FROM ({_T_SQL[key]}) x"
+    for name, key in sorted(_SUITE_NAMES.items()))
+
+
+def _suite(defects=()):
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        results = T.run_suite(_cat(spark, sf_dir, defects), max_year=MAX_YEAR)
+        return T.suite_frame(spark, results).select("assertion", "status", "offending")
+    return q
 
 
-_reg("t11_assertion_suite", _suite)  # driver-side orchestration: rows-only check
+_reg("t11_assertion_suite", _suite(), _SUITE_SQL)
+_reg("t11_assertion_suite_dirty", _suite(SUITE_DEFECTS), _SUITE_SQL, defects=SUITE_DEFECTS)
 
 # -- report data -----------------------------------------------------------
 _Q01 = O.ANALYSIS_SQL["q01_cleaning_impact"].strip()
@@ -265,7 +288,8 @@ def _layered_build(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _reg("s1_csv_landing", _csv_landing, "SELECT * FROM raw")
-_reg("s2_landing_contract", _contract)
+_reg("s2_landing_contract", _contract, """
+    SELECT column_name, 'expected' AS status FROM (DESCRIBE SELECT * FROM raw)""")
 _reg("s3_landing_profile", lambda s, d: S.landing_profile(synthetic_landing(s, d)), """
     , p AS (UNPIVOT (SELECT """ + ", ".join(
         f'count(*) FILTER (WHERE "{c}" IS NULL) AS "{c}"' for c in S.RAW_COLUMNS
@@ -276,4 +300,12 @@ _reg("s4_landing_size", lambda s, d: S.landing_size(synthetic_landing(s, d)),
 _reg("s9_preview_top_people", _preview,
      O.ANALYSIS_SQL["q07_top_people"].replace("ORDER BY credits DESC",
                                               "ORDER BY credits DESC, person_name, role LIMIT 25"))
-_reg("l1_layered_build", _layered_build)  # timings vary: rows-only check
+_reg("l1_layered_build", _layered_build, """
+    SELECT 'staging' AS layer, 'stg_titles' AS model, 'view' AS materialisation,
+           (SELECT count(*) FROM stg) AS rows
+    UNION ALL SELECT 'intermediate', 'int_title_countries', 'table', (SELECT count(*) FROM bc)
+    UNION ALL SELECT 'intermediate', 'int_title_genres', 'table', (SELECT count(*) FROM bg)
+    UNION ALL SELECT 'intermediate', 'int_title_people', 'table', (SELECT count(*) FROM bp)
+    UNION ALL SELECT 'intermediate', 'int_title_tokens', 'table',
+                     (SELECT count(DISTINCT show_id) FROM stg)
+    UNION ALL SELECT 'marts', 'dim_title', 'table', (SELECT count(*) FROM mart)""")

@@ -17,9 +17,8 @@ def test_entry(spark):
     assert df.count() > 0
 
 
-def test_every_query_has_an_oracle_or_is_declared_rows_only():
-    rows_only = set(E.queries()) - set(E.oracle_sql())
-    assert rows_only == {"t11_assertion_suite", "s2_landing_contract", "l1_layered_build"}
+def test_every_query_has_an_oracle():
+    assert set(E.queries()) == set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("key", KEYS)
@@ -33,7 +32,8 @@ def test_query_matches_oracle(spark, key):
     assert ok, msg
 
 
-@pytest.mark.parametrize("key", [k for k in KEYS if k.endswith("_dirty")])
+@pytest.mark.parametrize("key", [k for k in KEYS if k.endswith("_dirty")
+                                 and not k.startswith("t11")])
 def test_dirty_assertions_fire(spark, key):
     assert E.queries()[key](spark, SF_SMALL).count() > 0
     clean = key[: -len("_dirty")]
