@@ -52,6 +52,16 @@ class Warehouse:
                  report: list[Built]):
         self.root, self.catalogue, self.models, self.report = root, cat, models, report
 
+    def register_views(self, prefix: str = "") -> list[str]:
+        """Expose every built model under its name as a temp view, so
+        analysts' SQL (``SELECT ... FROM dim_title JOIN int_title_countries
+        ...``) runs through ``spark.sql`` against the written tables."""
+        names = []
+        for name, df in self.models.items():
+            df.createOrReplaceTempView(prefix + name)
+            names.append(prefix + name)
+        return names
+
     def report_frame(self, spark: SparkSession) -> DataFrame:
         rows = [(b.layer, b.model, b.materialisation, int(b.rows), float(b.seconds))
                 for b in self.report]

@@ -107,3 +107,20 @@ def test_streaming_appends_bridges(spark, scratch):
     want = Catalogue(raw).countries
     assert got.count() == want.count()
     assert got.exceptAll(want).count() == 0
+
+
+def test_models_queryable_with_sql(spark):
+    wh = build(land(synthetic_landing(spark, SF_SMALL)))
+    names = wh.register_views()
+    assert set(names) >= {"stg_titles", "int_title_countries", "int_title_genres",
+                          "int_title_people", "dim_title"}
+    pairs = spark.sql("""
+        SELECT a.country AS country_a, b.country AS country_b, count(*) AS co_productions
+        FROM int_title_countries a
+        JOIN int_title_countries b ON a.show_id = b.show_id AND a.country < b.country
+        JOIN dim_title d ON d.show_id = a.show_id
+        GROUP BY a.country, b.country HAVING count(*) >= 5""")
+    got = {(r[0], r[1]): r[2] for r in pairs.collect()}
+    want = {(r["country_a"], r["country_b"]): r["co_productions"]
+            for r in A.q10_co_production(wh.catalogue).collect()}
+    assert got == want
