@@ -7,18 +7,21 @@ re-aggregates the bridges per ``show_id`` and joins them back to build the
 mart; analyses join bridges to the mart again.  All of those joins and
 group-bys are keyed by ``show_id``.  When ``show_id`` is unique (the contract
 checked by assertion T1) every one of them is 1:1, so the whole build is a
-narrow projection of the landed rows: per-row token arrays (``transform`` /
-``filter`` higher-order functions) replace explode+window+group+join, and the
-only shuffles left are the analyses' own final group-bys (map-side combined).
+narrow projection of the landed rows: each packed cell is split once into
+trimmed tokens (blanks kept as '' so positions survive), and
+posexplode / array_remove / size / array_join replace
+explode+window+group+join, all inside whole-stage codegen.  The only shuffles
+left are the analyses' own final group-bys (map-side combined).
 
 Uniqueness is *checked*, not assumed: one aggregation over the key column
-alone.  When it fails, the per-title frame is built by a single
-``groupBy(show_id)`` that merges the copies' token arrays and pre-aggregates
-the mart-side measures (row count, sums, counts, min, max).  Analyses then
+alone.  When it fails, the per-title frame is one ``groupBy(show_id)`` of
+bounded aggregates (row count, sums, counts, min, max, token counts, primary
+values), which merge map-side however many copies a key has.  Analyses
 weight each bridge row by the number of mart rows of its title instead of
-joining, so a key with very many copies never produces copy x copy pairs.
-Both paths feed the same downstream code, and results equal the reference's
-relational semantics in both.
+joining, after counting identical bridge rows per title, so a key with very
+many copies never produces copy x copy rows.  Both paths feed the same
+downstream code, and results equal the reference's relational semantics in
+both.
 """
 
 from __future__ import annotations
@@ -88,12 +91,9 @@ def has_unique_keys(stg: DataFrame) -> bool:
     return len(dup.select("show_id").take(1)) == 0
 
 
-# Token arrays per landed row: array<string>, trimmed, blanks kept as ''.
-PARTS = {"country": "c_parts", "genre": "g_parts", "actor": "a_parts", "director": "d_parts"}
-
-
 def _token_columns(stg: DataFrame, strict: bool = True) -> DataFrame:
-    """Per landed row: the split tokens of its four packed cells."""
+    """Per landed row: the split tokens of its four packed cells
+    (array<string>, trimmed, blanks kept as '')."""
     return stg.select(
         "*",
         token_parts("country_raw", strict=strict).alias("c_parts"),
@@ -202,8 +202,6 @@ def _title_counts() -> list[Column]:
 
 STAT_COLUMNS = ["n_rows", "n_movies", "n_tv"] + [
     f"{short}_{agg}" for short in MEASURES for agg in ("sum", "cnt", "min", "max")]
-ROLLUPS = ["primary_country", "country_count", "all_countries", "primary_genre", "genre_count",
-           "all_genres", "cast_size", "director_count", "directors"]
 PART_COLUMNS = ["c_parts", "g_parts", "a_parts", "d_parts"]
 
 # A title with at least this many landed copies is "hot": its bridge rows
