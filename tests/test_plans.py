@@ -91,9 +91,10 @@ def test_broken_assertion_is_a_failure(spark):
     assert res["accepted_values_audience"].error
 
 
-def test_streaming_appends_bridges(spark, scratch):
+def test_streaming_incremental_elt(spark, scratch):
     from marquee.sources.landing import write_csv_landing
-    from marquee.streaming.incremental import read_incremental, start_incremental_models
+    from marquee.streaming.incremental import (
+        incremental_catalogue, read_incremental, start_incremental_models)
     raw = synthetic_landing(spark, SF_SMALL)
     src = scratch + "/incoming"
     write_csv_landing(raw.filter(F.col("title") < "Title 5"), src + "/a")
@@ -103,10 +104,18 @@ def test_streaming_appends_bridges(spark, scratch):
     write_csv_landing(raw.filter(F.col("title") >= "Title 5"), src + "/b")
     q = start_incremental_models(spark, src + "/*", sink, scratch + "/ck1")
     q.awaitTermination(120)
+    # Re-running with the same checkpoint adds nothing.
+    q = start_incremental_models(spark, src + "/*", sink, scratch + "/ck1")
+    q.awaitTermination(120)
+    assert read_incremental(spark, sink, "raw").count() == 1500
     got = read_incremental(spark, sink, "int_title_countries")
     want = Catalogue(raw).countries
-    assert got.count() == want.count()
-    assert got.exceptAll(want).count() == 0
+    assert got.count() == want.count() and got.exceptAll(want).count() == 0
+    cat = incremental_catalogue(spark, sink)
+    ok, msg = compare(A.q04_country_production(cat),
+                      O.with_models(O.ANALYSIS_SQL["q04_country_production"]), SF_SMALL)
+    assert ok, msg
+    assert all(r.status == "pass" for r in T.run_suite(cat, max_year=2027))
 
 
 def test_models_queryable_with_sql(spark):
