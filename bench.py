@@ -13,14 +13,13 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from marquee.plans import assertions as T  # noqa: E402
 from marquee.plans.build import build, land, run_analyses  # noqa: E402
-from marquee.session import get_session  # noqa: E402
+from marquee.session import get_session, workspace_dir  # noqa: E402
 from marquee.sources.synthetic import synthetic_landing  # noqa: E402
 
 MAX_YEAR = 2027
@@ -29,13 +28,13 @@ MAX_YEAR = 2027
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    scratch = tempfile.mkdtemp(prefix="marquee-bench-")
     spark = get_session(f"local[{cpus}]", shuffle_partitions=2 * cpus, extra={
         "spark.driver.memory": "8g",
-        "spark.checkpoint.dir": scratch,
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32m",
     })
-    spark.sparkContext.setCheckpointDir(scratch)
+    # Written tables go under the session's spark.checkpoint.dir; a scratch
+    # folder is created only when the session names none.
+    workspace_dir(spark, "bench-" + str(int(time.time() * 1000)))
 
     # Warm-up on a *different*, smaller scale (JIT, class loading), not
     # timed; nothing is cached between the warm-up and the timed run.

@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -13,10 +12,9 @@ SF_MID = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    from marquee.session import get_session
-    ckpt = tempfile.mkdtemp(prefix="marquee-test-ckpt-")
-    s = get_session("local[4]", shuffle_partitions=4, extra={"spark.checkpoint.dir": ckpt})
-    s.sparkContext.setCheckpointDir(ckpt)
+    from marquee.session import get_session, workspace_dir
+    s = get_session("local[4]", shuffle_partitions=4)
+    workspace_dir(s)  # uses the session's spark.checkpoint.dir; creates one only if unset
     yield s
     s.stop()
 
