@@ -405,7 +405,7 @@ class Catalogue:
         Repeated keys: identical bridge rows of a title are first counted
         (``cnt``), so each title contributes at most one row per distinct
         token, and only then joined to the one-row-per-title measures."""
-        stats = STAT_COLUMNS + ["primary_country", "country_count"]
+        stats = ["show_id"] + STAT_COLUMNS + ["primary_country", "country_count"]
         t = self.titles
         if self.mart_drop is not None:
             t = t.join(self.mart.select("show_id").distinct(), "show_id", "left_semi")
@@ -415,7 +415,7 @@ class Catalogue:
             return x
         counted = (_tokens_of(self._tokens(), kind, ["show_id", "title_type"], self.strict_tokens)
                    .groupBy("show_id", "title_type", "t").agg(F.count(F.lit(1)).alias("cnt")))
-        j = counted.join(t.select("show_id", *stats), "show_id")
+        j = counted.join(t.select(*stats), "show_id")
         cnt = F.col("cnt")
         scaled = {f"{short}_{a}": (F.col(f"{short}_{a}") * cnt).alias(f"{short}_{a}")
                   for short in MEASURES for a in ("sum", "cnt")}

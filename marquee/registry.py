@@ -89,6 +89,19 @@ for _k in ("q04_country_production", "q05_genre_profile", "q07_top_people",
     _reg(_k + "_dup_keys", (lambda fn: lambda s, d: fn(_cat(s, d, DUP)))(_ANALYSIS_KEYS[_k]),
          O.ANALYSIS_SQL[_k], defects=DUP)
 
+_reg("q05_genre_profile_distinct_titles",
+     lambda s, d: A.q05_genre_profile(_cat(s, d), distinct_titles=True),
+     O.ANALYSIS_SQL["q05_genre_profile"].replace(
+         "count(DISTINCT d.primary_country) AS countries_producing",
+         "count(DISTINCT d.primary_country) AS countries_producing,\n"
+         "    count(DISTINCT g.show_id) AS distinct_titles"))
+_reg("q05_genre_profile_distinct_titles_dup_keys",
+     lambda s, d: A.q05_genre_profile(_cat(s, d, DUP), distinct_titles=True),
+     O.ANALYSIS_SQL["q05_genre_profile"].replace(
+         "count(DISTINCT d.primary_country) AS countries_producing",
+         "count(DISTINCT d.primary_country) AS countries_producing,\n"
+         "    count(DISTINCT g.show_id) AS distinct_titles"), defects=DUP)
+
 # -- assertions: clean landing (must be empty) and dirty (must fire) -------
 _T_SQL = {
     "t01_unique_show_id":
