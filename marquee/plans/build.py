@@ -109,8 +109,12 @@ def build(raw: DataFrame, root: str | None = None,
         for group in ([[n] for n in first] + [rest]):
             if not group:
                 continue
-            done = run_concurrently(
-                {n: (lambda n=n, c=cat: make(c, layer, mat, n)) for n in group}, max_jobs)
+            tasks = {n: (lambda n=n, c=cat: make(c, layer, mat, n)) for n in group}
+            if layer == "staging":
+                # The key check (which plan the next layers use) is its own
+                # small job; run it beside the staging count.
+                tasks["_unique_keys"] = lambda c=cat: c.unique_keys
+            done = run_concurrently(tasks, max_jobs)
             for name in group:
                 res, secs = done[name]
                 if isinstance(res, Exception):
