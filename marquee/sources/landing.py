@@ -41,30 +41,38 @@ def contract_frame(spark: SparkSession, columns: list[str], expected=RAW_COLUMNS
 
 
 def read_csv_landing(spark: SparkSession, path: str, expected=RAW_COLUMNS,
-                     check: bool = True) -> DataFrame:
+                     check: bool = True, multi_line: bool = True,
+                     partitions: int | None = None) -> DataFrame:
     """S1: headed UTF-8 CSV, every column text, nothing trimmed or parsed.
 
     Short rows are padded with NULL (PERMISSIVE mode), an empty field lands
-    as NULL, quoted fields may contain commas, doubled quotes and newlines
-    (``multiLine``).  Extra columns beyond the contract are kept as text.
-    ``multiLine`` makes each file one split; land many files (or
-    pre-split ones) for parallelism at scale.
+    as NULL, quoted fields may contain commas, doubled quotes and newlines.
+    Extra columns beyond the contract are kept as text.
+
+    Quoted newlines need ``multi_line=True``, which reads each file in one
+    task (a file cannot be split without knowing the quote state).  For
+    sources known to have no embedded newlines pass ``multi_line=False``:
+    files are then split by ``spark.sql.files.maxPartitionBytes``.  When a
+    few files hold most rows, ``partitions`` rebalances the rows right after
+    the read (round-robin), so every later stage and the written landing are
+    even, whatever the file sizes.
     """
     header = read_header(spark, path)
     if check:
         check_contract(header, expected)
     # Positional schema: the header's own names, all strings.
     schema = all_string_schema(header)
-    return (spark.read.schema(schema)
-                 .option("header", True)
-                 .option("multiLine", True)
-                 .option("escape", '"')
-                 .option("encoding", "UTF-8")
-                 .option("mode", "PERMISSIVE")
-                 .option("ignoreLeadingWhiteSpace", False)
-                 .option("ignoreTrailingWhiteSpace", False)
-                 .option("enforceSchema", True)
-                 .csv(path))
+    df = (spark.read.schema(schema)
+               .option("header", True)
+               .option("multiLine", multi_line)
+               .option("escape", '"')
+               .option("encoding", "UTF-8")
+               .option("mode", "PERMISSIVE")
+               .option("ignoreLeadingWhiteSpace", False)
+               .option("ignoreTrailingWhiteSpace", False)
+               .option("enforceSchema", True)
+               .csv(path))
+    return df.repartition(partitions) if partitions else df
 
 
 def write_csv_landing(df: DataFrame, path: str) -> str:

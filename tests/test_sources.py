@@ -59,3 +59,16 @@ def test_roundtrip_profile_and_size(spark, scratch):
     assert prof["director"] == 500 and prof["cast"] == 163 and prof["country"] == 141
     size = S.landing_size(back).first()
     assert (size["rows"], size["columns"]) == (1500, 12)
+
+
+def test_splittable_and_rebalanced_reads(spark, scratch):
+    from marquee.sources.synthetic import synthetic_landing
+    from tests.conftest import SF_SMALL
+    raw = synthetic_landing(spark, SF_SMALL)
+    path = S.write_csv_landing(raw.coalesce(1), scratch + "/one_file")
+    want = sorted(map(tuple, raw.collect()))
+    flat = S.read_csv_landing(spark, path, multi_line=False)
+    assert sorted(map(tuple, flat.collect())) == want
+    even = S.read_csv_landing(spark, path, partitions=6)
+    assert even.rdd.getNumPartitions() == 6
+    assert sorted(map(tuple, even.collect())) == want
