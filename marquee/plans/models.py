@@ -26,6 +26,8 @@ both.
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -231,6 +233,9 @@ class Catalogue:
         self._titles = None
         self._mart = None
         self._n_hot = None
+        # Lazy values that cost a Spark job are computed once even when
+        # several driver threads (concurrent jobs) ask at the same time.
+        self._lock = threading.RLock()
 
     def materialised(self, titles: DataFrame, mart: DataFrame) -> "Catalogue":
         """A catalogue whose per-title frame and mart read written tables
@@ -250,8 +255,9 @@ class Catalogue:
 
     @property
     def unique_keys(self) -> bool:
-        if self._unique is None:
-            self._unique = has_unique_keys(self.staging)
+        with self._lock:
+            if self._unique is None:
+                self._unique = has_unique_keys(self.staging)
         return self._unique
 
     def _tokens(self) -> DataFrame:
@@ -282,8 +288,9 @@ class Catalogue:
 
     # -- M2-M4 ------------------------------------------------------------
     def _hot_title_count(self, counts: DataFrame) -> int:
-        if self._n_hot is None:
-            self._n_hot = counts.filter(F.col("n_rows") >= HOT_ROWS).count()
+        with self._lock:
+            if self._n_hot is None:
+                self._n_hot = counts.filter(F.col("n_rows") >= HOT_ROWS).count()
         return self._n_hot
 
     def _with_title_values(self, rows: DataFrame, cols: list[str]) -> DataFrame:
