@@ -24,10 +24,11 @@ from marquee import oracle as O
 from marquee.plans import analyses as A
 from marquee.plans import assertions as T
 from marquee.plans import report as R
-from marquee.plans.build import build, land
+from marquee.plans.build import build, land, run_analyses
 from marquee.plans.models import Catalogue
 from marquee.session import workspace_dir
 from marquee.sources import landing as S
+from marquee.sources.sinks import as_table, as_view, read_result_csv, write_result_csv
 from marquee.sources.synthetic import synthetic_landing
 
 # Fixed for reproducible checks: the reference compares with the current
@@ -317,6 +318,40 @@ _reg("s4_landing_size", lambda s, d: S.landing_size(synthetic_landing(s, d)),
 _reg("s9_preview_top_people", _preview,
      O.ANALYSIS_SQL["q07_top_people"].replace("ORDER BY credits DESC",
                                               "ORDER BY credits DESC, person_name, role LIMIT 25"))
+def _view_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S5: staging registered as a view and read back by name."""
+    return as_view(_cat(spark, sf_dir).staging, "stg_titles_roundtrip")
+
+
+def _table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S6: the mart written as a Parquet table and read back."""
+    return as_table(_cat(spark, sf_dir).mart, workspace_dir(spark) + "/dim_title")
+
+
+def _csv_result_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S8 + S10: an analysis written as headed CSV and read back typed."""
+    q = A.q04_country_production(_cat(spark, sf_dir))
+    path = write_result_csv(q, workspace_dir(spark) + "/04_country_production")
+    return read_result_csv(spark, path, q.schema)
+
+
+def _analysis_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L3: every analysis run, written and previewed; (analysis, rows)."""
+    cat = _cat(spark, sf_dir)
+    out = run_analyses(cat, out_dir=workspace_dir(spark) + "/results")
+    return spark.createDataFrame([(o["analysis"], int(o["rows"])) for o in out],
+                                 "analysis string, rows bigint")
+
+
+_ANALYSIS_SQL_KEYS = {name: ("q" + name if not name.startswith("10_") else "q10_co_production")
+                      for name in A.ANALYSES}
+_reg("s5_view_roundtrip", _view_roundtrip, "SELECT * FROM stg")
+_reg("s6_table_roundtrip", _table_roundtrip, "SELECT * FROM mart")
+_reg("s8_result_csv_roundtrip", _csv_result_roundtrip, O.ANALYSIS_SQL["q04_country_production"])
+_reg("l3_run_analyses", _analysis_run, _Q01_BODY + f"\n, q01 AS ({_Q01_SELECT})\n" + "\nUNION ALL\n".join(
+    f"SELECT '{name}' AS analysis, count(*) AS rows FROM "
+    + ("q01" if name.startswith("01_") else f"({O.ANALYSIS_SQL[key]})") + " x"
+    for name, key in sorted(_ANALYSIS_SQL_KEYS.items())))
 _reg("l1_layered_build", _layered_build, """
     SELECT 'staging' AS layer, 'stg_titles' AS model, 'view' AS materialisation,
            (SELECT count(*) FROM stg) AS rows
