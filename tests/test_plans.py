@@ -133,3 +133,14 @@ def test_models_queryable_with_sql(spark):
     want = {(r["country_a"], r["country_b"]): r["co_productions"]
             for r in A.q10_co_production(wh.catalogue).collect()}
     assert got == want
+
+
+def test_csv_source_end_to_end(spark, scratch):
+    from marquee.sources.landing import read_csv_landing, write_csv_landing
+    path = write_csv_landing(synthetic_landing(spark, SF_SMALL), scratch + "/catalogue_csv")
+    wh = build(land(read_csv_landing(spark, path, partitions=4)))
+    assert {b.model: b.rows for b in wh.report}["dim_title"] == 1500
+    assert all(r.status == "pass" for r in T.run_suite(wh.catalogue, max_year=2027))
+    ok, msg = compare(A.q10_co_production(wh.catalogue),
+                      O.with_models(O.ANALYSIS_SQL["q10_co_production"]), SF_SMALL)
+    assert ok, msg
