@@ -82,3 +82,20 @@ def test_token_parts_trimmed_with_blank_positions(spark):
     assert one(spark, token_parts("x"), None) == []
     assert one(spark, token_parts("x", strict=False), "a , ") == ["a ", " "]
     assert one(spark, token_parts("x"), "\ta ,b") == ["\ta", "b"]
+
+
+def test_space_set_matches_reference_trim(spark):
+    """Exactly the 17 Unicode space separators are trimmed; tab, newlines,
+    U+180E, line/paragraph separators and zero-width characters are kept,
+    both by ``clean`` and inside ``token_parts`` (regex \\p{Zs})."""
+    import unicodedata
+    from marquee.functions import SPACE_SEPARATORS
+    zs = {chr(i) for i in range(0x110000) if unicodedata.category(chr(i)) == "Zs"}
+    assert set(SPACE_SEPARATORS) == zs and len(zs) == 17
+    kept = ["\t", "\n", "\u180e", "\u2028", "\u200b", "\ufeff"]
+    for ch in kept:
+        assert one(spark, clean("x"), ch + "a" + ch) == ch + "a" + ch
+        assert one(spark, token_parts("x"), "b," + ch + "a") == ["b", ch + "a"]
+    for ch in sorted(zs):
+        assert one(spark, clean("x"), ch + "a" + ch) == "a"
+        assert one(spark, token_parts("x"), "b" + ch + "," + ch + "a") == ["b", "a"]
