@@ -51,6 +51,16 @@ def test_dates(spark):
     assert one(spark, p, None) is None
 
 
+def test_dates_whitespace_and_year_width(spark):
+    p = parse_month_day_year("x")
+    assert str(one(spark, p, "March  5, 2019")) == "2019-03-05 00:00:00"   # space run
+    assert str(one(spark, p, "March\t5,  2019")) == "2019-03-05 00:00:00"  # tab, two spaces
+    assert str(one(spark, p, "March 5, 19")) == "0019-03-05 00:00:00"      # short year
+    for bad in ("March 5,2019", "March5, 2019", "March 5, -2019", "March 5, 12019",
+                "March 005, 2019", "March\u00a05, 2019", "March 5, 2019."):
+        assert one(spark, p, bad) is None, bad
+
+
 def test_unit_measure(spark):
     assert one(spark, unit_measure("x", "min"), "93 MIN") == 93
     assert one(spark, unit_measure("x", "season"), "1 Season") == 1
