@@ -29,3 +29,15 @@ def safe_ratio(num, den) -> Column:
 def pct(num, den, n: int = 1) -> Column:
     """ROUND(100.0 * num / den, n) with DOUBLE arithmetic (``lit(100.0)``)."""
     return round_half_away(F.lit(100.0) * _col(num).cast("double") / _col(den).cast("double"), n)
+
+
+def to_int(c) -> Column:
+    """Tolerant text -> INT: integers as written, and decimal or exponent
+    notation rounded half away from zero ('2019.0' -> 2019, '2019.5' ->
+    2020, '1e3' -> 1000), as the reference engine casts; anything else, or
+    a value outside INT, is NULL.  Hex and digit-separator forms are not
+    read."""
+    col = F.col(c) if isinstance(c, str) else c
+    exact = col.try_cast("int")
+    rounded = F.round(col.try_cast("decimal(38,10)"), 0).try_cast("int")
+    return F.coalesce(exact, rounded)

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from marquee.functions import (
     audience_band, blank_to_null, clean, normalise_genre,
-    parse_month_day_year, present_tokens, token_parts, unit_measure,
+    parse_month_day_year, present_tokens, to_int, token_parts, unit_measure,
 )
 
 STAGING_COLUMNS = (
@@ -67,7 +67,7 @@ def staging(raw: DataFrame) -> DataFrame:
         blank_to_null("country").alias("country_raw"),
         blank_to_null("listed_in").alias("genres_raw"),
         parse_month_day_year("date_added").alias("date_added"),
-        clean("release_year").try_cast("int").alias("release_year"),
+        to_int(clean("release_year")).alias("release_year"),
         blank_to_null("rating").alias("rating"),
         unit_measure("duration", "min").alias("duration_minutes"),
         unit_measure("duration", "season").alias("seasons"),

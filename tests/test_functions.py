@@ -61,6 +61,14 @@ def test_dates_whitespace_and_year_width(spark):
         assert one(spark, p, bad) is None, bad
 
 
+def test_to_int_reads_decimals_like_the_reference(spark):
+    from marquee.functions import to_int
+    cases = {"2019": 2019, "+2019": 2019, "2019.0": 2019, "2019.5": 2020, "-2.5": -3,
+             "1e3": 1000, ".5": 1, "2147483648": None, "n/a": None, "20 19": None, "": None}
+    for text, want in cases.items():
+        assert one(spark, to_int("x"), text) == want, text
+
+
 def test_unit_measure(spark):
     assert one(spark, unit_measure("x", "min"), "93 MIN") == 93
     assert one(spark, unit_measure("x", "season"), "1 Season") == 1
