@@ -117,3 +117,12 @@ def test_space_set_matches_reference_trim(spark):
     for ch in sorted(zs):
         assert one(spark, clean("x"), ch + "a" + ch) == "a"
         assert one(spark, token_parts("x"), "b" + ch + "," + ch + "a") == ["b", "a"]
+
+
+def test_cluster_conf_sizes_from_input():
+    from marquee.session import cluster_conf
+    big = cluster_conf(100 * 2 ** 40, executors=1000, cores_per_executor=8)
+    assert int(big["spark.sql.shuffle.partitions"]) == 100 * 2 ** 40 // (256 << 20)
+    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
+    small = cluster_conf(2 ** 20, executors=2, cores_per_executor=4)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16  # at least 2x the cores
