@@ -6,7 +6,6 @@ Each assertion returns the *offending rows* as a DataFrame: empty means pass.
 from __future__ import annotations
 
 import datetime
-import time
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession

@@ -1,6 +1,5 @@
 """Hand-made cases for the scalar cleaning functions."""
 
-from pyspark.sql import functions as F
 
 from marquee.functions import (
     audience_band, blank_to_null, clean, normalise_genre, present_tokens, token_parts,

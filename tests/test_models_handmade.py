@@ -1,7 +1,6 @@
 """Hand-made landings for the model-level traps."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from marquee.plans import analyses as A
 from marquee.plans.models import Catalogue

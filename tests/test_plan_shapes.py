@@ -1,6 +1,5 @@
 """The physical plans have the shape the design promises."""
 
-from pyspark.sql import functions as F
 
 from marquee.plans import analyses as A
 from marquee.plans import report as R
