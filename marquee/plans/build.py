@@ -2,7 +2,7 @@
 
 Layer order is fixed (staging -> intermediate -> marts); inside a layer the
 models are independent, are reported in name order and are built as
-concurrent jobs.  Staging is a view; bridges
+concurrent jobs.  Staging is a view; the per-title token table, the bridges
 and the mart are written as Parquet tables under the session's shared
 checkpoint folder, which also cuts lineage so lost executors only redo the
 current layer.
