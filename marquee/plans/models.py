@@ -159,9 +159,11 @@ def _tokens_of(df: DataFrame, kind: str, keep: list, strict: bool = True) -> Dat
 
 def _measure_stats_row() -> list[Column]:
     """Mart-side measures of a single row, in pre-aggregated form."""
+    # A NULL type counts as neither (0, never NULL), like SUM(CASE ... ELSE 0).
     out = [F.lit(1).cast("bigint").alias("n_rows"),
-           (F.col("title_type") == "Movie").cast("bigint").alias("n_movies"),
-           (F.col("title_type") == "TV Show").cast("bigint").alias("n_tv")]
+           F.coalesce(F.col("title_type") == "Movie", F.lit(False)).cast("bigint").alias("n_movies"),
+           F.coalesce(F.col("title_type") == "TV Show", F.lit(False)).cast("bigint")
+           .alias("n_tv")]
     for short, col in MEASURES.items():
         v = F.col(col)
         out += [v.cast("bigint").alias(f"{short}_sum"),
