@@ -76,7 +76,8 @@ for _name, _fn in A.ANALYSES.items():
 
 @pytest.mark.parametrize("seed,unique", [(1, False), (2, False), (3, False), (4, True), (5, True)])
 def test_random_landings_match_oracle(spark, seed, unique):
-    from marquee.registry import _SUITE_NAMES, _T_SQL
+    from marquee.plans import report as R
+    from marquee.registry import _R_SQL, _SUITE_NAMES, _T_SQL
     rows = _landing(seed)
     if unique:  # keep the first row of each key: the narrow plan
         seen, kept = set(), []
@@ -98,6 +99,8 @@ def test_random_landings_match_oracle(spark, seed, unique):
         checks["assert_" + name] = (
             (lambda fn, name: lambda c: fn(c, max_year=2027)
              if name == "release_year_plausible" else fn(c))(fn, name), _T_SQL[key])
+    for name, fn in R.REPORTS.items():
+        checks[name] = (fn, _R_SQL[name])
     for name, (fn, sql) in checks.items():
         full = O.with_models(sql, raw_sql="SELECT * FROM rand_raw")
         left = fn(cat).toPandas()
