@@ -72,3 +72,10 @@ def test_splittable_and_rebalanced_reads(spark, scratch):
     even = S.read_csv_landing(spark, path, partitions=6)
     assert even.rdd.getNumPartitions() == 6
     assert sorted(map(tuple, even.collect())) == want
+
+
+def test_empty_fields_land_as_null_quoted_or_not(spark, scratch):
+    path = write(scratch, "empties", HEADER + "\n" + 's1,"",,  ," ",x,,,,,,\n')
+    r = S.read_csv_landing(spark, path).first()
+    assert r["type"] is None and r["title"] is None          # "" and empty -> NULL
+    assert r["director"] == "  " and r["cast"] == " "        # whitespace kept as landed
