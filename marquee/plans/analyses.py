@@ -32,13 +32,18 @@ def _wavg(sum_col: str, cnt_col: str, weight: Column | None = None) -> Column:
     return safe_ratio(F.sum(s), F.sum(c))
 
 
+def _distinct(approx: bool):
+    """Exact COUNT(DISTINCT) or, for very large data, HyperLogLog++."""
+    return (lambda c: F.approx_count_distinct(c)) if approx else F.count_distinct
+
+
 # The three rows of the cleaning-impact table.
 IMPACT_FIELDS = ("country", "genre (platform labels)", "genre (normalised)")
 
 
 def q01_cleaning_impact(cat: Catalogue, approx: bool = False) -> DataFrame:
     """Naive distinct count of the packed column vs the exploded one."""
-    distinct = (lambda c: F.approx_count_distinct(c)) if approx else F.count_distinct
+    distinct = _distinct(approx)
     raw = cat.raw.agg(distinct(clean("country")).alias("raw_country"),
                       distinct(clean("listed_in")).alias("raw_genre"))
     ctry = cat.countries.agg(distinct("country").alias("real_countries"))
@@ -104,7 +109,8 @@ def q04_country_production(cat: Catalogue) -> DataFrame:
               .orderBy(F.desc("titles"), "country")
 
 
-def q05_genre_profile(cat: Catalogue, distinct_titles: bool = False) -> DataFrame:
+def q05_genre_profile(cat: Catalogue, distinct_titles: bool = False,
+                      approx: bool = False) -> DataFrame:
     """Genre mix over normalised labels.  ``titles`` counts genre *tags*: a
     title with two labels of one normalised genre counts twice, as in the
     reference.  ``distinct_titles=True`` adds the number of distinct titles
@@ -120,7 +126,7 @@ def q05_genre_profile(cat: Catalogue, distinct_titles: bool = False) -> DataFram
         round_half_away(_wavg("dm_sum", "dm_cnt"), 1).alias("avg_movie_minutes"),
         round_half_away(_wavg("se_sum", "se_cnt"), 2).alias("avg_seasons"),
         round_half_away(_wavg("ry_sum", "ry_cnt"), 0).alias("avg_release_year"),
-        F.count_distinct("primary_country").alias("countries_producing"),
+        _distinct(approx)("primary_country").alias("countries_producing"),
     )
     out = share_of_total(g, "titles", "pct_of_genre_tags", 2)
     return out.select("genre", "titles", "movies", "tv_shows", "pct_of_genre_tags",
@@ -142,7 +148,7 @@ def q06_duration_distribution(cat: Catalogue, approx: bool = False) -> DataFrame
     return one.select(F.inline(rows))
 
 
-def q07_top_people(cat: Catalogue, min_credits: int = 10) -> DataFrame:
+def q07_top_people(cat: Catalogue, min_credits: int = 10, approx: bool = False) -> DataFrame:
     f = cat.bridge_facts("people")
     w = F.col("w")
     return (f.groupBy(F.col("t.name").alias("person_name"), F.col("t.role").alias("role"))
@@ -151,7 +157,7 @@ def q07_top_people(cat: Catalogue, min_credits: int = 10) -> DataFrame:
                   _flag_sum(F.col("title_type") == "TV Show", w).alias("tv_shows"),
                   _flag_sum((F.col("t.role") == "actor") & (F.col("t.pos") <= 3), w)
                   .alias("top_billed_credits"),
-                  F.count_distinct("primary_country").alias("countries"),
+                  _distinct(approx)("primary_country").alias("countries"),
                   F.min("ry_min").alias("first_year"),
                   F.max("ry_max").alias("last_year"))
              .filter(F.col("credits") >= min_credits)

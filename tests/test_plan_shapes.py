@@ -84,3 +84,13 @@ def test_country_lookup_and_top_k(spark):
     one = R.country_lookup(cat, top[-1]["country"]).collect()
     assert len(one) == 1 and one[0]["titles"] == top[-1]["titles"]
     assert R.country_lookup(cat, "Nowhere").count() == 0
+
+
+def test_approximate_distinct_in_q05_q07(spark):
+    cat = Catalogue(synthetic_landing(spark, SF_SMALL))
+    for fn, col, key in ((A.q05_genre_profile, "countries_producing", "genre"),
+                         (A.q07_top_people, "countries", "person_name")):
+        exact = {r[key]: r[col] for r in fn(cat).collect()}
+        approx = {r[key]: r[col] for r in fn(cat, approx=True).collect()}
+        assert exact.keys() == approx.keys()
+        assert all(abs(exact[k] - approx[k]) <= max(1, 0.1 * exact[k]) for k in exact)
