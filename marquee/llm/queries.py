@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from marquee.session import workspace_dir
 
-from . import bpe, decontam, langid, token_orc
+from . import bpe, decontam, langid, ngram_join, token_orc
 from .common import table
 
 
@@ -36,6 +36,10 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.concat_ws(",", listed), 256).alias("items_sha256"), "contaminated")
 
 
+def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(table(spark, sf_dir, "documents"), words=3, num=90, den=100)
+
+
 def op10_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = workspace_dir(spark) + "/tokens"
     token_orc.write(table(spark, sf_dir, "documents"), path)
@@ -47,6 +51,7 @@ QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_language_id": op2_language_id,
     "op8_decontamination": op8_decontamination,
+    "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_token_orc": op10_token_orc,
 }
 
