@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import bpe, decontam, langid
-from marquee.llm.common import release, table, written
+from marquee.llm import bpe, decontam, langid, ngram_join, secrets
+from marquee.llm.common import broadcast_if_few, release, table, written
 
 #: Below this share of the best language a text counts as in no known language.
 LEAST_SCORE = 0.5
@@ -23,12 +23,30 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return got.filter((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select(docs.columns)
 
 
+def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies (five words, similarity 0.8 or more) the smallest doc_id stays."""
+    got = ngram_join.join(docs, words=5, num=8, den=10)
+    # A row without an id is in no group and stays; rows that repeat an id and a text stay together.
+    gone = written(got.filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct())
+    return docs.join(broadcast_if_few(gone), "doc_id", "left_anti").select(docs.columns)
+
+
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a passage of a benchmark item go."""
     got = decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"))
     return got.filter(~F.col("contaminated")).select(docs.columns)
 
 
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are cut out of the texts; no document goes."""
+    got = secrets.find(docs)
+    return got.withColumns({
+        "text": secrets.redact(F.col("text"), F.col("findings")),
+        "n_chars": F.when(F.size("findings") == 0, F.col("n_chars")).otherwise(
+            F.length(secrets.redact(F.col("text"), F.col("findings")))),
+    }).select(docs.columns)
+
+
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token ids of what is left, with a check that they decode to the text."""
     got = bpe.decode(bpe.encode(docs.select("doc_id", "text")))
@@ -39,7 +57,9 @@ def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("language_id", language_id),
+    ("ngram_jaccard", ngram_jaccard),
     ("decontamination", decontamination),
+    ("secret_scan", secret_scan),
     ("byte_bpe", byte_bpe),
 ]
 

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import gc
-from collections.abc import Callable, Iterator
+from collections import defaultdict
+from collections.abc import Callable, Iterable, Iterator
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -70,3 +73,57 @@ def row_count_bytes(df: DataFrame, column: str) -> tuple[int, int]:
     got = df.agg(F.count(F.lit(1)).alias("n"),
                  F.coalesce(F.sum(F.octet_length(F.col(column))), F.lit(0)).alias("b")).first()
     return int(got["n"]), int(got["b"])
+
+
+#: Up to so many rows of ids are broadcast; more are joined by a shuffle.
+BROADCAST_ROWS = 200_000
+
+
+def broadcast_if_few(df: DataFrame) -> DataFrame:
+    """``df`` (a written table of narrow rows) marked for broadcast where its counted rows allow it."""
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+
+
+#: Characters of text that a kernel handles at once; bounds the memory of a task.
+CHUNK = 1 << 20
+
+
+def text_chunks(batch: pa.Array, size: int = CHUNK) -> Iterator[list[str]]:
+    """The batch's strings (nulls as empty) in runs of about ``size`` bytes, a longer string alone."""
+    lengths = pc.binary_length(batch).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    group = np.cumsum(lengths) // size
+    at = 0
+    while at < len(batch):
+        to = int(np.searchsorted(group, group[at], side="right"))
+        yield texts(batch.slice(at, to - at))
+        at = to
+
+
+class PieceTable:
+    """Token ids of the distinct pieces that a worker has met, solved once each; emptied beyond ``limit``."""
+
+    def __init__(self, solve: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], limit: int):
+        self.solve, self.limit = solve, limit
+        self.clear()
+
+    def clear(self) -> None:
+        self.number: defaultdict[str, int] = defaultdict()
+        self.number.default_factory = self.number.__len__
+        self.flat, self.width = np.zeros(0, np.int32), np.zeros(0, np.int64)
+
+    def make_room(self) -> None:
+        if len(self.number) > self.limit:
+            self.clear()
+
+    def ids(self, rows: list[Iterable[str]], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the rows' pieces in order, and each row's number of ids; ``sizes``: pieces of each row."""
+        known = len(self.number)
+        codes = np.fromiter(map(self.number.__getitem__, chain.from_iterable(rows)), dtype=np.int64, count=int(sizes.sum()))
+        if len(self.number) > known:
+            flat, width = self.solve(list(islice(self.number, known, None)))
+            self.flat, self.width = np.concatenate((self.flat, flat)), np.concatenate((self.width, width))
+        first = np.cumsum(self.width) - self.width
+        wide = self.width[codes]
+        ends = np.concatenate(([0], np.cumsum(wide)))
+        at = np.repeat(first[codes] - ends[:-1], wide) + np.arange(ends[-1])
+        return self.flat[at], np.diff(ends[np.concatenate(([0], np.cumsum(sizes)))])

@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import release, utf8_views, written
+from .common import broadcast_if_few, release, utf8_views, written
 from .components import components
 
 THIN = 3
@@ -48,9 +48,6 @@ BLOCK, BLOCK_SHINGLES = 64, 1_000_000
 SECOND_BLOCK = 512
 #: Columns of the product that are multiplied at once.
 COLUMNS = 16_384
-#: Up to so many candidate ids (of 24 bytes) are broadcast to find their texts; more are joined by a shuffle.
-BROADCAST_ROWS = 200_000
-
 _U = np.uint64
 
 
@@ -210,8 +207,7 @@ def _multiply(rows: DataFrame, words: int, num: int, den: int) -> DataFrame:
 
 def _with_text(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """``wanted`` with the texts of its doc_id."""
-    few = wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    return docs.join(F.broadcast(wanted) if few else wanted, "doc_id")
+    return docs.join(broadcast_if_few(wanted), "doc_id")
 
 
 def join(docs: DataFrame, words: int = 5, num: int = 8, den: int = 10, doc_id: str = "doc_id",

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from marquee.session import workspace_dir
 
-from . import bpe, decontam, langid, ngram_join, token_orc
+from . import bpe, decontam, langid, ngram_join, secrets, token_orc
 from .common import table
 
 
@@ -27,6 +27,15 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = secrets.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("findings", lambda f: f["base"])
+    count = lambda kind: F.size(F.filter("findings", lambda f: f["kind"] == kind)).cast("bigint")
+    return got.select("doc_id", *[count(k).alias(f"n_{k}") for k in ("assign", "access", "hex")],
+                      F.sha2(secrets.described(base), 256).alias("base_sha256"),
+                      secrets.described(F.col("findings")).alias("spans"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     got = decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"))
@@ -50,6 +59,7 @@ def op10_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_language_id": op2_language_id,
+    "op4_secret_scan": op4_secret_scan,
     "op8_decontamination": op8_decontamination,
     "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_token_orc": op10_token_orc,
