@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from marquee.session import workspace_dir
 
-from . import bpe, decontam, langid, ngram_join, secrets, token_orc
+from . import bpe, decontam, embed_dedup, langid, ngram_join, secrets, token_orc, toxicity
 from .common import table
 
 
@@ -36,6 +36,15 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                       secrets.described(F.col("findings")).alias("spans"))
 
 
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = toxicity.classify(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    return got.select("doc_id", "p_low_quality", "low_quality", "p_toxic", "toxic")
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     got = decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"))
@@ -60,6 +69,8 @@ QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_language_id": op2_language_id,
     "op4_secret_scan": op4_secret_scan,
+    "op6_embedding_dedup": op6_embedding_dedup,
+    "op7_toxicity": op7_toxicity,
     "op8_decontamination": op8_decontamination,
     "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_token_orc": op10_token_orc,
