@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from marquee.session import workspace_dir
 
-from . import bpe, decontam, embed_dedup, langid, ngram_join, secrets, token_orc, toxicity
+from . import bpe, decontam, embed_dedup, langid, ngram_join, secrets, suffix_dedup, token_orc, toxicity
 from .common import table
 
 
@@ -27,6 +27,12 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = suffix_dedup.dedup(table(spark, sf_dir, "documents"))
+    return got.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("bigint").alias("n_removed"),
+                      F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = secrets.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
     base = F.filter("findings", lambda f: f["base"])
@@ -68,6 +74,7 @@ def op10_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_language_id": op2_language_id,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_secret_scan": op4_secret_scan,
     "op6_embedding_dedup": op6_embedding_dedup,
     "op7_toxicity": op7_toxicity,
