@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from marquee.session import workspace_dir
 
-from . import bpe, decontam, embed_dedup, langid, ngram_join, secrets, suffix_dedup, token_orc, toxicity
+from . import bpe, decontam, embed_dedup, html_blocks, langid, ngram_join, secrets, suffix_dedup, token_orc, toxicity
 from .common import table
 
 
@@ -42,6 +42,11 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                       secrets.described(F.col("findings")).alias("spans"))
 
 
+def op5_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = html_blocks.extract(table(spark, sf_dir, "pages"))
+    return got.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
 def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
@@ -76,6 +81,7 @@ QUERIES = {
     "op2_language_id": op2_language_id,
     "op3_suffix_dedup": op3_suffix_dedup,
     "op4_secret_scan": op4_secret_scan,
+    "op5_html_blocks": op5_html_blocks,
     "op6_embedding_dedup": op6_embedding_dedup,
     "op7_toxicity": op7_toxicity,
     "op8_decontamination": op8_decontamination,
