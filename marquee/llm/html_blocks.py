@@ -41,7 +41,7 @@ from .common import arrow_column, text_chunks
 SAMPLE_PAGES = 200
 PATH_DIMS, WORD_DIMS, SHAPE_DIMS = 48, 16, 8
 DIMS = PATH_DIMS + WORD_DIMS + SHAPE_DIMS
-HIDDEN, EPOCHS, TRAINING_PAGES, GROUP = 16, 16, 640, 32
+HIDDEN, EPOCHS, TRAINING_PAGES, GROUP = 16, 20, 1000, 32
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(script|style|template|noscript)\b[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*>"

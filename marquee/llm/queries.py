@@ -89,4 +89,56 @@ QUERIES = {
     "op10_token_orc": op10_token_orc,
 }
 
-ORACLE: dict[str, str] = {}
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+#: Stated in SQL where it can express the operator; the others have brute-force tests.
+ORACLE: dict[str, str] = {
+    "op6_embedding_dedup": """
+with recursive fit as (
+  select vec_id, label, embedding::double[] v from embeddings
+  where label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+pairs as (
+  select a.vec_id x, b.vec_id y from fit a join fit b
+    on a.label = b.label and len(a.v) = len(b.v) and a.vec_id <> b.vec_id
+  where list_dot_product(a.v, b.v) / (sqrt(list_dot_product(a.v, a.v)) * sqrt(list_dot_product(b.v, b.v))) >= 0.93),
+reach as (select vec_id x, vec_id y from embeddings union select r.x, p.y from reach r join pairs p on r.y = p.x)
+select e.vec_id, (select count(*) from pairs p where p.x = e.vec_id) n_links, min(r.y) component_id,
+       e.vec_id = min(r.y) kept
+from embeddings e join reach r on r.x = e.vec_id group by e.vec_id""",
+    "op8_decontamination": f"""
+with own as (
+  select doc_id, list_filter(string_split_regex({_LOWER}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') w from documents),
+item as (
+  select item_id, list_filter(string_split_regex({_LOWER}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') w from benchmark),
+wanted as (
+  select distinct item_id, least(len(w), 10) n, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') run
+  from (select item_id, w, unnest(range(1, greatest(len(w) - 10, 0) + 2)) i from item where len(w) > 0)),
+there as (
+  select doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') run
+  from (select doc_id, w, n, unnest(range(1, len(w) - n + 2)) i from own, (select distinct n from wanted) where len(w) >= n)),
+hit as (select doc_id, i, n, item_id from there join wanted using (n, run)),
+words as (select doc_id, count(distinct k) n_hit from (select doc_id, unnest(range(i, i + n)) k from hit) group by doc_id),
+items as (
+  select doc_id, count(*) n_items, string_agg(item_id::varchar, ',' order by item_id::varchar) ids
+  from (select distinct doc_id, item_id from hit) group by doc_id)
+select doc_id, len(w) n_words, coalesce(n_hit, 0) n_hit, coalesce(n_items, 0) n_items,
+       sha256(coalesce(ids, '')) items_sha256, coalesce(n_hit, 0) > 0 contaminated
+from own left join words using (doc_id) left join items using (doc_id)""",
+    "op9_ngram_jaccard": f"""
+with recursive own as (
+  select doc_id, list_filter(string_split_regex({_LOWER}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') w from documents),
+sets as (
+  select distinct doc_id, array_to_string(w[i:i + 2], ' ') run
+  from (select doc_id, w, unnest(range(1, greatest(len(w) - 3, 0) + 2)) i from own where len(w) > 0)),
+sizes as (select doc_id, count(*) n from sets group by doc_id),
+common as (
+  select a.doc_id x, b.doc_id y, count(*) c from sets a join sets b on a.run = b.run and a.doc_id < b.doc_id group by all),
+links as (
+  select x, y from common join sizes p on p.doc_id = x join sizes q on q.doc_id = y where 100 * c >= 90 * (p.n + q.n - c)),
+edge as (select x, y from links union all select y, x from links),
+reach as (select doc_id x, doc_id y from documents union select r.x, b.y from reach r join edge b on r.y = b.x)
+select d.doc_id, coalesce(any_value(n), 0) n_shingles, min(r.y) component_id
+from documents d join reach r on r.x = d.doc_id left join sizes s on s.doc_id = d.doc_id group by d.doc_id""",
+}
