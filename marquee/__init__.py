@@ -8,7 +8,6 @@ Layers (each a plain DataFrame builder, optimised by Catalyst + AQE):
                 co-occurrence pairs, distribution summaries, profiles)
 * ``plans``     the models (staging, bridges, mart), analyses, assertions,
                 report data and the layered build
-* ``streaming`` the same landing and models on a file stream
 
 Typical use::
 

@@ -31,13 +31,18 @@ def pct(num, den, n: int = 1) -> Column:
     return round_half_away(F.lit(100.0) * _col(num).cast("double") / _col(den).cast("double"), n)
 
 
+# Fixed shape: an optionally signed ASCII number, with an optional fraction
+# and exponent.  Digits of other scripts are not numbers here.
+_NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+
+
 def to_int(c) -> Column:
     """Tolerant text -> INT: integers as written, and decimal or exponent
     notation rounded half away from zero ('2019.0' -> 2019, '2019.5' ->
-    2020, '1e3' -> 1000), as the reference engine casts; anything else, or
-    a value outside INT, is NULL.  Hex and digit-separator forms are not
-    read."""
+    2020, '0.49999999999' -> 0, '1e3' -> 1000), as the reference engine casts;
+    anything else, or a value outside INT, is NULL.  Hex and digit-separator
+    forms are not read."""
     col = F.col(c) if isinstance(c, str) else c
-    exact = col.try_cast("int")
-    rounded = F.round(col.try_cast("decimal(38,10)"), 0).try_cast("int")
-    return F.coalesce(exact, rounded)
+    text = F.when(col.rlike(_NUMBER), col)
+    rounded = F.round(text.try_cast("double"), 0).try_cast("int")
+    return F.coalesce(text.try_cast("int"), rounded)

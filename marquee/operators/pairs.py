@@ -1,30 +1,24 @@
-"""Unordered co-occurrence pairs inside a title, without self-joins."""
+"""Unordered co-occurrence pairs inside a group, streamed as rows."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def value_counts(names: Column) -> Column:
-    """Distinct values of an array with their multiplicity, in first-seen
-    order: ``array<struct<v: string, m: bigint>>``."""
-    distinct = F.array_distinct(names)
-    return F.transform(distinct, lambda x: F.struct(
-        x.alias("v"), F.size(F.filter(names, lambda y: y == x)).cast("bigint").alias("m")))
+def weighted_pairs(rows: DataFrame, group: str, value: str) -> DataFrame:
+    """Rows ``group, a, b, w``: the pairs a < b of a group's distinct values,
+    each weighted by the product of their multiplicities.
 
-
-def weighted_pairs(counted: Column) -> Column:
-    """All pairs (a, b) with a < b of the distinct values in ``counted``
-    (``array<struct<v, m>>``, see ``value_counts``), each weighted by
-    m(a) * m(b).
-
-    This equals the pair count of a self-join of the exploded tokens on the
-    title with ``a < b``, but the work per title is bounded by the number of
-    distinct values (not by the number of tokens or copies), and nothing is
-    shuffled until the final group-by on the pair.
-    Returns ``array<struct<a: string, b: string, w: bigint>>``.
+    This equals the pair count of a self-join of ``rows`` on ``group`` with
+    ``a < b``.  Multiplicities are counted first (map-side combined), a
+    group's distinct values are sorted once into one list, and each value is
+    then paired with the rest of the list by two generators, so the pairs
+    stream as rows and no quadratic array is built.
     """
-    return F.flatten(F.transform(counted, lambda a: F.transform(
-        F.filter(counted, lambda b: a["v"] < b["v"]),
-        lambda b: F.struct(a["v"].alias("a"), b["v"].alias("b"), (a["m"] * b["m"]).alias("w")))))
+    counted = rows.groupBy(group, F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("m"))
+    lists = counted.groupBy(group).agg(F.array_sort(F.collect_list(F.struct("v", "m"))).alias("vs"))
+    first = lists.filter(F.size("vs") > 1).select(group, "vs", F.posexplode("vs").alias("i", "x"))
+    pairs = first.select(group, "x", F.explode(F.slice("vs", F.col("i") + 2, F.size("vs"))).alias("y"))
+    return pairs.select(group, F.col("x.v").alias("a"), F.col("y.v").alias("b"),
+                        (F.col("x.m") * F.col("y.m")).alias("w"))

@@ -8,19 +8,14 @@ from pyspark.sql import functions as F
 from marquee.functions import round_half_away
 
 
-def share_of_total(grouped: DataFrame, count_col: str, out: str, n: int = 2) -> DataFrame:
-    """``ROUND(100.0 * c / SUM(c) OVER (), n)`` on already-grouped rows.
-
-    The input is the analysis result itself (one row per country / genre),
-    the same rows that are sorted and returned to the driver, so the
-    single-partition window runs over a driver-sized set.  Computing the
-    total as a separate global aggregate instead would re-run the whole
-    upstream plan: the two branches prune different partial aggregates, so
-    their exchanges are not reused.
-    """
-    w = Window.partitionBy()
-    return grouped.withColumn(
-        out, round_half_away(F.lit(100.0) * F.col(count_col) / F.sum(count_col).over(w), n))
+def share_of_total(grouped: DataFrame, total: DataFrame, count_col: str, out: str,
+                   n: int = 2) -> DataFrame:
+    """``ROUND(100.0 * c / total, n)``; ``total`` is a one-row frame with one
+    column, computed apart from the groups, so no task holds all of them."""
+    name = total.columns[0]
+    return (grouped.crossJoin(F.broadcast(total.withColumnRenamed(name, "_total")))
+            .withColumn(out, round_half_away(F.lit(100.0) * F.col(count_col) / F.col("_total"), n))
+            .drop("_total"))
 
 
 def share_within(grouped: DataFrame, part_col: str, count_col: str, out: str,

@@ -1,10 +1,8 @@
 """The ten analyses (Q01-Q10) over a built ``Catalogue``.
 
-Bridge x mart analyses (Q04, Q05, Q07, Q10) read ``Catalogue.bridge_facts``
-or the per-title frame: each bridge row already carries the mart measures of
-its title in pre-aggregated form, so there is no join and the only shuffle is
-the final group-by (partial aggregation first, so a hot group key such as
-one very common country is combined map-side).
+Bridge x mart analyses (Q04, Q05, Q07, Q10) join their bridge to the mart
+reduced to one row per title; the final group-by is combined map-side, so a
+hot group key such as one very common country costs a row for each task.
 """
 
 from __future__ import annotations
@@ -93,17 +91,19 @@ def q03_catalogue_growth(cat: Catalogue) -> DataFrame:
 
 
 def q04_country_production(cat: Catalogue) -> DataFrame:
-    f = cat.bridge_facts("countries")
-    w = F.col("w")
-    g = f.groupBy(F.col("t.name").alias("country")).agg(
+    w = F.col("n_rows")
+    g = cat.bridge_facts(cat.countries).groupBy("country").agg(
         F.sum(w).cast("bigint").alias("titles"),
-        _flag_sum(F.col("t.pos") == 1, w).alias("primary_titles"),
+        _flag_sum(F.col("is_primary_country"), w).alias("primary_titles"),
         _flag_sum(F.col("country_count") > 1, w).alias("co_produced_titles"),
         _flag_sum(F.col("title_type") == "Movie", w).alias("movies"),
         _flag_sum(F.col("title_type") == "TV Show", w).alias("tv_shows"),
         round_half_away(_wavg("ry_sum", "ry_cnt"), 0).alias("avg_release_year"),
     ).withColumn("pct_tv", pct("tv_shows", "titles", 1))
-    out = share_of_total(g, "titles", "pct_of_all_credits", 2)
+    # Every mart row counts once for each bridge row of its title.
+    total = cat.bridge_facts(cat.countries.groupBy("show_id").agg(F.count(F.lit(1)).alias("tags"))) \
+        .agg(F.sum(F.col("tags") * w).alias("total"))
+    out = share_of_total(g, total, "titles", "pct_of_all_credits", 2)
     return out.select("country", "titles", "primary_titles", "co_produced_titles", "movies",
                       "tv_shows", "pct_tv", "avg_release_year", "pct_of_all_credits") \
               .orderBy(F.desc("titles"), "country")
@@ -114,21 +114,28 @@ def q05_genre_profile(cat: Catalogue, distinct_titles: bool = False,
     """Genre mix over normalised labels.  ``titles`` counts genre *tags*: a
     title with two labels of one normalised genre counts twice, as in the
     reference.  ``distinct_titles=True`` adds the number of distinct titles
-    per genre as an extra column."""
-    f = cat.bridge_facts("genres")
-    w = F.col("w")
-    extra = [F.count_distinct("show_id").alias("distinct_titles")] if distinct_titles else []
-    g = f.groupBy(F.col("t.norm").alias("genre")).agg(
-        *extra,
-        F.sum(w).cast("bigint").alias("titles"),
+    per genre as an extra column: rows are first reduced to one for each
+    (genre, title), on the partitioning that the join left."""
+    w = F.col("n_rows")
+    sums = ["ry_sum", "ry_cnt", "dm_sum", "dm_cnt", "se_sum", "se_cnt"]
+    per = cat.bridge_facts(cat.genres).groupBy("genre_normalised", "show_id").agg(
+        F.sum(w).alias("tags"),
         _flag_sum(F.col("title_type") == "Movie", w).alias("movies"),
         _flag_sum(F.col("title_type") == "TV Show", w).alias("tv_shows"),
+        F.max("primary_country").alias("primary_country"), *[F.sum(c).alias(c) for c in sums])
+    extra = [F.count(F.lit(1)).alias("distinct_titles")] if distinct_titles else []
+    g = per.groupBy(F.col("genre_normalised").alias("genre")).agg(
+        *extra,
+        F.sum("tags").cast("bigint").alias("titles"),
+        F.sum("movies").cast("bigint").alias("movies"), F.sum("tv_shows").cast("bigint").alias("tv_shows"),
         round_half_away(_wavg("dm_sum", "dm_cnt"), 1).alias("avg_movie_minutes"),
         round_half_away(_wavg("se_sum", "se_cnt"), 2).alias("avg_seasons"),
         round_half_away(_wavg("ry_sum", "ry_cnt"), 0).alias("avg_release_year"),
         _distinct(approx)("primary_country").alias("countries_producing"),
     )
-    out = share_of_total(g, "titles", "pct_of_genre_tags", 2)
+    total = cat.bridge_facts(cat.genres.groupBy("show_id").agg(F.count(F.lit(1)).alias("tags"))) \
+        .agg(F.sum(F.col("tags") * w).alias("total"))
+    out = share_of_total(g, total, "titles", "pct_of_genre_tags", 2)
     return out.select("genre", "titles", "movies", "tv_shows", "pct_of_genre_tags",
                       "avg_movie_minutes", "avg_seasons", "avg_release_year",
                       "countries_producing", *(["distinct_titles"] if distinct_titles else []))\
@@ -149,14 +156,12 @@ def q06_duration_distribution(cat: Catalogue, approx: bool = False) -> DataFrame
 
 
 def q07_top_people(cat: Catalogue, min_credits: int = 10, approx: bool = False) -> DataFrame:
-    f = cat.bridge_facts("people")
-    w = F.col("w")
-    return (f.groupBy(F.col("t.name").alias("person_name"), F.col("t.role").alias("role"))
+    w = F.col("n_rows")
+    return (cat.bridge_facts(cat.people).groupBy("person_name", "role")
              .agg(F.sum(w).cast("bigint").alias("credits"),
                   _flag_sum(F.col("title_type") == "Movie", w).alias("movies"),
                   _flag_sum(F.col("title_type") == "TV Show", w).alias("tv_shows"),
-                  _flag_sum((F.col("t.role") == "actor") & (F.col("t.pos") <= 3), w)
-                  .alias("top_billed_credits"),
+                  _flag_sum(F.col("is_top_billed"), w).alias("top_billed_credits"),
                   _distinct(approx)("primary_country").alias("countries"),
                   F.min("ry_min").alias("first_year"),
                   F.max("ry_max").alias("last_year"))
@@ -193,9 +198,8 @@ def q10_co_production(cat: Catalogue, min_pairs: int = 5) -> DataFrame:
     """Country pairs per title from the title's own distinct countries
     (weighted by multiplicity and by the title's mart rows), then one
     group-by on the pair.  No self-join."""
-    p = cat.pair_facts()
-    w = F.col("p.w")
-    return (p.groupBy(F.col("p.a").alias("country_a"), F.col("p.b").alias("country_b"))
+    w = F.col("w")
+    return (cat.pair_facts().groupBy(F.col("a").alias("country_a"), F.col("b").alias("country_b"))
              .agg(F.sum(w * F.col("n_rows")).cast("bigint").alias("co_productions"),
                   F.sum(w * F.col("n_movies")).cast("bigint").alias("movies"),
                   F.sum(w * F.col("n_tv")).cast("bigint").alias("tv_shows"),
@@ -216,3 +220,29 @@ ANALYSES = {
     "09_audience_mix": q09_audience_mix,
     "10_co_production_network": q10_co_production,
 }
+
+# Each analysis' own sort keys, for reading a written result back in order.
+ORDER = {
+    "01_cleaning_impact": (),
+    "02_completeness": (F.desc, "titles", "title_type"),
+    "03_catalogue_growth": ("year_added",),
+    "04_country_production": (F.desc, "titles", "country"),
+    "05_genre_profile": (F.desc, "titles", "genre"),
+    "06_duration_distribution": (),
+    "07_top_people": (F.desc, "credits", "person_name", "role"),
+    "08_release_to_platform_lag": ("year_added",),
+    "09_audience_mix": ("year_added", F.desc, "titles", "audience_band"),
+    "10_co_production_network": (F.desc, "co_productions", "country_a", "country_b"),
+}
+
+
+def sort_keys(name: str) -> list:
+    """The sort keys of an analysis as columns (NULLs of ascending keys last)."""
+    keys, descending = [], False
+    for part in ORDER[name]:
+        if part is F.desc:
+            descending = True
+            continue
+        keys.append(F.desc(part) if descending else F.asc_nulls_last(part))
+        descending = False
+    return keys

@@ -2,15 +2,14 @@
 
 Layer order is fixed (staging -> intermediate -> marts); inside a layer the
 models are independent, are reported in name order and are built as
-concurrent jobs.  Staging is a view; the per-title token table, the bridges
-and the mart are written as Parquet tables under the session's shared
-checkpoint folder, which also cuts lineage so lost executors only redo the
-current layer.
+concurrent jobs.  Staging is a view; the bridges and the mart are written as
+Parquet tables under the session's shared checkpoint folder, which also cuts
+lineage so lost executors only redo the current layer.  ``Warehouse.open``
+reads a finished build back, in any session.
 """
 
 from __future__ import annotations
 
-import os
 import time
 from dataclasses import dataclass
 
@@ -23,17 +22,13 @@ from marquee.plans.jobs import DEFAULT_CONCURRENT_JOBS, run_concurrently
 from marquee.plans.models import Catalogue
 from marquee.session import workspace_dir
 from marquee.sources import sinks
+from marquee.sources.landing import require_inputs
 
 LAYERS = (
     ("staging", "view", ("stg_titles",)),
-    ("intermediate", "table", ("int_title_countries", "int_title_genres", "int_title_people",
-                               "int_title_tokens")),
+    ("intermediate", "table", ("int_title_countries", "int_title_genres", "int_title_people")),
     ("marts", "table", ("dim_title",)),
 )
-# int_title_tokens is ours: one row per title with its token arrays and
-# pre-aggregated mart measures; bridges and bridge x mart analyses read it.
-# It is built first inside its layer because the bridges explode it.
-BUILD_ORDER = {"int_title_tokens": 0}
 
 
 @dataclass
@@ -48,10 +43,22 @@ class Built:
 class Warehouse:
     """A built catalogue: model name -> DataFrame over materialised files."""
 
+    seconds = 0.0
+
     def __init__(self, root: str, cat: Catalogue, models: dict[str, DataFrame],
                  report: list[Built]):
         self.root, self.catalogue, self.models, self.report = root, cat, models, report
 
+    @staticmethod
+    def open(spark: SparkSession, root: str) -> "Warehouse":
+        """A finished build's tables, from this or another session."""
+        paths = {name: f"{root}/{layer}/{name}" for layer, mat, names in LAYERS for name in names
+                 if mat == "table"}
+        require_inputs(spark, f"{root}/raw", *paths.values())
+        models = {name: spark.read.parquet(path) for name, path in paths.items()}
+        cat = Catalogue(spark.read.parquet(f"{root}/raw"), models=models)
+        return Warehouse(root, cat, {"stg_titles": cat.staging, **models}, [])
+
     def register_views(self, prefix: str = "") -> list[str]:
         """Expose every built model under its name as a temp view, so
         analysts' SQL (``SELECT ... FROM dim_title JOIN int_title_countries
@@ -69,11 +76,14 @@ class Warehouse:
             rows, "layer string, model string, materialisation string, rows bigint, "
                   "seconds double")
 
+    def total(self) -> tuple[int, float]:
+        """The build's grand total: rows of all models, and the seconds from start to end."""
+        return sum(b.rows for b in self.report), self.seconds
+
 
 def _model_frame(cat: Catalogue, model: str) -> DataFrame:
     return {
         "stg_titles": lambda: cat.staging,
-        "int_title_tokens": lambda: cat.titles,
         "int_title_countries": lambda: cat.countries,
         "int_title_genres": lambda: cat.genres,
         "int_title_people": lambda: cat.people,
@@ -84,58 +94,58 @@ def _model_frame(cat: Catalogue, model: str) -> DataFrame:
 def build(raw: DataFrame, root: str | None = None,
           max_jobs: int = DEFAULT_CONCURRENT_JOBS) -> Warehouse:
     """L1: build every layer in order, recording rows and seconds per model
-    (S7).  The landing should itself be a materialised table (see
-    ``land``), so the build starts from files, not from upstream plans.
-    The returned warehouse's catalogue reads the written tables."""
+    (S7).  The landing is kept as ``<root>/raw``, so the build starts from
+    files, not from upstream plans; a frame that ``land`` returned is built
+    where it stands.  The returned warehouse's catalogue reads the written
+    tables."""
     spark = raw.sparkSession
+    landed = getattr(raw, "landed_root", None)
     if root is None:
-        root = workspace_dir(spark, "warehouse-" + str(int(time.time() * 1000)))
-    cat = Catalogue(raw)
+        root = landed or workspace_dir(spark, "warehouse-" + str(int(time.time() * 1000)))
+    begun = time.time()
+    # A build is whole: tests read the landing beside the models.
+    kept = raw if landed == root else land(raw, root)
+    cat = Catalogue(kept)
     models: dict[str, DataFrame] = {}
     report: list[Built] = []
 
-    def make(c: Catalogue, layer: str, mat: str, name: str):
-        df = _model_frame(c, name)
+    def make(layer: str, mat: str, name: str):
+        df = _model_frame(cat, name)
         if mat == "view":
             df = sinks.as_view(df, name)
             return df, df.count()
         return sinks.as_counted_table(df, f"{root}/{layer}/{name}")
 
     for layer, mat, names in LAYERS:
-        ordered = sorted(names, key=lambda n: (BUILD_ORDER.get(n, 1), n))
-        # Models the rest of the layer reads are built first, on their own.
-        first = [n for n in ordered if n in BUILD_ORDER]
-        rest = [n for n in ordered if n not in BUILD_ORDER]
-        for group in ([[n] for n in first] + [rest]):
-            if not group:
-                continue
-            tasks = {n: (lambda n=n, c=cat: make(c, layer, mat, n)) for n in group}
-            if layer == "staging":
-                # The key check (which plan the next layers use) is its own
-                # small job; run it beside the staging count.
-                tasks["_unique_keys"] = lambda c=cat: c.unique_keys
-            done = run_concurrently(tasks, max_jobs)
-            for name in group:
-                res, secs = done[name]
-                if isinstance(res, Exception):
-                    raise res
-                df, rows = res
+        tasks = {n: (lambda n=n: make(layer, mat, n)) for n in sorted(names)}
+        if layer == "staging":
+            # The key check (which plan the next layers use) is its own
+            # small job; run it beside the staging count.
+            tasks["_unique_keys"] = lambda: cat.unique_keys
+        done = run_concurrently(tasks, max_jobs)
+        for name in [*names, *(["_unique_keys"] if layer == "staging" else [])]:
+            res, secs = done[name]
+            if isinstance(res, Exception):
+                raise res
+            if name in names:
+                models[name], rows = res
                 report.append(Built(layer, name, mat, rows, secs))
-                models[name] = df
-                if name == "int_title_tokens":
-                    cat = cat.materialised(df, None)
-        if layer == "marts":
-            cat = cat.materialised(models["int_title_tokens"], models["dim_title"])
     report.sort(key=lambda b: ([x[0] for x in LAYERS].index(b.layer), b.model))
-    return Warehouse(root, cat, models, report)
+    tables = {n: df for n, df in models.items() if n != "stg_titles"}
+    wh = Warehouse(root, cat.with_models(tables), models, report)
+    wh.seconds = time.time() - begun
+    return wh
 
 
 def land(raw: DataFrame, root: str | None = None) -> DataFrame:
-    """Persist a landing as Parquet (all text) and return a reader of it."""
+    """Persist a landing as Parquet (all text) under ``<root>/raw`` and return
+    a reader of it, which knows its root."""
     spark = raw.sparkSession
     if root is None:
         root = workspace_dir(spark, "landing-" + str(int(time.time() * 1000)))
-    return sinks.as_table(raw, f"{root}/raw")
+    kept = sinks.as_table(raw, f"{root}/raw")
+    kept.landed_root = root
+    return kept
 
 
 def run_tests(cat: Catalogue, stop_on_failure: bool = True, **kw) -> list[T.AssertionResult]:
@@ -176,22 +186,24 @@ def run_analyses(cat: Catalogue, out_dir: str | None = None, preview_rows: int =
     return out
 
 
-def require_inputs(*paths: str) -> None:
-    """L4: fail early when an input (landing/warehouse) is missing."""
-    for p in paths:
-        local = p.replace("file:", "", 1)
-        if "://" not in p and not os.path.exists(local):
-            raise FileNotFoundError(f"missing input: {p}")
-
+def run(raw: DataFrame | None = None, mode: str = "both", root: str | None = None,
+        max_year: int | None = None, stop_on_failure: bool = True,
+        spark: SparkSession | None = None) -> tuple[Warehouse, list | None]:
+    """L2: ``build``, ``test`` or ``both`` (build then test).
 
-def run(raw: DataFrame, mode: str = "both", root: str | None = None,
-        max_year: int | None = None) -> tuple[Warehouse | None, list | None]:
-    """L2: ``build``, ``test`` or ``both`` (build then test)."""
+    ``test`` checks the stored tables of the build at ``root`` and needs no
+    landing.  A failed assertion stops the run unless ``stop_on_failure`` is
+    off."""
     if mode not in ("build", "test", "both"):
         raise ValueError(mode)
-    wh = build(raw, root) if mode in ("build", "both") else None
+    if mode == "test":
+        if root is None:
+            raise ValueError("mode 'test' needs the root of a finished build")
+        wh = Warehouse.open(spark or (raw.sparkSession if raw is not None
+                                      else SparkSession.getActiveSession()), root)
+    else:
+        wh = build(raw, root)
     results = None
     if mode in ("test", "both"):
-        cat = wh.catalogue if wh else Catalogue(raw)
-        results = run_tests(cat, stop_on_failure=False, max_year=max_year)
+        results = run_tests(wh.catalogue, stop_on_failure=stop_on_failure, max_year=max_year)
     return wh, results

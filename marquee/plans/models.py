@@ -6,7 +6,7 @@ The reference explodes each multi-value cell into a bridge table and then
 re-aggregates the bridges per ``show_id`` and joins them back to build the
 mart; analyses join bridges to the mart again.  All of those joins and
 group-bys are keyed by ``show_id``.  When ``show_id`` is unique (the contract
-checked by assertion T1) every one of them is 1:1, so the whole build is a
+checked by assertion T1) all of those of the build are 1:1, so it is a
 narrow projection of the landed rows: each packed cell is split once into
 trimmed tokens (blanks kept as '' so positions survive), and
 posexplode / array_remove / size / array_join replace
@@ -14,14 +14,17 @@ explode+window+group+join, all inside whole-stage codegen.  The only shuffles
 left are the analyses' own final group-bys (map-side combined).
 
 Uniqueness is *checked*, not assumed: one aggregation over the key column
-alone.  When it fails, the per-title frame is one ``groupBy(show_id)`` of
-bounded aggregates (row count, sums, counts, min, max, token counts, primary
-values), which merge map-side however many copies a key has.  Analyses
-weight each bridge row by the number of mart rows of its title instead of
-joining, after counting identical bridge rows per title, so a key with very
-many copies never produces copy x copy rows.  Both paths feed the same
-downstream code, and results equal the reference's relational semantics in
-both.
+alone, run when a lazy ``Catalogue`` is first asked for a model (so asking may
+run a job, and the plan is settled then).  When it fails, a title's counts
+come from one ``groupBy(show_id)`` of bounded aggregates, which merge map-side
+however many copies a key has, and are joined to the per-copy rows (a plain
+join, many rows on its left: AQE splits a hot key).  Both ways give the same
+schemas and the reference's relational results.
+
+Analyses and assertions read the bridges and the mart.  In a built catalogue
+(``with_models``) those are the written tables.  Bridge x mart analyses join
+the bridge to the mart reduced to one row per title (``title_stats``), so
+copies never multiply into copy x copy rows.
 """
 
 from __future__ import annotations
@@ -157,21 +160,6 @@ def _tokens_of(df: DataFrame, kind: str, keep: list, strict: bool = True) -> Dat
     return x.select(*keep, t.alias("t"))
 
 
-def _measure_stats_row() -> list[Column]:
-    """Mart-side measures of a single row, in pre-aggregated form."""
-    # A NULL type counts as neither (0, never NULL), like SUM(CASE ... ELSE 0).
-    out = [F.lit(1).cast("bigint").alias("n_rows"),
-           F.coalesce(F.col("title_type") == "Movie", F.lit(False)).cast("bigint").alias("n_movies"),
-           F.coalesce(F.col("title_type") == "TV Show", F.lit(False)).cast("bigint")
-           .alias("n_tv")]
-    for short, col in MEASURES.items():
-        v = F.col(col)
-        out += [v.cast("bigint").alias(f"{short}_sum"),
-                v.isNotNull().cast("bigint").alias(f"{short}_cnt"),
-                v.alias(f"{short}_min"), v.alias(f"{short}_max")]
-    return out
-
-
 def _measure_stats_agg() -> list[Column]:
     out = [F.count(F.lit(1)).alias("n_rows"),
            F.count_if(F.col("title_type") == "Movie").alias("n_movies"),
@@ -189,7 +177,7 @@ def _title_stats_agg(strict: bool = True) -> list[Column]:
     of them merge map-side, so a key with very many copies collapses to one
     partial row per task before the shuffle."""
     size = lambda c: F.size(present_tokens(F.col(c), strict))
-    return _measure_stats_agg() + [
+    return [
         F.max(_first(F.col("c_parts"), strict)).alias("primary_country"),
         F.max(normalise_genre(_first(F.col("g_parts"), strict))).alias("primary_genre"),
         F.sum(size("c_parts")).alias("_nc"), F.sum(size("g_parts")).alias("_ng"),
@@ -204,56 +192,41 @@ def _title_counts() -> list[Column]:
             F.when(na + nd > 0, nd).alias("director_count")]
 
 
-STAT_COLUMNS = ["n_rows", "n_movies", "n_tv"] + [
-    f"{short}_{agg}" for short in MEASURES for agg in ("sum", "cnt", "min", "max")]
 PART_COLUMNS = ["c_parts", "g_parts", "a_parts", "d_parts"]
 
-# A title with at least this many landed copies is "hot": its bridge rows
-# get their per-title counts through a broadcast of the (few) hot titles'
-# counts instead of a shuffle join that would put all its rows in one task.
-HOT_ROWS = 100_000
-# Broadcast bound: at most this many hot titles (key + 4 longs each).  The
-# number is counted first; above it, a plain shuffle join is used.
-MAX_HOT_KEYS = 100_000
-
-
 class Catalogue:
     """Builds and holds the models for one landed catalogue.
 
     ``unique_keys`` may be passed when known (e.g. from a previous T1 run);
-    otherwise it is checked once, lazily.  ``strict_tokens=False`` and
-    ``mart_drop`` build deliberately broken models for the assertion tests.
+    otherwise it is checked once, lazily.  ``models`` replaces models by
+    other frames under their table names (written tables, or deliberately broken
+    ones); ``strict_tokens=False`` and ``mart_drop`` build deliberately
+    broken models for the assertion tests.
     """
 
     def __init__(self, raw: DataFrame, unique_keys: bool | None = None,
-                 strict_tokens: bool = True, mart_drop: Column | None = None):
+                 strict_tokens: bool = True, mart_drop: Column | None = None,
+                 models: dict[str, DataFrame] | None = None):
         self.raw = raw
         self.strict_tokens = strict_tokens
         self.mart_drop = mart_drop
+        self.models = dict(models or {})
         self._unique = unique_keys
-        self._stg = None
-        self._titles = None
-        self._mart = None
-        self._n_hot = None
         # Lazy values that cost a Spark job are computed once even when
         # several driver threads (concurrent jobs) ask at the same time.
         self._lock = threading.RLock()
 
-    def materialised(self, titles: DataFrame, mart: DataFrame) -> "Catalogue":
-        """A catalogue whose per-title frame and mart read written tables
-        (so analyses and assertions start from files, not from the landing)."""
-        other = Catalogue(self.raw, self.unique_keys, self.strict_tokens, self.mart_drop)
-        other._stg = self._stg
-        other._titles = titles
-        other._mart = mart
-        return other
+    def with_models(self, models: dict[str, DataFrame]) -> "Catalogue":
+        """The same catalogue reading ``models`` (by table name) instead of deriving them."""
+        return Catalogue(self.raw, self._unique, self.strict_tokens, self.mart_drop,
+                         {**self.models, **models})
 
     # -- M1 ---------------------------------------------------------------
     @property
     def staging(self) -> DataFrame:
-        if self._stg is None:
-            self._stg = staging(self.raw)
-        return self._stg
+        if "stg_titles" in self.models:
+            return self.models["stg_titles"]
+        return staging(self.raw)
 
     @property
     def unique_keys(self) -> bool:
@@ -265,65 +238,30 @@ class Catalogue:
     def _tokens(self) -> DataFrame:
         return _token_columns(self.staging, self.strict_tokens)
 
-    # -- per-title frame --------------------------------------------------
-    @property
-    def titles(self) -> DataFrame:
-        """One row per distinct show_id with the title-level rollups and the
-        pre-aggregated mart measures (``n_rows``, ``ry_sum``, ...).
-
-        Unique keys: a narrow projection that also keeps the row's staging
-        columns and token arrays.  Repeated keys: one ``groupBy(show_id)``
-        of bounded aggregates only (no token arrays)."""
-        if self._titles is None:
-            tok = self._tokens()
-            if self.unique_keys:
-                # One title per row: keep the staging columns too, so the
-                # mart is a projection of this frame (no second token pass).
-                self._titles = tok.select(*STAGING_COLUMNS, *PART_COLUMNS,
-                                          *_measure_stats_row(),
-                                          *_title_level(self.strict_tokens))
-            else:
-                agg = tok.groupBy("show_id").agg(*_title_stats_agg(self.strict_tokens))
-                self._titles = agg.select("show_id", *STAT_COLUMNS, "primary_country",
-                                          "primary_genre", *_title_counts())
-        return self._titles
+    def _title_rollups(self) -> DataFrame:
+        """Per distinct show_id: counts and primary values over all copies of
+        the key (bounded aggregates only)."""
+        stats = self._tokens().groupBy("show_id").agg(*_title_stats_agg(self.strict_tokens))
+        return stats.select("show_id", "primary_country", "primary_genre", *_title_counts())
 
     # -- M2-M4 ------------------------------------------------------------
-    def _hot_title_count(self, counts: DataFrame) -> int:
-        with self._lock:
-            if self._n_hot is None:
-                self._n_hot = counts.filter(F.col("n_rows") >= HOT_ROWS).count()
-        return self._n_hot
-
-    def _with_title_values(self, rows: DataFrame, cols: list[str]) -> DataFrame:
-        """Many-to-one join of per-copy rows with per-title values.
-
-        Hot titles (>= HOT_ROWS copies, counted first, at most MAX_HOT_KEYS)
-        are split off and served by a broadcast hash join, so their rows
-        stay spread over the input tasks; the rest go through a shuffle
-        join where no key is large."""
-        values = self.titles.select("show_id", "n_rows", *cols)
-        n_hot = self._hot_title_count(values)
-        if n_hot == 0 or n_hot > MAX_HOT_KEYS:
-            return rows.join(values.drop("n_rows"), "show_id")
-        hot = F.broadcast(values.filter(F.col("n_rows") >= HOT_ROWS).drop("n_rows"))
-        cold = values.filter(F.col("n_rows") < HOT_ROWS).drop("n_rows")
-        return (rows.join(hot, "show_id")
-                    .unionByName(rows.join(hot.select("show_id"), "show_id", "left_anti")
-                                     .join(cold, "show_id")))
-
     def _explode(self, kind: str, *extra: str) -> DataFrame:
         keep = ["show_id", "title_type", *extra]
         if self.unique_keys:
-            return _tokens_of(self.titles, kind, keep, self.strict_tokens)
-        # Join per landed copy (one row per copy), explode afterwards.
-        per_copy = self._tokens().select("show_id", "title_type", *PART_COLUMNS)
-        joined = self._with_title_values(per_copy, list(extra))
-        return _tokens_of(joined, kind, keep, self.strict_tokens)
+            rows = self._tokens().select("show_id", "title_type", *PART_COLUMNS,
+                                         *_title_level(self.strict_tokens))
+        else:
+            rows = self._tokens().select("show_id", "title_type", *PART_COLUMNS)
+            if extra:
+                # One row per landed copy on the left, one per title on the right.
+                rows = rows.join(self._title_rollups().select("show_id", *extra), "show_id")
+        return _tokens_of(rows, kind, keep, self.strict_tokens)
 
     @property
     def countries(self) -> DataFrame:
         """M2: one row per (title, country token), position from the raw list."""
+        if "int_title_countries" in self.models:
+            return self.models["int_title_countries"]
         return self._explode("countries", "country_count").select(
             "show_id", "title_type",
             F.col("t.name").alias("country"),
@@ -334,6 +272,8 @@ class Catalogue:
     @property
     def genres(self) -> DataFrame:
         """M3: one row per (title, genre label) with the normalised genre."""
+        if "int_title_genres" in self.models:
+            return self.models["int_title_genres"]
         return self._explode("genres", "genre_count").select(
             "show_id", "title_type",
             F.col("t.name").alias("genre"),
@@ -344,6 +284,8 @@ class Catalogue:
     @property
     def people(self) -> DataFrame:
         """M4: actors and directors in one bridge with a role discriminator."""
+        if "int_title_people" in self.models:
+            return self.models["int_title_people"]
         return self._explode("people").select(
             "show_id", "title_type",
             F.col("t.name").alias("person_name"),
@@ -355,12 +297,11 @@ class Catalogue:
     @property
     def mart(self) -> DataFrame:
         """M5: one row per staging row with rollups, flags and score."""
-        if self._mart is not None:
-            return self._mart
+        if "dim_title" in self.models:
+            return self.models["dim_title"]
         if self.unique_keys:
-            # 1:1 with staging: the per-title frame already holds the row's
-            # staging columns and rollups.
-            wide = self.titles
+            # 1:1 with staging: a row's rollups come from its own tokens.
+            wide = self._tokens().select(*STAGING_COLUMNS, *_title_level(self.strict_tokens))
         else:
             # The string rollups concatenate the tokens of every copy, as
             # the reference defines them; their size grows with the copies.
@@ -375,8 +316,7 @@ class Catalogue:
                 v = F.array_sort(F.collect_list(F.struct("t.pos", F.col(f"t.{field}").alias("v"))))
                 return x.groupBy("show_id").agg(
                     F.array_join(F.transform(v, lambda e: e["v"]), ", ").alias(kind + role if role else kind))
-            stats = tok.groupBy("show_id").agg(*_title_stats_agg(strict))
-            rollups = (stats.select("show_id", "primary_country", "primary_genre", *_title_counts())
+            rollups = (self._title_rollups()
                        .join(merged("countries").withColumnRenamed("countries", "all_countries"),
                              "show_id", "left")
                        .join(merged("genres", "norm").withColumnRenamed("genres", "all_genres"),
@@ -401,48 +341,21 @@ class Catalogue:
             mart = mart.filter(~self.mart_drop)
         return mart
 
-    # -- bridge x mart, pre-aggregated ----------------------------------
-    def bridge_facts(self, kind: str) -> DataFrame:
-        """Bridge rows of ``kind`` (struct ``t`` plus ``title_type``), each
-        standing for its join with the mart: weight ``w`` = bridge rows x
-        mart rows of the title it
-        stands for, the matching sums of the mart measures (``ry_sum``,
-        ``ry_cnt``, ...), their min/max, and the title's ``primary_country``
-        and ``country_count``.  Aggregating ``w`` and the sums equals
-        aggregating the reference's bridge JOIN mart.
-
-        Repeated keys: identical bridge rows of a title are first counted
-        (``cnt``), so each title contributes at most one row per distinct
-        token, and only then joined to the one-row-per-title measures."""
-        stats = ["show_id"] + STAT_COLUMNS + ["primary_country", "country_count"]
-        t = self.titles
-        if self.mart_drop is not None:
-            t = t.join(self.mart.select("show_id").distinct(), "show_id", "left_semi")
-        if self.unique_keys:
-            x = _tokens_of(t.withColumn("w", F.col("n_rows")), kind, [*stats, "title_type", "w"],
-                           self.strict_tokens)
-            return x
-        counted = (_tokens_of(self._tokens(), kind, ["show_id", "title_type"], self.strict_tokens)
-                   .groupBy("show_id", "title_type", "t").agg(F.count(F.lit(1)).alias("cnt")))
-        j = counted.join(t.select(*stats), "show_id")
-        cnt = F.col("cnt")
-        scaled = {f"{short}_{a}": (F.col(f"{short}_{a}") * cnt).alias(f"{short}_{a}")
-                  for short in MEASURES for a in ("sum", "cnt")}
-        return j.select(*[scaled.get(c, F.col(c)) for c in stats], "title_type",
-                        (F.col("n_rows") * cnt).alias("w"), "t")
+    # -- bridge x mart ----------------------------------------------------
+    def title_stats(self) -> DataFrame:
+        """The mart reduced to one row per title: its number of rows and the
+        sums, counts, least and greatest values of their measures."""
+        return self.mart.groupBy("show_id").agg(*_measure_stats_agg(),
+                                                F.max("primary_country").alias("primary_country"))
+
+    def bridge_facts(self, bridge: DataFrame) -> DataFrame:
+        """Bridge rows with their title's mart measures.  A bridge row stands
+        for its join with the title's ``n_rows`` mart rows: aggregating
+        ``n_rows`` and the sums equals aggregating bridge JOIN mart."""
+        return bridge.join(self.title_stats(), "show_id")
 
     def pair_facts(self) -> DataFrame:
         """Per title: its distinct countries with multiplicity, paired (a < b)
-        and weighted, next to the title's mart measures (for Q10).  Work per
-        title is bounded by its number of distinct countries."""
-        from marquee.operators.pairs import value_counts, weighted_pairs
-        keep = ["n_rows", "n_movies", "n_tv", "ry_sum", "ry_cnt"]
-        if self.unique_keys:
-            names = present_tokens(F.col("c_parts"), self.strict_tokens)
-            return self.titles.select(*keep, F.explode(weighted_pairs(value_counts(names)))
-                                      .alias("p"))
-        per = (_tokens_of(self._tokens(), "countries", ["show_id"], self.strict_tokens)
-               .groupBy("show_id", F.col("t.name").alias("v")).agg(F.count(F.lit(1)).alias("m"))
-               .groupBy("show_id").agg(F.collect_list(F.struct("v", "m")).alias("vm")))
-        return (per.join(self.titles.select("show_id", *keep), "show_id")
-                   .select(*keep, F.explode(weighted_pairs(F.col("vm"))).alias("p")))
+        and weighted, next to the title's mart measures (for Q10)."""
+        from marquee.operators.pairs import weighted_pairs
+        return self.bridge_facts(weighted_pairs(self.countries, "show_id", "country"))

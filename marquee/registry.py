@@ -15,6 +15,7 @@ make a check cheaper.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,7 +25,7 @@ from marquee import oracle as O
 from marquee.plans import analyses as A
 from marquee.plans import assertions as T
 from marquee.plans import report as R
-from marquee.plans.build import build, land, run_analyses
+from marquee.plans.build import build, land, run, run_analyses
 from marquee.plans.models import Catalogue
 from marquee.session import workspace_dir
 from marquee.sources import landing as S
@@ -65,6 +66,8 @@ _reg("m4_people_bridge", lambda s, d: _cat(s, d).people, "SELECT * FROM bp")
 _reg("m5_title_mart", lambda s, d: _cat(s, d).mart, "SELECT * FROM mart")
 _reg("m2_country_bridge_dup_keys", lambda s, d: _cat(s, d, DUP).countries,
      "SELECT * FROM bc", defects=DUP)
+_reg("m3_genre_bridge_dup_keys", lambda s, d: _cat(s, d, DUP).genres,
+     "SELECT * FROM bg", defects=DUP)
 _reg("m4_people_bridge_dup_keys", lambda s, d: _cat(s, d, DUP).people,
      "SELECT * FROM bp", defects=DUP)
 _reg("m5_title_mart_dup_keys", lambda s, d: _cat(s, d, DUP).mart,
@@ -85,23 +88,22 @@ _ANALYSIS_KEYS = {
 }
 for _k, _fn in _ANALYSIS_KEYS.items():
     _reg(_k, (lambda fn: lambda s, d: fn(_cat(s, d)))(_fn), O.ANALYSIS_SQL[_k])
-for _k in ("q04_country_production", "q05_genre_profile", "q07_top_people",
-           "q10_co_production"):
+for _k in _ANALYSIS_KEYS:
     _reg(_k + "_dup_keys", (lambda fn: lambda s, d: fn(_cat(s, d, DUP)))(_ANALYSIS_KEYS[_k]),
          O.ANALYSIS_SQL[_k], defects=DUP)
 
 _reg("q05_genre_profile_distinct_titles",
      lambda s, d: A.q05_genre_profile(_cat(s, d), distinct_titles=True),
      O.ANALYSIS_SQL["q05_genre_profile"].replace(
-         "count(DISTINCT d.primary_country) AS countries_producing",
-         "count(DISTINCT d.primary_country) AS countries_producing,\n"
-         "    count(DISTINCT g.show_id) AS distinct_titles"))
+         "count(DISTINCT made_in) AS countries_producing",
+         "count(DISTINCT made_in) AS countries_producing,\n"
+         "    count(DISTINCT show_id) AS distinct_titles"))
 _reg("q05_genre_profile_distinct_titles_dup_keys",
      lambda s, d: A.q05_genre_profile(_cat(s, d, DUP), distinct_titles=True),
      O.ANALYSIS_SQL["q05_genre_profile"].replace(
-         "count(DISTINCT d.primary_country) AS countries_producing",
-         "count(DISTINCT d.primary_country) AS countries_producing,\n"
-         "    count(DISTINCT g.show_id) AS distinct_titles"), defects=DUP)
+         "count(DISTINCT made_in) AS countries_producing",
+         "count(DISTINCT made_in) AS countries_producing,\n"
+         "    count(DISTINCT show_id) AS distinct_titles"), defects=DUP)
 
 # -- assertions: clean landing (must be empty) and dirty (must fire) -------
 _T_SQL = {
@@ -118,37 +120,37 @@ _T_SQL = {
             UNION ALL SELECT 'title_type', count(*) FROM mart WHERE title_type IS NULL
             UNION ALL SELECT 'release_year', count(*) FROM mart WHERE release_year IS NULL) nn
         WHERE null_rows > 0""",
+    # Exactly one measure, and not the one of the other type.
     "t04_duration_units_split": """
         SELECT show_id, title, title_type, duration_minutes, seasons FROM mart
-        WHERE (duration_minutes IS NOT NULL AND seasons IS NOT NULL)
-           OR (duration_minutes IS NULL AND seasons IS NULL)
-           OR (title_type = 'Movie' AND duration_minutes IS NULL)
-           OR (title_type = 'TV Show' AND seasons IS NULL)""",
+        WHERE (duration_minutes IS NULL) = (seasons IS NULL)
+           OR coalesce(title_type = CASE WHEN seasons IS NULL THEN 'TV Show' ELSE 'Movie' END, FALSE)""",
+    # Keys with a landed date, once for each of their mart rows that lacks one.
     "t05_date_added_parsed": """
-        SELECT r.show_id, r.date_added AS raw_value
-        FROM raw r JOIN mart d ON d.show_id = TRIM(r.show_id)
-        WHERE TRIM(COALESCE(r.date_added, '')) <> '' AND d.date_added IS NULL""",
+        SELECT landed.show_id, landed.date_added AS raw_value
+        FROM (SELECT *, TRIM(show_id) AS key FROM raw WHERE length(TRIM(date_added)) > 0) landed,
+             (SELECT show_id AS key, unnest(range(count(*))) AS i
+              FROM mart WHERE date_added IS NULL GROUP BY show_id) undated
+        WHERE landed.key = undated.key""",
     "t06_accepted_title_types":
         "SELECT DISTINCT title_type FROM mart WHERE title_type NOT IN ('Movie', 'TV Show')",
     "t07_rating_mapped":
         "SELECT DISTINCT rating FROM mart WHERE rating IS NOT NULL AND audience_band IS NULL",
+    # A token is itself once trimmed, and not blank.
     "t08_no_empty_tokens": """
-        SELECT 'country' AS field, country AS value FROM bc WHERE country = '' OR country <> TRIM(country)
-        UNION ALL SELECT 'genre', genre FROM bg WHERE genre = '' OR genre <> TRIM(genre)
-        UNION ALL SELECT 'person', person_name FROM bp
-                  WHERE person_name = '' OR person_name <> TRIM(person_name)""",
+        SELECT field, value FROM (
+            FROM bc SELECT 'country' AS field, country AS value UNION ALL
+            FROM bg SELECT 'genre', genre UNION ALL FROM bp SELECT 'person', person_name)
+        WHERE value IS NOT NULL AND value IS DISTINCT FROM NULLIF(TRIM(value), '')""",
     "t09_referential_integrity": """
-        SELECT model, orphans FROM (
-            SELECT 'int_title_countries' AS model, count(*) AS orphans
-            FROM bc b WHERE NOT EXISTS (SELECT 1 FROM mart d WHERE d.show_id = b.show_id)
-            UNION ALL SELECT 'int_title_genres', count(*)
-            FROM bg b WHERE NOT EXISTS (SELECT 1 FROM mart d WHERE d.show_id = b.show_id)
-            UNION ALL SELECT 'int_title_people', count(*)
-            FROM bp b WHERE NOT EXISTS (SELECT 1 FROM mart d WHERE d.show_id = b.show_id)) o
-        WHERE orphans > 0""",
+        SELECT model, count(*) AS orphans FROM (
+            SELECT 'int_title_countries' AS model, show_id FROM bc UNION ALL
+            SELECT 'int_title_genres', show_id FROM bg UNION ALL
+            SELECT 'int_title_people', show_id FROM bp) b
+        WHERE show_id NOT IN (SELECT show_id FROM mart) GROUP BY model""",
     "t10_release_year_plausible": f"""
         SELECT show_id, title, release_year FROM mart
-        WHERE release_year < 1900 OR release_year > {MAX_YEAR}""",
+        WHERE release_year NOT BETWEEN 1900 AND {MAX_YEAR}""",
 }
 _T_FN = {
     "t01_unique_show_id": (T.t01_unique_show_id, {"defects": ("dup_keys",)}),
@@ -185,6 +187,33 @@ for _k, (_fn, _dirty) in _T_FN.items():
          mart_drop=MART_DROP_SQL if _dirty.get("mart_drop") else None)
 
 
+# -- assertions on broken written tables -----------------------------------
+def _broken_build(spark: SparkSession, sf_dir: str, model: str, change) -> Catalogue:
+    """A finished build in which one written table is replaced by a broken one."""
+    wh = build(land(synthetic_landing(spark, sf_dir)))
+    broken = as_table(change(wh.models[model]), workspace_dir(spark) + "/" + model)
+    return wh.catalogue.with_models({model: broken})
+
+
+def _with_row(row: dict):
+    """The table and one row more."""
+    return lambda df: df.unionByName(df.sparkSession.createDataFrame([row], df.schema).select(df.columns))
+
+
+ORPHAN = {"show_id": "nobody", "title_type": "Movie", "country": " Atlantis ", "country_position": 1,
+          "is_primary_country": True, "country_count": 1}
+_ORPHAN_SQL = """SELECT * FROM bc_whole UNION ALL
+    SELECT 'nobody', 'Movie', ' Atlantis ', 1, TRUE, 1"""
+_NO_DATES = "SELECT * REPLACE (CAST(NULL AS TIMESTAMP) AS date_added) FROM mart_whole"
+_reg("t05_broken_mart_dates", lambda s, d: T.t05_date_added_parsed(_broken_build(
+    s, d, "dim_title", lambda m: m.withColumn("date_added", F.lit(None).cast("timestamp_ntz")))),
+    _T_SQL["t05_date_added_parsed"], broken={"mart": _NO_DATES})
+_reg("t08_broken_country_bridge", lambda s, d: T.t08_no_empty_tokens(_broken_build(
+    s, d, "int_title_countries", _with_row(ORPHAN))), _T_SQL["t08_no_empty_tokens"], broken={"bc": _ORPHAN_SQL})
+_reg("t09_broken_country_bridge", lambda s, d: T.t09_referential_integrity(_broken_build(
+    s, d, "int_title_countries", _with_row(ORPHAN))), _T_SQL["t09_referential_integrity"], broken={"bc": _ORPHAN_SQL})
+
+
 # Suite inputs: the clean landing (all pass) and one with several defects.
 SUITE_DEFECTS = ("bad_type", "bad_rating", "bad_duration", "implausible_year")
 _SUITE_NAMES = {  # assertion name -> key of its SQL above
@@ -207,12 +236,21 @@ _SUITE_SQL = "\nUNION ALL\n".join(
 
 def _suite(defects=()):
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        results = T.run_suite(_cat(spark, sf_dir, defects), max_year=MAX_YEAR)
+        wh = build(land(synthetic_landing(spark, sf_dir, defects)))
+        results = T.run_suite(wh.catalogue, max_year=MAX_YEAR)
         return T.suite_frame(spark, results).select("assertion", "status", "offending")
     return q
 
 
 _reg("t11_assertion_suite", _suite(), _SUITE_SQL)
+def _test_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L2: a finished build opened again from its root and tested there."""
+    root = build(land(synthetic_landing(spark, sf_dir, SUITE_DEFECTS))).root
+    _, results = run(mode="test", root=root, max_year=MAX_YEAR, stop_on_failure=False, spark=spark)
+    return T.suite_frame(spark, results).select("assertion", "status", "offending")
+
+
+_reg("l2_test_only", _test_only, _SUITE_SQL, defects=SUITE_DEFECTS)
 _reg("t11_assertion_suite_dirty", _suite(SUITE_DEFECTS), _SUITE_SQL, defects=SUITE_DEFECTS)
 
 # -- report data -----------------------------------------------------------
@@ -284,13 +322,35 @@ def _csv_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S1: write the landing as CSV to the shared scratch folder, land it back."""
     path = workspace_dir(spark) + "/landing_csv"
     S.write_csv_landing(synthetic_landing(spark, sf_dir), path)
-    return S.read_csv_landing(spark, path)
+    return S.read_csv_landing(spark, path, surplus=False)
+
+
+def _csv_long_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1: rows of some titles carry two fields more than the header; every
+    value is kept, in place or in the record of the over-long row."""
+    path = workspace_dir(spark) + "/long_csv"
+    k = F.substring("show_id", 2, 64).cast("bigint")
+    line = F.concat_ws(",", "show_id", "title", F.when(k % 7 == 0, F.lit("more,last")))
+    # Each part starts with the header, as the parts of a headed CSV folder do.
+    first = F.monotonically_increasing_id() % (1 << 33) == 0
+    rows = synthetic_landing(spark, sf_dir).select(
+        F.when(first, F.concat(F.lit("show_id,title\n"), line)).otherwise(line).alias("value"))
+    rows.write.text(path)
+    return S.read_csv_landing(spark, path, expected=("show_id", "title"))
 
 
 def _contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S2: CSV files of the landing (whole, one column missing, one extra,
+    reordered) written, and their headers read back and reported on."""
     raw = synthetic_landing(spark, sf_dir)
-    S.check_contract(raw.columns)
-    return S.contract_frame(spark, raw.columns)
+    root = workspace_dir(spark)
+    forms = {"whole": raw, "missing": raw.drop("rating"), "extra": raw.withColumn("note", F.lit("x")),
+             "reordered": raw.select(*reversed(raw.columns))}
+    found = []
+    for form, df in forms.items():
+        path = S.write_csv_landing(df, f"{root}/{form}")
+        found.append(S.contract_frame(spark, S.read_header(spark, path)).withColumn("form", F.lit(form)))
+    return functools.reduce(DataFrame.unionByName, found)
 
 
 def _preview(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -306,8 +366,15 @@ def _layered_build(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _reg("s1_csv_landing", _csv_landing, "SELECT * FROM raw")
+_reg("s1_csv_long_rows", _csv_long_rows, """
+    SELECT show_id, title, CASE WHEN CAST(substr(show_id, 2) AS BIGINT) % 7 = 0
+                                THEN concat_ws(',', show_id, title, 'more', 'last') END AS surplus_fields
+    FROM raw""")
 _reg("s2_landing_contract", _contract, """
-    SELECT column_name, 'expected' AS status FROM (DESCRIBE SELECT * FROM raw)""")
+    SELECT column_name, CASE WHEN form = 'missing' AND column_name = 'rating' THEN 'missing'
+                             ELSE 'expected' END AS status, form
+    FROM (DESCRIBE SELECT * FROM raw), (SELECT unnest(['whole', 'missing', 'extra', 'reordered']) AS form)
+    UNION ALL SELECT 'note', 'extra', 'extra'""")
 _reg("s3_landing_profile", lambda s, d: S.landing_profile(synthetic_landing(s, d)), """
     , p AS (UNPIVOT (SELECT """ + ", ".join(
         f'count(*) FILTER (WHERE "{c}" IS NULL) AS "{c}"' for c in S.RAW_COLUMNS
@@ -332,12 +399,20 @@ def _csv_result_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S8 + S10: an analysis written as headed CSV and read back typed."""
     q = A.q04_country_production(_cat(spark, sf_dir))
     path = write_result_csv(q, workspace_dir(spark) + "/04_country_production")
-    return read_result_csv(spark, path, q.schema)
+    return read_result_csv(spark, path, q.schema, A.sort_keys("04_country_production"))
+
+
+def _csv_result_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S8 + S10: values with white space at their edges, in several sorted parts."""
+    q = _cat(spark, sf_dir).staging.select("show_id", F.concat(F.lit("\t"), "title", F.lit(" ")).alias("title"))
+    path = write_result_csv(q.repartitionByRange(4, "show_id").sortWithinPartitions("show_id"),
+                            workspace_dir(spark) + "/edges")
+    return read_result_csv(spark, path, q.schema, [F.col("show_id")])
 
 
 def _analysis_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L3: every analysis run, written and previewed; (analysis, rows)."""
-    cat = _cat(spark, sf_dir)
+    cat = build(land(synthetic_landing(spark, sf_dir))).catalogue
     out = run_analyses(cat, out_dir=workspace_dir(spark) + "/results")
     return spark.createDataFrame([(o["analysis"], int(o["rows"])) for o in out],
                                  "analysis string, rows bigint")
@@ -347,6 +422,7 @@ _ANALYSIS_SQL_KEYS = {name: ("q" + name if not name.startswith("10_") else "q10_
                       for name in A.ANALYSES}
 _reg("s5_view_roundtrip", _view_roundtrip, "SELECT * FROM stg")
 _reg("s6_table_roundtrip", _table_roundtrip, "SELECT * FROM mart")
+_reg("s8_result_csv_edges", _csv_result_edges, "SELECT show_id, chr(9) || title || ' ' AS title FROM stg")
 _reg("s8_result_csv_roundtrip", _csv_result_roundtrip, O.ANALYSIS_SQL["q04_country_production"])
 _reg("l3_run_analyses", _analysis_run, _Q01_BODY + f"\n, q01 AS ({_Q01_SELECT})\n" + "\nUNION ALL\n".join(
     f"SELECT '{name}' AS analysis, count(*) AS rows FROM "
@@ -358,6 +434,4 @@ _reg("l1_layered_build", _layered_build, """
     UNION ALL SELECT 'intermediate', 'int_title_countries', 'table', (SELECT count(*) FROM bc)
     UNION ALL SELECT 'intermediate', 'int_title_genres', 'table', (SELECT count(*) FROM bg)
     UNION ALL SELECT 'intermediate', 'int_title_people', 'table', (SELECT count(*) FROM bp)
-    UNION ALL SELECT 'intermediate', 'int_title_tokens', 'table',
-                     (SELECT count(DISTINCT show_id) FROM stg)
     UNION ALL SELECT 'marts', 'dim_title', 'table', (SELECT count(*) FROM mart)""")

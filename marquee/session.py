@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -67,23 +66,27 @@ def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
 def workspace_dir(spark: SparkSession, name: str | None = None) -> str:
     """A fresh folder under the cluster's shared checkpoint location.
 
-    ``spark.checkpoint.dir`` is read from the session; only when it is unset
-    (local tests) do we create one, under the system temp folder, and register
-    it so ``DataFrame.checkpoint()`` uses the same place.
+    ``spark.checkpoint.dir`` is read from the session.  Only where it is unset
+    and driver and executors share one machine (a ``local[*]`` master) one is
+    created under the system temp folder and registered, so that
+    ``DataFrame.checkpoint()`` uses the same place; any other master raises.
+    The folder itself is made by whoever writes to it, through Spark.
     """
     sc = spark.sparkContext
     base = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not base:
-        try:
-            base = spark.conf.get("spark.checkpoint.dir", None)
-        except Exception:  # pragma: no cover - conf lookup differs by mode
-            base = None
+        base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors "
+                               f"share: {sc.master} has none of its own")
         base = tempfile.mkdtemp(prefix="marquee-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(base)
-    sub = name or uuid.uuid4().hex
-    path = base.rstrip("/") + "/" + sub
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", "", 1), exist_ok=True)
-    return path
+    return base.rstrip("/") + "/" + (name or uuid.uuid4().hex)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists, in whatever file system it names."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)

@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from marquee.operators.profile import null_profile
+from marquee.session import path_exists
 from marquee.sources.synthetic import RAW_COLUMNS
 
 
+log = logging.getLogger(__name__)
+
+
 def all_string_schema(columns=RAW_COLUMNS) -> StructType:
     """Explicit all-text schema: types are decided in staging, never inferred."""
     return StructType([StructField(c, StringType(), True) for c in columns])
@@ -40,14 +46,23 @@ def contract_frame(spark: SparkSession, columns: list[str], expected=RAW_COLUMNS
     return spark.createDataFrame(rows, "column_name string, status string")
 
 
+# Holds the whole record of a row that has more fields than the header names.
+SURPLUS = "surplus_fields"
+
+
 def read_csv_landing(spark: SparkSession, path: str, expected=RAW_COLUMNS,
                      check: bool = True, multi_line: bool = True,
-                     partitions: int | None = None) -> DataFrame:
+                     partitions: int | None = None, surplus: bool = True) -> DataFrame:
     """S1: headed UTF-8 CSV, every column text, nothing trimmed or parsed.
 
     Short rows are padded with NULL (PERMISSIVE mode), an empty field lands
     as NULL, quoted fields may contain commas, doubled quotes and newlines.
-    Extra columns beyond the contract are kept as text.
+    Extra columns beyond the contract are kept as text and named in the log.
+    A row with more fields than the header lands with its first fields in
+    place and its whole record in ``surplus_fields`` (NULL elsewhere), so no
+    value is lost; ``surplus=False`` leaves that column out.  Every file's own
+    header is checked: a file whose columns differ in name or order from the
+    first one's fails the read instead of landing values under wrong names.
 
     Quoted newlines need ``multi_line=True``, which reads each file in one
     task (a file cannot be split without knowing the quote state).  For
@@ -57,24 +72,44 @@ def read_csv_landing(spark: SparkSession, path: str, expected=RAW_COLUMNS,
     the read (round-robin), so every later stage and the written landing are
     even, whatever the file sizes.
     """
+    require_inputs(spark, path)
     header = read_header(spark, path)
     if check:
-        check_contract(header, expected)
-    # Positional schema: the header's own names, all strings.
-    schema = all_string_schema(header)
+        extra = check_contract(header, expected)["extra"]
+        if extra:
+            log.info("source %s has extra columns: %s", path, ", ".join(extra))
+    # The header's own names, all strings, and room for malformed records.
+    schema = all_string_schema([*header, SURPLUS])
     df = (spark.read.schema(schema)
                .option("header", True)
                .option("multiLine", multi_line)
                .option("escape", '"')
                .option("encoding", "UTF-8")
                .option("mode", "PERMISSIVE")
+               .option("columnNameOfCorruptRecord", SURPLUS)
                .option("ignoreLeadingWhiteSpace", False)
                .option("ignoreTrailingWhiteSpace", False)
-               .option("enforceSchema", True)
+               .option("enforceSchema", False)
                .csv(path))
+    if surplus:
+        # The reader reports short rows as malformed too; only those with a
+        # field behind the last column of the header are over-long.
+        behind = F.from_csv(SURPLUS, ", ".join(f"c{i} string" for i in range(len(header) + 1)),
+                            {"escape": '"', "mode": "PERMISSIVE", "ignoreLeadingWhiteSpace": "false",
+                             "ignoreTrailingWhiteSpace": "false"})[f"c{len(header)}"]
+        df = df.withColumn(SURPLUS, F.when(behind.isNotNull(), F.col(SURPLUS)))
+    else:
+        df = df.drop(SURPLUS)
     return df.repartition(partitions) if partitions else df
 
 
+def require_inputs(spark: SparkSession, *paths: str) -> None:
+    """L4: fail early when an input (landing, warehouse) is missing, in any file system."""
+    for p in paths:
+        if not path_exists(spark, p):
+            raise FileNotFoundError(f"missing input: {p}")
+
+
 def write_csv_landing(df: DataFrame, path: str) -> str:
     """Write a landing as headed CSV (quotes escaped by doubling)."""
     # The writer trims outer spaces by default; a landing must stay untouched.

@@ -38,11 +38,14 @@ def as_counted_table(df: DataFrame, path: str, partition_cols=None,
 
 
 def write_result_csv(df: DataFrame, path: str, single_file: bool = False) -> str:
-    """S8: one headed CSV (folder of headed parts) per analysis.
+    """S8: one headed CSV (folder of headed parts) per analysis, values as
+    they are (the writer's own trimming of outer white space is turned off).
     ``single_file=True`` forces one part through ``coalesce(1)``; use it
     only for results known to be small."""
     out = df.coalesce(1) if single_file else df
-    out.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    (out.write.mode("overwrite").option("header", True).option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+        .csv(path))
     return path
 
 
@@ -54,6 +57,12 @@ def preview(df: DataFrame, n: int = 25) -> tuple[list, int]:
     return head, rest
 
 
-def read_result_csv(spark: SparkSession, path: str, schema) -> DataFrame:
-    """S10: read a written result back with a known schema (no inference)."""
-    return spark.read.schema(schema).option("header", True).option("escape", '"').csv(path)
+def read_result_csv(spark: SparkSession, path: str, schema, order_by=()) -> DataFrame:
+    """S10: read a written result back with a known schema (no inference).
+
+    A folder of parts has no row order of its own: ``order_by`` names the
+    result's sort keys (columns or names; see ``analyses.ORDER``)."""
+    df = (spark.read.schema(schema).option("header", True).option("escape", '"')
+          .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+          .csv(path))
+    return df.orderBy(*order_by) if order_by else df

@@ -42,8 +42,6 @@ RATING_CODES = (
     "PG-13", "TV-14", "R", "NC-17", "TV-MA", "NR", "UR",
 )
 
-MAX_LABELS = 3  # listed_in keeps the first 3 distinct labels
-
 # Landing defects used to make each assertion fire (FIXTURES.md section 4).
 DEFECTS = (
     "dup_keys",          # T1: rows with k % 500 = 0 appear twice
@@ -71,8 +69,7 @@ def _line_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = F.array(*[F.lit(x) for x in GENRE_LABELS])
     lines = (li.join(sup, li.l_suppkey == sup.s_suppkey)
                .join(nat, sup.s_nationkey == nat.n_nationkey))
-    order_key = (F.col("l_linenumber").cast("bigint") * F.lit(10_000_000_000)
-                 + F.col("l_partkey") * F.lit(10_000) + F.col("l_suppkey"))
+    order_key = F.struct("l_linenumber", "l_partkey", "l_suppkey")
     label = F.element_at(labels, (F.col("l_partkey") % len(GENRE_LABELS)).cast("int") + 1)
     # One row per (order, kind, value) with the first line that carries it.
     # The three kinds are stacked so a single aggregation handles them.
@@ -88,7 +85,10 @@ def _line_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _pack_per_order(firsts: DataFrame) -> DataFrame:
-    """Per order: ', '-joined values of each kind, ordered by first line."""
+    """Per order: ', '-joined values of each kind, ordered by first line.
+
+    A packed cell holds all values of its order, so one list per order is
+    inherent in the landing's format."""
     def kind_list(kind: int) -> Column:
         return F.array_sort(F.collect_list(
             F.when(F.col("kind") == kind, F.struct("o", "v"))))
@@ -96,17 +96,14 @@ def _pack_per_order(firsts: DataFrame) -> DataFrame:
     packed = firsts.groupBy("k").agg(
         kind_list(0).alias("_c"), kind_list(1).alias("_n"), kind_list(2).alias("_g"))
 
-    def joined(c: str, limit: int | None = None) -> Column:
-        vals = F.transform(F.col(c), lambda x: x["v"])
-        if limit is not None:
-            vals = F.slice(vals, 1, limit)
-        return F.array_join(vals, ", ")
+    def joined(c: str) -> Column:
+        return F.array_join(F.transform(F.col(c), lambda x: x["v"]), ", ")
 
     return packed.select(
         "k",
         joined("_c").alias("cast_packed"),
         joined("_n").alias("country_packed"),
-        joined("_g", MAX_LABELS).alias("labels_packed"),
+        joined("_g").alias("labels_packed"),
     )
 
 
@@ -139,12 +136,14 @@ def synthetic_landing(spark: SparkSession, sf_dir: str, defects=()) -> DataFrame
         F.concat(F.lit("Title "), ks).alias("title"),
         F.when(k % 3 == 0, F.lit(None).cast("string"))
          .when(k % 10 == 4, F.concat_ws(", ", person(0), person(7)))
+         .when(k % 40 == 1, F.concat(F.lit("Guest#"), (k % 9973).cast("string")))
          .otherwise(person(0)).alias("director"),
         F.when(k % 11 == 0, F.lit(None).cast("string"))
          .otherwise(F.col("cast_packed")).alias("cast"),
         F.when(k % 13 == 0, F.lit(None).cast("string"))
          .when(k % 97 == 0, F.concat(F.col("country_packed"), F.lit(", ")))
          .when(k % 193 == 0, F.concat(F.lit(", "), F.col("country_packed")))
+         .when(k % 199 == 0, F.concat(F.col("country_packed"), F.lit(", ISLAND "), (k % 97).cast("string")))
          .otherwise(F.col("country_packed")).alias("country"),
         F.when(k % 700 == 0, F.lit(None).cast("string"))
          .when(k % 88 == 0, F.concat(F.lit(" "), date_text))
@@ -152,8 +151,10 @@ def synthetic_landing(spark: SparkSession, sf_dir: str, defects=()) -> DataFrame
         (F.year("o_orderdate") - (k % 17) + 1).cast("string").alias("release_year"),
         F.when(k % 15 == 14, F.lit(None).cast("string"))
          .otherwise(F.element_at(ratings, (k % 15).cast("int") + 1)).alias("rating"),
-        F.when(is_tv & (k % 4 == 0), F.lit("1 Season"))
+        F.when(is_tv & (k % 60 == 1), F.concat((11 + k % 5).cast("string"), F.lit(" Seasons")))
+         .when(is_tv & (k % 4 == 0), F.lit("1 Season"))
          .when(is_tv, F.concat((1 + k % 4).cast("string"), F.lit(" Seasons")))
+         .when(k % 50 == 5, F.concat((205 + k % 61).cast("string"), F.lit(" min")))
          .otherwise(F.concat((60 + k % 120).cast("string"), F.lit(" min"))).alias("duration"),
         F.col("labels_packed").alias("listed_in"),
         F.concat(F.lit("Priority "), F.col("o_orderpriority")).alias("description"),

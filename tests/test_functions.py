@@ -63,7 +63,8 @@ def test_dates_whitespace_and_year_width(spark):
 def test_to_int_reads_decimals_like_the_reference(spark):
     from marquee.functions import to_int
     cases = {"2019": 2019, "+2019": 2019, "2019.0": 2019, "2019.5": 2020, "-2.5": -3,
-             "1e3": 1000, ".5": 1, "2147483648": None, "n/a": None, "20 19": None, "": None}
+             "1e3": 1000, ".5": 1, "0.49999999999": 0, "2019.49999999999": 2019,
+             "\u0968\u0966\u0967\u096f": None, "0x10": None, "2147483648": None, "n/a": None, "20 19": None, "": None}
     for text, want in cases.items():
         assert one(spark, to_int("x"), text) == want, text
 

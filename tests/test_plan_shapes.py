@@ -33,23 +33,27 @@ def test_uniqueness_check_reads_only_the_key(spark):
     assert "ReadSchema: struct<show_id:string>" in p or "struct<show_id:string>" in p
 
 
-def test_bridge_mart_analyses_have_no_join(spark):
-    cat = Catalogue(landed(spark))
-    for fn in (A.q04_country_production, A.q05_genre_profile, A.q07_top_people,
-               A.q10_co_production):
+def test_bridge_mart_analyses_join_one_row_per_title(spark):
+    """On a finished build they read the bridge and the mart, reduce the mart
+    to one row per title and join on the title: no self-join, no pair of copies."""
+    cat = build(landed(spark)).catalogue
+    for fn in (A.q04_country_production, A.q05_genre_profile, A.q07_top_people, A.q10_co_production):
         p = plan(fn(cat))
-        assert "Join" not in p, p
-        assert "CartesianProduct" not in p and "NestedLoop" not in p
-
-
-def test_grouped_plan_joins_bounded_per_title_rows_only(spark):
-    """Repeated keys: no self-join or cross join; the only join is the
-    one-row-per-title measures against per-title distinct values."""
-    cat = Catalogue(landed(spark), unique_keys=False)
-    p = plan(A.q10_co_production(cat))
-    assert "NestedLoop" not in p and "CartesianProduct" not in p
-    assert p.count("SortMergeJoin") + p.count("BroadcastHashJoin") == 1
-    assert "collect_list" in p  # of (country, multiplicity): distinct values per title
+        assert "CartesianProduct" not in p, p
+        # The total of the shares is a one-row frame.
+        assert p.count("NestedLoop") == (1 if fn in (A.q04_country_production, A.q05_genre_profile) else 0), p
+        assert "dim_title" in p and "posexplode(split" not in p.replace(" ", ""), p
+
+
+def test_shares_hold_no_group_table_in_one_task(spark):
+    cat = build(landed(spark)).catalogue
+    for fn in (A.q04_country_production, A.q05_genre_profile):
+        assert "Window" not in plan(fn(cat))
+
+
+def test_orphans_are_found_by_one_anti_join(spark):
+    from marquee.plans import assertions as T
+    assert plan(T.t09_referential_integrity(build(landed(spark)).catalogue)).count("LeftAnti") == 1
 
 
 def test_approximate_variants_close(spark):

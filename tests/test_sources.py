@@ -43,7 +43,7 @@ def test_contract_missing_and_extra(spark, scratch):
     with pytest.raises(S.ContractError):
         S.read_csv_landing(spark, path)
     extra = write(scratch, "extra", HEADER + ",bonus\n" + "s1" + "," * 12 + "x\n")
-    df = S.read_csv_landing(spark, extra)
+    df = S.read_csv_landing(spark, extra, surplus=False)
     assert df.columns[-1] == "bonus" and df.first()["bonus"] == "x"
     assert S.check_contract(df.columns)["extra"] == ["bonus"]
 
@@ -53,7 +53,7 @@ def test_roundtrip_profile_and_size(spark, scratch):
     from tests.conftest import SF_SMALL
     raw = synthetic_landing(spark, SF_SMALL)
     path = S.write_csv_landing(raw, scratch + "/rt")
-    back = S.read_csv_landing(spark, path)
+    back = S.read_csv_landing(spark, path, surplus=False)
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, raw.collect()))
     prof = {r["column_name"]: r["null_rows"] for r in S.landing_profile(back).collect()}
     assert prof["director"] == 500 and prof["cast"] == 163 and prof["country"] == 141
@@ -67,9 +67,9 @@ def test_splittable_and_rebalanced_reads(spark, scratch):
     raw = synthetic_landing(spark, SF_SMALL)
     path = S.write_csv_landing(raw.coalesce(1), scratch + "/one_file")
     want = sorted(map(tuple, raw.collect()))
-    flat = S.read_csv_landing(spark, path, multi_line=False)
+    flat = S.read_csv_landing(spark, path, multi_line=False, surplus=False)
     assert sorted(map(tuple, flat.collect())) == want
-    even = S.read_csv_landing(spark, path, partitions=6)
+    even = S.read_csv_landing(spark, path, partitions=6, surplus=False)
     assert even.rdd.getNumPartitions() == 6
     assert sorted(map(tuple, even.collect())) == want
 
@@ -79,3 +79,43 @@ def test_empty_fields_land_as_null_quoted_or_not(spark, scratch):
     r = S.read_csv_landing(spark, path).first()
     assert r["type"] is None and r["title"] is None          # "" and empty -> NULL
     assert r["director"] == "  " and r["cast"] == " "        # whitespace kept as landed
+
+
+def test_long_rows_keep_every_value(spark, scratch):
+    long = ",".join(f"v{i}" for i in range(14))
+    path = write(scratch, "long", HEADER + "\n" + long + "\n" + "s2,TV Show,Short\n" + 's3,"a, b"' + "," * 10 + ',"x, y"\n')
+    rows = {r["show_id"]: r for r in S.read_csv_landing(spark, path).collect()}
+    assert rows["v0"]["description"] == "v11" and rows["v0"][S.SURPLUS] == long
+    assert rows["s2"][S.SURPLUS] is None and rows["s2"]["title"] == "Short"
+    assert rows["s3"]["type"] == "a, b" and rows["s3"][S.SURPLUS].endswith('"x, y"')
+
+
+def test_files_in_another_column_order_fail(spark, scratch):
+    path = write(scratch, "mixed", HEADER + "\ns1,Movie,Title" + "," * 9 + "\n")
+    other = [*RAW_COLUMNS]
+    other[1], other[2] = other[2], other[1]
+    with open(os.path.join(path, "second.csv"), "w", encoding="utf-8") as f:
+        f.write(",".join(other) + "\ns2,Title,Movie" + "," * 9 + "\n")
+    with pytest.raises(Exception, match="header"):
+        S.read_csv_landing(spark, path).collect()
+
+
+def test_results_come_back_as_written_and_in_order(spark, scratch):
+    from pyspark.sql import functions as F
+
+    from marquee.sources.sinks import read_result_csv, write_result_csv
+    df = spark.createDataFrame([(i, f"\tv{i} ") for i in range(100)], "n int, v string")
+    sorted_parts = df.repartitionByRange(4, F.desc("n")).sortWithinPartitions(F.desc("n"))
+    path = write_result_csv(sorted_parts, scratch + "/parts")
+    back = read_result_csv(spark, path, df.schema, [F.desc("n")]).collect()
+    assert [tuple(r) for r in back] == [(i, f"\tv{i} ") for i in range(99, -1, -1)]
+
+
+def test_shared_folder_is_required_off_the_local_machine():
+    from types import SimpleNamespace
+
+    from marquee.session import workspace_dir
+    conf = SimpleNamespace(get=lambda key, default=None: default)
+    context = SimpleNamespace(getCheckpointDir=lambda: None, getConf=lambda: conf, master="spark://host:7077")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        workspace_dir(SimpleNamespace(sparkContext=context, conf=conf))
