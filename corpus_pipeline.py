@@ -49,7 +49,7 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token ids of what is left, with a check that they decode to the text."""
-    got = bpe.decode(bpe.encode(docs.select("doc_id", "text")))
+    got = bpe.encode(docs.select("doc_id", "text"), decoded="decoded")
     whole = F.col("decoded") == F.coalesce(F.col("text"), F.lit("")).cast("binary")
     return got.select("doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"), "ids",
                       whole.alias("round_trip"))

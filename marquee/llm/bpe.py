@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import base64
 import functools
-import heapq
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import public_tokenizers
@@ -27,11 +27,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_column, texts
+from .common import PieceTable, arrow_column, binary_array, text_chunks
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-#: Misses that a worker remembers; the memory is emptied when it is full.
-REMEMBERED = 200_000
+#: Distinct pre-tokens whose ids a worker remembers; the memory is emptied when it is full.
+REMEMBERED = 300_000
 
 
 _GOLDEN, _MIX = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9
@@ -99,78 +99,56 @@ class Codec:
         pairs = [(base64.b64decode(k), int(v)) for k, v in (line.split() for line in ranks.splitlines() if line)]
         self.rank = dict(pairs)
         self.tokens = [k for k, _ in pairs]
-        self.ids = np.array([v for _, v in pairs], dtype=np.uint32)
+        self.values = [v for _, v in pairs]
         self.bytes_of = {v: k for k, v in pairs}
         self.hash = built or PerfectHash(self.tokens)
         self.pattern = regex.compile(pattern)
-        self.known: dict[bytes, np.ndarray] = {}
+        self.table = PieceTable(self._solve, REMEMBERED)
 
-    def merge(self, piece: bytes) -> np.ndarray:
+    def merge(self, piece: bytes) -> list[int]:
         """Ids of a pre-token that is not in the vocabulary."""
-        rank, n = self.rank, len(piece)
-        start = list(range(n + 1))  # a part runs from its place to the next part's
+        rank, n = self.rank.get, len(piece)
         after, before = list(range(1, n + 2)), list(range(-1, n))
-        heap = []
-        for i in range(n - 1):
-            if (r := rank.get(piece[i:i + 2])) is not None:
-                heap.append((r, i, 2))
-        heapq.heapify(heap)
-        alive = bytearray(b"\1") * n
+        heap = [(r, i, 2) for i in range(n - 1) if (r := rank(piece[i:i + 2])) is not None]
+        heapify(heap)
+        alive = bytearray(b"\1") * (n + 1)
         while heap:
-            _, i, size = heapq.heappop(heap)
-            if not alive[i]:
-                continue
+            _, i, size = heappop(heap)
             j = after[i]
-            if j >= n or (k := after[j]) - i != size:
-                continue  # one of the two parts has grown since
+            # A part that was merged away, or one that has grown since.
+            if not alive[i] or j >= n or after[j] - i != size:
+                continue
+            k = after[i] = after[j]
             alive[j] = 0
-            after[i] = k
-            if k <= n:
-                before[k] = i
-            if k < n and (r := rank.get(piece[i:after[k]])) is not None:
-                heapq.heappush(heap, (r, i, after[k] - i))
-            if (p := before[i]) >= 0 and (r := rank.get(piece[p:k])) is not None:
-                heapq.heappush(heap, (r, p, k - p))
-        out, i = [], start[0]
+            before[k] = i
+            if k < n and (r := rank(piece[i:after[k]])) is not None:
+                heappush(heap, (r, i, after[k] - i))
+            if (p := before[i]) >= 0 and (r := rank(piece[p:k])) is not None:
+                heappush(heap, (r, p, k - p))
+        out, i = [], 0
         while i < n:
-            out.append(rank[piece[i:after[i]]])
+            out.append(rank(piece[i:after[i]]))
             i = after[i]
-        return np.array(out, dtype=np.uint32)
+        return out
 
-    def encode(self, batch: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of the batch in order, and the number of each text's."""
-        number: dict[str, int] = {}
-        codes, sizes = [], np.empty(len(batch), dtype=np.int64)
-        find = self.pattern.findall
-        for at, text in enumerate(batch):
-            own = [number.setdefault(p, len(number)) for p in find(text)]
-            codes.append(np.array(own, dtype=np.int64))
-            sizes[at] = len(own)
-        if not number:
-            return np.zeros(0, np.uint32), np.zeros(len(batch), np.int64)
-        pieces = [p.encode() for p in number]
-        maybe = self.hash.lookup(pieces)
-        parts: list = [None] * len(pieces)
-        for k, (piece, at) in enumerate(zip(pieces, maybe.tolist(), strict=True)):
+    def _solve(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        raw = [p.encode() for p in pieces]
+        flat: list[int] = []
+        width = np.ones(len(raw), dtype=np.int64)
+        for k, (piece, at) in enumerate(zip(raw, self.hash.lookup(raw).tolist(), strict=True)):
             if self.tokens[at] == piece:
-                parts[k] = self.ids[at:at + 1]
-            elif (got := self.known.get(piece)) is not None:
-                parts[k] = got
+                flat.append(self.values[at])
             else:
-                parts[k] = got = self.merge(piece)
-                if len(self.known) >= REMEMBERED:
-                    self.known.clear()
-                if len(piece) <= 64:
-                    self.known[piece] = got
-        width = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts))
-        flat = np.concatenate(parts)
-        first = np.cumsum(width) - width
-        every = np.concatenate(codes)
-        wide = width[every]
-        ends = np.cumsum(wide)
-        at = np.repeat(first[every] - (ends - wide), wide) + np.arange(ends[-1] if len(ends) else 0)
-        bounds = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(sizes)))]
-        return flat[at], np.diff(bounds)
+                got = self.merge(piece)
+                width[k] = len(got)
+                flat += got
+        return np.array(flat, dtype=np.int32), width
+
+    def encode(self, batch: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the batch in order, and the number of each text's."""
+        self.table.make_room()
+        rows = [self.pattern.findall(text) for text in batch]
+        return self.table.ids(rows, np.fromiter(map(len, rows), dtype=np.int64, count=len(rows)))
 
     def decode(self, ids: np.ndarray) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids.tolist()))
@@ -201,30 +179,34 @@ def _built(ranks: bytes) -> PerfectHash:
     return PerfectHash([base64.b64decode(line.split()[0]) for line in ranks.splitlines() if line])
 
 
-#: Characters of text that are encoded at once; bounds the memory of a task.
-CHUNK = 8 << 20
+def encode(df: DataFrame, text: str = "text", out: str = "ids", decoded: str | None = None,
+           ranks_path: str = RANKS, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
+    """``df`` with column ``out``: the ids of ``text`` as little-endian unsigned 32-bit integers (binary).
 
-
-def encode(df: DataFrame, text: str = "text", out: str = "ids", ranks_path: str = RANKS,
-           pattern: str = public_tokenizers.PATTERN) -> DataFrame:
-    """``df`` with column ``out``: the ids of ``text`` as little-endian unsigned 32-bit integers (binary)."""
+    ``decoded`` names a column for the bytes that the ids decode to, made in
+    the same pass over the batch (``decode`` does so for stored ids)."""
     sent, key = _sent(df.sparkSession, ranks_path, pattern)
 
     def kernel(batch: pa.Array) -> pa.Array:
-        codec, rows, found = _codec(sent, key), texts(batch), []
-        at = 0
-        while at < len(rows):
-            to, size = at, 0
-            while to < len(rows) and (to == at or size + len(rows[to]) <= CHUNK):
-                size += len(rows[to])
-                to += 1
-            ids, sizes = codec.encode(rows[at:to])
-            raw, ends = ids.astype("<u4").tobytes(), (4 * np.cumsum(sizes)).tolist()
-            found += [raw[a:b] for a, b in zip([0, *ends], ends, strict=False)]
-            at = to
-        return pa.array(found, pa.binary())
-
-    return df.withColumn(out, arrow_column(kernel, "binary")(F.col(text)))
+        codec, parts, counts, back, lengths = _codec(sent, key), [], [np.zeros(0, np.int64)], [], []
+        for chunk in text_chunks(batch):
+            ids, sizes = codec.encode(chunk)
+            parts.append(ids.astype("<u4"))
+            counts.append(4 * sizes)
+            if decoded:
+                ends = np.cumsum(sizes).tolist()
+                own = [codec.decode(ids[a:b]) for a, b in zip([0, *ends], ends, strict=False)]
+                back.append(np.frombuffer(b"".join(own), dtype=np.uint8))
+                lengths += map(len, own)
+        found = [binary_array(parts, np.concatenate(counts))]
+        if decoded:
+            found.append(binary_array(back, np.array(lengths, dtype=np.int64)))
+        pa.default_memory_pool().release_unused()
+        return pa.StructArray.from_arrays(found, names=["ids", "decoded"][:len(found)])
+
+    kind = "struct<ids:binary,decoded:binary>" if decoded else "struct<ids:binary>"
+    got = df.withColumn("__e", arrow_column(kernel, kind)(F.col(text))).withColumn(out, F.col("__e.ids"))
+    return (got.withColumn(decoded, F.col("__e.decoded")) if decoded else got).drop("__e")
 
 
 def decode(df: DataFrame, ids: str = "ids", out: str = "decoded", ranks_path: str = RANKS,
@@ -234,6 +216,6 @@ def decode(df: DataFrame, ids: str = "ids", out: str = "decoded", ranks_path: st
 
     def kernel(batch: pa.Array) -> pa.Array:
         codec = _codec(sent, key)
-        return pa.array([codec.decode(np.frombuffer(x or b"", dtype="<u4")) for x in batch.to_pylist()], pa.binary())
+        return pa.array([codec.decode(np.frombuffer(x.as_py() or b"", dtype="<u4")) for x in batch], pa.binary())
 
     return df.withColumn(out, arrow_column(kernel, "binary")(F.col(ids)))

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import gc
+import time
 from collections import defaultdict
 from collections.abc import Callable, Iterable, Iterator
-from itertools import chain, islice
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,10 +34,13 @@ def release(spark: SparkSession) -> None:
 
     Spark's context cleaner removes a shuffle once its plan is unreachable on
     the driver; a long job would otherwise hold all of them until the driver
-    happens to collect its garbage.
+    happens to collect its garbage.  The end of a query is told to listeners
+    in the background, which keep its plan for a moment: hence the second try.
     """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def arrow_column(kernel: Callable[[pa.Array], pa.Array], kind: str):
@@ -61,11 +65,13 @@ def utf8_views(batch: pa.Array) -> list[bytes]:
     return [b"" if t is None else t for t in batch.cast(kind).to_pylist()]
 
 
-def list_array(values: np.ndarray, sizes: np.ndarray, kind: pa.DataType) -> pa.Array:
-    """A list array from all values in order and the size of each list."""
-    offsets = np.zeros(len(sizes) + 1, dtype=np.int32)
+def binary_array(parts: list[np.ndarray], sizes: np.ndarray) -> pa.Array:
+    """A binary array over the joined parts, without a copy for each value; ``sizes`` in bytes."""
+    offsets = np.zeros(len(sizes) + 1, dtype=np.int64)
     np.cumsum(sizes, out=offsets[1:])
-    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, kind))
+    data = np.concatenate(parts) if parts else np.zeros(0, np.uint8)
+    return pa.Array.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(data)]).cast(
+        pa.binary())
 
 
 def row_count_bytes(df: DataFrame, column: str) -> tuple[int, int]:
@@ -85,7 +91,7 @@ def broadcast_if_few(df: DataFrame) -> DataFrame:
 
 
 #: Characters of text that a kernel handles at once; bounds the memory of a task.
-CHUNK = 1 << 20
+CHUNK = 2 << 20
 
 
 def text_chunks(batch: pa.Array, size: int = CHUNK) -> Iterator[list[str]]:
@@ -107,9 +113,9 @@ class PieceTable:
         self.clear()
 
     def clear(self) -> None:
-        self.number: defaultdict[str, int] = defaultdict()
-        self.number.default_factory = self.number.__len__
-        self.flat, self.width = np.zeros(0, np.int32), np.zeros(0, np.int64)
+        self.number = _numbering()
+        self.flat, self.used = np.zeros(1 << 16, np.int32), 0
+        self.first, self.width = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
 
     def make_room(self) -> None:
         if len(self.number) > self.limit:
@@ -117,13 +123,34 @@ class PieceTable:
 
     def ids(self, rows: list[Iterable[str]], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the rows' pieces in order, and each row's number of ids; ``sizes``: pieces of each row."""
+        # The batch's own numbers first: its few distinct pieces stay in the processor's cache.
+        near = _numbering()
+        codes = np.fromiter(map(near.__getitem__, chain.from_iterable(rows)), dtype=np.int64, count=int(sizes.sum()))
         known = len(self.number)
-        codes = np.fromiter(map(self.number.__getitem__, chain.from_iterable(rows)), dtype=np.int64, count=int(sizes.sum()))
-        if len(self.number) > known:
-            flat, width = self.solve(list(islice(self.number, known, None)))
-            self.flat, self.width = np.concatenate((self.flat, flat)), np.concatenate((self.width, width))
-        first = np.cumsum(self.width) - self.width
+        new = [p for p in near if p not in self.number]
+        codes = np.fromiter(map(self.number.__getitem__, near), dtype=np.int64, count=len(near))[codes]
+        if new:
+            flat, width = self.solve(new)
+            self.flat = _fitted(self.flat, self.used, flat)
+            self.width = _fitted(self.width, known, width)
+            self.first = _fitted(self.first, known, self.used + np.cumsum(width) - width)
+            self.used += len(flat)
         wide = self.width[codes]
         ends = np.concatenate(([0], np.cumsum(wide)))
-        at = np.repeat(first[codes] - ends[:-1], wide) + np.arange(ends[-1])
+        at = np.repeat(self.first[codes] - ends[:-1], wide) + np.arange(ends[-1])
         return self.flat[at], np.diff(ends[np.concatenate(([0], np.cumsum(sizes)))])
+
+
+def _numbering() -> defaultdict[str, int]:
+    """A dictionary that numbers its keys as they come."""
+    number: defaultdict[str, int] = defaultdict()
+    number.default_factory = number.__len__
+    return number
+
+
+def _fitted(held: np.ndarray, used: int, new: np.ndarray) -> np.ndarray:
+    """``held`` with ``new`` behind its first ``used`` values, grown by doubling."""
+    if used + len(new) > len(held):
+        held = np.concatenate((held[:used], np.zeros(max(used, 2 * len(new)), held.dtype)))
+    held[used:used + len(new)] = new
+    return held

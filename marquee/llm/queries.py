@@ -17,7 +17,7 @@ from .common import table
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    got = bpe.decode(bpe.encode(docs).drop("text"))
+    got = bpe.encode(docs, decoded="decoded")
     return got.select("doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
                       F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 

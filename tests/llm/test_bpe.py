@@ -51,6 +51,8 @@ def test_odd_documents(spark, odd_docs, no_docs, library):
         assert bytes(r["ids"]) == b"".join(i.to_bytes(4, "little") for i in ids)
         assert hashlib.sha256(r["decoded"]).digest() == hashlib.sha256(text.encode()).digest()
     assert bpe.decode(bpe.encode(no_docs)).count() == 0
+    both = bpe.encode(odd_docs, decoded="decoded").collect()
+    assert sorted(bytes(r["decoded"]) for r in both) == sorted(bytes(r["decoded"]) for r in got)
 
 
 def test_a_column_of_the_outputs_name_is_replaced(spark):
