@@ -32,6 +32,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,10 +42,12 @@ from .ngram_join import mix
 LENGTH = 50
 GRAM = 20
 #: Bytes of text in a batch, and of text whose buckets form a group.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 6 << 20
 GROUP_BYTES = 64 << 20
+#: Bytes of runs whose suffixes are ordered at once (whole buckets).
+SLICE_BYTES = 2 << 20
 #: Bytes hashed at once, windows sorted at once, windows in a run at most.
-CHUNK, BLOCK, RUN = 1 << 18, 1 << 19, 256
+CHUNK, BLOCK, RUN = 1 << 18, 1 << 18, 256
 _U = np.uint64
 
 
@@ -169,10 +172,11 @@ class Suffixes:
         rank = np.zeros(len(self.key) + 7, dtype=np.int64)
         rank[cover] = _dense(self.key[cover])
         # Keys of seven symbols that hold an end are unlike all others, so a step past it is never decisive.
+        # Windows are told apart within their length, so ranks need to look no further.
         step, last = 7, self.key & _U(511)
         ended = np.zeros(len(rank), dtype=bool)
         ended[cover] = last[cover] == 0
-        while step < longest:
+        while step < min(longest, self.length):
             ahead = np.minimum(cover + step, len(rank) - 1)
             follow = np.where(ended[cover], 0, rank[ahead])
             now = _dense(rank[cover] * (len(cover) + 2) + follow)
@@ -246,6 +250,23 @@ class Suffixes:
         return out
 
 
+def _window_minima(runs_of: list[tuple[int, bytes]], windows: np.ndarray, docs: np.ndarray, length: int) -> np.ndarray:
+    """For each window of distinct runs (bucket, bytes) the smallest of ``docs`` over all equal windows.
+
+    A run that is alone in its bucket meets no other run's windows; only the rest are sorted."""
+    least = np.repeat(docs, windows)
+    bucket = np.array([k for k, _ in runs_of], dtype=_U)
+    order = np.argsort(bucket, kind="stable")
+    same = bucket[order][1:] == bucket[order][:-1]
+    met = np.zeros(len(bucket), dtype=bool)
+    met[order[1:][same]] = met[order[:-1][same]] = True
+    if met.any():
+        own = np.flatnonzero(met)
+        found = Suffixes([runs_of[k][1] for k in own], windows[own], bucket[own], length).smallest(docs[own])
+        least[np.repeat(met, windows)] = found
+    return least
+
+
 class Batch:
     """One batch's documents, in an order that every step finds again."""
 
@@ -260,7 +281,8 @@ class Batch:
 
     def twice(self) -> np.ndarray:
         """Buckets of two or more rows of this batch."""
-        pairs = np.unique(self.at * (len(self.ids) + 1) + self.doc)
+        pairs = np.sort(self.at * (len(self.ids) + 1) + self.doc)
+        pairs = pairs[np.append(True, pairs[1:] != pairs[:-1])] if len(pairs) else pairs
         return np.bincount(pairs // (len(self.ids) + 1), minlength=len(self.buckets)) > 1
 
     def share(self, bits: dict[int, bytes]) -> None:
@@ -367,38 +389,59 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: i
         spans = [(g, int(x), int(y)) for g, (x, y) in
                  enumerate(zip(b.content_bounds, b.content_bounds[1:], strict=False)) if y > x]
         sizes = np.array([len(c) for c in b.contents], dtype="<i4")
+        pack = zstandard.ZstdCompressor(level=1)
         return pa.table({
             "batch": pa.array([key[0].as_py()] * len(spans), pa.int64()),
             "grp": pa.array([g for g, _, _ in spans], pa.int64()),
-            "bytes": pa.array([b"".join(b.contents[x:y]) for _, x, y in spans], pa.binary()),
+            "bytes": pa.array([pack.compress(b"".join(b.contents[x:y])) for _, x, y in spans], pa.binary()),
             "sizes": pa.array([sizes[x:y].tobytes() for _, x, y in spans], pa.binary()),
             "buckets": pa.array([b.bucket[x:y].tobytes() for _, x, y in spans], pa.binary()),
             "docs": pa.array([b.smallest[x:y].tobytes() for _, x, y in spans], pa.binary())})
 
     def sort(table: pa.Table) -> pa.Table:
-        number: dict[tuple[int, bytes], int] = {}
-        batch, codes, docs_of = [], [], []
-        for r in table.to_pylist():
-            ends = np.cumsum(np.frombuffer(r["sizes"], "<i4")).tolist()
-            bucket = np.frombuffer(r["buckets"], dtype=_U).tolist()
-            codes.append(np.array([number.setdefault((k, r["bytes"][x:y]), len(number))
-                                   for k, x, y in zip(bucket, [0, *ends], ends, strict=False)], dtype=np.int64))
-            docs_of.append(np.frombuffer(r["docs"], dtype=np.int64))
-            batch.append((r["batch"], r["grp"]))
-        smallest = np.full(len(number), np.iinfo(np.int64).max)
-        np.minimum.at(smallest, np.concatenate(codes), np.concatenate(docs_of))
-        contents = [c for _, c in number]
-        windows = np.array([len(c) - length + 1 for c in contents], dtype=np.int64)
-        least = Suffixes(contents, windows, np.array([k for k, _ in number], dtype=_U), length).smallest(smallest)
-        first = np.cumsum(windows) - windows
-        blobs = []
-        for code, own in zip(codes, docs_of, strict=True):
-            wide = windows[code]
-            at = np.repeat(first[code] - (np.cumsum(wide) - wide), wide) + np.arange(wide.sum())
-            blobs.append(np.packbits(least[at] < np.repeat(own, wide)).tobytes())
-        return pa.table({"batch": pa.array([b for b, _ in batch], pa.int64()),
-                         "grp": pa.array([g for _, g in batch], pa.int64()),
-                         "kind": pa.array(["copies"] * len(batch), pa.string()), "blob": pa.array(blobs, pa.binary())})
+        rows = table.to_pylist()
+        unpack = zstandard.ZstdDecompressor()
+        for r in rows:
+            r["bytes"] = unpack.decompress(r["bytes"])
+        buckets = [np.frombuffer(r["buckets"], dtype=_U) for r in rows]
+        ends = [np.cumsum(np.frombuffer(r["sizes"], "<i4").astype(np.int64)) for r in rows]
+        owners = [np.frombuffer(r["docs"], dtype=np.int64) for r in rows]
+        total = np.sort(np.concatenate([np.stack([b, np.diff(np.concatenate(([0], e))).astype(_U)], axis=1)
+                                        for b, e in zip(buckets, ends, strict=True)]).view("u8,u8").ravel(), order="f0")
+        filled = np.cumsum(total["f1"].astype(np.int64)) // SLICE_BYTES
+        # Slices of whole buckets, each of about SLICE_BYTES; every batch's runs come in order of their buckets.
+        cuts = np.unique(total["f0"][np.flatnonzero(np.diff(filled)) + 1]) if len(total) else np.zeros(0, _U)
+        edges = [np.concatenate(([0], np.searchsorted(b, cuts), [len(b)])) for b in buckets]
+        copies = [np.zeros(int((np.diff(np.concatenate(([0], e))) - length + 1).sum()), dtype=bool) for e in ends]
+        place = [0] * len(rows)
+        for k in range(len(cuts) + 1):
+            number: dict[tuple[int, bytes], int] = {}
+            used, codes = [], []
+            for at, r in enumerate(rows):
+                x, y = int(edges[at][k]), int(edges[at][k + 1])
+                if y > x:
+                    stops = ends[at][x:y].tolist()
+                    starts = [int(ends[at][x - 1]) if x else 0, *stops[:-1]]
+                    codes.append(np.array([number.setdefault((c, r["bytes"][i:j]), len(number)) for c, i, j in zip(
+                        buckets[at][x:y].tolist(), starts, stops, strict=True)], dtype=np.int64))
+                    used.append((at, x, y))
+            if not number:
+                continue
+            smallest = np.full(len(number), np.iinfo(np.int64).max)
+            for (at, x, y), code in zip(used, codes, strict=True):
+                np.minimum.at(smallest, code, owners[at][x:y])
+            windows = np.array([len(c) - length + 1 for _, c in number], dtype=np.int64)
+            least = _window_minima(list(number), windows, smallest, length)
+            first = np.cumsum(windows) - windows
+            for (at, x, y), code in zip(used, codes, strict=True):
+                wide = windows[code]
+                inside = np.repeat(first[code] - (np.cumsum(wide) - wide), wide) + np.arange(wide.sum())
+                copies[at][place[at]:place[at] + len(inside)] = least[inside] < np.repeat(owners[at][x:y], wide)
+                place[at] += len(inside)
+        return pa.table({"batch": pa.array([r["batch"] for r in rows], pa.int64()),
+                         "grp": pa.array([r["grp"] for r in rows], pa.int64()),
+                         "kind": pa.array(["copies"] * len(rows), pa.string()),
+                         "blob": pa.array([np.packbits(c).tobytes() for c in copies], pa.binary())})
 
     def cut(key, table: pa.Table, answers: pa.Table) -> pa.Table:
         b = Batch(table, length, groups)

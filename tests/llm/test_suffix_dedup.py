@@ -39,6 +39,8 @@ def found(df):
 def test_as_brute_force(spark, monkeypatch, length):
     monkeypatch.setattr(suffix_dedup, "BLOCK", 64)  # several suffix blocks
     monkeypatch.setattr(suffix_dedup, "CHUNK", 700)
+    monkeypatch.setattr(suffix_dedup, "SLICE_BYTES", 900)
+    monkeypatch.setattr(suffix_dedup, "BATCH_BYTES", 2000)
     rng = random.Random(length)
     passages = ["".join(rng.choices("abé ", k=rng.randint(20, 160))) for _ in range(12)]
     rows = []
