@@ -10,7 +10,7 @@ output says whether it belongs to the article.
 Training.  Pages carry no labels, so the labeller learns from pages that are
 put together from the roles a page can have (menus, headers, footers, sidebars, notices, adverts, forms, comments, and
 articles), each with the element names and class words usual for it, filled
-with words from at most ``SAMPLE_PAGES`` pages of the table.  Their labels are known as they are
+with words from about ``SAMPLE_PAGES`` pages of the table.  Their labels are known as they are
 built; seeds are fixed, so the same table gives the same model.
 
 Text.  Scripts, styles, templates and comments are dropped; character
@@ -364,10 +364,13 @@ def train(words: list[str], seed: int = 7, pages: int = TRAINING_PAGES) -> Label
 
 
 def fit(pages: DataFrame, column: str = "html", sample_pages: int = SAMPLE_PAGES) -> Labeller:
-    """Train with the words of the ``sample_pages`` pages of smallest hash."""
+    """Train with the words of about ``sample_pages`` pages, those of small hashes."""
     rows = pages.filter(F.col(column).isNotNull()).select(F.col(column).alias("h"))
-    rows = rows.orderBy(F.xxhash64("h"), F.length("h")).limit(sample_pages).collect()
-    words = sorted({w for r in rows for _, t, _ in blocks(r["h"]) for w in t.split(" ") if not set(w) & set("<>&")})
+    near = F.pmod(F.xxhash64("h"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    share = sample_pages / max(1, rows.count())
+    # Copies share a hash: the limit bounds what a page of very many copies sends.
+    rows = sorted(r["h"] for r in rows.filter(near <= share).limit(4 * sample_pages).collect())
+    words = sorted({w for r in rows for _, t, _ in blocks(r) for w in t.split(" ") if not set(w) & set("<>&")})
     return train(words)
 
 
