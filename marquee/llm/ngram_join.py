@@ -15,8 +15,11 @@ pairs within a group:
    also signs for the interval below if it may link into it.  There are E parts
    more than needed, so parts of fewer than three shingles, which many
    documents share by chance, are left out by documents with at most E of them.
-3. Clusters.  Each signature's smallest class is joined to its other classes
-   (a star, not all pairs); the stars' components hold all links.
+   Linked sets share several signatures (the spare parts but for those left
+   out), so each set then drops as many of its most used ones as it can spare:
+   in order of their use, two sets' common signatures can't all be among those.
+3. Clusters.  Each kept signature's smallest class is joined to its other
+   classes (a star, not all pairs); the stars' components hold all links.
 4. Product.  A cluster's documents by n-grams form a sparse 0/1 matrix; its
    product with its transpose, accumulated over blocks of columns, gives the
    overlap counts; pairs below the bound are dropped.  A cluster of more than
@@ -33,6 +36,7 @@ told apart by their sets.
 from __future__ import annotations
 
 import functools
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +47,6 @@ from pyspark.sql import functions as F
 from .common import broadcast_if_few, release, utf8_views, written
 from .components import components
 
-THIN = 3
 BLOCK, BLOCK_SHINGLES = 64, 1_000_000
 SECOND_BLOCK = 512
 #: Columns of the product that are multiplied at once.
@@ -80,14 +83,19 @@ def shingle_sets(batch: list[bytes], k: int) -> list[np.ndarray]:
 
 
 @functools.lru_cache(maxsize=100_000)
-def instances(n: int, num: int, den: int) -> list[tuple[int, int, int]]:
-    """(interval, parts, spare parts) for which a set of n shingles signs."""
+def instances(n: int, num: int, den: int) -> list[tuple[int, int, int, int]]:
+    """(interval, parts, spare parts, least size of a part that isn't thin) for which a set of n shingles signs."""
+    # Intervals of sizes are as wide as a few steps from a set to its largest partner, at most about 1.4 to 1.
+    steps = max(1, int(math.log(1.4) / math.log(den / num)))
     low, interval, below, found = 1, 0, None, []
     while True:
-        high = low * den ** 3 // num ** 3 + 1  # sizes of this interval: low .. high - 1
+        high = low * den ** steps // num ** steps + 1  # sizes of this interval: low .. high - 1
         a = high - 1
         differ = (a + a * den // num) * (den - num) // (den + num)
-        here = (interval, differ + 1 + differ // 8, differ // 8) if differ else None
+        # Thick parts are rarely shared by chance; thin ones need more spare parts to be left out.
+        thick = low >= 6 * (differ + 1)
+        spare, least = (differ // 8, 3) if thick else (differ, 2)
+        here = (interval, differ + 1 + spare, spare, least) if differ else None
         if low <= n < high:
             found = [here] if here else []
             # A smaller partner may stand in the interval below.
@@ -97,18 +105,24 @@ def instances(n: int, num: int, den: int) -> list[tuple[int, int, int]]:
         low, interval, below = high, interval + 1, here
 
 
-def signatures(shingles: np.ndarray, num: int, den: int) -> np.ndarray:
+def signatures(shingles: np.ndarray, num: int, den: int) -> list[tuple[int, int, np.ndarray]]:
+    """For each instance: its interval, the least number of its signatures that a linked set shares, and them."""
     out = []
-    for interval, parts, spare in instances(len(shingles), num, den):
+    for interval, parts, spare, least in instances(len(shingles), num, den):
         salt = mix(np.array([interval + 1], dtype=_U) * _U(0x9E3779B97F4A7C15))
         part = ((mix(shingles ^ salt) >> _U(16)) % _U(parts)).astype(np.int64)
         size = np.bincount(part, minlength=parts)
         total = np.zeros(parts, dtype=_U)
         np.add.at(total, part, mix(shingles + salt))
         sign = mix(total + mix(np.arange(parts, dtype=_U) + salt))
-        thin = size < THIN
-        out.append(sign[~thin] if thin.sum() <= spare else sign)
-    return np.concatenate(out) if out else np.zeros(0, _U)
+        thin = size < least
+        left_out = int(thin.sum())
+        # Linked sets agree on more than ``spare`` parts; those left out here are all that may be missing.
+        if left_out <= spare:
+            out.append((interval, spare + 1 - left_out, sign[~thin]))
+        else:
+            out.append((interval, 1, sign))
+    return out
 
 
 def _identity(shingles: np.ndarray) -> tuple[int, int]:
@@ -122,16 +136,15 @@ def _sets(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
         for batch in batches:
             sets = shingle_sets(utf8_views(batch.column("text")), words)
             same = [_identity(s) if len(s) else (None, None) for s in sets]
-            signs = [signatures(s, num, den).view(np.int64) for s in sets]
-            offsets = np.concatenate(([0], np.cumsum([len(s) for s in signs]))).astype(np.int32)
-            flat = np.concatenate(signs) if signs else np.zeros(0, np.int64)
+            signs = [[{"interval": i, "least": k, "sign": x.view(np.int64)} for i, k, x in signatures(s, num, den)] for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([a for a, _ in same], pa.int64()), pa.array([b for _, b in same], pa.int64()),
-                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
-                names=["doc_id", "n", "h", "h2", "signs"])
+                 pa.array(signs, kind)], names=["doc_id", "n", "h", "h2", "signs"])
 
-    return docs.mapInArrow(run, "doc_id bigint, n bigint, h bigint, h2 bigint, signs array<bigint>")
+    kind = pa.list_(pa.struct([("interval", pa.int32()), ("least", pa.int32()), ("sign", pa.list_(pa.int64()))]))
+    return docs.mapInArrow(run, "doc_id bigint, n bigint, h bigint, h2 bigint, "
+                                "signs array<struct<interval:int,least:int,sign:array<bigint>>>")
 
 
 def overlaps(sets: list[np.ndarray]) -> np.ndarray:
@@ -205,6 +218,25 @@ def _multiply(rows: DataFrame, words: int, num: int, den: int) -> DataFrame:
     return dealt.mapInArrow(run, "a bigint, b bigint")
 
 
+def _candidates(sets: DataFrame) -> DataFrame:
+    """Edges a, b whose components hold all links (see steps 2 and 3 of the method)."""
+    spark = sets.sparkSession
+    signed = sets.filter("doc_id is not null").select("h", F.inline("signs")).select(
+        "h", "interval", "least", F.explode("sign").alias("sign"))
+    shared = written(signed.groupBy("sign").agg(F.min("h").alias("a"), F.max("h").alias("z"), F.count(F.lit(1)).alias("uses"))
+                     .filter("a < z").select("sign", "uses"))
+    release(spark)
+    met = written(signed.join(shared, "sign"))
+    release(spark)
+    # Linked sets share ``least`` signatures or more, so each can do without its least - 1 most used ones:
+    # those that chance and common passages make documents share.
+    own = met.groupBy("h", "interval", "least").agg(F.array_sort(F.collect_set(F.struct("uses", "sign"))).alias("own"))
+    kept = written(own.filter(F.size("own") >= F.col("least")).select(
+        "h", F.explode(F.slice("own", F.lit(1), F.size("own") - F.col("least") + 1)).alias("s")).select("h", "s.sign"))
+    first = written(kept.groupBy("sign").agg(F.min("h").alias("a"), F.max("h").alias("z")).filter("a < z").select("sign", "a"))
+    return written(kept.join(first, "sign").filter("a <> h").select("a", F.col("h").alias("b")).distinct())
+
+
 def _with_text(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """``wanted`` with the texts of its doc_id."""
     return docs.join(broadcast_if_few(wanted), "doc_id")
@@ -217,12 +249,7 @@ def join(docs: DataFrame, words: int = 5, num: int = 8, den: int = 10, doc_id: s
     docs = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
     sets = written(_sets(docs, words, num, den))
 
-    signed = sets.filter("doc_id is not null").select(F.explode("signs").alias("sign"), "h")
-    stars = written(signed.groupBy("sign").agg(F.min("h").alias("a"), F.max("h").alias("z"))
-                    .filter("a < z").select("sign", "a"))
-    release(spark)
-    star_edges = written(signed.join(stars, "sign").filter("a <> h").select("a", F.col("h").alias("b")).distinct())
-    release(spark)
+    star_edges = _candidates(sets)
     near = components(star_edges)
 
     classes = (sets.filter("doc_id is not null and h is not null").groupBy("h")

@@ -65,7 +65,7 @@ def test_parts_suffice_for_every_pair_of_sizes():
                 shared = dict.fromkeys(ngram_join.instances(a, num, den)).keys() & ngram_join.instances(b, num, den)
                 differ = (a + b) * (den - num) // (den + num)
                 # A part more than the differing shingles, and the spare ones.
-                assert not differ or max((parts - spare for _, parts, spare in shared), default=0) > differ, (a, b)
+                assert not differ or max((parts - spare for _, parts, spare, _ in shared), default=0) > differ, (a, b)
 
 
 def test_overlaps():
