@@ -6,7 +6,7 @@ import gc
 import time
 from collections import defaultdict
 from collections.abc import Callable, Iterable, Iterator
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -96,12 +96,17 @@ CHUNK = 2 << 20
 
 def text_chunks(batch: pa.Array, size: int = CHUNK) -> Iterator[list[str]]:
     """The batch's strings (nulls as empty) in runs of about ``size`` bytes, a longer string alone."""
+    return map(texts, array_chunks(batch, size))
+
+
+def array_chunks(batch: pa.Array, size: int = CHUNK) -> Iterator[pa.Array]:
+    """Slices of the batch of about ``size`` bytes."""
     lengths = pc.binary_length(batch).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
     group = np.cumsum(lengths) // size
     at = 0
     while at < len(batch):
         to = int(np.searchsorted(group, group[at], side="right"))
-        yield texts(batch.slice(at, to - at))
+        yield batch.slice(at, to - at)
         at = to
 
 
@@ -123,18 +128,28 @@ class PieceTable:
 
     def ids(self, rows: list[Iterable[str]], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the rows' pieces in order, and each row's number of ids; ``sizes``: pieces of each row."""
-        # The batch's own numbers first: its few distinct pieces stay in the processor's cache.
-        near = _numbering()
-        codes = np.fromiter(map(near.__getitem__, chain.from_iterable(rows)), dtype=np.int64, count=int(sizes.sum()))
+        return self._gather(self._codes(chain.from_iterable(rows), int(sizes.sum())), sizes)
+
+    def ids_of_lists(self, lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+        """The same for a list array of pieces; only the distinct ones become Python strings."""
+        coded = lists.flatten().dictionary_encode()
+        codes = self._codes(coded.dictionary.to_pylist(), len(coded.dictionary))
+        sizes = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        return self._gather(codes[coded.indices.to_numpy(zero_copy_only=False)], sizes)
+
+    def _codes(self, pieces: Iterable[str], count: int) -> np.ndarray:
         known = len(self.number)
-        new = [p for p in near if p not in self.number]
-        codes = np.fromiter(map(self.number.__getitem__, near), dtype=np.int64, count=len(near))[codes]
+        codes = np.fromiter(map(self.number.__getitem__, pieces), dtype=np.int64, count=count)
+        new = list(islice(self.number, known, None))
         if new:
             flat, width = self.solve(new)
             self.flat = _fitted(self.flat, self.used, flat)
             self.width = _fitted(self.width, known, width)
             self.first = _fitted(self.first, known, self.used + np.cumsum(width) - width)
             self.used += len(flat)
+        return codes
+
+    def _gather(self, codes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         wide = self.width[codes]
         ends = np.concatenate(([0], np.cumsum(wide)))
         at = np.repeat(self.first[codes] - ends[:-1], wide) + np.arange(ends[-1])

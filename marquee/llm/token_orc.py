@@ -22,15 +22,18 @@ empty table writes no rows and reads back none; other columns are not written.
 from __future__ import annotations
 
 import os
+import unicodedata
 import zlib
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_column
+from .common import CHUNK, PieceTable, array_chunks, arrow_column, broadcast_if_few
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 2
@@ -41,55 +44,135 @@ ORC_OPTIONS = {
     "orc.create.index": "true",
     "orc.row.index.stride": "10000",
     "orc.stripe.size": str(64 << 20),
-    "compression": "zstd",
+    "compression": "lz4",
 }
-#: Pieces of text that a worker remembers; emptied when full.
-REMEMBERED = 300_000
-CHUNK = 8 << 20
+#: Distinct pieces of text whose ids a worker remembers; emptied when full.
+REMEMBERED = 600_000
+#: Stands between pieces that are encoded in one call: a token of its own, never part of a merge.
+_MARK = "\x01"
+#: A run of these after a letter or digit is always a pre-token of its own.
+_TAIL = ".,!?;:*%$&#|)\""
 
 
 class Encoder:
     def __init__(self, definition: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
 
         self.tokenizer = Tokenizer.from_str(definition)
-        self.known: dict[str, np.ndarray] = {}
-
-    def _pieces(self, pieces: list[str]) -> list[np.ndarray]:
-        new = [p for p in pieces if p not in self.known]
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-            new = pieces
-        got = {}
-        for p, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-            got[p] = np.array(e.ids, dtype=np.int32)
-        out = [got[p] if p in got else self.known[p] for p in pieces]
-        self.known.update((p, x) for p, x in got.items() if len(p) <= 64)
-        return out
-
-    def encode(self, batch: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        self.mark = self._ids(_MARK)
+        # The library's model alone, for words whose normal form is made here.
+        self.model = Tokenizer(self.tokenizer.model)
+        self.model.pre_tokenizer = WhitespaceSplit()
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends[[k for t, k in vocabulary.items() if t.endswith("</w>")]] = True
+        self.table = PieceTable(self._solve, REMEMBERED)
+        self.tails: dict[str, list[int]] = {"": []}
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.int32)
+
+    def _solve(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Words of letters, with or without signs behind, by the model alone; all others by the whole library."""
+        words, tails, rest = [], [], []
+        for p in pieces:
+            core = p if p.isalpha() else p.rstrip(_TAIL)
+            if (form := _word_form(core)) is None:
+                rest.append(p)
+                tails.append(None)
+            else:
+                words.append(form)
+                tails.append(p[len(core):])
+        others = self._others(rest)
+        whole, cut = self._words(words)
+        # The pieces' ids lie in three stores: words, tails, others; each piece is a word and a tail, or an other.
+        kinds = list(dict.fromkeys(t for t in tails if t))
+        stores = [whole, *[np.array(self._tail(t), dtype=np.int32) for t in kinds], *others]
+        flat = np.concatenate(stores) if stores else np.zeros(0, np.int32)
+        wide = np.array([*cut, *map(len, stores[1:])], dtype=np.int64)
+        first = np.cumsum(wide) - wide
+        at = {t: len(cut) + k for k, t in enumerate(kinds)}
+        word, other, parts = 0, len(cut) + len(kinds), []
+        sizes = np.ones(len(pieces), dtype=np.int64)
+        for k, t in enumerate(tails):
+            if t is None:
+                parts.append(other)
+                other += 1
+            else:
+                parts.append(word)
+                word += 1
+                if t:
+                    parts.append(at[t])
+                    sizes[k] = 2
+        parts = np.array(parts, dtype=np.int64)
+        own = wide[parts]
+        ends = np.concatenate(([0], np.cumsum(own)))
+        place = np.repeat(first[parts] - ends[:-1], own) + np.arange(ends[-1])
+        return flat[place], np.diff(ends[np.concatenate(([0], np.cumsum(sizes)))])
+
+    def _words(self, words: list[str]) -> tuple[np.ndarray, list[int]]:
+        """Ids of the words, and each word's number of them: a word's last token is a word end, and no other."""
+        if not words:
+            return np.zeros(0, np.int32), []
+        ids = np.array(self.model.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, dtype=np.int32)
+        ends = np.flatnonzero(self.ends[ids])
+        if len(ends) != len(words):
+            raise ValueError("a word's ids don't end where the tokenizer's word ends do")
+        return ids, np.diff(np.concatenate(([-1], ends))).tolist()
+
+    def _tail(self, signs: str) -> list[int]:
+        if (ids := self.tails.get(signs)) is None:
+            ids = self._ids(signs).tolist()
+            if len(self.tails) < 10_000:
+                self.tails[signs] = ids
+        return ids
+
+    def _others(self, parts: list[str]) -> list[np.ndarray]:
+        if len(self.mark) != 1 or any(_MARK in p for p in parts):
+            return [self._ids(p) for p in parts]
+        ids = self._ids(f" {_MARK} ".join(parts))
+        cut = np.split(ids, np.flatnonzero(ids == self.mark[0])) if parts else []
+        return [c[bool(k):] for k, c in enumerate(cut)]
+
+    def encode(self, batch: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the batch in order, each text followed by the end id, and the texts' numbers of ids."""
-        number: dict[str, int] = {"": 0}  # the end id stands where an empty piece would
-        rows = []
-        for text in batch:
-            own = [number.setdefault(p, len(number)) for p in _pieces(text)]
-            own.append(0)
-            rows.append(np.array(own, dtype=np.int64))
-        parts = [np.array([END_ID], dtype=np.int32), *self._pieces(list(number)[1:])]
-        width = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts))
-        flat = np.concatenate(parts)
-        first = np.cumsum(width) - width
-        every = np.concatenate(rows)
-        wide = width[every]
-        ends = np.cumsum(wide)
-        at = np.repeat(first[every] - (ends - wide), wide) + np.arange(ends[-1])
-        bounds = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum([len(r) for r in rows])))]
-        return flat[at], np.diff(bounds)
-
-
-def _pieces(text: str) -> list[str]:
-    return [p for p in text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") if p]
+        self.table.make_room()
+        batch = pc.fill_null(batch, "")
+        for blank in "\n\t\r":
+            batch = pc.replace_substring(batch, blank, " ")
+        flat, sizes = self.table.ids_of_lists(pc.split_pattern(batch, " "))
+        sizes = sizes + 1
+        out = np.full(int(sizes.sum()), END_ID, dtype=np.int32)
+        own = np.ones(len(out), dtype=bool)
+        own[np.cumsum(sizes) - 1] = False
+        out[own] = flat
+        return out, sizes
+
+
+def _byte_letters() -> dict[int, str]:
+    """The tokenizer's letter for each byte: printable Latin-1 stands for itself, the others follow 255 in order."""
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in own]
+    return {b: chr(256 + k) for k, b in enumerate(rest)}
+
+
+_LETTERS = _byte_letters()
+
+
+def _word_form(part: str) -> str | None:
+    """What the tokenizer's normalizer and byte mapping make of a part of letters alone, which is one
+    pre-token; None for any other part (the library then does all of it)."""
+    if not part.isalpha():
+        return None
+    if part.isascii():
+        return part.lower()
+    # A capital sigma's lower case depends on its place in some libraries.
+    form = unicodedata.normalize("NFC", part)
+    if "\u03a3" in form or not (form := form.lower()).isalpha():
+        return None
+    return form.encode().decode("latin-1").translate(_LETTERS)
 
 
 _encoders: dict = {}
@@ -103,7 +186,7 @@ def write(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text"
     if len(definition) > 64 << 20:
         raise ValueError(f"{tokenizer_path}: a definition of {len(definition)} characters is not broadcast")
     sent = spark.sparkContext.broadcast(definition)
-    key = (spark.sparkContext.applicationId, id(sent))
+    key = xxhash.xxh3_64_hexdigest(definition)
 
     def encoded(batches):
         if key not in _encoders:
@@ -111,21 +194,17 @@ def write(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text"
             _encoders[key] = Encoder(sent.value)
         encoder, before = _encoders[key], 0
         for batch in batches:
-            ids, body = batch.column("i"), ["" if t is None else t for t in batch.column("t").to_pylist()]
             at = 0
-            while at < len(body):
-                to, size = at, 0
-                while to < len(body) and (to == at or size + len(body[to]) <= CHUNK):
-                    size += len(body[to])
-                    to += 1
-                flat, sizes = encoder.encode(body[at:to])
+            for body in array_chunks(batch.column("t"), 2 * CHUNK):
+                flat, sizes = encoder.encode(body)
                 ends = np.cumsum(sizes)
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)).astype(np.int32)), pa.array(flat))
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(at, to - at), pa.array(before + ends - sizes, pa.int64()), lists],
+                    [batch.column("i").slice(at, len(body)), pa.array(before + ends - sizes, pa.int64()), lists],
                     names=["doc_id", "start_in_file", "ids"])
                 before += int(ends[-1])
-                at = to
+                at += len(body)
+            pa.default_memory_pool().release_unused()
 
     dealt = (docs.select(F.col(doc_id).cast("bigint").alias("i"), F.col(text).cast("string").alias("t"))
              .repartitionByRange("i").sortWithinPartitions("i", "t"))
@@ -140,7 +219,8 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     number = F.regexp_extract("file", r"^part-(\d+)", 1).cast("bigint")
     before = Window.orderBy(number).rowsBetween(Window.unboundedPreceding, -1)
     files = files.select("file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    return rows.join(files, "file").select(
+    # One narrow row for each file: without the broadcast all ids would be shuffled by file.
+    return rows.join(broadcast_if_few(files), "file").select(
         "doc_id", (F.col("base") + F.col("start_in_file")).alias("start"),
         F.size("ids").cast("bigint").alias("n_tokens"), "ids")
 

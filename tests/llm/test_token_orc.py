@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.orc
 from tokenizers import Tokenizer
 
@@ -29,7 +30,8 @@ def test_pieces_are_encoded_as_the_whole():
         encoder = token_orc.Encoder(f.read())
     texts = ["", " ", "It's  A\ttest\r\nof Ünïcode é ́x y z", "a<|endoftext|>b 123 ...!!",
              "x" * 3000, "日本語\n🙂🙂 'll 've", "\x1c\x85  a\x0bb\x0cc ΣΑΣ İ"]
-    ids, sizes = encoder.encode(texts)
+    ids, sizes = encoder.encode(pa.array([*texts, None], pa.string()))
+    texts.append(None)
     want = expected(texts)
     assert sizes.tolist() == [len(w) for w in want]
     assert ids.tolist() == [i for w in want for i in w]
