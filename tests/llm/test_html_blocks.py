@@ -80,7 +80,8 @@ def test_query_and_odd_pages(spark):
     assert right >= 0.98 * len(pages)
     odd = spark.createDataFrame([(1, None, "x", "old"), (2, "", None, None), (2, "", None, None), (3, "<p>" * 3000 + "a" * 200_000, None, None),
                                  (None, "plain", None, None)], "page_id bigint, html string, url string, text string")
-    assert H.extract(odd).columns == odd.columns
-    texts = [r["text"] for r in H.extract(odd).orderBy("page_id").collect()]
+    out = H.extract(odd)
+    assert out.columns == odd.columns
+    texts = [r["text"] for r in out.orderBy("page_id").collect()]
     assert len(texts) == 5 and texts[1] == texts[2] == texts[3] == ""
     assert H.extract(odd.limit(0)).count() == 0
