@@ -83,3 +83,29 @@ def test_estimates_are_unbiased_and_bounded():
 
 def test_empty_table(spark):
     assert E.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_many_cells_are_exact(spark, monkeypatch):
+    monkeypatch.setattr(E, "BUCKET_ROWS", 8)
+    monkeypatch.setattr(E, "ROUTE_ROWS", 50)
+    monkeypatch.setattr(E, "BLOCK", 16)
+    rng = np.random.default_rng(5)
+    rows = made(rng, 80, 10, labels=2)  # many pairs near the threshold
+    rows += [(len(rows) + k, r[1], 7, None) for k, r in enumerate(made(rng, 1, 6))]  # and a label of a handful
+    want = brute(rows, 0.93)
+    assert found(E.near_duplicates(spark.createDataFrame(rows, SCHEMA))) == want
+    assert sum(w[1] for w in want) > 500
+
+
+def test_linked_pairs_meet_once_in_a_cell_and_are_within_the_bound():
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(300, 8))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    home, visit = E.cells(x, x[:9], 0.93)
+    code, factor = E.encode(x)
+    estimate, bound = E.estimates(x, code, factor)
+    assert (np.abs(estimate - x @ x.T) <= bound * np.sqrt(np.maximum(0, 1 - (x @ x.T) ** 2)) + 1e-6).all()
+    assert visit.mean() < 0.4  # far cells are spared
+    for a, b in zip(*np.nonzero(np.triu(x @ x.T >= 0.93, 1)), strict=True):
+        late, early = (a, b) if home[a] >= home[b] else (b, a)
+        assert home[late] == home[early] or visit[late, home[early]]
