@@ -8,7 +8,10 @@ windows, about one for every 16 bytes.  Documents are dealt by hash into
 batches; only what a batch can't decide alone leaves it.
 
 1. Each batch sends its distinct bucket numbers; a bucket that no other
-   batch (and no second document of the batch) has holds no copies.
+   batch (and no second document of the batch) has holds no copies.  With them go
+   the bytes of the distinct runs of its fuller buckets: a bucket that holds more than ``SLICE_BYTES``
+   over all batches is split by a hash of whole windows (equal windows still
+   meet), so its windows go to many groups.
 2. Of the runs in the remaining buckets, equal ones within a batch are settled
    there (all but the smallest document's are copies); each distinct run is sent
    once, however many documents hold it.
@@ -32,6 +35,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -46,6 +50,8 @@ BATCH_BYTES = 6 << 20
 GROUP_BYTES = 64 << 20
 #: Bytes of runs whose suffixes are ordered at once (whole buckets).
 SLICE_BYTES = 2 << 20
+#: Bytes of distinct runs up to which a batch doesn't say how full a bucket is.
+LIGHT_BYTES = 256
 #: Bytes hashed at once, windows sorted at once, windows in a run at most.
 CHUNK, BLOCK, RUN = 1 << 18, 1 << 18, 256
 _U = np.uint64
@@ -285,23 +291,55 @@ class Batch:
         pairs = pairs[np.append(True, pairs[1:] != pairs[:-1])] if len(pairs) else pairs
         return np.bincount(pairs // (len(self.ids) + 1), minlength=len(self.buckets)) > 1
 
-    def share(self, bits: dict[int, bytes]) -> None:
+    def full(self) -> np.ndarray:
+        """Bytes of distinct runs in each bucket, where above LIGHT_BYTES (else 0)."""
+        extra = self.length - 1
+        size = np.bincount(self.at, weights=self.count + extra, minlength=len(self.buckets)).astype(np.int64)
+        own = np.flatnonzero(size[self.at] > LIGHT_BYTES)
+        distinct = {(k, self.texts[d][s:s + c + extra]) for k, d, s, c in zip(
+            self.at[own].tolist(), self.doc[own].tolist(), self.start[own].tolist(), self.count[own].tolist(), strict=True)}
+        out = np.zeros(len(self.buckets), dtype=np.int64)
+        np.add.at(out, np.array([k for k, _ in distinct], dtype=np.int64), np.array([len(c) for _, c in distinct], dtype=np.int64))
+        return np.where(out > LIGHT_BYTES, out, 0)
+
+    def _split(self, value: np.ndarray, parts: np.ndarray) -> np.ndarray:
+        """Cut the runs of split buckets into windows, each with the number of its part; the runs' bucket numbers."""
+        hot = np.flatnonzero(parts > 1)
+        wide = self.count[hot]
+        run = np.repeat(hot, wide)
+        start = self.start[run] + np.arange(len(run)) - np.repeat(np.cumsum(wide) - wide, wide)
+        digest = np.fromiter((xxhash.xxh3_64_intdigest(self.texts[d][s:s + self.length]) for d, s in zip(
+            self.doc[run].tolist(), start.tolist(), strict=True)), dtype=_U, count=len(run))
+        part = mix(value[run] ^ mix(digest % parts[run].astype(_U) + _U(1)))
+        cold = parts <= 1
+        self.doc = np.concatenate((self.doc[cold], self.doc[run]))
+        self.start = np.concatenate((self.start[cold], start))
+        self.count = np.concatenate((self.count[cold], np.ones(len(run), np.int64)))
+        return np.concatenate((value[cold], part))
+
+    def share(self, bits: dict[int, bytes], splits: dict[int, bytes]) -> None:
         """Take the answers to the first question and collect the distinct runs of shared buckets."""
         shared = np.zeros(len(self.buckets), dtype=bool)
         for g, raw in bits.items():
             a, b = self.bounds[g], self.bounds[g + 1]
             shared[a:b] = np.unpackbits(np.frombuffer(raw, np.uint8), count=b - a)
+        parts = np.ones(len(self.buckets), dtype=np.int64)
+        for g, raw in splits.items():
+            place, number_of = np.frombuffer(raw, dtype=np.int64).reshape(2, -1)
+            parts[self.bounds[g] + place] = number_of
         used = np.flatnonzero(shared[self.at])
-        # By bucket, so that each group's runs stand together.
-        used = used[np.argsort(self.at[used], kind="stable")]
         self.doc, self.start, self.count, at = self.doc[used], self.start[used], self.count[used], self.at[used]
+        value, at = np.unique(self._split(self.buckets[at], parts[at]), return_inverse=True)
+        # By bucket, so that each group's runs stand together.
+        used = np.argsort(at, kind="stable")
+        self.doc, self.start, self.count, at = self.doc[used], self.start[used], self.count[used], at[used]
         number: dict[tuple[int, bytes], int] = {}
         extra = self.length - 1
         self.content = np.array([number.setdefault((k, self.texts[d][s:s + c + extra]), len(number)) for k, d, s, c in zip(
             at.tolist(), self.doc.tolist(), self.start.tolist(), self.count.tolist(), strict=True)], dtype=np.int64)
         self.contents = [c for _, c in number]
         bucket = np.array([k for k, _ in number], dtype=np.int64)
-        self.bucket = self.buckets[bucket] if len(bucket) else np.zeros(0, _U)
+        self.bucket = value[bucket] if len(bucket) else np.zeros(0, _U)
         self.smallest = np.full(len(number), np.iinfo(np.int64).max)
         np.minimum.at(self.smallest, self.content, self.ids[self.doc])
         self.windows = np.array([len(c) - extra for c in self.contents], dtype=np.int64)
@@ -361,13 +399,15 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: i
 
     def ask(table: pa.Table) -> pa.Table:
         b = Batch(table, length, groups)
-        twice = b.twice()
+        twice, full = b.twice(), b.full()
+        listed = [np.flatnonzero(full[x:y]) for x, y in zip(b.bounds, b.bounds[1:], strict=False)]
         spans = [(g, int(x), int(y)) for g, (x, y) in enumerate(zip(b.bounds, b.bounds[1:], strict=False)) if y > x]
         return pa.table({
             "batch": pa.array([table.column("batch")[0].as_py()] * len(spans), pa.int64()),
             "grp": pa.array([g for g, _, _ in spans], pa.int64()),
             "buckets": pa.array([b.buckets[x:y].tobytes() for _, x, y in spans], pa.binary()),
-            "twice": pa.array([np.packbits(twice[x:y]).tobytes() for _, x, y in spans], pa.binary())})
+            "twice": pa.array([np.packbits(twice[x:y]).tobytes() for _, x, y in spans], pa.binary()),
+            "full": pa.array([np.stack([listed[g], full[x:y][listed[g]]]).tobytes() for g, x, y in spans], pa.binary())})
 
     def share(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
@@ -377,15 +417,26 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: i
         _, at, uses = np.unique(np.concatenate(own), return_inverse=True, return_counts=True)
         more = uses > 1
         more[at[twice > 0]] = True
-        shared = np.split(more[at], np.cumsum([len(x) for x in own])[:-1])
-        return pa.table({"batch": pa.array([r["batch"] for r in rows], pa.int64()),
-                         "grp": pa.array([r["grp"] for r in rows], pa.int64()),
-                         "kind": pa.array(["shared"] * len(rows), pa.string()),
-                         "blob": pa.array([np.packbits(x).tobytes() for x in shared], pa.binary())})
+        ends = np.cumsum([len(x) for x in own])
+        shared = np.split(more[at], ends[:-1])
+        # At most: a batch that doesn't say how full a bucket is has LIGHT_BYTES of it.
+        size = uses * LIGHT_BYTES
+        for r, end, x in zip(rows, ends, own, strict=True):
+            place, full = np.frombuffer(r["full"], dtype=np.int64).reshape(2, -1)
+            size[at[end - len(x) + place]] += full - LIGHT_BYTES
+        # A run of n bytes has fewer than n windows, each of ``length`` bytes on its own.
+        parts = np.split(np.where(size > SLICE_BYTES, -(-size * length // SLICE_BYTES), 1)[at], ends[:-1])
+        splits = [np.stack([k, x[k]]).tobytes() for x in parts for k in (np.flatnonzero(x > 1),)]
+        blobs = [(r, "shared", np.packbits(x).tobytes()) for r, x in zip(rows, shared, strict=True)] + [
+            (r, "split", x) for r, x in zip(rows, splits, strict=True) if x]
+        return pa.table({"batch": pa.array([r["batch"] for r, _, _ in blobs], pa.int64()),
+                         "grp": pa.array([r["grp"] for r, _, _ in blobs], pa.int64()),
+                         "kind": pa.array([kind for _, kind, _ in blobs], pa.string()),
+                         "blob": pa.array([x for _, _, x in blobs], pa.binary())})
 
     def send(key, table: pa.Table, answers: pa.Table) -> pa.Table:
         b = Batch(table, length, groups)
-        b.share(_answers(answers, "shared"))
+        b.share(_answers(answers, "shared"), _answers(answers, "split"))
         spans = [(g, int(x), int(y)) for g, (x, y) in
                  enumerate(zip(b.content_bounds, b.content_bounds[1:], strict=False)) if y > x]
         sizes = np.array([len(c) for c in b.contents], dtype="<i4")
@@ -445,7 +496,7 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: i
 
     def cut(key, table: pa.Table, answers: pa.Table) -> pa.Table:
         b = Batch(table, length, groups)
-        b.share(_answers(answers, "shared"))
+        b.share(_answers(answers, "shared"), _answers(answers, "split"))
         spans = b.removed(_answers(answers, "copies"))
         kept = [b"".join(t[x:y] for x, y in zip([0, *[e for _, e in s]], [*[a for a, _ in s], len(t)], strict=True))
                 for t, s in zip(b.texts, spans, strict=True)]
@@ -454,7 +505,7 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: i
                          "spans": pa.array([[{"start": x, "end": y} for x, y in s] for s in spans], pa.list_(span)),
                          "kept": pa.array(kept, pa.binary())})
 
-    asked = dealt.groupBy("batch").applyInArrow(ask, "batch bigint, grp bigint, buckets binary, twice binary")
+    asked = dealt.groupBy("batch").applyInArrow(ask, "batch bigint, grp bigint, buckets binary, twice binary, full binary")
     shared = written(asked.groupBy("grp").applyInArrow(share, ANSWER))
     release(spark)
     sent = dealt.groupBy("batch").cogroup(shared.groupBy("batch")).applyInArrow(

@@ -84,3 +84,27 @@ def test_query(spark):
     for r in got.collect():
         n, spans, _ = want[r["doc_id"]][0]
         assert (r["n_bytes"], r["n_spans"], r["n_removed"]) == (n, len(spans), sum(b - a for a, b in spans))
+
+
+def test_hot_bucket_is_split(spark, monkeypatch):
+    """One line in every document, different surroundings: no bucket holds them all."""
+    real = suffix_dedup._window_minima
+
+    def bounded(runs_of, windows, docs, length):
+        total = {}
+        for bucket, content in runs_of:
+            total[bucket] = total.get(bucket, 0) + len(content)
+        if max(total.values()) > 8000:
+            raise ValueError("a bucket isn't split")
+        return real(runs_of, windows, docs, length)
+
+    monkeypatch.setattr(suffix_dedup, "_window_minima", bounded)
+    monkeypatch.setattr(suffix_dedup, "SLICE_BYTES", 4000)
+    monkeypatch.setattr(suffix_dedup, "BATCH_BYTES", 6000)
+    rng = random.Random(9)
+    own = lambda: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=90))
+    line = "this one line stands in each document, between words of its own."
+    rows = [(i, own() + line + own()) for i in range(400)]
+    rows += [(500 + i, rows[i][1][20:] + own()) for i in range(0, 400, 40)]  # copies that reach past the line
+    got = found(suffix_dedup.dedup(spark.createDataFrame(rows, "doc_id bigint, text string")))
+    assert got == brute(rows, 50)
