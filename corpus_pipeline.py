@@ -25,10 +25,12 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies (five words, similarity 0.8 or more) the smallest doc_id stays."""
-    got = ngram_join.join(docs, words=5, num=8, den=10)
-    # A row without an id is in no group and stays; rows that repeat an id and a text stay together.
-    gone = written(got.filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct())
-    return docs.join(broadcast_if_few(gone), "doc_id", "left_anti").select(docs.columns)
+    got = ngram_join.join(docs, words=5, num=8, den=10, classes_too=True)
+    # A row without an id is in no group and stays; rows that repeat an id and a text stay together,
+    # rows that share an id but not a text are told apart by their class.
+    gone = written(got.filter(F.col("doc_id") != F.col("component_id")).select("doc_id", F.col("h").alias("__h")).distinct())
+    classed = docs.withColumn("__h", ngram_join.class_of(F.col("text"), 5))
+    return classed.join(broadcast_if_few(gone), ["doc_id", "__h"], "left_anti").select(docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

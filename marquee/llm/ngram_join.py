@@ -41,10 +41,10 @@ import math
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_few, release, utf8_views, written
+from .common import arrow_column, broadcast_if_few, release, utf8_views, written
 from .components import components
 
 BLOCK, BLOCK_SHINGLES = 64, 1_000_000
@@ -147,6 +147,15 @@ def _sets(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
                                 "signs array<struct<interval:int,least:int,sign:array<bigint>>>")
 
 
+def class_of(text: Column, words: int) -> Column:
+    """The class ``h`` of a text, null without words."""
+
+    def kernel(batch: pa.Array) -> pa.Array:
+        return pa.array([_identity(s)[0] if len(s) else None for s in shingle_sets(utf8_views(batch), words)], pa.int64())
+
+    return arrow_column(kernel, "bigint")(text)
+
+
 def overlaps(sets: list[np.ndarray]) -> np.ndarray:
     """Overlap counts of all pairs: the incidence matrix times its transpose, by blocks of columns."""
     rows = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
@@ -243,8 +252,8 @@ def _with_text(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def join(docs: DataFrame, words: int = 5, num: int = 8, den: int = 10, doc_id: str = "doc_id",
-         text: str = "text") -> DataFrame:
-    """One row ``doc_id, n_shingles, component_id`` for each row of ``docs``."""
+         text: str = "text", classes_too: bool = False) -> DataFrame:
+    """One row ``doc_id, n_shingles, component_id`` (and ``h``, the class of equal sets, if asked) for each row of ``docs``."""
     spark = docs.sparkSession
     docs = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
     sets = written(_sets(docs, words, num, den))
@@ -279,7 +288,8 @@ def join(docs: DataFrame, words: int = 5, num: int = 8, den: int = 10, doc_id: s
     own = sets.select("doc_id", F.col("n").alias("n_shingles"), "h")
     return own.join(written(known), "h", "left").select(
         "doc_id", "n_shingles",
-        F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
+        F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"),
+        *["h"] * classes_too)
 
 
 def _second_round(docs: DataFrame, large: DataFrame, found: DataFrame, words: int, num: int, den: int) -> DataFrame:

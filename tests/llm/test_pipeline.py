@@ -49,3 +49,10 @@ def test_odd_tables(spark, odd_docs, no_docs, k, scratch):
     # Null, empty and letterless texts (ids 1, 2, 4, 5) are in no language; one of each group of copies stays.
     assert name == "language_id" and n <= 11 or name == "ngram_jaccard" and n == 11 or name == "decontamination" and n == 13 or \
         name in ("secret_scan", "byte_bpe") and n == 15
+
+
+def test_repeated_id_loses_only_the_copy(spark):
+    copy, own = " ".join(f"word{i}" for i in range(60)), " ".join(f"other{i}" for i in range(60))
+    docs = spark.createDataFrame([(1, copy), (2, copy), (2, own), (2, own), (None, copy)], "doc_id bigint, text string")
+    got = corpus_pipeline.ngram_jaccard(spark, docs, SF).collect()
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in got) == sorted([(0, copy), (1, copy), (2, own), (2, own)])
