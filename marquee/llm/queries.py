@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from marquee.session import workspace_dir
 
-from . import bpe, decontam, embed_dedup, html_blocks, langid, ngram_join, secrets, suffix_dedup, token_orc, toxicity
+from . import (bpe, decontam, embed_dedup, html_blocks, langid, merkle, ngram_join, secrets, suffix_dedup, token_orc,
+               toxicity)
 from .common import table
 
 
@@ -76,6 +77,19 @@ def op10_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "start", "n_tokens", token_orc.ids_crc32(F.col("ids")).alias("ids_crc32"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    # Tampering adds 1 to n_chars; wide enough for the largest value.
+    more = F.col("n_chars").cast("decimal(20,0)") + 1
+    values = [more if c == "n_chars" else F.col(c) for c in merkle.LEAF_COLUMNS]
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    got = merkle.manifest(docs, carry={"shown": F.when(tampered, merkle.leaf_digest(values))})
+    proved = got.withColumn("folded_root", merkle.folded(F.coalesce("shown", "leaf"), F.col("path")))
+    return proved.select("doc_id", "leaf", "subroot", "root",
+                         F.sha2(merkle.siblings(F.col("path")), 256).alias("proof_sha256"),
+                         "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_language_id": op2_language_id,
@@ -87,10 +101,32 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_token_orc": op10_token_orc,
+    "op12_merkle_manifest": op12_merkle_manifest,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+#: CRC-32 in SQL: the remainders of the 256 bytes, and the checksum of a text of ASCII characters.
+_CRC_TABLE = """
+crc_table as (
+  select list(v order by i) remainders from (
+    select range i, list_reduce(list_prepend(range, range(8)), lambda c, k:
+      case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) v from range(256)))"""
+
+
+def _crc32(text: str) -> str:
+    return (f"xor(list_reduce(list_prepend(4294967295::bigint, list_transform(string_split({text}, ''), lambda x: ascii(x)::bigint)), "
+            "lambda c, b: xor(c >> 8, remainders[(xor(c, b) & 255) + 1])), 4294967295)")
+
+
+def _field(value: str) -> str:
+    return f"coalesce(strlen({value}::varchar) || ':' || {value}::varchar, '-')"
+
+
+def _leaf(n_chars: str) -> str:
+    return "sha256(concat(" + ", ".join(_field(n_chars if c == "n_chars" else c) for c in merkle.LEAF_COLUMNS) + "))"
+
+
 #: Stated in SQL where it can express the operator; the others have brute-force tests.
 ORACLE: dict[str, str] = {
     "op6_embedding_dedup": """
@@ -141,4 +177,45 @@ edge as (select x, y from links union all select y, x from links),
 reach as (select doc_id x, doc_id y from documents union select r.x, b.y from reach r join edge b on r.y = b.x)
 select d.doc_id, coalesce(any_value(n), 0) n_shingles, min(r.y) component_id
 from documents d join reach r on r.x = d.doc_id left join sizes s on s.doc_id = d.doc_id group by d.doc_id""",
+    "op12_merkle_manifest": f"""
+with recursive {_CRC_TABLE},
+leaves as (
+  select doc_id, lang, {_leaf("n_chars")} leaf,
+         case when {_crc32("doc_id::varchar")} % 7 = 0 then {_leaf("(n_chars::hugeint + 1)")} end shown
+  from documents, crc_table),
+placed as (
+  select *, row_number() over (partition by lang order by doc_id nulls first, leaf) - 1 place from leaves),
+tree as (
+  select lang, 0 lvl, place, leaf h from placed
+  union all
+  select lang, lvl + 1, place // 2, sha256(string_agg(h, '' order by place))
+  from (select *, count(*) over (partition by lang) nodes from tree) where nodes > 1 group by lang, lvl, place // 2),
+subroots as (select lang, max(lvl) height, arg_max(h, lvl) subroot from tree group by lang),
+ordered as (select *, row_number() over (order by lang nulls first) - 1 sub_place from subroots),
+top as (
+  select 0 lvl, sub_place place, subroot h from ordered
+  union all
+  select lvl + 1, place // 2, sha256(string_agg(h, '' order by place))
+  from (select *, count(*) over () nodes from top) where nodes > 1 group by lvl, place // 2),
+root as (select max(lvl) root_height, arg_max(h, lvl) root from top),
+steps as (
+  select p.doc_id, p.leaf, p.place, p.lang, s.lvl, (p.place >> s.lvl) & 1 slot, t.h
+  from placed p join (select lang, unnest(range(height)) lvl from ordered) s on p.lang is not distinct from s.lang
+  left join tree t on t.lang is not distinct from p.lang and t.lvl = s.lvl and t.place = xor(p.place >> s.lvl, 1)
+  union all
+  select p.doc_id, p.leaf, p.place, p.lang, 1000 + s.lvl, (o.sub_place >> s.lvl) & 1, t.h
+  from placed p join ordered o on p.lang is not distinct from o.lang,
+       (select unnest(range(root_height)) lvl from root) s
+  left join top t on t.lvl = s.lvl and t.place = xor(o.sub_place >> s.lvl, 1)),
+paths as (
+  select lang, place, coalesce(string_agg(h, '' order by lvl), '') siblings,
+         list(case when h is null then '' when slot = 1 then 'l' || h else 'r' || h end order by lvl) path
+  from steps group by lang, place),
+proved as (
+  select p.*, subroot, root, coalesce(siblings, '') siblings,
+    list_reduce(list_prepend(coalesce(shown, leaf), coalesce(path, []::varchar[])), lambda h, s: sha256(
+      case when s[1] = 'l' then s[2:] || h when s[1] = 'r' then h || s[2:] else h end)) folded_root
+  from placed p join ordered o on p.lang is not distinct from o.lang, root
+  left join paths q on q.lang is not distinct from p.lang and q.place = p.place)
+select doc_id, leaf, subroot, root, sha256(siblings) proof_sha256, folded_root, folded_root = root verified from proved""",
 }
