@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from marquee.session import workspace_dir
 
-from . import (bpe, decontam, embed_dedup, html_blocks, langid, merkle, ngram_join, secrets, suffix_dedup, token_orc,
-               toxicity)
+from . import (bpe, decontam, embed_dedup, html_blocks, langid, licenses, merkle, ngram_join, secrets, suffix_dedup,
+               token_orc, toxicity)
 from .common import table
 
 
@@ -90,6 +90,16 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
 
 
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = licenses.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    word = F.transform("places", lambda p: p["word"])
+    return got.select("doc_id", "n_words", F.size("places").cast("bigint").alias("n_base"),
+                      F.array_min(word).alias("first_word"), F.array_max(word).alias("last_word"),
+                      licenses.labels(F.col("places")).alias("base_labels"),
+                      licenses.labels(F.col("places"), F.filter("blocks", lambda b: b["closest"])).alias("labels"),
+                      licenses.score(F.col("places"), F.col("blocks")).alias("score"))
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_language_id": op2_language_id,
@@ -102,10 +112,24 @@ QUERIES = {
     "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_token_orc": op10_token_orc,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_license_scan": op13_license_scan,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+def _templates() -> str:
+    """The license templates as SQL rows (kind, label, words)."""
+    known = licenses.Templates()
+    return ", ".join(f"('{kind}', '{label}', {[w.decode() for w in sorted(words)]})"
+                     for kind, label, words in zip(known.kind, known.label, known.words, strict=True))
+
+
+def _phrases() -> str:
+    return ", ".join(f"('{label}', {[w.decode() for w in words]})" for words, label in licenses.Templates().phrases)
+
+
+_WORDS = "list_filter(string_split_regex({}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"
+
 #: CRC-32 in SQL: the remainders of the 256 bytes, and the checksum of a text of ASCII characters.
 _CRC_TABLE = """
 crc_table as (
@@ -218,4 +242,36 @@ proved as (
   from placed p join ordered o on p.lang is not distinct from o.lang, root
   left join paths q on q.lang is not distinct from p.lang and q.place = p.place)
 select doc_id, leaf, subroot, root, sha256(siblings) proof_sha256, folded_root, folded_root = root verified from proved""",
+    "op13_license_scan": f"""
+with own as (select doc_id, {_LOWER} t, {_WORDS.format(_LOWER)} w from documents),
+phrase(label, p) as (values {_phrases()}),
+place as (
+  select doc_id, label, i - 1 word from (select doc_id, w, unnest(range(1, len(w) + 1)) i from own), phrase
+  where w[i] = p[1] and w[i:i + len(p) - 1] = p),
+base as (
+  select doc_id, count(*) n_base, min(word) first_word, max(word) last_word, list(distinct label) labels
+  from place group by doc_id),
+template(kind, label, t) as (values {_templates()}),
+line as (
+  select doc_id, i, {_WORDS.format("part")} w
+  from (select doc_id, unnest(string_split(t, chr(10))) part, unnest(range(len(string_split(t, chr(10))))) i from own)),
+cut as (select *, count(*) filter (len(w) = 0) over (partition by doc_id order by i) no from line),
+block as (
+  select doc_id, 'line' kind, i, list_distinct(w) w from line where len(w) > 0
+  union all
+  select doc_id, 'paragraph', min(i), list_distinct(flatten(list(w))) from cut where len(w) > 0 group by doc_id, no),
+held as (
+  select *, shared / size share, max(shared / size) over (partition by doc_id, kind, i) best from (
+    select doc_id, b.kind, i, label, len(list_intersect(w, t)) shared, len(t) size
+    from block b join template t on b.kind = t.kind)
+  where shared * {licenses.DEN} >= {licenses.NUM} * size),
+closest as (
+  select *, max(size) over (partition by doc_id, kind, i) longest from held where share = best),
+method as (
+  select doc_id, list(distinct label) labels, max(share) score from closest where size = longest group by doc_id)
+select doc_id, len(w) n_words, coalesce(n_base, 0) n_base, first_word, last_word,
+       coalesce(array_to_string(list_sort(b.labels), ','), '') base_labels,
+       coalesce(array_to_string(list_sort(list_distinct(list_concat(b.labels, m.labels))), ','), '') labels,
+       case when n_base > 0 then 1.0 else coalesce(score, 0.0) end score
+from own left join base b using (doc_id) left join method m using (doc_id)""",
 }
