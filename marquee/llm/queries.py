@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from marquee.session import workspace_dir
 
-from . import (bpe, decontam, embed_dedup, html_blocks, langid, licenses, merkle, ngram_join, secrets, suffix_dedup,
-               token_orc, toxicity)
+from . import (bpe, decontam, embed_dedup, html_blocks, langid, licenses, merkle, ngram_join, repair, secrets,
+               suffix_dedup, token_orc, toxicity)
 from .common import table
 
 
@@ -77,6 +77,30 @@ def op10_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "start", "n_tokens", token_orc.ids_crc32(F.col("ids")).alias("ids_crc32"))
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """The rows with the contract's damage, by a checksum of their conversation and turn."""
+    filled = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    code = F.crc32(F.concat(filled("conv_id"), F.lit(":"), filled("turn")).cast("binary")) % 20
+    rows = conversations.select("conv_id", "turn", filled("role").alias("role"), filled("text").alias("text"),
+                                code.alias("code")).filter("code <> 0")
+    text = F.when(F.col("code") == 1, "").when(F.col("code") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text"))
+    return rows.select("conv_id", "turn", F.when(F.col("code") == 4, "user").otherwise(F.col("role")).alias("role"),
+                       text.alias("text"), F.explode(F.when(F.col("code") == 3, F.array(F.lit(1), F.lit(2))).otherwise(
+                           F.array(F.lit(1)))).alias("copy")).drop("copy")
+
+
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    got = repair.repair(damaged(conversations))
+    # Conversations that lost all their rows are listed as well.
+    ids = conversations.select("conv_id").distinct()
+    met = ids.join(got.withColumnRenamed("conv_id", "id"), F.col("conv_id").eqNullSafe(F.col("id")), "left")
+    number = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c)
+    return met.select("conv_id", *map(number, ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")),
+                      F.coalesce("audit", F.lit("")).alias("audit"),
+                      F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     # Tampering adds 1 to n_chars; wide enough for the largest value.
@@ -111,6 +135,7 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_token_orc": op10_token_orc,
+    "op11_conversation_repair": op11_conversation_repair,
     "op12_merkle_manifest": op12_merkle_manifest,
     "op13_license_scan": op13_license_scan,
 }
@@ -151,6 +176,40 @@ def _leaf(n_chars: str) -> str:
     return "sha256(concat(" + ", ".join(_field(n_chars if c == "n_chars" else c) for c in merkle.LEAF_COLUMNS) + "))"
 
 
+def _least(*routes: str) -> str:
+    return f"(list_sort([{', '.join(routes)}]))[1]"
+
+
+def _route(state: str, cost: str, letter: str, put: str = "''", only: str = "true") -> str:
+    """A state's cost, audit and repaired text after an edit; out of reach where it isn't allowed."""
+    return (f"{{'c': {state}.c + {cost} + case when {only} then 0 else 1000000 end, 'a': {state}.a || '{letter}', "
+            f"'r': {state}.r || {put}}}")
+
+
+def _walk(table: str) -> str:
+    """States n (nothing yet), s, u, a with the inserts that may follow them."""
+    put = lambda role: f"chr(10) || '{role}:'"
+    ins = lambda q, role: _route(q, "3", "I", put(role))
+    return (f"select *, {_least('a', ins('u', 'assistant'))} a_in from (select * replace ("
+            f"{_least('u', *[ins(q, 'user') for q in 'nsa'])} as u) from {table})")
+
+
+def _step() -> str:
+    """The states behind one more row."""
+    own = "chr(10) || role || ':' || text"
+    extra = "case when fault = 't' then 3 else 0 end"
+    keeps = "fault in ('', 't')"
+    keep = lambda q, x: _route(q, extra, "K", own, f"{keeps} and initial = '{x}'")
+    role = lambda q, r: _route(q, f"3 + {extra}", "R", f"chr(10) || '{r}:' || text", keeps)
+    gone = lambda q: _route(q, "4", "D")
+    return ", ".join([
+        f"{_least(gone('n'))} n", f"{_least(gone('s'), keep('n', 's'))} s",
+        f"{_least(gone('u'), *[f(q, x) for q in ('n', 's', 'a_in') for f, x in ((keep, 'u'), (role, 'user'))])} u",
+        f"{_least(gone('a_in'), keep('u', 'a'), role('u', 'assistant'))} a"])
+
+
+_NO_ROUTE = "{'c': 1000000, 'a': '', 'r': ''}"
+
 #: Stated in SQL where it can express the operator; the others have brute-force tests.
 ORACLE: dict[str, str] = {
     "op6_embedding_dedup": """
@@ -274,4 +333,41 @@ select doc_id, len(w) n_words, coalesce(n_base, 0) n_base, first_word, last_word
        coalesce(array_to_string(list_sort(list_distinct(list_concat(b.labels, m.labels))), ','), '') labels,
        case when n_base > 0 then 1.0 else coalesce(score, 0.0) end score
 from own left join base b using (doc_id) left join method m using (doc_id)""",
+    "op11_conversation_repair": f"""
+with recursive {_CRC_TABLE},
+raw as (
+  select conv_id, turn, coalesce(role, ' ') role, coalesce(text, ' ') text,
+         {_crc32("(coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' '))")} % 20 code
+  from conversations, crc_table),
+damaged as (
+  select conv_id, turn, case when code = 4 then 'user' else role end role,
+         case code when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end text
+  from raw, (select unnest(range(2)) copy) where code <> 0 and (copy = 0 or code = 3)),
+numbered as (
+  select *, row_number() over (partition by conv_id, role, text order by i) copy from (
+    select *, left(role, 1) initial, row_number() over (partition by conv_id order by turn nulls first, role, text) i
+    from damaged)),
+faulty as (
+  select *, lag(initial) over (partition by conv_id order by i) || initial pair,
+         case when not regexp_matches(text, '[^\\x20\\x09-\\x0D]') then 'b' when copy > 1 then 'd'
+              when not regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*\\z') then 't' else '' end fault from numbered),
+stats as (
+  select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) gaps, count(*) filter (fault = 'b') blank,
+         count(*) filter (fault = 'd') duplicate, count(*) filter (fault = 't') truncated,
+         count(*) filter (pair not in ('su', 'ua', 'au')) illegal, max(i) rows
+  from faulty group by conv_id),
+walk as (
+  select conv_id, 0::bigint i, {{'c': 0, 'a': '', 'r': ''}} n, {_NO_ROUTE} s, {_NO_ROUTE} u, {_NO_ROUTE} a from stats
+  union all
+  select w.conv_id, r.i, {_step()}
+  from ({_walk("walk")}) w join faulty r on w.conv_id is not distinct from r.conv_id and r.i = w.i + 1),
+done as (
+  select w.conv_id, {_least("n", "a_in")} best
+  from ({_walk("walk")}) w join stats t on w.conv_id is not distinct from t.conv_id and w.i = t.rows),
+ids as (select distinct conv_id from conversations)
+select ids.conv_id, coalesce(gaps, 0) gaps, coalesce(blank, 0) blank, coalesce(duplicate, 0) duplicate,
+       coalesce(truncated, 0) truncated, coalesce(illegal, 0) illegal, coalesce(best.c, 0) cost, coalesce(best.a, '') audit,
+       sha256(coalesce(best.r[2:], '')) repaired_sha256
+from ids left join stats on stats.conv_id is not distinct from ids.conv_id
+left join done on done.conv_id is not distinct from ids.conv_id""",
 }
