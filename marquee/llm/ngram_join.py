@@ -44,13 +44,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_column, broadcast_if_few, release, utf8_views, written
+from .common import array_chunks, arrow_column, broadcast_if_few, release, utf8_views, written
 from .components import components
 
 BLOCK, BLOCK_SHINGLES = 64, 1_000_000
 SECOND_BLOCK = 512
 #: Columns of the product that are multiplied at once.
 COLUMNS = 16_384
+#: Bytes of text whose sets a task holds at once.
+SET_CHUNK = 256 << 10
 _U = np.uint64
 
 
@@ -85,6 +87,8 @@ def shingle_sets(batch: list[bytes], k: int) -> list[np.ndarray]:
 @functools.lru_cache(maxsize=100_000)
 def instances(n: int, num: int, den: int) -> list[tuple[int, int, int, int]]:
     """(interval, parts, spare parts, least size of a part that isn't thin) for which a set of n shingles signs."""
+    if n == 0:  # an empty set links with nothing
+        return []
     # Intervals of sizes are as wide as a few steps from a set to its largest partner, at most about 1.4 to 1.
     steps = max(1, int(math.log(1.4) / math.log(den / num)))
     low, interval, below, found = 1, 0, None, []
@@ -131,18 +135,33 @@ def _identity(shingles: np.ndarray) -> tuple[int, int]:
     return int(np.int64(first.astype(np.int64))), int(second.astype(np.int64))
 
 
+def _signed(sets: list[np.ndarray], num: int, den: int) -> pa.Array:
+    """The sets' signatures as a list column, put together without a Python object for each."""
+    signed = [signatures(s, num, den) for s in sets]
+    flat = [x for own in signed for x in own]
+    counts = lambda xs: pa.array(np.concatenate(([0], np.cumsum(xs, dtype=np.int64))).astype(np.int32))
+    signs = np.concatenate([x[2] for x in flat]) if flat else np.zeros(0, _U)
+    rows = pa.StructArray.from_arrays(
+        [pa.array([x[0] for x in flat], pa.int32()), pa.array([x[1] for x in flat], pa.int32()),
+         pa.ListArray.from_arrays(counts([len(x[2]) for x in flat]), pa.array(signs.view(np.int64)))],
+        names=["interval", "least", "sign"])
+    return pa.ListArray.from_arrays(counts([len(own) for own in signed]), rows)
+
+
 def _sets(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
     def run(batches):
         for batch in batches:
-            sets = shingle_sets(utf8_views(batch.column("text")), words)
-            same = [_identity(s) if len(s) else (None, None) for s in sets]
-            signs = [[{"interval": i, "least": k, "sign": x.view(np.int64)} for i, k, x in signatures(s, num, den)] for s in sets]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array([a for a, _ in same], pa.int64()), pa.array([b for _, b in same], pa.int64()),
-                 pa.array(signs, kind)], names=["doc_id", "n", "h", "h2", "signs"])
-
-    kind = pa.list_(pa.struct([("interval", pa.int32()), ("least", pa.int32()), ("sign", pa.list_(pa.int64()))]))
+            at = 0
+            for part in array_chunks(batch.column("text"), SET_CHUNK):
+                sets = shingle_sets(utf8_views(part), words)
+                same = [_identity(s) if len(s) else (None, None) for s in sets]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").slice(at, len(part)), pa.array([len(s) for s in sets], pa.int64()),
+                     pa.array([a for a, _ in same], pa.int64()), pa.array([b for _, b in same], pa.int64()),
+                     _signed(sets, num, den)], names=["doc_id", "n", "h", "h2", "signs"])
+                at += len(part)
+            pa.default_memory_pool().release_unused()
+
     return docs.mapInArrow(run, "doc_id bigint, n bigint, h bigint, h2 bigint, "
                                 "signs array<struct<interval:int,least:int,sign:array<bigint>>>")
 

@@ -68,6 +68,10 @@ def test_parts_suffice_for_every_pair_of_sizes():
                 assert not differ or max((parts - spare for _, parts, spare, _ in shared), default=0) > differ, (a, b)
 
 
+def test_an_empty_set_signs_nothing():
+    assert ngram_join.instances(0, 90, 100) == [] and ngram_join.signatures(np.zeros(0, np.uint64), 90, 100) == []
+
+
 def test_overlaps():
     sets = [np.array(x, dtype=np.uint64) for x in ([1, 2, 3], [2, 3, 4, 5], [9])]
     assert ngram_join.overlaps(sets).tolist() == [[2, 2, 0], [2, 2, 0], [0, 0, 0]]
@@ -75,7 +79,7 @@ def test_overlaps():
 
 def test_odd_tables(spark, odd_docs, no_docs):
     got = sorted((r[0] or -1, r[1], r[2] or -1) for r in ngram_join.join(odd_docs).collect())
-    assert got == sorted([(1, 0, 1), (2, 0, 2), (3, 1, 3), (4, 0, 4), (5, 1, 5), (6, 11, 6), (7, 11, 6), (8, 196, 8),
+    assert got == sorted([(1, 0, 1), (2, 0, 2), (3, 1, 3), (4, 0, 4), (5, 1, 5), (6, 10, 6), (7, 10, 6), (8, 196, 8),
                           (9, 197, 8), (9, 197, 8), (10, 196, 8), (11, 1, 11), (11, 2, 11), (-1, 196, -1), (12, 1, 12)])
     assert ngram_join.join(no_docs).count() == 0
 
