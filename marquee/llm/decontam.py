@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_column, row_count_bytes, utf8_views
+from .common import arrow_column, made_once, row_count_bytes, utf8_views
 
 WINDOW = 10
 BLOCK_BYTES = 256 << 10
@@ -73,6 +73,10 @@ class Scanner:
         if self.some:
             self.automaton.make_automaton()
 
+    @classmethod
+    def of(cls, sent: tuple) -> "Scanner":
+        return cls(*sent)
+
     def scan(self, text: bytes) -> dict:
         folded = text.translate(_FOLD)
         words = folded.split()
@@ -103,18 +107,11 @@ class Scanner:
                 "spans": [{"start": int(points[first[r[0]]]), "end": int(points[last[r[-1]]])} for r in runs]}
 
 
-_scanner: dict = {}
-
-
 def _scan_column(spark, items: list[tuple], window: int):
-    sent = spark.sparkContext.broadcast(items)  # at most block_bytes of text
-    key = (spark.sparkContext.applicationId, sent._jbroadcast.id() if sent._jbroadcast is not None else id(sent), window)
+    sent = spark.sparkContext.broadcast((items, window))  # at most block_bytes of text
 
     def kernel(batch: pa.Array) -> pa.Array:
-        if key not in _scanner:
-            _scanner.clear()
-            _scanner[key] = Scanner(sent.value, window)
-        scanner = _scanner[key]
+        scanner = made_once("scanner", sent, Scanner.of)
         return pa.array([scanner.scan(t) for t in utf8_views(batch)], _RESULT_ARROW)
 
     return arrow_column(kernel, RESULT)

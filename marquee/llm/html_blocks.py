@@ -374,9 +374,6 @@ def fit(pages: DataFrame, column: str = "html", sample_pages: int = SAMPLE_PAGES
     return train(words)
 
 
-_labellers: dict = {}
-
-
 def extract_text(labeller: Labeller, pages: list[str]) -> list[str]:
     cut = [blocks(p) for p in pages]
     share = labeller.predict([vectors(b) for b in cut])
@@ -386,12 +383,8 @@ def extract_text(labeller: Labeller, pages: list[str]) -> list[str]:
 def extract(pages: DataFrame, column: str = "html", out: str = "text", sample_pages: int = SAMPLE_PAGES) -> DataFrame:
     """``pages`` with the main text of ``column`` in ``out``."""
     sent = pages.sparkSession.sparkContext.broadcast(fit(pages, column, sample_pages))  # a few thousand weights
-    key = (pages.sparkSession.sparkContext.applicationId, id(sent))
 
     def kernel(batch: pa.Array) -> pa.Array:
-        if key not in _labellers:
-            _labellers.clear()
-            _labellers[key] = sent.value
-        return pa.array([t for chunk in text_chunks(batch) for t in extract_text(_labellers[key], chunk)], pa.string())
+        return pa.array([t for chunk in text_chunks(batch) for t in extract_text(sent.value, chunk)], pa.string())
 
     return pages.withColumn(out, arrow_column(kernel, "string")(F.col(column)))

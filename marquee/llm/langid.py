@@ -23,13 +23,14 @@ columns are kept, columns named as the outputs are replaced.
 from __future__ import annotations
 
 import re
+import sys
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_column, texts
+from .common import arrow_column, made_once, text_chunks
 
 SAMPLE_ROWS = 4000
 ORDERS = (5, 4, 3, 2, 1)
@@ -37,7 +38,9 @@ SMOOTH = 0.5
 #: Unseen words whose scores a worker remembers.
 REMEMBERED = 200_000
 
-_LETTERS = re.compile(r"[^\W\d_]+")
+#: Numbers such as a superscript two or a Roman numeral are word characters and no digits, but no letters either.
+_NUMBERS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isnumeric() and not c.isalpha() and not c.isdecimal())
+_LETTERS = re.compile(rf"[^\W\d_{_NUMBERS}]+")
 
 
 def words(text: str) -> list[str]:
@@ -129,9 +132,12 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", sample_rows
     def count_words(batches):
         for batch in batches:
             seen: dict[tuple[str, str], int] = {}
-            for name, body in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                for w in words(body):
-                    seen[name, w] = seen.get((name, w), 0) + 1
+            names = iter(batch.column("lang").to_pylist())
+            for part in text_chunks(batch.column("text")):
+                for body in part:
+                    name = next(names)
+                    for w in words(body):
+                        seen[name, w] = seen.get((name, w), 0) + 1
             yield pa.RecordBatch.from_arrays(
                 [pa.array([k[0] for k in seen], pa.string()), pa.array([k[1] for k in seen], pa.string()),
                  pa.array(list(seen.values()), pa.int64())], names=["lang", "word", "n"])
@@ -148,20 +154,17 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", sample_rows
     return Model(names, {w: np.array([c.get(x, 0) for x in names], dtype=np.float64) for w, c in seen.items()})
 
 
-_predictors: dict = {}
-
-
 def predict(docs: DataFrame, model: Model, text: str = "text", out_lang: str = "lang_pred",
             out_score: str = "score") -> DataFrame:
     spark = docs.sparkSession
     sent = spark.sparkContext.broadcast(model)  # bounded by the fit's sample
-    key = (spark.sparkContext.applicationId, id(sent))
 
     def kernel(batch: pa.Array) -> pa.Array:
-        if key not in _predictors:
-            _predictors.clear()
-            _predictors[key] = Predictor(sent.value)
-        langs, shares = _predictors[key].predict(texts(batch))
+        langs, shares = [], []
+        for part in text_chunks(batch):
+            got = made_once("predictor", sent, Predictor).predict(part)
+            langs += got[0]
+            shares += got[1]
         return pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(shares, pa.float64())],
                                           names=["lang", "score"])
 

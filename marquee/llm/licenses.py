@@ -39,7 +39,6 @@ from collections.abc import Iterator
 from fractions import Fraction
 
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -223,17 +222,6 @@ def frequencies(docs: DataFrame, text: str, templates: Templates) -> dict[bytes,
     return {bytes(r["word"]): r["n"] for r in rows.groupBy("word").agg(F.sum("n").alias("n")).collect()}
 
 
-_ready: dict[str, Templates] = {}
-
-
-def _known(key: str, sent) -> Templates:
-    """The broadcast templates, unpacked once in each Python worker (a module's function sees the module's dictionary)."""
-    if key not in _ready:
-        _ready.clear()
-        _ready[key] = sent.value
-    return _ready[key]
-
-
 def find(docs: DataFrame, text: str = "text", templates: Templates | None = None) -> DataFrame:
     """``docs`` with ``n_words``, ``places`` (base phrases) and ``blocks`` (held templates)."""
     templates = templates or Templates()
@@ -241,8 +229,6 @@ def find(docs: DataFrame, text: str = "text", templates: Templates | None = None
     docs = docs.drop("n_words", "places", "blocks")
     templates.ordered(frequencies(docs, text, templates))
     sent = spark.sparkContext.broadcast(templates)
-    key = xxhash.xxh3_64_hexdigest(repr((templates.words, sorted(templates.rank.items()), templates.num, templates.den,
-                                        templates.phrases)))
     place = pa.struct([("label", pa.string()), ("word", pa.int64()), ("words", pa.int32())])
     block = pa.struct([("label", pa.string()), ("template", pa.int32()), ("first_word", pa.int64()), ("words", pa.int64()),
                        ("shared", pa.int32()), ("size", pa.int32()), ("closest", pa.bool_())])
@@ -251,7 +237,7 @@ def find(docs: DataFrame, text: str = "text", templates: Templates | None = None
         return [[dict(zip([f.name for f in kind], r, strict=True)) for r in own] for own in rows]
 
     def run(batches):
-        known = _known(key, sent)
+        known = sent.value
         for batch in batches:
             got = [scan(t, known) for part in array_chunks(batch) for t in utf8_views(part)]
             yield pa.StructArray.from_arrays(

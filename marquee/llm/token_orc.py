@@ -29,11 +29,10 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import CHUNK, PieceTable, array_chunks, arrow_column, broadcast_if_few
+from .common import CHUNK, PieceTable, array_chunks, arrow_column, broadcast_if_few, made_once
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 2
@@ -175,9 +174,6 @@ def _word_form(part: str) -> str | None:
     return form.encode().decode("latin-1").translate(_LETTERS)
 
 
-_encoders: dict = {}
-
-
 def write(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text",
           tokenizer_path: str = TOKENIZER, options: dict | None = None) -> str:
     spark = docs.sparkSession
@@ -186,13 +182,9 @@ def write(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text"
     if len(definition) > 64 << 20:
         raise ValueError(f"{tokenizer_path}: a definition of {len(definition)} characters is not broadcast")
     sent = spark.sparkContext.broadcast(definition)
-    key = xxhash.xxh3_64_hexdigest(definition)
 
     def encoded(batches):
-        if key not in _encoders:
-            _encoders.clear()
-            _encoders[key] = Encoder(sent.value)
-        encoder, before = _encoders[key], 0
+        encoder, before = made_once("encoder", sent, Encoder), 0
         for batch in batches:
             at = 0
             for body in array_chunks(batch.column("t"), 2 * CHUNK):

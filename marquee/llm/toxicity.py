@@ -169,20 +169,13 @@ def fit(labelled: DataFrame, categories: list[str], text: str = "text", sample_r
                  np.array([len(w) for w in words], dtype=np.int64), labels)
 
 
-_chains: dict = {}
-
-
 def predict(docs: DataFrame, chain: Chain, text: str = "text") -> DataFrame:
     """``docs`` with ``p_<category>`` and boolean ``<category>`` for each link of the chain."""
     sent = docs.sparkSession.sparkContext.broadcast(chain)  # bounded by the fit's sample
-    key = (docs.sparkSession.sparkContext.applicationId, id(sent))
     kind = "struct<" + ",".join(f"p{k}:double" for k in range(len(chain.categories))) + ">"
 
     def kernel(batch: pa.Array) -> pa.Array:
-        if key not in _chains:
-            _chains.clear()
-            _chains[key] = sent.value
-        got = [_chains[key].predict(chunk) for chunk in text_chunks(batch)]
+        got = [sent.value.predict(chunk) for chunk in text_chunks(batch)]
         share = np.concatenate(got) if got else np.zeros((0, len(chain.categories)))
         return pa.StructArray.from_arrays([pa.array(c, pa.float64()) for c in share.T],
                                           names=[f"p{k}" for k in range(len(chain.categories))])

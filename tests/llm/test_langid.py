@@ -1,3 +1,4 @@
+import numpy as np
 import duckdb
 
 from marquee.llm import langid
@@ -39,3 +40,11 @@ def test_odd_tables(spark, odd_docs, no_docs):
     assert langid.identify(no_docs).count() == 0
     unlabelled = odd_docs.selectExpr("doc_id", "text", "cast(null as string) lang")
     assert {r["lang_pred"] for r in langid.identify(unlabelled).collect()} == {"und"}
+
+
+def test_numeric_signs_are_no_letters(spark):
+    docs = spark.createDataFrame([(1, "\u00b2 \u00bd \u2462 \u2167 12 _"), (2, "\u00e9t\u00e9 x\u00b2")], "doc_id bigint, text string")
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.predict(
+        docs, langid.Model(["fr"], {"x": np.array([1.0])})).collect()}
+    assert got == {1: ("und", 0.0), 2: ("fr", 1.0)}
+    assert langid.words("x\u00b2 \u00e9t\u00e9 \u4e2d\u6587") == ["x", "\u00e9t\u00e9", "\u4e2d\u6587"]
