@@ -2,23 +2,46 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Distinct values that stand in one list; a group with more is dealt into blocks of about so many.
+BLOCK = 1024
 
-def weighted_pairs(rows: DataFrame, group: str, value: str) -> DataFrame:
+
+def _later(values: Column, i: Column) -> Column:
+    return F.slice(values, i + 2, F.size(values))
+
+
+def weighted_pairs(rows: DataFrame, group: str, value: str, block: int = BLOCK) -> DataFrame:
     """Rows ``group, a, b, w``: the pairs a < b of a group's distinct values,
     each weighted by the product of their multiplicities.
 
     This equals the pair count of a self-join of ``rows`` on ``group`` with
-    ``a < b``.  Multiplicities are counted first (map-side combined), a
-    group's distinct values are sorted once into one list, and each value is
-    then paired with the rest of the list by two generators, so the pairs
-    stream as rows and no quadratic array is built.
+    ``a < b``.  Multiplicities are counted first (map-side combined).  A group
+    of n distinct values has ceil(n / block) blocks, to which its values are
+    dealt by hash; every two blocks (and every block with itself) meet in a
+    list of their own, so a very large group is spread over many tasks and no
+    list holds more than about two blocks.  A value travels once for each
+    block of its group: once only in the groups of up to ``block`` values.
+    Pairs stream as rows through two generators; no quadratic array is built.
+
+    NULL values pair with nothing; rows with a NULL group form no pairs.
     """
-    counted = rows.groupBy(group, F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("m"))
-    lists = counted.groupBy(group).agg(F.array_sort(F.collect_list(F.struct("v", "m"))).alias("vs"))
-    first = lists.filter(F.size("vs") > 1).select(group, "vs", F.posexplode("vs").alias("i", "x"))
-    pairs = first.select(group, "x", F.explode(F.slice("vs", F.col("i") + 2, F.size("vs"))).alias("y"))
-    return pairs.select(group, F.col("x.v").alias("a"), F.col("y.v").alias("b"),
+    counted = rows.filter(F.col(group).isNotNull() & F.col(value).isNotNull()).groupBy(
+        group, F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("m"))
+    sizes = counted.groupBy(group).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(
+        group, F.ceil(F.col("_n") / block).cast("int").alias("_blocks"))
+    own = F.pmod(F.xxhash64("v"), "_blocks").cast("int")
+    dealt = counted.join(sizes, group).withColumn("_own", own).select(
+        group, "v", "m", "_own", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_other"))
+    meeting = dealt.groupBy(group, F.least("_own", "_other").alias("_i"), F.greatest("_own", "_other").alias("_j"))
+    side = F.struct("v", "m")
+    lists = meeting.agg(F.array_sort(F.collect_list(F.when(F.col("_own") <= F.col("_other"), side))).alias("left"),
+                        F.array_sort(F.collect_list(F.when(F.col("_own") > F.col("_other"), side))).alias("right"))
+    # A block meets itself with each value's later ones, another block with all of that one's.
+    first = lists.select(group, "left", "right", F.expr("_i = _j").alias("same"), F.posexplode("left").alias("i", "x"))
+    partners = F.when(F.col("same"), _later(F.col("left"), F.col("i"))).otherwise(F.col("right"))
+    pairs = first.select(group, "x", F.explode(partners).alias("y"))
+    return pairs.select(group, F.least("x.v", "y.v").alias("a"), F.greatest("x.v", "y.v").alias("b"),
                         (F.col("x.m") * F.col("y.m")).alias("w"))
