@@ -15,6 +15,8 @@ from marquee.operators import (
     distribution_summary, running_total, share_of_total, share_within,
 )
 from marquee.plans.models import Catalogue
+from marquee.session import workspace_dir
+from marquee.sources.sinks import as_table
 
 
 def _flag_sum(cond: Column, weight: Column | None = None) -> Column:
@@ -90,32 +92,38 @@ def q03_catalogue_growth(cat: Catalogue) -> DataFrame:
     return running_total(g, "year_added", "titles_added", "cumulative_titles").orderBy("year_added")
 
 
-def q04_country_production(cat: Catalogue) -> DataFrame:
+def _shared(both: DataFrame, count_col: str, out: str, places: int) -> DataFrame:
+    """Group rows with their share of the grand total.  ``both`` holds the
+    groups and the total (``whole`` = 1) from one aggregate; it is written, so
+    that the join and aggregate behind it run once."""
+    kept = as_table(both, workspace_dir(both.sparkSession) + "/groups")
+    total = kept.filter("whole = 1").select(F.col(count_col).alias("total"))
+    return share_of_total(kept.filter("whole = 0").drop("whole"), total, count_col, out, places)
+
+
+def country_credits(cat: Catalogue) -> DataFrame:
+    """Q04's groups and grand total by grouping sets over one bridge x mart join."""
     w = F.col("n_rows")
-    g = cat.bridge_facts(cat.countries).groupBy("country").agg(
+    return cat.bridge_facts(cat.countries).groupingSets([["country"], []], "country").agg(
+        F.grouping("country").alias("whole"),
         F.sum(w).cast("bigint").alias("titles"),
         _flag_sum(F.col("is_primary_country"), w).alias("primary_titles"),
         _flag_sum(F.col("country_count") > 1, w).alias("co_produced_titles"),
         _flag_sum(F.col("title_type") == "Movie", w).alias("movies"),
         _flag_sum(F.col("title_type") == "TV Show", w).alias("tv_shows"),
-        round_half_away(_wavg("ry_sum", "ry_cnt"), 0).alias("avg_release_year"),
-    ).withColumn("pct_tv", pct("tv_shows", "titles", 1))
-    # Every mart row counts once for each bridge row of its title.
-    total = cat.bridge_facts(cat.countries.groupBy("show_id").agg(F.count(F.lit(1)).alias("tags"))) \
-        .agg(F.sum(F.col("tags") * w).alias("total"))
-    out = share_of_total(g, total, "titles", "pct_of_all_credits", 2)
+        round_half_away(_wavg("ry_sum", "ry_cnt"), 0).alias("avg_release_year"))
+
+
+def q04_country_production(cat: Catalogue) -> DataFrame:
+    out = _shared(country_credits(cat), "titles", "pct_of_all_credits", 2).withColumn("pct_tv", pct("tv_shows", "titles", 1))
     return out.select("country", "titles", "primary_titles", "co_produced_titles", "movies",
                       "tv_shows", "pct_tv", "avg_release_year", "pct_of_all_credits") \
               .orderBy(F.desc("titles"), "country")
 
 
-def q05_genre_profile(cat: Catalogue, distinct_titles: bool = False,
-                      approx: bool = False) -> DataFrame:
-    """Genre mix over normalised labels.  ``titles`` counts genre *tags*: a
-    title with two labels of one normalised genre counts twice, as in the
-    reference.  ``distinct_titles=True`` adds the number of distinct titles
-    per genre as an extra column: rows are first reduced to one for each
-    (genre, title), on the partitioning that the join left."""
+def genre_tags(cat: Catalogue, distinct_titles: bool = False, approx: bool = False) -> DataFrame:
+    """Q05's groups and grand total by grouping sets over one bridge x mart
+    join; rows are first reduced to one for each (genre, title)."""
     w = F.col("n_rows")
     sums = ["ry_sum", "ry_cnt", "dm_sum", "dm_cnt", "se_sum", "se_cnt"]
     per = cat.bridge_facts(cat.genres).groupBy("genre_normalised", "show_id").agg(
@@ -124,18 +132,23 @@ def q05_genre_profile(cat: Catalogue, distinct_titles: bool = False,
         _flag_sum(F.col("title_type") == "TV Show", w).alias("tv_shows"),
         F.max("primary_country").alias("primary_country"), *[F.sum(c).alias(c) for c in sums])
     extra = [F.count(F.lit(1)).alias("distinct_titles")] if distinct_titles else []
-    g = per.groupBy(F.col("genre_normalised").alias("genre")).agg(
-        *extra,
+    return per.withColumnRenamed("genre_normalised", "genre").groupingSets([["genre"], []], "genre").agg(
+        F.grouping("genre").alias("whole"), *extra,
         F.sum("tags").cast("bigint").alias("titles"),
         F.sum("movies").cast("bigint").alias("movies"), F.sum("tv_shows").cast("bigint").alias("tv_shows"),
         round_half_away(_wavg("dm_sum", "dm_cnt"), 1).alias("avg_movie_minutes"),
         round_half_away(_wavg("se_sum", "se_cnt"), 2).alias("avg_seasons"),
         round_half_away(_wavg("ry_sum", "ry_cnt"), 0).alias("avg_release_year"),
-        _distinct(approx)("primary_country").alias("countries_producing"),
-    )
-    total = cat.bridge_facts(cat.genres.groupBy("show_id").agg(F.count(F.lit(1)).alias("tags"))) \
-        .agg(F.sum(F.col("tags") * w).alias("total"))
-    out = share_of_total(g, total, "titles", "pct_of_genre_tags", 2)
+        _distinct(approx)("primary_country").alias("countries_producing"))
+
+
+def q05_genre_profile(cat: Catalogue, distinct_titles: bool = False,
+                      approx: bool = False) -> DataFrame:
+    """Genre mix over normalised labels.  ``titles`` counts genre *tags*: a
+    title with two labels of one normalised genre counts twice, as in the
+    reference.  ``distinct_titles=True`` adds the number of distinct titles
+    per genre as an extra column."""
+    out = _shared(genre_tags(cat, distinct_titles, approx), "titles", "pct_of_genre_tags", 2)
     return out.select("genre", "titles", "movies", "tv_shows", "pct_of_genre_tags",
                       "avg_movie_minutes", "avg_seasons", "avg_release_year",
                       "countries_producing", *(["distinct_titles"] if distinct_titles else []))\

@@ -9,11 +9,11 @@ import datetime
 import functools
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.functions import TITLE_TYPES, clean
-from marquee.operators.profile import count_if_all
+from marquee.operators.profile import count_if_all, unpivot_counts
 from marquee.plans.jobs import DEFAULT_CONCURRENT_JOBS, run_concurrently
 from marquee.plans.models import Catalogue
 
@@ -84,15 +84,18 @@ def t08_no_empty_tokens(cat: Catalogue) -> DataFrame:
 def t09_referential_integrity(cat: Catalogue) -> DataFrame:
     """Bridge rows whose title is missing from the mart, per bridge.
 
-    The bridges are reduced to (model, show_id, rows), stacked, and
-    anti-joined to the mart's keys once."""
+    No join: the bridges' keys and the mart's are stacked, and one aggregate
+    per title (combined map-side) counts its rows in each bridge beside a
+    marker of the mart.  A NULL key is in no mart."""
     bridges = {"int_title_countries": cat.countries, "int_title_genres": cat.genres,
                "int_title_people": cat.people}
-    stacked = functools.reduce(DataFrame.unionByName, [
-        df.select(F.lit(name).alias("model"), "show_id") for name, df in bridges.items()])
-    keys = stacked.groupBy("show_id", "model").agg(F.count(F.lit(1)).alias("n"))
-    orphans = keys.join(cat.mart.select("show_id"), "show_id", "left_anti")
-    return orphans.groupBy("model").agg(F.sum("n").alias("orphans"))
+    sides = [df.select("show_id", F.lit(name).alias("model")) for name, df in bridges.items()]
+    stacked = functools.reduce(DataFrame.unionByName, [*sides, cat.mart.select("show_id", F.lit(None).cast("string").alias("model"))])
+    titles = stacked.groupBy("show_id").agg(F.max(F.col("model").isNull()).alias("in_mart"),
+                                            *[F.count_if(F.col("model") == name).alias(name) for name in bridges])
+    orphans = titles.filter(~F.col("in_mart") | F.col("show_id").isNull())
+    counts = orphans.agg(*[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in bridges])
+    return unpivot_counts(counts, list(bridges), "model", "orphans").filter("orphans > 0")
 
 
 def t10_release_year_plausible(cat: Catalogue, max_year: int | None = None) -> DataFrame:
@@ -129,12 +132,23 @@ class AssertionResult:
     sample: list
 
 
+def offenders(df: DataFrame, sample_rows: int = 5) -> tuple[int, list[dict]]:
+    """Number of rows and the first ``sample_rows`` of them in order of their
+    columns, from one pass: rows are counted as they flow into the bounded
+    heaps (one for each task) that keep the first ones."""
+    seen = Observation()
+    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    first = counted.orderBy(*[F.col(f"`{c}`").asc_nulls_first() for c in df.columns]).limit(sample_rows).collect()
+    return int(seen.get["rows"]), [r.asDict() for r in first]
+
+
 def run_suite(cat: Catalogue, sample_rows: int = 5, max_jobs: int = DEFAULT_CONCURRENT_JOBS,
               **kw) -> list[AssertionResult]:
     """T11: run every assertion; results in name order.  A query error is a
     failure; an empty result is a pass.  Only the offending count and at
-    most ``sample_rows`` offending rows reach the driver.  The assertions
-    are independent jobs and run ``max_jobs`` at a time."""
+    most ``sample_rows`` offending rows (the first in order of their columns)
+    reach the driver.  The assertions are independent jobs and run
+    ``max_jobs`` at a time."""
     try:
         cat.unique_keys  # decide the plan once, before the threads start
     except Exception:  # noqa: BLE001 - each assertion then reports the error itself
@@ -143,9 +157,7 @@ def run_suite(cat: Catalogue, sample_rows: int = 5, max_jobs: int = DEFAULT_CONC
     def check(name: str):
         fn = ASSERTIONS[name]
         df = fn(cat, **kw) if name == "release_year_plausible" else fn(cat)
-        sample = [r.asDict() for r in df.limit(sample_rows).collect()]
-        n = df.count() if len(sample) == sample_rows else len(sample)
-        return n, sample
+        return offenders(df, sample_rows)
 
     done = run_concurrently({n: (lambda n=n: check(n)) for n in sorted(ASSERTIONS)}, max_jobs)
     out = []
@@ -167,12 +179,23 @@ def suite_frame(spark: SparkSession, results: list[AssertionResult]) -> DataFram
               "error string, sample array<string>")
 
 
+def offenders_frame(spark: SparkSession, results: list[AssertionResult]) -> DataFrame:
+    """The suite's offending rows: assertion, place in the sample and the values in order of their columns."""
+    rows = [(r.name, k + 1, "|".join("" if v is None else str(v) for v in row.values()))
+            for r in results for k, row in enumerate(r.sample)]
+    return spark.createDataFrame(rows, "assertion string, place int, offender string")
+
+
 class AssertionsFailed(RuntimeError):
-    pass
+    """Carries the names of the failed assertions."""
+
+    def __init__(self, failed: list[str]):
+        super().__init__(f"{len(failed)} assertion(s) failed: {', '.join(failed)}")
+        self.failed = failed
 
 
 def require_all_pass(results: list[AssertionResult]) -> None:
     """Stop a build whose assertions failed (the reference exits non-zero)."""
     failed = [r.name for r in results if r.status != "pass"]
     if failed:
-        raise AssertionsFailed(f"{len(failed)} assertion(s) failed: {', '.join(failed)}")
+        raise AssertionsFailed(failed)

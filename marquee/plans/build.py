@@ -51,13 +51,16 @@ class Warehouse:
 
     @staticmethod
     def open(spark: SparkSession, root: str) -> "Warehouse":
-        """A finished build's tables, from this or another session."""
+        """A finished build's tables, from this or another session, also by name
+        in ``spark.sql`` (``register_views``)."""
         paths = {name: f"{root}/{layer}/{name}" for layer, mat, names in LAYERS for name in names
                  if mat == "table"}
         require_inputs(spark, f"{root}/raw", *paths.values())
-        models = {name: spark.read.parquet(path) for name, path in paths.items()}
-        cat = Catalogue(spark.read.parquet(f"{root}/raw"), models=models)
-        return Warehouse(root, cat, {"stg_titles": cat.staging, **models}, [])
+        models = {name: sinks.open_table(spark, path) for name, path in paths.items()}
+        cat = Catalogue(sinks.open_table(spark, f"{root}/raw"), models=models)
+        wh = Warehouse(root, cat, {"stg_titles": cat.staging, **models}, [])
+        wh.register_views()
+        return wh
 
     def register_views(self, prefix: str = "") -> list[str]:
         """Expose every built model under its name as a temp view, so
@@ -134,6 +137,7 @@ def build(raw: DataFrame, root: str | None = None,
     tables = {n: df for n, df in models.items() if n != "stg_titles"}
     wh = Warehouse(root, cat.with_models(tables), models, report)
     wh.seconds = time.time() - begun
+    wh.register_views()
     return wh
 
 

@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import time
+import uuid
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+#: Names the current version of a table, inside its folder.
+POINTER = "current.txt"
+
 
 def as_view(df: DataFrame, name: str) -> DataFrame:
     """S5: a lazily re-evaluated model (the reference's VIEW)."""
@@ -15,6 +21,11 @@ def as_view(df: DataFrame, name: str) -> DataFrame:
 def as_table(df: DataFrame, path: str, partition_cols=None, sort_within=None) -> DataFrame:
     """S6: create-or-replace a Parquet table and return a reader of it.
 
+    Every write makes a new version folder; a pointer file is switched to it
+    by one rename once the write is whole.  So a table can be replaced while
+    it is read, or from itself, and a failed write leaves the old one.
+    ``drop_old_versions`` removes what no reader needs any more.
+
     Writing cuts the lineage: later models read files, so a lost executor
     does not re-run the upstream plan.  ``sort_within`` clusters rows inside
     each file (better min/max pruning for later key filters).
@@ -30,11 +41,57 @@ def as_counted_table(df: DataFrame, path: str, partition_cols=None,
     w = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     if sort_within:
         w = w.sortWithinPartitions(*sort_within)
-    writer = w.write.mode("overwrite")
+    writer = w.write
     if partition_cols:
         writer = writer.partitionBy(*partition_cols)
-    writer.parquet(path)
-    return df.sparkSession.read.parquet(path), int(obs.get["rows"])
+    # Names in order of time: a version's age shows in its name.
+    version = f"v{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    writer.parquet(f"{path}/{version}")
+    _point(df.sparkSession, path, version)
+    return df.sparkSession.read.parquet(f"{path}/{version}"), int(obs.get["rows"])
+
+
+def _file_system(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _point(spark: SparkSession, path: str, version: str) -> None:
+    """Switch the table's pointer to a version, by one atomic rename."""
+    fs = spark._jvm.org.apache.hadoop.fs
+    made, system = _file_system(spark, f"{path}/.{version}.txt")
+    out = system.create(made, True)
+    out.write(bytearray(version.encode()))
+    out.close()
+    over = spark._sc._gateway.new_array(getattr(fs, "Options$Rename"), 1)
+    over[0] = getattr(fs, "Options$Rename").OVERWRITE
+    files = fs.FileContext.getFileContext(system.getUri(), spark._jsc.hadoopConfiguration())
+    files.rename(system.makeQualified(made), system.makeQualified(fs.Path(f"{path}/{POINTER}")), over)
+
+
+def current_version(spark: SparkSession, path: str) -> str:
+    """The folder of the table's current version."""
+    return f"{path}/" + spark.read.text(f"{path}/{POINTER}").first()["value"]
+
+
+def open_table(spark: SparkSession, path: str) -> DataFrame:
+    """The current version of a table that ``as_table`` wrote, from this or another session."""
+    return spark.read.parquet(current_version(spark, path))
+
+
+def drop_old_versions(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
+    """Remove all but the newest ``keep`` versions (the current one always stays); their names.
+
+    Versions newer than the current one are writes that aren't done, or failed, and stay as well."""
+    if keep < 1:
+        raise ValueError("the current version can't be dropped")
+    current = current_version(spark, path).rsplit("/", 1)[1]
+    where, system = _file_system(spark, path)
+    done = sorted(name for f in system.listStatus(where) if f.isDirectory()
+                  and (name := f.getPath().getName()).startswith("v") and name <= current)
+    for name in done[:-keep]:
+        system.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}"), True)
+    return done[:-keep]
 
 
 def write_result_csv(df: DataFrame, path: str, single_file: bool = False) -> str:

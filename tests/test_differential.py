@@ -66,10 +66,10 @@ for _name, _fn in A.ANALYSES.items():
     _key = "q" + _name if not _name.startswith("10_") else "q10_co_production"
     if _name.startswith("07_"):
         CASES[_key] = (lambda c: A.q07_top_people(c, min_credits=1),
-                       O.ANALYSIS_SQL[_key].replace(">= 10", ">= 1"))
+                       O.analysis_sql(min_credits=1)[_key])
     elif _name.startswith("10_"):
         CASES[_key] = (lambda c: A.q10_co_production(c, min_pairs=1),
-                       O.ANALYSIS_SQL[_key].replace(">= 5", ">= 1"))
+                       O.analysis_sql(min_pairs=1)[_key])
     else:
         CASES[_key] = ((lambda fn: lambda c: fn(c))(_fn), O.ANALYSIS_SQL[_key])
 
