@@ -139,7 +139,8 @@ def offenders(df: DataFrame, sample_rows: int = 5) -> tuple[int, list[dict]]:
     seen = Observation()
     counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
     first = counted.orderBy(*[F.col(f"`{c}`").asc_nulls_first() for c in df.columns]).limit(sample_rows).collect()
-    return int(seen.get["rows"]), [r.asDict() for r in first]
+    # Where Spark finds at run time that there are no rows, it may drop the counting with them.
+    return int(seen.get["rows"]) if first else 0, [r.asDict() for r in first]
 
 
 def run_suite(cat: Catalogue, sample_rows: int = 5, max_jobs: int = DEFAULT_CONCURRENT_JOBS,

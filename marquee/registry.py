@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee import oracle as O
+from marquee.operators import distribution_by_selection, exact_quantiles, running_total_by_range, weighted_pairs
 from marquee.plans import analyses as A
 from marquee.plans import assertions as T
 from marquee.plans import report as R
@@ -29,7 +30,7 @@ from marquee.plans.build import build, land, run, run_analyses
 from marquee.plans.models import Catalogue
 from marquee.session import workspace_dir
 from marquee.sources import landing as S
-from marquee.sources.sinks import as_table, as_view, read_result_csv, write_result_csv
+from marquee.sources.sinks import as_table, as_view, open_table, read_result_csv, write_result_csv
 from marquee.sources.synthetic import synthetic_landing
 
 # Fixed for reproducible checks: the reference compares with the current
@@ -253,6 +254,49 @@ def _test_only(spark: SparkSession, sf_dir: str) -> DataFrame:
 _reg("l2_test_only", _test_only, _SUITE_SQL, defects=SUITE_DEFECTS)
 _reg("t11_assertion_suite_dirty", _suite(SUITE_DEFECTS), _SUITE_SQL, defects=SUITE_DEFECTS)
 
+# -- the suite's offenders, its clock and its stop -------------------------
+_reg("t10_release_year_this_year", lambda s, d: T.t10_release_year_plausible(_cat(s, d, ("implausible_year",))), """
+    SELECT show_id, title, release_year FROM mart
+    WHERE release_year NOT BETWEEN 1900 AND year(current_date) + 1""", defects=("implausible_year",))
+
+# Columns of the assertions that fire on SUITE_DEFECTS, in their order.
+_OFFENDING_COLUMNS = {
+    "accepted_values_audience": ("rating",),
+    "accepted_values_type": ("title_type",),
+    "duration_units_split": ("show_id", "title", "title_type", "duration_minutes", "seasons"),
+    "release_year_plausible": ("show_id", "title", "release_year"),
+}
+
+
+def _offenders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T11: the first five offending rows of each assertion, in order of their columns."""
+    wh = build(land(synthetic_landing(spark, sf_dir, SUITE_DEFECTS)))
+    return T.offenders_frame(spark, T.run_suite(wh.catalogue, max_year=MAX_YEAR))
+
+
+def _offenders_sql(name: str, columns: tuple) -> str:
+    order = ", ".join(f"{c} NULLS FIRST" for c in columns)
+    shown = " || '|' || ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in columns)
+    return (f"SELECT '{name}' AS assertion, place, {shown} AS offender FROM (SELECT *, CAST(row_number() OVER (ORDER BY {order}) "
+            f"AS INTEGER) AS place FROM ({_T_SQL[_SUITE_NAMES[name]]}) x) y WHERE place <= 5")
+
+
+_reg("t11_offenders", _offenders, "\nUNION ALL\n".join(_offenders_sql(*x) for x in _OFFENDING_COLUMNS.items()),
+     defects=SUITE_DEFECTS)
+
+
+def _fail_early(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L2: a run whose assertions fail stops; the assertions that stopped it."""
+    try:
+        run(synthetic_landing(spark, sf_dir, SUITE_DEFECTS), max_year=MAX_YEAR)
+        failed = []
+    except T.AssertionsFailed as stopped:
+        failed = stopped.failed
+    return spark.createDataFrame([(name,) for name in failed], "assertion string")
+
+
+_reg("l2_fail_early", _fail_early, f"SELECT assertion FROM ({_SUITE_SQL}) suite WHERE status = 'fail'", defects=SUITE_DEFECTS)
+
 # -- report data -----------------------------------------------------------
 _Q01 = O.ANALYSIS_SQL["q01_cleaning_impact"].strip()
 _Q01_BODY = _Q01[:_Q01.index("SELECT 'country'")]
@@ -317,6 +361,53 @@ for _k, _fn in R.REPORTS.items():
     _reg(_k, (lambda fn: lambda s, d: fn(_cat(s, d)))(_fn), _R_SQL[_k])
 
 
+# -- operators over wide domains and large groups ---------------------------
+def _by_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q06 with quantiles by refining bins instead of a map of all values."""
+    mart = _cat(spark, sf_dir).mart
+    out = []
+    for kind, unit, value, places in (("Movie", "minutes", "duration_minutes", 1), ("TV Show", "seasons", "seasons", 2)):
+        got = distribution_by_selection(mart, value, places)
+        out.append(got.select(F.lit(kind).alias("title_type"), F.lit(unit).alias("unit"), *got.columns))
+    return out[0].unionByName(out[1])
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+_reg("q06_duration_distribution_by_selection", _by_selection, O.ANALYSIS_SQL["q06_duration_distribution"])
+_reg("a9_median_lag_by_year", lambda s, d: exact_quantiles(
+    _cat(s, d).mart.filter("year_added is not null"), "years_release_to_platform", [0.5], ["year_added"]).select(
+        "year_added", F.col("quantiles")[0].alias("median_lag")),
+    """SELECT year_added, median(years_release_to_platform) AS median_lag FROM mart WHERE year_added IS NOT NULL
+       AND years_release_to_platform IS NOT NULL GROUP BY year_added""")
+QUERIES["a10_price_distribution"] = lambda s, d: distribution_by_selection(
+    _table(s, d, "lineitem"), "l_extendedprice", 2, 2, ["l_returnflag"])
+ORACLE["a10_price_distribution"] = """
+    SELECT l_returnflag, count(l_extendedprice) AS titles, min(l_extendedprice) AS min_value,
+           round(quantile_cont(l_extendedprice, 0.25), 2) AS p25, round(median(l_extendedprice), 2) AS median_value,
+           round(quantile_cont(l_extendedprice, 0.75), 2) AS p75, round(quantile_cont(l_extendedprice, 0.95), 2) AS p95,
+           max(l_extendedprice) AS max_value, round(avg(l_extendedprice), 2) AS mean_value
+    FROM lineitem GROUP BY l_returnflag"""
+_reg("w2_titles_by_day", lambda s, d: running_total_by_range(
+    _cat(s, d).mart.filter("date_added is not null").groupBy("date_added").agg(F.count(F.lit(1)).alias("titles")),
+    ["date_added"], "titles", "cumulative_titles"),
+    """SELECT date_added, count(*) AS titles, CAST(sum(count(*)) OVER (ORDER BY date_added) AS BIGINT) AS cumulative_titles
+       FROM mart WHERE date_added IS NOT NULL GROUP BY date_added""")
+_reg("w2_minutes_by_title", lambda s, d: running_total_by_range(
+    _cat(s, d, DUP).mart.select("title_type", "show_id", "duration_minutes"), ["show_id"], "duration_minutes",
+    "cumulative_minutes", ["title_type"]),
+    """SELECT title_type, show_id, duration_minutes, CAST(sum(duration_minutes) OVER (
+           PARTITION BY title_type ORDER BY show_id) AS BIGINT) AS cumulative_minutes FROM mart""", defects=DUP)
+# Three groups of all suppliers: each far larger than a block here.
+QUERIES["j3_supplier_pairs"] = lambda s, d: weighted_pairs(
+    _table(s, d, "lineitem"), "l_returnflag", "l_suppkey", block=32).groupBy("a", "b").agg(F.sum("w").alias("lines"))
+ORACLE["j3_supplier_pairs"] = """
+    WITH own AS (SELECT l_returnflag AS flag, l_suppkey AS v, count(*) AS m FROM lineitem GROUP BY ALL)
+    SELECT x.v AS a, y.v AS b, CAST(sum(x.m * y.m) AS BIGINT) AS lines
+    FROM own x JOIN own y ON x.flag = y.flag AND x.v < y.v GROUP BY ALL"""
+
 # -- sources and sinks -----------------------------------------------------
 def _csv_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S1: write the landing as CSV to the shared scratch folder, land it back."""
@@ -395,6 +486,16 @@ def _table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_table(_cat(spark, sf_dir).mart, workspace_dir(spark) + "/dim_title")
 
 
+def _replaced_from_itself(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S6: a table replaced from itself while an earlier reader still holds it."""
+    path = workspace_dir(spark) + "/dim_title"
+    before = as_table(_cat(spark, sf_dir).mart, path)
+    after = as_table(before.filter("title_type = 'Movie'"), path)
+    rows = {"before": before, "after": after, "opened": open_table(spark, path)}
+    return functools.reduce(DataFrame.unionByName, [
+        df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("reader"), "rows") for name, df in rows.items()])
+
+
 def _csv_result_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S8 + S10: an analysis written as headed CSV and read back typed."""
     q = A.q04_country_production(_cat(spark, sf_dir))
@@ -422,6 +523,9 @@ _ANALYSIS_SQL_KEYS = {name: ("q" + name if not name.startswith("10_") else "q10_
                       for name in A.ANALYSES}
 _reg("s5_view_roundtrip", _view_roundtrip, "SELECT * FROM stg")
 _reg("s6_table_roundtrip", _table_roundtrip, "SELECT * FROM mart")
+_reg("s6_replace_from_itself", _replaced_from_itself, """
+    SELECT 'before' AS reader, count(*) AS rows FROM mart
+    UNION ALL SELECT unnest(['after', 'opened']), count(*) FROM mart WHERE title_type = 'Movie'""")
 _reg("s8_result_csv_edges", _csv_result_edges, "SELECT show_id, chr(9) || title || ' ' AS title FROM stg")
 _reg("s8_result_csv_roundtrip", _csv_result_roundtrip, O.ANALYSIS_SQL["q04_country_production"])
 _reg("l3_run_analyses", _analysis_run, _Q01_BODY + f"\n, q01 AS ({_Q01_SELECT})\n" + "\nUNION ALL\n".join(
