@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from marquee.functions import clean, pct, round_half_away, safe_ratio
 from marquee.operators import (
-    distribution_summary, running_total, share_of_total, share_within,
+    distinct_from_sketches, distribution_summary, running_total, share_of_total, share_within,
 )
 from marquee.plans.models import Catalogue
 from marquee.session import workspace_dir
@@ -49,7 +49,11 @@ def q01_cleaning_impact(cat: Catalogue, approx: bool = False) -> DataFrame:
     ctry = cat.countries.agg(distinct("country").alias("real_countries"))
     gen = cat.genres.agg(distinct("genre").alias("labels"),
                          distinct("genre_normalised").alias("normalised"))
-    one = raw.crossJoin(ctry).crossJoin(gen)  # three one-row aggregates
+    return _impact(raw.crossJoin(ctry).crossJoin(gen))  # three one-row aggregates
+
+
+def _impact(one: DataFrame) -> DataFrame:
+    """Q01's three rows from its five counts."""
     rows = F.array(
         F.struct(F.lit(IMPACT_FIELDS[0]).alias("field"), F.col("raw_country").alias("naive"),
                  F.col("real_countries").alias("true")),
@@ -65,6 +69,17 @@ def q01_cleaning_impact(cat: Catalogue, approx: bool = False) -> DataFrame:
         (F.col("naive") - F.col("true")).cast("bigint").alias("overcount"))
 
 
+def q01_from_sketches(sketches: DataFrame) -> DataFrame:
+    """Q01 estimated from a build's kept sketches (``Warehouse.keep_sketches``): no table is read."""
+    n = distinct_from_sketches(sketches, ["table"])
+    at = lambda t, c: F.max(F.when((F.col("table") == t) & (F.col("column_name") == c), F.col("distinct_values")))
+    one = n.agg(at("raw", "country").alias("raw_country"), at("raw", "listed_in").alias("raw_genre"),
+                at("int_title_countries", "country").alias("real_countries"),
+                at("int_title_genres", "genre").alias("labels"),
+                at("int_title_genres", "genre_normalised").alias("normalised"))
+    return _impact(one)
+
+
 def q02_completeness(cat: Catalogue) -> DataFrame:
     m = cat.mart
     n = F.count(F.lit(1))

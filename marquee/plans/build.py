@@ -10,11 +10,16 @@ reads a finished build back, in any session.
 
 from __future__ import annotations
 
+import functools
 import time
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from marquee.functions import clean
+from marquee.operators import file_sketches
 
 from marquee.plans import analyses as A
 from marquee.plans import assertions as T
@@ -24,6 +29,13 @@ from marquee.session import workspace_dir
 from marquee.sources import sinks
 from marquee.sources.landing import require_inputs
 
+#: Columns whose distinct values are kept as sketches (``Warehouse.keep_sketches``).
+SKETCHED = {
+    "raw": ("country", "listed_in"),
+    "int_title_countries": ("country",),
+    "int_title_genres": ("genre", "genre_normalised"),
+}
+
 LAYERS = (
     ("staging", "view", ("stg_titles",)),
     ("intermediate", "table", ("int_title_countries", "int_title_genres", "int_title_people")),
@@ -72,6 +84,19 @@ class Warehouse:
             names.append(prefix + name)
         return names
 
+    def keep_sketches(self) -> DataFrame:
+        """Sketches of the columns whose distinct values Q01 counts, for each
+        file of the landing and the bridges, written as ``<root>/sketches``."""
+        spark = self.catalogue.raw.sparkSession
+        found = []
+        for table, columns in SKETCHED.items():
+            df = self.catalogue.raw if table == "raw" else self.models[table]
+            if table == "raw":
+                # Blank cells count as one value of the packed column, as in Q01.
+                df = df.select(*[clean(c).alias(c) for c in columns], "_metadata")
+            found.append(file_sketches(df, list(columns)).withColumn("table", F.lit(table)))
+        return sinks.as_table(functools.reduce(DataFrame.unionByName, found), f"{self.root}/sketches")
+
     def report_frame(self, spark: SparkSession) -> DataFrame:
         rows = [(b.layer, b.model, b.materialisation, int(b.rows), float(b.seconds))
                 for b in self.report]

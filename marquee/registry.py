@@ -473,6 +473,19 @@ _reg("s3_landing_profile", lambda s, d: S.landing_profile(synthetic_landing(s, d
     SELECT column_name, null_rows FROM p WHERE null_rows > 0""")
 _reg("s4_landing_size", lambda s, d: S.landing_size(synthetic_landing(s, d)),
      "SELECT count(*) AS rows, CAST(12 AS BIGINT) AS columns FROM raw")
+
+
+def _stored(of):
+    """S3, S4: from the footers of the written landing."""
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = workspace_dir(spark) + "/raw"
+        as_table(synthetic_landing(spark, sf_dir), path)
+        return of(spark, path)
+    return q
+
+
+for _k, _fn in {"s3_landing_profile": S.stored_profile, "s4_landing_size": S.stored_size}.items():
+    QUERIES[_k + "_stored"], ORACLE[_k + "_stored"] = _stored(_fn), ORACLE[_k]
 _reg("s9_preview_top_people", _preview,
      O.ANALYSIS_SQL["q07_top_people"].replace("ORDER BY credits DESC",
                                               "ORDER BY credits DESC, person_name, role LIMIT 25"))

@@ -10,6 +10,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from marquee.operators.profile import null_profile
 from marquee.session import path_exists
+from marquee.sources.sinks import current_version
 from marquee.sources.synthetic import RAW_COLUMNS
 
 
@@ -128,3 +129,32 @@ def landing_size(df: DataFrame) -> DataFrame:
     """S4: (rows, columns) of the landing; the row count is one aggregate."""
     return df.agg(F.count(F.lit(1)).alias("rows")).select(
         "rows", F.lit(len(df.columns)).cast("bigint").alias("columns"))
+
+
+def _footer_counts(spark: SparkSession, path: str) -> tuple[int, dict[str, int]]:
+    """Rows, and values that are not null by column, of a written table, from its files' footers.
+
+    Spark's newer Parquet reader answers counts without reading any page
+    (``PushedAggregation``); it is asked for in a session of its own, so the
+    caller's settings stay as they are."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    df = own.read.parquet(current_version(spark, path))
+    counts = [F.count(F.col(f"`{c}`")).alias(f"c{k}") for k, c in enumerate(df.columns)]
+    row = df.agg(F.count(F.lit(1)).alias("rows"), *counts).first()
+    # Pushed counts of no files are NULL.
+    return row["rows"] or 0, {c: row[f"c{k}"] or 0 for k, c in enumerate(df.columns)}
+
+
+def stored_profile(spark: SparkSession, path: str, keep_zero: bool = False) -> DataFrame:
+    """S3 of a written landing from its files' metadata: no column is read."""
+    rows, present = _footer_counts(spark, path)
+    nulls = [(c, rows - n) for c, n in present.items() if keep_zero or rows > n]
+    return spark.createDataFrame(nulls, "column_name string, null_rows bigint")
+
+
+def stored_size(spark: SparkSession, path: str) -> DataFrame:
+    """S4 of a written landing from its files' metadata."""
+    rows, present = _footer_counts(spark, path)
+    return spark.createDataFrame([(rows, len(present))], "rows bigint, columns bigint")
