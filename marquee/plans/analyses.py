@@ -116,17 +116,26 @@ def _shared(both: DataFrame, count_col: str, out: str, places: int) -> DataFrame
     return share_of_total(kept.filter("whole = 0").drop("whole"), total, count_col, out, places)
 
 
+def _group_sums(groups: DataFrame, key: str, counts: list[str], more: list[Column]) -> DataFrame:
+    """The groups (``whole`` = 0) and their grand total (1) by grouping sets.
+    ``groups`` has one row per key, so that few rows are spread to both sets."""
+    return groups.groupingSets([[key], []], key).agg(
+        F.grouping(key).alias("whole"), *[F.sum(c).cast("bigint").alias(c) for c in counts], *more)
+
+
 def country_credits(cat: Catalogue) -> DataFrame:
-    """Q04's groups and grand total by grouping sets over one bridge x mart join."""
+    """Q04's groups and grand total, from one bridge x mart join."""
     w = F.col("n_rows")
-    return cat.bridge_facts(cat.countries).groupingSets([["country"], []], "country").agg(
-        F.grouping("country").alias("whole"),
-        F.sum(w).cast("bigint").alias("titles"),
-        _flag_sum(F.col("is_primary_country"), w).alias("primary_titles"),
-        _flag_sum(F.col("country_count") > 1, w).alias("co_produced_titles"),
-        _flag_sum(F.col("title_type") == "Movie", w).alias("movies"),
-        _flag_sum(F.col("title_type") == "TV Show", w).alias("tv_shows"),
-        round_half_away(_wavg("ry_sum", "ry_cnt"), 0).alias("avg_release_year"))
+    counts = {
+        "titles": F.sum(w), "primary_titles": _flag_sum(F.col("is_primary_country"), w),
+        "co_produced_titles": _flag_sum(F.col("country_count") > 1, w),
+        "movies": _flag_sum(F.col("title_type") == "Movie", w),
+        "tv_shows": _flag_sum(F.col("title_type") == "TV Show", w),
+    }
+    groups = cat.bridge_facts(cat.countries).groupBy("country").agg(
+        *[c.alias(n) for n, c in counts.items()], *[F.sum(c).alias(c) for c in ("ry_sum", "ry_cnt")])
+    return _group_sums(groups, "country", list(counts),
+                       [round_half_away(_wavg("ry_sum", "ry_cnt"), 0).alias("avg_release_year")])
 
 
 def q04_country_production(cat: Catalogue) -> DataFrame:
@@ -147,14 +156,16 @@ def genre_tags(cat: Catalogue, distinct_titles: bool = False, approx: bool = Fal
         _flag_sum(F.col("title_type") == "TV Show", w).alias("tv_shows"),
         F.max("primary_country").alias("primary_country"), *[F.sum(c).alias(c) for c in sums])
     extra = [F.count(F.lit(1)).alias("distinct_titles")] if distinct_titles else []
-    return per.withColumnRenamed("genre_normalised", "genre").groupingSets([["genre"], []], "genre").agg(
-        F.grouping("genre").alias("whole"), *extra,
-        F.sum("tags").cast("bigint").alias("titles"),
-        F.sum("movies").cast("bigint").alias("movies"), F.sum("tv_shows").cast("bigint").alias("tv_shows"),
+    counts = ["titles", "movies", "tv_shows", *(["distinct_titles"] if distinct_titles else [])]
+    groups = per.groupBy(F.col("genre_normalised").alias("genre")).agg(
+        *extra, F.sum("tags").alias("titles"), F.sum("movies").alias("movies"), F.sum("tv_shows").alias("tv_shows"),
+        *[F.sum(c).alias(c) for c in sums], _distinct(approx)("primary_country").alias("countries"))
+    return _group_sums(groups, "genre", counts, [
         round_half_away(_wavg("dm_sum", "dm_cnt"), 1).alias("avg_movie_minutes"),
         round_half_away(_wavg("se_sum", "se_cnt"), 2).alias("avg_seasons"),
         round_half_away(_wavg("ry_sum", "ry_cnt"), 0).alias("avg_release_year"),
-        _distinct(approx)("primary_country").alias("countries_producing"))
+        # A group has one row here; the total's value means nothing and isn't used.
+        F.max("countries").alias("countries_producing")])
 
 
 def q05_genre_profile(cat: Catalogue, distinct_titles: bool = False,
