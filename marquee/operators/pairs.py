@@ -35,7 +35,9 @@ def weighted_pairs(rows: DataFrame, group: str, value: str, block: int = BLOCK)
     own = F.pmod(F.xxhash64("v"), "_blocks").cast("int")
     dealt = counted.join(sizes, group).withColumn("_own", own).select(
         group, "v", "m", "_own", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_other"))
-    meeting = dealt.groupBy(group, F.least("_own", "_other").alias("_i"), F.greatest("_own", "_other").alias("_j"))
+    # Dealt by block pair: the join's partitioning by group would keep a large group's lists in one task.
+    meeting = dealt.select(group, "v", "m", "_own", "_other", F.least("_own", "_other").alias("_i"),
+                           F.greatest("_own", "_other").alias("_j")).repartition(group, "_i", "_j").groupBy(group, "_i", "_j")
     side = F.struct("v", "m")
     lists = meeting.agg(F.array_sort(F.collect_list(F.when(F.col("_own") <= F.col("_other"), side))).alias("left"),
                         F.array_sort(F.collect_list(F.when(F.col("_own") > F.col("_other"), side))).alias("right"))
