@@ -19,7 +19,7 @@ article's blocks are joined by one space, none capped.
 
 Cases: null or empty html, or a page without article blocks: empty text;
 unclosed and misnested elements: an element ends with its parent, a paragraph
-or list item with the next one; repeated rows are each answered; an empty
+or list item with the next one; stray quotes in a tag are part of a name or value; a last tag without its ``>`` is text; repeated rows are each answered; an empty
 table gives no rows; other columns are kept, columns named as the outputs are replaced.
 """
 
@@ -43,9 +43,14 @@ PATH_DIMS, WORD_DIMS, SHAPE_DIMS = 48, 16, 8
 DIMS = PATH_DIMS + WORD_DIMS + SHAPE_DIMS
 HIDDEN, EPOCHS, TRAINING_PAGES, GROUP = 16, 20, 1000, 32
 
+# An attribute: a name, then perhaps a quoted or unquoted value.  Quotes in a name or inside an unquoted value
+# are plain characters; a quote that nothing closes is one as well.  No part gives back what it took, and a tag or
+# comment without an end reaches to the page's end, so a page is read in time linear in its length.
+_ATTRIBUTES = (r"(?:[\s/]++|[^\s/>][^\s/>=]*+"
+               r"(?:\s*+=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>\"'][^\s>]*+|(?=>)))?+)*+")
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|template|noscript)\b[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*>"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S | re.I)
+    r"<!--.*?(?:-->|\Z)|<(script|style|template|noscript)\b[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*(?:>|\Z)"
+    rf"|<(/?)([a-zA-Z][^\s/>]*+)({_ATTRIBUTES})(>|\Z)", re.S | re.I)
 _NAMES = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike "
                     "strong sub sup time tt u var wbr img".split())
@@ -70,6 +75,8 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, int]]:
             held, linked = [], 0
 
     for m in _TOKEN.finditer(page):
+        if m[5] == "":  # a tag that never ends is text
+            break
         if m.start() > at:
             piece = page[at:m.start()]
             held.append(piece)
@@ -155,8 +162,9 @@ class Lstm:
         self.b = np.zeros(4 * HIDDEN)
         self.b[HIDDEN:2 * HIDDEN] = 1.0
 
-    def forward(self, x: np.ndarray, there: np.ndarray):
-        """x: steps, pages, DIMS; there: steps, pages, 1 (zero past a page's end, where the state stands still)."""
+    def forward(self, x: np.ndarray, there: np.ndarray, training: bool = True):
+        """x: steps, pages, DIMS; there: steps, pages, 1 (zero past a page's end, where the state stands still).
+        Only training keeps what each step's gradient needs."""
         steps, n, _ = x.shape
         h, c, out, kept = np.zeros((n, HIDDEN)), np.zeros((n, HIDDEN)), np.zeros((steps, n, HIDDEN)), []
         fixed = x @ self.w[:DIMS] + self.b
@@ -167,7 +175,8 @@ class Lstm:
             g = np.tanh(z[:, 3 * HIDDEN:])
             new_c = f * c + i * g
             tanh_c = np.tanh(new_c)
-            kept.append((h, c, i, f, o, g, tanh_c))
+            if training:
+                kept.append((h, c, i, f, o, g, tanh_c))
             m = there[t]
             c = m * new_c + (1 - m) * c
             h = m * (o * tanh_c) + (1 - m) * h
@@ -207,10 +216,10 @@ class Labeller:
             x[:len(p), k], there[:len(p), k] = p, 1
         return x, there
 
-    def _run(self, x, there):
+    def _run(self, x, there, training: bool = True):
         # Read from the last step to the first: a page's end is met before its blocks, where the state stands still.
-        forward, kept = self.ahead.forward(x, there)
-        backward, kept_back = self.back.forward(x[::-1], there[::-1])
+        forward, kept = self.ahead.forward(x, there, training)
+        backward, kept_back = self.back.forward(x[::-1], there[::-1], training)
         joined = np.concatenate([forward, backward[::-1], x], axis=2)
         return joined, kept, kept_back, 1 / (1 + np.exp(-(joined @ self.out + self.bias)))
 
@@ -225,7 +234,7 @@ class Labeller:
             while to < len(order) and to - at < 256 and len(pages[order[to]]) * (to - at) < 20_000:
                 to += 1
             own = order[at:to]
-            share = self._run(*self._padded([pages[k] for k in own]))[3]
+            share = self._run(*self._padded([pages[k] for k in own]), training=False)[3]
             for column, k in enumerate(own):
                 found[k] = share[:len(pages[k]), column]
             at = to
@@ -368,9 +377,9 @@ def fit(pages: DataFrame, column: str = "html", sample_pages: int = SAMPLE_PAGES
     rows = pages.filter(F.col(column).isNotNull()).select(F.col(column).alias("h"))
     near = F.pmod(F.xxhash64("h"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     share = sample_pages / max(1, rows.count())
-    # Copies share a hash: the limit bounds what a page of very many copies sends.
-    rows = sorted(r["h"] for r in rows.filter(near <= share).limit(4 * sample_pages).collect())
-    words = sorted({w for r in rows for _, t, _ in blocks(r) for w in t.split(" ") if not set(w) & set("<>&")})
+    # Copies share a hash and count once: about ``sample_pages`` pages at most, the same ones in every run.
+    rows = rows.filter(near <= share).distinct().collect()
+    words = sorted({w for r in rows for _, t, _ in blocks(r["h"]) for w in t.split(" ") if not set(w) & set("<>&")})
     return train(words)
 
 

@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import pytest
@@ -20,6 +21,20 @@ def test_blocks():
     assert H.blocks("") == [] and H.blocks("<p") == [(("p",), "", 0)][:0] or H.blocks("<p")[0][1] == "<p"
 
 
+def test_stray_quotes_lose_no_text():
+    got = H.blocks("<article><p data-x=it's>Lost text here.</p><p>Second don't stop</p><p a\"b c='>'>Third</p><p x=\"y>Fourth</p>")
+    assert [t for _, t, _ in got] == ["Lost text here.", "Second don't stop", "Third", "Fourth"]
+    assert [t for _, t, _ in H.blocks('<p class = "a>b" id=c/>One<p x=>Two<P\n/>Three</p x="y">')] == ["One", "Two", "Three"]
+    assert H.blocks('<p class = "a>b" id=c>One')[0][0] == ("p", ".a>b", ".c")
+
+
+@pytest.mark.parametrize("piece", ['<a "', '<a x="', "<a x='>", "<p", "<!", "<script", "<a b ", "</", "<!--", "<script>", "<a  =  "])
+def test_pages_are_read_in_linear_time(piece):
+    started = time.perf_counter()
+    H.blocks(piece * 50_000)
+    assert time.perf_counter() - started < 5
+
+
 @pytest.fixture(scope="module")
 def labeller():
     return H.train(["alpha", "beta", "gamma", "delta", "word", "other", "thing"])
