@@ -50,6 +50,27 @@ def test_spans_lie_on_the_original(spark):
     assert [r["text"][s["start"]:s["end"]] for s in r["spans"]] == ["ALPHA--beta, alpha\nbeta"]
 
 
+def test_blocks_don_t_show(spark):
+    """Spans that two blocks' words make together, and items that share a text, come out as from one block."""
+    items = [(1, "alpha beta"), (2, "beta gamma"), (3, "gamma delta x"), (4, "alpha beta"), (None, "delta x y"), (5, " ")]
+    docs = [(1, "é Alpha, beta GAMMA delta x--y, z"), (2, "é Alpha, beta GAMMA delta x--y, z"), (3, None), (4, "beta"), (5, "")]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    one, many = ([r.asDict(True) for r in decontam.decontaminate(frame, bench, block_bytes=size).orderBy("doc_id").collect()]
+                 for size in (1 << 20, 24))
+    assert one == many
+    assert one[0]["items"] == [1, 2, 3, 4] and len(one[0]["spans"]) == 1
+    assert one[0]["text"][one[0]["spans"][0]["start"]:one[0]["spans"][0]["end"]] == "Alpha, beta GAMMA delta x--y"
+
+
+def test_blocks_are_bounded(spark):
+    own = spark.createDataFrame([(i, f"text {i % 50}") for i in range(500)], "i bigint, t string")
+    blocks = decontam.item_blocks(own, 400)
+    assert sorted(t for b in blocks for _, t in b) == sorted(f"text {i}" for i in range(50))
+    assert sorted(i for b in blocks for ids, _ in b for i in ids) == list(range(500))
+    assert all(sum(len(t) + 8 * len(ids) for ids, t in b) <= 400 for b in blocks)
+
+
 def test_odd_tables(spark, odd_docs, no_docs):
     bench = spark.createDataFrame([(1, "quick brown fox")], "item_id bigint, text string")
     got = decontam.decontaminate(odd_docs, bench)
