@@ -30,7 +30,9 @@ from marquee.plans.build import build, land, run, run_analyses
 from marquee.plans.models import Catalogue
 from marquee.session import workspace_dir
 from marquee.sources import landing as S
-from marquee.sources.sinks import as_table, as_view, open_table, read_result_csv, write_result_csv
+from marquee.operators.prefix import positions
+from marquee.sources.sinks import (as_table, as_view, open_table, read_ordered_csv, read_result_csv, write_ordered_csv,
+                                   write_result_csv)
 from marquee.sources.synthetic import synthetic_landing
 
 # Fixed for reproducible checks: the reference compares with the current
@@ -524,6 +526,14 @@ def _csv_result_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_result_csv(spark, path, q.schema, [F.col("show_id")])
 
 
+def _csv_result_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S10: rows re-read in their order without a sort; ``place`` numbers them as they come."""
+    q = _cat(spark, sf_dir).staging.select("show_id", "title")
+    path = write_ordered_csv(q, workspace_dir(spark) + "/ordered", [F.desc("title"), "show_id"], parts=6)
+    back = read_ordered_csv(spark, path, q.schema).withColumn("_id", F.monotonically_increasing_id())
+    return positions(back, [F.col("_id")], out="place").drop("_id")
+
+
 def _analysis_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L3: every analysis run, written and previewed; (analysis, rows)."""
     cat = build(land(synthetic_landing(spark, sf_dir))).catalogue
@@ -540,6 +550,8 @@ _reg("s6_replace_from_itself", _replaced_from_itself, """
     SELECT 'before' AS reader, count(*) AS rows FROM mart
     UNION ALL SELECT unnest(['after', 'opened']), count(*) FROM mart WHERE title_type = 'Movie'""")
 _reg("s8_result_csv_edges", _csv_result_edges, "SELECT show_id, chr(9) || title || ' ' AS title FROM stg")
+_reg("s10_result_in_order", _csv_result_in_order, """
+    SELECT show_id, title, row_number() OVER (ORDER BY title DESC NULLS LAST, show_id) - 1 AS place FROM stg""")
 _reg("s8_result_csv_roundtrip", _csv_result_roundtrip, O.ANALYSIS_SQL["q04_country_production"])
 _reg("l3_run_analyses", _analysis_run, _Q01_BODY + f"\n, q01 AS ({_Q01_SELECT})\n" + "\nUNION ALL\n".join(
     f"SELECT '{name}' AS analysis, count(*) AS rows FROM "

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import time
 import uuid
 
@@ -10,6 +11,10 @@ from pyspark.sql import functions as F
 
 #: Names the current version of a table, inside its folder.
 POINTER = "current.txt"
+#: Names the parts of an ordered result in their order, one to a line.
+PART_ORDER = "order.txt"
+#: How result files are written and read: headed, values as they are.
+_CSV = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
 def as_view(df: DataFrame, name: str) -> DataFrame:
@@ -56,17 +61,17 @@ def _file_system(spark: SparkSession, path: str):
     return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def _point(spark: SparkSession, path: str, version: str) -> None:
-    """Switch the table's pointer to a version, by one atomic rename."""
+def _point(spark: SparkSession, path: str, version: str, pointer: str = POINTER, lines: list[str] | None = None) -> None:
+    """Switch the table's pointer to a version (or to ``lines`` about it), by one atomic rename."""
     fs = spark._jvm.org.apache.hadoop.fs
     made, system = _file_system(spark, f"{path}/.{version}.txt")
     out = system.create(made, True)
-    out.write(bytearray(version.encode()))
+    out.write(bytearray("\n".join([version] if lines is None else lines).encode()))
     out.close()
     over = spark._sc._gateway.new_array(getattr(fs, "Options$Rename"), 1)
     over[0] = getattr(fs, "Options$Rename").OVERWRITE
     files = fs.FileContext.getFileContext(system.getUri(), spark._jsc.hadoopConfiguration())
-    files.rename(system.makeQualified(made), system.makeQualified(fs.Path(f"{path}/{POINTER}")), over)
+    files.rename(system.makeQualified(made), system.makeQualified(fs.Path(f"{path}/{pointer}")), over)
 
 
 def current_version(spark: SparkSession, path: str) -> str:
@@ -100,12 +105,42 @@ def write_result_csv(df: DataFrame, path: str, single_file: bool = False) -> str
     ``single_file=True`` forces one part through ``coalesce(1)``; use it
     only for results known to be small."""
     out = df.coalesce(1) if single_file else df
-    (out.write.mode("overwrite").option("header", True).option("escape", '"')
-        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-        .csv(path))
+    out.write.mode("overwrite").options(**_CSV).csv(path)
     return path
 
 
+def write_ordered_csv(df: DataFrame, path: str, order_by, parts: int = 16) -> str:
+    """S8 for results whose row order is to be kept: range-dealt, sorted parts and a list of them in order.
+
+    ``order_by`` names columns or sort expressions; rows of equal keys are
+    dealt by a hash of their values (any order among them is right), so a hot
+    key is spread over parts.  ``parts`` is the number of files, and of scans
+    in a later reading plan: at most a few hundred.  A new write replaces the
+    list at its end, by one rename.
+    """
+    version = f"v{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    keys = [*[F.col(k) if isinstance(k, str) else k for k in order_by], F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])]
+    (df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
+       .write.options(**_CSV).csv(f"{path}/{version}"))
+    where, system = _file_system(df.sparkSession, f"{path}/{version}")
+    # A part's name begins with its task's number, which is its range's.
+    names = sorted((name for f in system.listStatus(where) if (name := f.getPath().getName()).startswith("part-")),
+                   key=lambda name: int(name.split("-")[1]))
+    _point(df.sparkSession, path, version, PART_ORDER, [f"{version}/{name}" for name in names])
+    return path
+
+
+def read_ordered_csv(spark: SparkSession, path: str, schema) -> DataFrame:
+    """S10 without a sort: the parts of ``write_ordered_csv`` one behind the other.
+
+    Each part is its own scan, and a union keeps the order of its inputs'
+    partitions, so the rows come back in order with no shuffle."""
+    listed = spark.read.text(f"{path}/{PART_ORDER}", wholetext=True).first()
+    parts = [spark.read.schema(schema).options(**_CSV).csv(f"{path}/{name}")
+             for name in (listed["value"].split("\n") if listed and listed["value"] else [])]
+    return functools.reduce(DataFrame.unionAll, parts) if parts else spark.createDataFrame([], schema)
+
+
 def preview(df: DataFrame, n: int = 25) -> tuple[list, int]:
     """S9: the first n rows (in the result's own order) and how many rows
     were left out.  Only n rows and one count reach the driver."""
@@ -119,7 +154,5 @@ def read_result_csv(spark: SparkSession, path: str, schema, order_by=()) -> Data
 
     A folder of parts has no row order of its own: ``order_by`` names the
     result's sort keys (columns or names; see ``analyses.ORDER``)."""
-    df = (spark.read.schema(schema).option("header", True).option("escape", '"')
-          .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-          .csv(path))
+    df = spark.read.schema(schema).options(**_CSV).csv(path)
     return df.orderBy(*order_by) if order_by else df

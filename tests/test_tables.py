@@ -49,3 +49,32 @@ def test_a_build_is_found_by_name_in_a_new_session(spark):
     Warehouse.open(other, wh.root)
     for name, df in wh.models.items():
         assert other.sql(f"SELECT count(*) AS n FROM {name}").first()["n"] == df.count()
+
+
+def test_ordered_result_comes_back_without_a_sort(spark, scratch):
+    rows = spark.range(5_000).select((F.col("id") * 7919 % 5_000).alias("n"), F.when(F.col("id") % 3 > 0, "hot").alias("k"))
+    path = sinks.write_ordered_csv(rows, scratch + "/ordered", [F.desc("k"), F.desc("n")], parts=8)
+    back = sinks.read_ordered_csv(spark, path, rows.schema)
+    plan = back._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in plan and "Exchange" not in plan
+    assert back.collect() == rows.orderBy(F.desc("k"), F.desc("n")).collect()
+    # A file of several splits keeps its order, too.
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        assert [r["n"] for r in sinks.read_ordered_csv(spark, path, rows.schema).collect()] == [r["n"] for r in back.collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_ties_are_spread_and_the_list_is_replaced(spark, scratch):
+    rows = spark.range(4_000).select(F.lit("hot").alias("k"), "id")
+    path = sinks.write_ordered_csv(rows, scratch + "/ties", ["k"], parts=4)
+    back = sinks.read_ordered_csv(spark, path, rows.schema)
+    each = [r["count"] for r in back.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(each) == 4 and max(each) < 2_000
+    sinks.write_ordered_csv(rows.filter("id < 3"), path, ["id"], parts=4)
+    assert [r["id"] for r in sinks.read_ordered_csv(spark, path, rows.schema).collect()] == [0, 1, 2]
+    assert back.count() == 4_000  # an earlier reader goes on
+    sinks.write_ordered_csv(rows.limit(0), path, ["id"])
+    assert sinks.read_ordered_csv(spark, path, rows.schema).count() == 0
