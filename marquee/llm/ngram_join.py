@@ -20,6 +20,11 @@ pairs within a group:
    in order of their use, two sets' common signatures can't all be among those.
 3. Clusters.  Each kept signature's smallest class is joined to its other
    classes (a star, not all pairs); the stars' components hold all links.
+   Clusters of more than ``block`` classes are refined by the incidence of their
+   classes and n-grams: linked sets of size n share ceil(n * num / den) n-grams or
+   more, so a class with fewer that any other class of its cluster holds goes, and
+   of the others only the rarest n-grams count, as many as make two linked sets
+   meet in one of them; their stars make the new, smaller clusters.
 4. Product.  A cluster's documents by n-grams form a sparse 0/1 matrix; its
    product with its transpose, accumulated over blocks of columns, gives the
    overlap counts; pairs below the bound are dropped.  A cluster of more than
@@ -265,6 +270,65 @@ def _candidates(sets: DataFrame) -> DataFrame:
     return written(kept.join(first, "sign").filter("a <> h").select("a", F.col("h").alias("b")).distinct())
 
 
+def _incidence(rows: DataFrame, words: int) -> DataFrame:
+    """``h, grams`` (the distinct shingles) of rows h, text; rows whose text is not of the class they ask for are left out."""
+
+    def run(batches):
+        for batch in batches:
+            at = 0
+            for part in array_chunks(batch.column("text"), SET_CHUNK):
+                asked = batch.column("h").slice(at, len(part)).to_pylist()
+                sets = shingle_sets(utf8_views(part), words)
+                own = [(h, s) for h, s in zip(asked, sets, strict=True) if len(s) and _identity(s)[0] == h]
+                ends = np.concatenate(([0], np.cumsum([len(s) for _, s in own], dtype=np.int64))).astype(np.int32)
+                flat = np.concatenate([s for _, s in own]) if own else np.zeros(0, _U)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([h for h, _ in own], pa.int64()),
+                     pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.view(np.int64)))], names=["h", "grams"])
+                at += len(part)
+            pa.default_memory_pool().release_unused()
+
+    return rows.mapInArrow(run, "h bigint, grams array<bigint>")
+
+
+def _rarest_shared(grams: DataFrame, num: int, den: int) -> DataFrame:
+    """Edges a, b between classes that share one of their rarest n-grams; ``grams`` has columns cluster, h, n, grams."""
+    keyed = grams.select("h", "n", "cluster", F.explode("grams").alias("g")).select(
+        "h", "n", F.xxhash64("cluster", "g").alias("g"))
+    uses = written(keyed.groupBy("g").agg(F.count(F.lit(1)).alias("uses")).filter("uses > 1"))
+    met = written(keyed.join(uses, "g"))
+    own = met.groupBy("h", "n").agg(F.array_sort(F.collect_set(F.struct("uses", "g"))).alias("own"))
+    least = F.expr(f"int((n * {num} + {den - 1}) div {den})")
+    kept = written(own.withColumn("least", least).filter("size(own) >= least").select(
+        "h", F.explode(F.slice("own", F.lit(1), F.size("own") - F.col("least") + 1)).alias("x")).select("h", "x.g"))
+    first = written(kept.groupBy("g").agg(F.min("h").alias("a"), F.max("h").alias("z")).filter("a < z").select("g", "a"))
+    return kept.join(first, "g").filter("a <> h").select("a", F.col("h").alias("b")).distinct()
+
+
+def _refined(docs: DataFrame, cluster: DataFrame, words: int, num: int, den: int) -> DataFrame:
+    """``cluster`` (cluster, h, doc_id, n) with its large clusters cut down; no link is lost.
+
+    Repeated while a round takes a tenth or more of the classes in large clusters:
+    a class that goes makes its n-grams rarer in the others."""
+    spark, incidence, before = docs.sparkSession, None, None
+    while True:
+        sizes = written(cluster.groupBy("cluster").agg(F.count(F.lit(1)).alias("docs")).filter(F.col("docs") > BLOCK))
+        large = written(cluster.join(sizes.select("cluster"), "cluster", "left_semi"))
+        rows = large.count()
+        if rows == 0 or before is not None and rows * 10 > before * 9:
+            return cluster
+        before = rows
+        if incidence is None:
+            # A row that repeats an id and a text would repeat its class.
+            incidence = written(_incidence(_with_text(docs, large.select("h", "doc_id")).select("h", "text"), words)
+                                .dropDuplicates(["h"]))
+        edges = _rarest_shared(incidence.join(large.select("cluster", "h", "n"), "h"), num, den)
+        near = components(edges).select(F.col("node").alias("h"), F.col("label").alias("new"))
+        cluster = written(cluster.join(sizes.select("cluster"), "cluster", "left_anti").unionByName(
+            large.join(near, "h").select(F.col("new").alias("cluster"), "h", "doc_id", "n")))
+        release(spark)
+
+
 def _with_text(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """``wanted`` with the texts of its doc_id."""
     return docs.join(broadcast_if_few(wanted), "doc_id")
@@ -284,6 +348,7 @@ def join(docs: DataFrame, words: int = 5, num: int = 8, den: int = 10, doc_id: s
                .agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n")))
     cluster = written(classes.join(near.withColumnRenamed("node", "h"), "h")
                       .select(F.col("label").alias("cluster"), "h", "doc_id", "n"))
+    cluster = _refined(docs, cluster, words, num, den)
     sizes = (cluster.groupBy("cluster").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("shingles"))
              .select("cluster", F.greatest(F.ceil(F.col("docs") / BLOCK), F.ceil(F.col("shingles") / BLOCK_SHINGLES))
                      .alias("blocks")))
