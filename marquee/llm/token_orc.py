@@ -10,9 +10,11 @@ filters (``lookup``).
 Reading.  A file's place in the whole is the sum over the files before it,
 which needs one row for each file, not for each document.
 
-White space always ends a token of this tokenizer, so a text is cut at blanks,
-tabs and line ends, each distinct piece of a batch is encoded once by the
-library, and the texts' ids are put together from the pieces'.
+White space always ends a token of the default tokenizer, so a text is cut at
+blanks, tabs and line ends, each distinct piece of a batch is encoded once by the
+library, and the texts' ids are put together from the pieces'.  Whether a
+tokenizer has these rules is read from its definition; with any other one the
+library encodes whole texts.
 
 Cases: null and empty texts hold the end id alone; rows without an id come
 first; rows that share an id stand side by side in order of their texts; an
@@ -21,6 +23,7 @@ empty table writes no rows and reads back none; other columns are not written.
 
 from __future__ import annotations
 
+import json
 import os
 import unicodedata
 import zlib
@@ -51,6 +54,27 @@ REMEMBERED = 600_000
 _MARK = "\x01"
 #: A run of these after a letter or digit is always a pre-token of its own.
 _TAIL = ".,!?;:*%$&#|)\""
+#: The rules that let a text be cut at white space and a word's form be made here.
+_NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+_PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+     "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+_MODEL = {"type": "BPE", "dropout": None, "unk_token": None, "continuing_subword_prefix": None,
+          "end_of_word_suffix": "</w>", "ignore_merges": False}
+
+
+def cut_at_blanks(definition: str) -> bool:
+    """Whether the tokenizer has the rules by which texts may be encoded piece by piece."""
+    rules = json.loads(definition)
+    if any(rules.get(k) is not None for k in ("truncation", "padding")):
+        return False
+    # An added token is found before all rules: none may lie across blanks or within a word and its tail.
+    apart = all(not any(c.isspace() for c in t["content"]) and not t["lstrip"] and not t["rstrip"]
+                and any(not c.isalpha() and c not in _TAIL for c in t["content"]) for t in rules["added_tokens"])
+    return (apart and rules["normalizer"] == _NORMALIZER and rules["pre_tokenizer"] == _PRE_TOKENIZER
+            and {k: rules["model"].get(k) for k in _MODEL} == _MODEL)
 
 
 class Encoder:
@@ -60,6 +84,9 @@ class Encoder:
         from tokenizers.pre_tokenizers import WhitespaceSplit
 
         self.tokenizer = Tokenizer.from_str(definition)
+        self.by_pieces = cut_at_blanks(definition)
+        if not self.by_pieces:
+            return
         self.mark = self._ids(_MARK)
         # The library's model alone, for words whose normal form is made here.
         self.model = Tokenizer(self.tokenizer.model)
@@ -137,11 +164,16 @@ class Encoder:
 
     def encode(self, batch: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the batch in order, each text followed by the end id, and the texts' numbers of ids."""
-        self.table.make_room()
         batch = pc.fill_null(batch, "")
-        for blank in "\n\t\r":
-            batch = pc.replace_substring(batch, blank, " ")
-        flat, sizes = self.table.ids_of_lists(pc.split_pattern(batch, " "))
+        if self.by_pieces:
+            self.table.make_room()
+            for blank in "\n\t\r":
+                batch = pc.replace_substring(batch, blank, " ")
+            flat, sizes = self.table.ids_of_lists(pc.split_pattern(batch, " "))
+        else:
+            lists = [self._ids(t) for t in batch.to_pylist()]
+            flat = np.concatenate([np.zeros(0, np.int32), *lists])
+            sizes = np.array([len(x) for x in lists], dtype=np.int64)
         sizes = sizes + 1
         out = np.full(int(sizes.sum()), END_ID, dtype=np.int32)
         own = np.ones(len(out), dtype=bool)

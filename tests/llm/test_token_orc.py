@@ -1,8 +1,10 @@
+import json
 import zlib
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.orc
+import pytest
 from tokenizers import Tokenizer
 
 from marquee.llm import token_orc
@@ -37,6 +39,27 @@ def test_pieces_are_encoded_as_the_whole():
     assert ids.tolist() == [i for w in want for i in w]
 
 
+@pytest.mark.parametrize("change", ["no normalizer", "whole text", "added word", "truncation", "none"])
+def test_other_definitions_are_encoded_by_the_library(change):
+    with open(token_orc.TOKENIZER, encoding="utf-8") as f:
+        rules = json.load(f)
+    if change == "no normalizer":
+        rules["normalizer"] = None
+    elif change == "whole text":
+        rules["pre_tokenizer"] = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+    elif change == "added word":
+        rules["added_tokens"].append({**rules["added_tokens"][0], "id": 49408, "content": "two words", "special": False})
+    elif change == "truncation":
+        rules["truncation"] = {"direction": "Right", "max_length": 3, "strategy": "LongestFirst", "stride": 0}
+    definition = json.dumps(rules)
+    assert token_orc.cut_at_blanks(definition) == (change == "none")
+    texts = ["Here ARE two words, and Two words.", "", None, "It's\tÜber\n123 <|endoftext|> end"]
+    ids, sizes = token_orc.Encoder(definition).encode(pa.array(texts, pa.string()))
+    library = Tokenizer.from_str(definition)
+    want = [library.encode(t or "", add_special_tokens=False).ids + [2] for t in texts]
+    assert sizes.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+
+
 def test_files_are_in_order_and_prunable(spark, scratch):
     docs = spark.createDataFrame([(i, f"text number {i}") for i in range(5000)], "doc_id bigint, text string")
     path = token_orc.write(docs.repartition(7), scratch + "/orc", options={"orc.row.index.stride": "1000"})
