@@ -3,6 +3,14 @@
 Every stage takes ``(spark, docs, sf_dir)``, works on all rows its predecessor
 kept and returns the columns of ``documents``; the last one returns each kept
 document's token ids.
+
+Cases: a null, empty or letterless text is in no language, so language ID lets
+it go; given such a text itself, every later stage keeps it: it links with
+nothing, holds no passage and no secret (null stays null) and has no tokens.
+Rows without an id and rows that repeat an id are handled as rows of their own;
+of copies under different ids one stays, rows that repeat an id and a text stay
+together.  Empty tables give no rows; an empty benchmark removes nothing.
+Columns beside those a stage reads pass through it, but for the last one.
 """
 
 from __future__ import annotations
