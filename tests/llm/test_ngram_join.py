@@ -58,6 +58,28 @@ def test_as_brute_force(spark, monkeypatch, k, num, den):
     assert {r[0]: (r[1], r[2]) for r in got.collect()} == brute(rows, k, num, den)
 
 
+def test_shared_passages_make_no_large_clusters(spark):
+    # Every text holds half of one passage; only the edited copies among them are linked.
+    rng = random.Random(4)
+    passage = [f"p{i}" for i in range(60)]
+    rows = []
+    for g in range(100):
+        own = passage + [f"own{g}x{i}" for i in range(60)]
+        rows += [" ".join(own), " ".join(edited(rng, own, 1))] if g % 10 == 0 else [" ".join(own)]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string")
+    sets = {r["doc_id"]: r for r in ngram_join._sets(docs, 5, 8, 10).select("doc_id", "h", "n").collect()}
+    one = spark.createDataFrame([(0, r["h"], d, r["n"]) for d, r in sets.items()],
+                                "cluster bigint, h bigint, doc_id bigint, n bigint")
+    got = ngram_join._refined(docs, one, 5, 8, 10).collect()
+    members = defaultdict(set)
+    for r in got:
+        members[r["cluster"]].add(r["doc_id"])
+    want = defaultdict(set)
+    for d, (_, label) in brute(list(enumerate(rows)), 5, 8, 10).items():
+        want[label].add(d)
+    assert sorted(map(sorted, members.values())) == sorted(sorted(x) for x in want.values() if len(x) > 1)
+
+
 def test_parts_suffice_for_every_pair_of_sizes():
     for num, den in ((9, 10), (8, 10), (6, 10)):
         for a in range(1, 400):
