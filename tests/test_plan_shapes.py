@@ -1,12 +1,14 @@
 """The physical plans have the shape the design promises."""
 
 
+from pyspark.sql import functions as F
+
 from marquee.plans import analyses as A
 from marquee.plans import report as R
 from marquee.plans.build import build, land, run_analyses
 from marquee.plans.models import Catalogue
 from marquee.sources.sinks import read_result_csv
-from marquee.sources.synthetic import synthetic_landing
+from marquee.sources.synthetic import GENRE_LABELS, synthetic_landing
 from tests.conftest import SF_SMALL
 
 
@@ -33,6 +35,34 @@ def test_uniqueness_check_reads_only_the_key(spark):
     assert "ReadSchema: struct<show_id:string>" in p or "struct<show_id:string>" in p
 
 
+def test_lines_of_the_landing_are_shuffled_once(spark):
+    """One exchange of numbers by order, one of the orders; packing and the
+    join with the orders need no other."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", 10_000)
+    try:
+        lines = plan(synthetic_landing(spark, SF_SMALL)).splitlines()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    moved = [line for line in lines if "Exchange hashpartitioning" in line]
+    assert len(moved) == 2 and all("name" not in line for line in moved), lines
+
+
+def test_an_order_of_very_many_lines_is_packed(spark, scratch):
+    """Equal names of an order are packed once, in order of their first lines."""
+    path = scratch + "/hot"
+    for t in ("orders", "supplier", "nation"):
+        spark.read.parquet(f"{SF_SMALL}/{t}.parquet").write.parquet(f"{path}/{t}.parquet")
+    n = 200_000
+    spark.range(n).select(
+        F.lit(2).cast("bigint").alias("l_orderkey"), (F.col("id") % 84).alias("l_partkey"),
+        (9 - F.col("id") % 10).alias("l_suppkey"), (n - F.col("id")).cast("int").alias("l_linenumber"),
+    ).write.parquet(f"{path}/lineitem.parquet")
+    row = synthetic_landing(spark, path).filter("show_id = 's2'").first()
+    # The last lines come first: id n - 1 has supplier 0 and label 79 % 42.
+    assert row["cast"] == ", ".join(f"Supplier#{k:09d}" for k in range(10))
+    assert row["listed_in"] == ", ".join(GENRE_LABELS[(n - 1 - k) % 84 % 42] for k in range(42))
+
+
 def test_bridge_mart_analyses_join_one_row_per_title(spark):
     """On a finished build they read the bridge and the mart, reduce the mart
     to one row per title and join on the title: no self-join, no pair of copies."""
