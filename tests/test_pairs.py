@@ -24,6 +24,28 @@ def test_pairs_equal_the_self_join(spark, block):
         map(tuple, joined(df).select("g", "a", "b", "w").collect()))
 
 
+@pytest.mark.parametrize("block", [3, 16, 1024])
+def test_totals_over_groups_equal_the_self_join(spark, block):
+    rng = random.Random(block)
+    rows = [(g, f"v{rng.randrange(60)}") for g in "abc" for _ in range(80)] + [
+        ("one", "x"), ("one", "x"), (None, "x"), (None, "y"), ("c", None), ("d", "p"), ("d", "q"), ("e", "q"), ("e", "p")]
+    df = spark.createDataFrame(rows, "g string, v string")
+    got = weighted_pairs(df, "g", "v", block, over_groups=True)
+    want = joined(df).groupBy("a", "b").agg(F.sum("w").alias("w"))
+    assert got.columns == ["a", "b", "w"] and sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert weighted_pairs(df.limit(0), "g", "v", block, over_groups=True).count() == 0
+
+
+def test_totals_over_groups_shuffle_no_pairs(spark):
+    """The shuffles hold values and lists of them; pairs are made behind the last one."""
+    df = spark.range(2000).select((F.col("id") % 3).alias("g"), (F.col("id") % 500).alias("v"))
+    got = weighted_pairs(df, "g", "v", 32, over_groups=True)
+    lines = got._jdf.queryExecution().executedPlan().toString().splitlines()
+    moved = [line for line in lines if "Exchange hashpartitioning" in line]
+    assert moved and not any("a#" in line.split("hashpartitioning")[1] for line in moved), lines
+    assert got.count() == 500 * 499 // 2
+
+
 def test_a_group_of_twenty_thousand_values(spark):
     """All pairs of one group, from many lists of at most about two blocks."""
     n = 20_000
