@@ -61,6 +61,32 @@ def test_roundtrip_profile_and_size(spark, scratch):
     assert (size["rows"], size["columns"]) == (1500, 12)
 
 
+def test_compressed_landing_is_read_back(spark, scratch):
+    df = spark.createDataFrame([(f"s{i}", *[f' "{c}",\n' for c in RAW_COLUMNS[1:]]) for i in range(500)],
+                               S.all_string_schema())
+    path = S.write_csv_landing(df, scratch + "/gz", compression="gzip")
+    assert S.read_header(spark, path) == list(RAW_COLUMNS)
+    assert sorted(map(tuple, S.read_csv_landing(spark, path, surplus=False).collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_contract_forms_come_from_one_landing(spark, monkeypatch):
+    """The four forms are written from a kept landing, whole, and compressed."""
+    from marquee import registry
+    from tests.conftest import SF_SMALL
+    seen, write_csv = [], S.write_csv_landing
+
+    def spied(df, path, **kw):
+        seen.append((df, kw, write_csv(df, path, **kw)))
+        return seen[-1][2]
+
+    monkeypatch.setattr(S, "write_csv_landing", spied)
+    registry.QUERIES["s2_landing_contract"](spark, SF_SMALL)
+    assert len(seen) == 4 and all(kw == {"compression": "gzip"} for _, kw, _ in seen)
+    for df, _, path in seen:
+        assert all("/raw/" in f for f in df.inputFiles())
+        assert spark.read.csv(path, header=True, multiLine=True).count() == 1500
+
+
 def test_splittable_and_rebalanced_reads(spark, scratch):
     from marquee.sources.synthetic import synthetic_landing
     from tests.conftest import SF_SMALL
