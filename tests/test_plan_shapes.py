@@ -47,6 +47,18 @@ def test_lines_of_the_landing_are_shuffled_once(spark):
     assert len(moved) == 2 and all("name" not in line for line in moved), lines
 
 
+def test_repeated_keys_are_rolled_up_by_one_group_by(spark):
+    """The mart of a landing with repeated keys: one shuffle by title for the
+    rollups, one for the rows that they join."""
+    mart = Catalogue(landed(spark), unique_keys=False).mart
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        lines = plan(mart.select("*")).splitlines()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum("Exchange hashpartitioning" in line for line in lines) == 2, lines
+
+
 def test_an_order_of_very_many_lines_is_packed(spark, scratch):
     """Equal names of an order are packed once, in order of their first lines."""
     path = scratch + "/hot"
