@@ -94,17 +94,26 @@ _made: dict[str, tuple] = {}
 
 
 def made_once(kind: str, sent, make: Callable):
-    """``make(sent.value)`` for a broadcast, made once in each Python worker; the last one of a kind is kept.
+    """``make(sent.value)`` for a broadcast, made once in each Python worker; only the last one is kept.
 
     A function of a module is sent by its name, so all tasks of a worker share
     this module's dictionary; a nested function would carry a copy of its own.
     A worker holds one object for a broadcast as long as Spark knows it."""
     held = _made.get(kind)
     if held is None or held[0] is not sent:
+        _made.clear()
         held = _made[kind] = (sent, make(sent.value))
     return held[1]
 
 
+def drop_made() -> None:
+    """Give back what earlier steps made in this Python worker: Spark uses its workers again for later ones."""
+    if _made:
+        _made.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+
+
 #: Characters of text that a kernel handles at once; bounds the memory of a task.
 CHUNK = 2 << 20
 

@@ -41,10 +41,16 @@ REMEMBERED = 200_000
 #: Numbers such as a superscript two or a Roman numeral are word characters and no digits, but no letters either.
 _NUMBERS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isnumeric() and not c.isalpha() and not c.isdecimal())
 _LETTERS = re.compile(rf"[^\W\d_{_NUMBERS}]+")
+#: The same and those numbers: the hundreds of signs in the set above cost most of a scan's time.
+_RUNS = re.compile(r"[^\W\d_]+")
 
 
 def words(text: str) -> list[str]:
-    return _LETTERS.findall(text.lower())
+    found = _RUNS.findall(text.lower())
+    if all(map(str.isalpha, found)):
+        return found
+    # Only runs that hold such a number are cut at it.
+    return [part for run in found for part in ([run] if run.isalpha() else _LETTERS.findall(run))]
 
 
 def _ngrams(word: str, n: int) -> list[str]:

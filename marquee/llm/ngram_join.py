@@ -49,7 +49,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import array_chunks, arrow_column, broadcast_if_few, release, utf8_views, written
+from .common import array_chunks, arrow_column, broadcast_if_few, drop_made, release, utf8_views, written
 from .components import components
 
 BLOCK, BLOCK_SHINGLES = 64, 1_000_000
@@ -155,6 +155,7 @@ def _signed(sets: list[np.ndarray], num: int, den: int) -> pa.Array:
 
 def _sets(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
     def run(batches):
+        drop_made()
         for batch in batches:
             at = 0
             for part in array_chunks(batch.column("text"), SET_CHUNK):

@@ -1,7 +1,12 @@
+import random
+import re
+import time
+from types import SimpleNamespace
+
 import numpy as np
 import duckdb
 
-from marquee.llm import langid
+from marquee.llm import common, langid
 from marquee.llm.queries import op2_language_id
 
 SF = "/root/testdata/sf0.01"
@@ -48,3 +53,31 @@ def test_numeric_signs_are_no_letters(spark):
         docs, langid.Model(["fr"], {"x": np.array([1.0])})).collect()}
     assert got == {1: ("und", 0.0), 2: ("fr", 1.0)}
     assert langid.words("x\u00b2 \u00e9t\u00e9 \u4e2d\u6587") == ["x", "\u00e9t\u00e9", "\u4e2d\u6587"]
+
+
+def test_words_are_found_at_the_speed_of_a_plain_scan():
+    text = "the quick brown fox, \u00e9t\u00e9 12 times " * 20_000
+
+    def seconds(scan):
+        begun = time.process_time()
+        scan(text)
+        return time.process_time() - begun
+
+    assert min(seconds(langid.words) for _ in range(3)) < 5 * min(seconds(re.compile(r"[^\W\d_]+").findall) for _ in range(3))
+
+
+def test_runs_are_cut_at_numeric_signs_only():
+    rng = random.Random(3)
+    signs = [*"ab\u00b2\u2167\u00bd5_ \u00e9\u4e03\u0661\U00010b31x", *(chr(rng.randrange(0x20, 0xD800)) for _ in range(60))]
+    for _ in range(2000):
+        text = "".join(rng.choice(signs) for _ in range(30))
+        assert langid.words(text) == langid._LETTERS.findall(text.lower())
+
+
+def test_a_worker_keeps_only_what_it_made_last():
+    a, b = object(), object()
+    common.made_once("one", SimpleNamespace(value=a), lambda v: [v])
+    common.made_once("other", SimpleNamespace(value=b), lambda v: [v])
+    assert list(common._made) == ["other"]
+    common.drop_made()
+    assert not common._made
