@@ -49,7 +49,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import array_chunks, arrow_column, broadcast_if_few, drop_made, release, utf8_views, written
+from .common import array_chunks, arrow_column, binary_array, broadcast_if_few, drop_made, release, utf8_views, written
 from .components import components
 
 BLOCK, BLOCK_SHINGLES = 64, 1_000_000
@@ -58,6 +58,12 @@ SECOND_BLOCK = 512
 COLUMNS = 16_384
 #: Bytes of text whose sets a task holds at once.
 SET_CHUNK = 256 << 10
+#: Shingles of the sets that a task signs for at once, and signatures of a bucket on average.
+DEALT_SHINGLES, BUCKET_SIGNS = 1_000_000, 500_000
+#: Signatures of a bucket that a task holds before it looks for repeated ones.
+MERGED_SIGNS = 2_000_000
+#: A greater least number of shared signatures counts as this one (more are kept then).
+LEAST = 16_383
 _U = np.uint64
 
 
@@ -140,20 +146,9 @@ def _identity(shingles: np.ndarray) -> tuple[int, int]:
     return int(np.int64(first.astype(np.int64))), int(second.astype(np.int64))
 
 
-def _signed(sets: list[np.ndarray], num: int, den: int) -> pa.Array:
-    """The sets' signatures as a list column, put together without a Python object for each."""
-    signed = [signatures(s, num, den) for s in sets]
-    flat = [x for own in signed for x in own]
-    counts = lambda xs: pa.array(np.concatenate(([0], np.cumsum(xs, dtype=np.int64))).astype(np.int32))
-    signs = np.concatenate([x[2] for x in flat]) if flat else np.zeros(0, _U)
-    rows = pa.StructArray.from_arrays(
-        [pa.array([x[0] for x in flat], pa.int32()), pa.array([x[1] for x in flat], pa.int32()),
-         pa.ListArray.from_arrays(counts([len(x[2]) for x in flat]), pa.array(signs.view(np.int64)))],
-        names=["interval", "least", "sign"])
-    return pa.ListArray.from_arrays(counts([len(own) for own in signed]), rows)
-
-
 def _sets(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
+    """Each row's set: its size, the class of equal sets, and for how many signatures it is good at most."""
+
     def run(batches):
         drop_made()
         for batch in batches:
@@ -161,15 +156,105 @@ def _sets(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
             for part in array_chunks(batch.column("text"), SET_CHUNK):
                 sets = shingle_sets(utf8_views(part), words)
                 same = [_identity(s) if len(s) else (None, None) for s in sets]
+                signs = [sum(parts for _, parts, _, _ in instances(len(s), num, den)) for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(at, len(part)), pa.array([len(s) for s in sets], pa.int64()),
                      pa.array([a for a, _ in same], pa.int64()), pa.array([b for _, b in same], pa.int64()),
-                     _signed(sets, num, den)], names=["doc_id", "n", "h", "h2", "signs"])
+                     pa.array(signs, pa.int64())], names=["doc_id", "n", "h", "h2", "signs"])
                 at += len(part)
             pa.default_memory_pool().release_unused()
 
-    return docs.mapInArrow(run, "doc_id bigint, n bigint, h bigint, h2 bigint, "
-                                "signs array<struct<interval:int,least:int,sign:array<bigint>>>")
+    return docs.mapInArrow(run, "doc_id bigint, n bigint, h bigint, h2 bigint, signs bigint")
+
+
+def _dealt_signatures(docs: DataFrame, words: int, num: int, den: int, buckets: int) -> DataFrame:
+    """The signatures of the documents' sets, dealt by sign into ``buckets`` (a power of two).
+
+    A row holds what a run of documents has in one bucket, as arrays side by side: the signs' low halves,
+    the classes, and their instances (least number of shared signatures, doubled; odd: of the interval below)."""
+
+    cells = _U((buckets << 32) - 1)
+
+    def dealt(sets: dict[int, np.ndarray]) -> pa.RecordBatch:
+        signed = []
+        for h, s in sets.items():
+            for i, (_, least, sign) in enumerate(signatures(s, num, den)):
+                # Signs of one set that fall together count once, so as many fewer are sure to be shared.
+                least -= len(sign) - len(np.unique(sign & cells))
+                signed.append((h, 2 * min(max(least, 1), LEAST) + i, sign))
+        sizes = [len(sign) for _, _, sign in signed]
+        sign = np.concatenate([x[2] for x in signed]) if signed else np.zeros(0, _U)
+        bucket = ((sign & cells) >> _U(32)).astype(np.int32)
+        order = np.argsort(bucket, kind="stable")
+        used, starts = np.unique(bucket[order], return_index=True)
+        ends = np.append(starts, len(order))
+        columns = (sign.astype(np.uint32), np.repeat(np.array([x[0] for x in signed], np.int64), sizes),
+                   np.repeat(np.array([x[1] for x in signed], np.int16), sizes))
+        return pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), *[
+            binary_array([x[order].view(np.uint8)], np.diff(ends) * x.itemsize) for x in columns]],
+            names=["bucket", "low", "h", "instance"])
+
+    def run(batches):
+        drop_made()
+        held, size = {}, 0
+        for batch in batches:
+            for part in array_chunks(batch.column("text"), SET_CHUNK):
+                for s in shingle_sets(utf8_views(part), words):
+                    if len(s) and (h := _identity(s)[0]) not in held:
+                        held[h] = s
+                        size += len(s)
+                if size >= DEALT_SHINGLES:
+                    yield dealt(held)
+                    held, size = {}, 0
+            pa.default_memory_pool().release_unused()
+        yield dealt(held)
+
+    return docs.mapInArrow(run, "bucket int, low binary, h binary, instance binary")
+
+
+def _shared_signatures(dealt: DataFrame) -> DataFrame:
+    """``h, instance, sign, uses``: the signatures that several classes have, and how many have them."""
+
+    def distinct(low, h, instance):
+        order = np.lexsort((instance, h, low))
+        low, h, instance = low[order], h[order], instance[order]
+        new = np.ones(len(low), dtype=bool)
+        new[1:] = (low[1:] != low[:-1]) | (h[1:] != h[:-1]) | (instance[1:] != instance[:-1])
+        return low[new], h[new], instance[new]
+
+    def shared(bucket, held):
+        low, h, instance = distinct(*map(np.concatenate, zip(*held, strict=True)))
+        starts = np.flatnonzero(np.concatenate(([True], low[1:] != low[:-1])))
+        uses = np.diff(np.append(starts, len(low)))
+        uses = np.repeat(uses, uses)
+        keep = uses > 1
+        sign = (np.int64(bucket) << 32) | low[keep].astype(np.int64)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(h[keep]), pa.array(instance[keep]), pa.array(sign), pa.array(uses[keep].astype(np.int32))],
+            names=["h", "instance", "sign", "uses"])
+
+    def run(batches):
+        group, held, size, limit = None, [], 0, MERGED_SIGNS
+        for batch in batches:
+            for bucket, *own in zip(batch.column("bucket").to_pylist(),
+                                    *[batch.column(c) for c in ("low", "h", "instance")], strict=True):
+                if bucket != group:
+                    if held:
+                        yield shared(group, held)
+                    group, held, size, limit = bucket, [], 0, MERGED_SIGNS
+                held.append(tuple(np.frombuffer(x.as_buffer(), kind)
+                                  for x, kind in zip(own, (np.uint32, np.int64, np.int16), strict=True)))
+                size += len(held[-1][0])
+                # Copies of a text that many tasks signed for fall together before they pile up.
+                if size > limit:
+                    held = [distinct(*map(np.concatenate, zip(*held, strict=True)))]
+                    size = len(held[0][0])
+                    limit = max(MERGED_SIGNS, 2 * size)
+        if held:
+            yield shared(group, held)
+
+    rows = dealt.repartition("bucket").sortWithinPartitions("bucket")
+    return rows.mapInArrow(run, "h bigint, instance smallint, sign bigint, uses int")
 
 
 def class_of(text: Column, words: int) -> Column:
@@ -252,19 +337,18 @@ def _multiply(rows: DataFrame, words: int, num: int, den: int) -> DataFrame:
     return dealt.mapInArrow(run, "a bigint, b bigint")
 
 
-def _candidates(sets: DataFrame) -> DataFrame:
+def _candidates(docs: DataFrame, sets: DataFrame, words: int, num: int, den: int) -> DataFrame:
     """Edges a, b whose components hold all links (see steps 2 and 3 of the method)."""
     spark = sets.sparkSession
-    signed = sets.filter("doc_id is not null").select("h", F.inline("signs")).select(
-        "h", "interval", "least", F.explode("sign").alias("sign"))
-    shared = written(signed.groupBy("sign").agg(F.min("h").alias("a"), F.max("h").alias("z"), F.count(F.lit(1)).alias("uses"))
-                     .filter("a < z").select("sign", "uses"))
-    release(spark)
-    met = written(signed.join(shared, "sign"))
+    signs = sets.filter("doc_id is not null").agg(F.sum("signs")).first()[0] or 0
+    dealt = _dealt_signatures(docs.filter("doc_id is not null").select("text"), words, num, den,
+                              1 << (signs // BUCKET_SIGNS).bit_length())
+    met = written(_shared_signatures(dealt))
     release(spark)
     # Linked sets share ``least`` signatures or more, so each can do without its least - 1 most used ones:
     # those that chance and common passages make documents share.
-    own = met.groupBy("h", "interval", "least").agg(F.array_sort(F.collect_set(F.struct("uses", "sign"))).alias("own"))
+    own = met.groupBy("h", "instance").agg(F.array_sort(F.collect_list(F.struct("uses", "sign"))).alias("own"))
+    own = own.withColumn("least", F.expr("instance div 2").cast("int"))
     kept = written(own.filter(F.size("own") >= F.col("least")).select(
         "h", F.explode(F.slice("own", F.lit(1), F.size("own") - F.col("least") + 1)).alias("s")).select("h", "s.sign"))
     first = written(kept.groupBy("sign").agg(F.min("h").alias("a"), F.max("h").alias("z")).filter("a < z").select("sign", "a"))
@@ -342,7 +426,7 @@ def join(docs: DataFrame, words: int = 5, num: int = 8, den: int = 10, doc_id: s
     docs = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
     sets = written(_sets(docs, words, num, den))
 
-    star_edges = _candidates(sets)
+    star_edges = _candidates(docs, sets, words, num, den)
     near = components(star_edges)
 
     classes = (sets.filter("doc_id is not null and h is not null").groupBy("h")

@@ -94,6 +94,45 @@ def test_an_empty_set_signs_nothing():
     assert ngram_join.instances(0, 90, 100) == [] and ngram_join.signatures(np.zeros(0, np.uint64), 90, 100) == []
 
 
+def test_shared_signatures_come_from_packed_buckets(spark, monkeypatch):
+    # Only what several classes have becomes rows, copies count once, and no signature is one row of a shuffle.
+    monkeypatch.setattr(ngram_join, "MERGED_SIGNS", 50)
+    rng = random.Random(9)
+    start = [f"w{i}" for i in range(80)]
+    texts = [" ".join(edited(rng, start, rng.randrange(4))) for _ in range(30)]
+    texts += [texts[0]] * 40 + [f"own{i} text" for i in range(20)] + [None, ""]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    sets = {ngram_join._identity(s)[0]: s for s in
+            ngram_join.shingle_sets([(t or "").encode() for t in texts], 5) if len(s)}
+    uses, least = defaultdict(set), {}
+    for h, s in sets.items():
+        for i, (_, few, sign) in enumerate(ngram_join.signatures(s, 8, 10)):
+            least[h, i] = few
+            for x in sign.tolist():
+                uses[x & ((4 << 32) - 1)].add((h, i))
+    want = {(h, 2 * least[h, i] + i, x, len(own)) for x, own in uses.items() if len(own) > 1 for h, i in own}
+    dealt = ngram_join._dealt_signatures(docs, 5, 8, 10, 4)
+    got = [tuple(r) for r in ngram_join._shared_signatures(dealt).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    assert dealt.count() <= 3 * 4
+
+
+def test_signs_of_one_set_that_fall_together_lower_its_bound(spark, monkeypatch):
+    sign = np.array([1, 1 + (1 << 40), 2, 3], dtype=np.uint64)
+    monkeypatch.setattr(ngram_join, "signatures", lambda s, num, den: [(0, 3, sign)])
+    text = "a b c d e f"
+    run = ngram_join._dealt_signatures
+    seen = {}
+
+    class Docs:
+        def mapInArrow(self, f, schema):
+            import pyarrow as pa
+            seen["rows"] = [r for b in f([pa.RecordBatch.from_pydict({"text": [text]})]) for r in b.to_pylist()]
+
+    run(Docs(), 5, 8, 10, 1)
+    assert [np.frombuffer(r["instance"], np.int16).tolist() for r in seen["rows"]] == [[4, 4, 4, 4]]
+
+
 def test_overlaps():
     sets = [np.array(x, dtype=np.uint64) for x in ([1, 2, 3], [2, 3, 4, 5], [9])]
     assert ngram_join.overlaps(sets).tolist() == [[2, 2, 0], [2, 2, 0], [0, 0, 0]]
