@@ -7,6 +7,7 @@ from marquee.plans import analyses as A
 from marquee.plans import report as R
 from marquee.plans.build import build, land, run_analyses
 from marquee.plans.models import Catalogue
+from marquee.sources import synthetic
 from marquee.sources.sinks import read_result_csv
 from marquee.sources.synthetic import GENRE_LABELS, synthetic_landing
 from tests.conftest import SF_SMALL
@@ -47,6 +48,32 @@ def test_lines_of_the_landing_are_shuffled_once(spark):
     assert len(moved) == 2 and all("name" not in line for line in moved), lines
 
 
+def test_names_of_many_suppliers_come_to_the_orders(spark, scratch, monkeypatch):
+    """Suppliers beyond the session's broadcast threshold: lines are still shuffled
+    once; with too many of them they are joined by a shuffle, to the same rows."""
+    path = f"{scratch}/in"
+    spark.sql("select id o_orderkey, id o_custkey, timestamp_ntz'1997-01-02 00:00:00' o_orderdate, '1-URGENT' o_orderpriority "
+              "from range(40)").write.parquet(f"{path}/orders.parquet")
+    spark.sql("select id div 5 l_orderkey, id * 3 l_partkey, id * 7 % 3000 l_suppkey, id % 5 l_linenumber "
+              "from range(200)").write.parquet(f"{path}/lineitem.parquet")
+    spark.sql("select id s_suppkey, concat('Supplier#', id % 2900) s_name, id % 2 s_nationkey "
+              "from range(3000)").write.parquet(f"{path}/supplier.parquet")
+    spark.sql("select id n_nationkey, concat('N', id) n_name from range(2)").coalesce(1).write.parquet(f"{path}/nation.parquet")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", 5_000)
+    try:
+        landing = synthetic_landing(spark, path)
+        lines = plan(landing).splitlines()
+        rows = sorted(map(str, landing.collect()))
+        monkeypatch.setattr(synthetic, "BROADCAST_SUPPLIERS", 100)
+        by_shuffle = synthetic_landing(spark, path)
+        assert "SortMergeJoin [l_suppkey" in plan(by_shuffle)
+        assert sorted(map(str, by_shuffle.collect())) == rows and len(rows) == 40
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    moved = [line for line in lines if "Exchange hashpartitioning" in line]
+    assert len(moved) == 2 and all("name" not in line for line in moved), lines
+
+
 def test_repeated_keys_are_rolled_up_by_one_group_by(spark):
     """The mart of a landing with repeated keys: one shuffle by title for the
     rollups, one for the rows that they join."""
