@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import PieceTable, arrow_column, binary_array, text_chunks
+from .common import PieceTable, arrow_column, binary_array, made_once, text_chunks
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 #: Distinct pre-tokens whose ids a worker remembers; the memory is emptied when it is full.
@@ -154,14 +154,8 @@ class Codec:
         return b"".join(map(self.bytes_of.__getitem__, ids.tolist()))
 
 
-_codecs: dict = {}
-
-
 def _codec(sent, key) -> Codec:
-    if key not in _codecs:
-        _codecs.clear()
-        _codecs[key] = Codec(*sent.value)
-    return _codecs[key]
+    return made_once("codec", sent, lambda value: Codec(*value), key)
 
 
 def _sent(spark, ranks_path: str, pattern: str):

@@ -93,16 +93,17 @@ def broadcast_if_few(df: DataFrame) -> DataFrame:
 _made: dict[str, tuple] = {}
 
 
-def made_once(kind: str, sent, make: Callable):
+def made_once(kind: str, sent, make: Callable, key=None):
     """``make(sent.value)`` for a broadcast, made once in each Python worker; only the last one is kept.
 
     A function of a module is sent by its name, so all tasks of a worker share
     this module's dictionary; a nested function would carry a copy of its own.
-    A worker holds one object for a broadcast as long as Spark knows it."""
-    held = _made.get(kind)
-    if held is None or held[0] is not sent:
+    A worker holds one object for a broadcast as long as Spark knows it; with a
+    ``key`` broadcasts of the same key share what was made."""
+    key, held = sent if key is None else key, _made.get(kind)
+    if held is None or held[0] != key:
         _made.clear()
-        held = _made[kind] = (sent, make(sent.value))
+        held = _made[kind] = (key, make(sent.value))
     return held[1]
 
 

@@ -259,11 +259,15 @@ def _shared_signatures(dealt: DataFrame) -> DataFrame:
 
 def class_of(text: Column, words: int) -> Column:
     """The class ``h`` of a text, null without words."""
+    return arrow_column(functools.partial(_classes, words=words), "bigint")(text)
 
-    def kernel(batch: pa.Array) -> pa.Array:
-        return pa.array([_identity(s)[0] if len(s) else None for s in shingle_sets(utf8_views(batch), words)], pa.int64())
 
-    return arrow_column(kernel, "bigint")(text)
+def _classes(batch: pa.Array, words: int) -> pa.Array:
+    drop_made()
+    found = [_identity(s)[0] if len(s) else None for part in array_chunks(batch, SET_CHUNK)
+             for s in shingle_sets(utf8_views(part), words)]
+    pa.default_memory_pool().release_unused()
+    return pa.array(found, pa.int64())
 
 
 def overlaps(sets: list[np.ndarray]) -> np.ndarray:

@@ -1,11 +1,12 @@
 import hashlib
 import random
+from types import SimpleNamespace
 
 import public_tokenizers
 import pytest
 import tiktoken
 
-from marquee.llm import bpe
+from marquee.llm import bpe, common
 
 
 @pytest.fixture(scope="module")
@@ -59,3 +60,13 @@ def test_a_column_of_the_outputs_name_is_replaced(spark):
     df = spark.createDataFrame([("hello", "old")], "text string, ids string")
     assert bpe.encode(df).columns == ["text", "ids"]
     assert bytes(bpe.encode(df).first()["ids"]) != b"old"
+
+
+def test_a_worker_gives_its_codec_back():
+    sent = SimpleNamespace(value=(b"YQ== 0\nYg== 1\n", ".", None))
+    made = bpe._codec(sent, "own")
+    # Encoding and decoding send the ranks twice; one codec serves both.
+    assert bpe._codec(SimpleNamespace(value=None), "own") is made and list(common._made) == ["codec"]
+    common.drop_made()
+    assert bpe._codec(sent, "own") is not made
+    common.drop_made()

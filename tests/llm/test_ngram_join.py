@@ -2,11 +2,13 @@ import itertools
 import random
 import re
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from marquee.llm import ngram_join
+from marquee.llm import common, ngram_join
 from marquee.llm.components import components
 
 
@@ -162,3 +164,15 @@ def test_components(spark):
     got = {r[0]: r[1] for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
     assert got == {x: root(x) for x in list(up)}
     assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def test_classes_hold_the_sets_of_a_chunk_only(monkeypatch):
+    texts = [None, "", "a b c d", *[f"w{i} x y z" for i in range(50)]]
+    whole = [ngram_join._identity(s)[0] if len(s) else None
+             for s in ngram_join.shingle_sets([(t or "").encode() for t in texts], 3)]
+    seen, sets = [], ngram_join.shingle_sets
+    monkeypatch.setattr(ngram_join, "SET_CHUNK", 64)
+    monkeypatch.setattr(ngram_join, "shingle_sets", lambda batch, k: seen.append(sum(map(len, batch))) or sets(batch, k))
+    common.made_once("codec", SimpleNamespace(value=0), lambda v: [v])
+    assert ngram_join._classes(pa.array(texts), 3).to_pylist() == whole
+    assert len(seen) > 5 and max(seen) <= 2 * 64 and not common._made
