@@ -62,6 +62,8 @@ SET_CHUNK = 256 << 10
 DEALT_SHINGLES, BUCKET_SIGNS = 1_000_000, 500_000
 #: Signatures of a bucket that a task holds before it looks for repeated ones.
 MERGED_SIGNS = 2_000_000
+#: Classes of a run whose n-grams are dealt together (their places fit 16 bits), and rows that a task hands on at once.
+RUN_CLASSES, SHARED_ROWS = 1 << 16, 100_000
 #: A greater least number of shared signatures counts as this one (more are kept then).
 LEAST = 16_383
 _U = np.uint64
@@ -167,6 +169,16 @@ def _sets(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id bigint, n bigint, h bigint, h2 bigint, signs bigint")
 
 
+def _by_bucket(sign: np.ndarray, buckets: int, *beside: np.ndarray) -> tuple[np.ndarray, list[pa.Array]]:
+    """The buckets used, and for each the signs' low halves and what stands beside them, as binary arrays."""
+    bucket = ((sign & _U((buckets << 32) - 1)) >> _U(32)).astype(np.int32)
+    order = np.argsort(bucket, kind="stable")
+    used, starts = np.unique(bucket[order], return_index=True)
+    ends = np.append(starts, len(order))
+    return used, [binary_array([x[order].view(np.uint8)], np.diff(ends) * x.itemsize)
+                  for x in (sign.astype(np.uint32), *beside)]
+
+
 def _dealt_signatures(docs: DataFrame, words: int, num: int, den: int, buckets: int) -> DataFrame:
     """The signatures of the documents' sets, dealt by sign into ``buckets`` (a power of two).
 
@@ -184,15 +196,11 @@ def _dealt_signatures(docs: DataFrame, words: int, num: int, den: int, buckets:
                 signed.append((h, 2 * min(max(least, 1), LEAST) + i, sign))
         sizes = [len(sign) for _, _, sign in signed]
         sign = np.concatenate([x[2] for x in signed]) if signed else np.zeros(0, _U)
-        bucket = ((sign & cells) >> _U(32)).astype(np.int32)
-        order = np.argsort(bucket, kind="stable")
-        used, starts = np.unique(bucket[order], return_index=True)
-        ends = np.append(starts, len(order))
-        columns = (sign.astype(np.uint32), np.repeat(np.array([x[0] for x in signed], np.int64), sizes),
-                   np.repeat(np.array([x[1] for x in signed], np.int16), sizes))
-        return pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), *[
-            binary_array([x[order].view(np.uint8)], np.diff(ends) * x.itemsize) for x in columns]],
-            names=["bucket", "low", "h", "instance"])
+        beside = (np.repeat(np.array([x[0] for x in signed], np.int64), sizes),
+                  np.repeat(np.array([x[1] for x in signed], np.int16), sizes))
+        used, columns = _by_bucket(sign, buckets, *beside)
+        return pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), *columns],
+                                          names=["bucket", "low", "h", "instance"])
 
     def run(batches):
         drop_made()
@@ -359,37 +367,110 @@ def _candidates(docs: DataFrame, sets: DataFrame, words: int, num: int, den: int
     return written(kept.join(first, "sign").filter("a <> h").select("a", F.col("h").alias("b")).distinct())
 
 
-def _incidence(rows: DataFrame, words: int) -> DataFrame:
-    """``h, grams`` (the distinct shingles) of rows h, text; rows whose text is not of the class they ask for are left out."""
+def _dealt_grams(rows: DataFrame, words: int, num: int, den: int, buckets: int) -> DataFrame:
+    """The n-grams of rows cluster, h, text, dealt by a hash of cluster and n-gram into ``buckets`` (a power of two);
+    rows whose text is not of the class they ask for are left out.
+
+    A row holds what a run of classes has in one bucket, as arrays side by side: the hashes' low halves, and the
+    classes' places in the run.  One row (``classes``) for each run lists its classes instead, and how many n-grams
+    each must share to be linked."""
+
+    cells = _U((buckets << 32) - 1)
+
+    def dealt(held: dict[int, tuple[int, np.ndarray]]) -> pa.RecordBatch:
+        own = [np.unique(mix(s ^ mix(np.array([cluster]).view(_U))) & cells) for cluster, s in held.values()]
+        # N-grams of one set that fall together count once, so as many fewer are sure to be shared.
+        least = [max(1, -(-len(s) * num // den) - len(s) + len(x)) for (_, s), x in zip(held.values(), own, strict=True)]
+        h = np.array(list(held), np.int64)
+        run = int(mix(h.view(_U) + mix(np.arange(len(h), dtype=_U))).sum(dtype=_U).astype(np.int64))
+        place = np.repeat(np.arange(len(h), dtype=np.uint16), [len(x) for x in own])
+        used, (low, place) = _by_bucket(np.concatenate(own), buckets, place)
+        rows = len(used)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([*used, run % buckets], pa.int32()), pa.array([run] * (rows + 1), pa.int64()),
+             pa.array([False] * rows + [True]), pa.array([*low.to_pylist(), h.tobytes()], pa.binary()),
+             pa.array([*place.to_pylist(), np.array(least, np.int32).tobytes()], pa.binary())],
+            names=["bucket", "run", "classes", "low", "place"])
 
     def run(batches):
+        drop_made()
+        held, size = {}, 0
         for batch in batches:
             at = 0
             for part in array_chunks(batch.column("text"), SET_CHUNK):
-                asked = batch.column("h").slice(at, len(part)).to_pylist()
-                sets = shingle_sets(utf8_views(part), words)
-                own = [(h, s) for h, s in zip(asked, sets, strict=True) if len(s) and _identity(s)[0] == h]
-                ends = np.concatenate(([0], np.cumsum([len(s) for _, s in own], dtype=np.int64))).astype(np.int32)
-                flat = np.concatenate([s for _, s in own]) if own else np.zeros(0, _U)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([h for h, _ in own], pa.int64()),
-                     pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.view(np.int64)))], names=["h", "grams"])
+                asked = zip(*[batch.column(c).slice(at, len(part)).to_pylist() for c in ("h", "cluster")], strict=True)
+                for (h, cluster), s in zip(asked, shingle_sets(utf8_views(part), words), strict=True):
+                    if len(s) and h not in held and _identity(s)[0] == h:
+                        held[h] = (cluster, s)
+                        size += len(s)
+                    if size >= DEALT_SHINGLES or len(held) == RUN_CLASSES:
+                        yield dealt(held)
+                        held, size = {}, 0
                 at += len(part)
             pa.default_memory_pool().release_unused()
+        if held:
+            yield dealt(held)
+
+    return rows.mapInArrow(run, "bucket int, run bigint, classes boolean, low binary, place binary")
 
-    return rows.mapInArrow(run, "h bigint, grams array<bigint>")
 
+def _shared_grams(dealt: DataFrame) -> DataFrame:
+    """``run, place, g, uses``: the n-grams that several classes have, and how many have them;
+    ``run, place, h, least``: the classes."""
 
-def _rarest_shared(grams: DataFrame, num: int, den: int) -> DataFrame:
-    """Edges a, b between classes that share one of their rarest n-grams; ``grams`` has columns cluster, h, n, grams."""
-    keyed = grams.select("h", "n", "cluster", F.explode("grams").alias("g")).select(
-        "h", "n", F.xxhash64("cluster", "g").alias("g"))
-    uses = written(keyed.groupBy("g").agg(F.count(F.lit(1)).alias("uses")).filter("uses > 1"))
-    met = written(keyed.join(uses, "g"))
-    own = met.groupBy("h", "n").agg(F.array_sort(F.collect_set(F.struct("uses", "g"))).alias("own"))
-    least = F.expr(f"int((n * {num} + {den - 1}) div {den})")
-    kept = written(own.withColumn("least", least).filter("size(own) >= least").select(
+    names = ["run", "place", "h", "least", "g", "uses"]
+
+    def shared(bucket, held):
+        low, place = (np.concatenate(x) for x in list(zip(*held, strict=True))[1:])
+        run = np.repeat(np.arange(len(held)), [len(x[1]) for x in held])
+        order = np.argsort(low, kind="stable")
+        ordered = low[order]
+        uses = np.diff(np.append(np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1]))), len(low)))
+        uses = np.repeat(uses, uses)
+        keep = np.flatnonzero(uses > 1)
+        runs = np.array([x[0] for x in held], np.int64)
+        for first in range(0, len(keep), SHARED_ROWS):
+            some = keep[first:first + SHARED_ROWS]
+            at, none = order[some], pa.nulls(len(some), pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(runs[run[at]]), pa.array(place[at].astype(np.int32)), none, none.cast(pa.int32()),
+                 pa.array((np.int64(bucket) << 32) | ordered[some].astype(np.int64)), pa.array(uses[some].astype(np.int32))],
+                names=names)
+
+    def run(batches):
+        group, held = None, []
+        for batch in batches:
+            for bucket, run, classes, low, place in zip(*[batch.column(c).to_pylist() for c in ("bucket", "run", "classes")],
+                                                        batch.column("low"), batch.column("place"), strict=True):
+                if bucket != group:
+                    if held:
+                        yield from shared(group, held)
+                    group, held = bucket, []
+                if classes:
+                    h = np.frombuffer(low.as_buffer(), np.int64)
+                    none = pa.nulls(len(h), pa.int64())
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(h), run)), pa.array(np.arange(len(h), dtype=np.int32)), pa.array(h),
+                         pa.array(np.frombuffer(place.as_buffer(), np.int32)), none, none.cast(pa.int32())], names=names)
+                else:
+                    held.append((run, np.frombuffer(low.as_buffer(), np.uint32), np.frombuffer(place.as_buffer(), np.uint16)))
+        if held:
+            yield from shared(group, held)
+
+    rows = dealt.repartition("bucket").sortWithinPartitions("bucket")
+    return rows.mapInArrow(run, "run bigint, place int, h bigint, least int, g bigint, uses int")
+
+
+def _rarest_shared(rows: DataFrame, grams: int, words: int, num: int, den: int) -> DataFrame:
+    """Edges a, b between classes that share one of their rarest n-grams; ``rows`` has columns cluster, h, text,
+    and their sets hold some ``grams`` n-grams in all."""
+    met = _shared_grams(_dealt_grams(rows, words, num, den, 1 << (grams // BUCKET_SIGNS).bit_length()))
+    shared = F.when(F.col("uses").isNotNull(), F.struct("uses", "g"))
+    own = met.groupBy("run", "place").agg(F.max("h").alias("h"), F.max("least").alias("least"),
+                                          F.array_sort(F.collect_list(shared)).alias("own"))
+    kept = written(own.filter("size(own) >= least").select(
         "h", F.explode(F.slice("own", F.lit(1), F.size("own") - F.col("least") + 1)).alias("x")).select("h", "x.g"))
+    release(rows.sparkSession)
     first = written(kept.groupBy("g").agg(F.min("h").alias("a"), F.max("h").alias("z")).filter("a < z").select("g", "a"))
     return kept.join(first, "g").filter("a <> h").select("a", F.col("h").alias("b")).distinct()
 
@@ -399,19 +480,17 @@ def _refined(docs: DataFrame, cluster: DataFrame, words: int, num: int, den: int
 
     Repeated while a round takes a tenth or more of the classes in large clusters:
     a class that goes makes its n-grams rarer in the others."""
-    spark, incidence, before = docs.sparkSession, None, None
+    spark, before = docs.sparkSession, None
+    release(spark)
     while True:
         sizes = written(cluster.groupBy("cluster").agg(F.count(F.lit(1)).alias("docs")).filter(F.col("docs") > BLOCK))
         large = written(cluster.join(sizes.select("cluster"), "cluster", "left_semi"))
-        rows = large.count()
+        rows, grams = large.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
         if rows == 0 or before is not None and rows * 10 > before * 9:
             return cluster
         before = rows
-        if incidence is None:
-            # A row that repeats an id and a text would repeat its class.
-            incidence = written(_incidence(_with_text(docs, large.select("h", "doc_id")).select("h", "text"), words)
-                                .dropDuplicates(["h"]))
-        edges = _rarest_shared(incidence.join(large.select("cluster", "h", "n"), "h"), num, den)
+        texts = _with_text(docs, large.select("cluster", "h", "doc_id")).select("cluster", "h", "text")
+        edges = _rarest_shared(texts, grams, words, num, den)
         near = components(edges).select(F.col("node").alias("h"), F.col("label").alias("new"))
         cluster = written(cluster.join(sizes.select("cluster"), "cluster", "left_anti").unionByName(
             large.join(near, "h").select(F.col("new").alias("cluster"), "h", "doc_id", "n")))

@@ -135,6 +135,37 @@ def test_signs_of_one_set_that_fall_together_lower_its_bound(spark, monkeypatch)
     assert [np.frombuffer(r["instance"], np.int16).tolist() for r in seen["rows"]] == [[4, 4, 4, 4]]
 
 
+def test_shared_grams_come_from_packed_buckets(spark, monkeypatch):
+    # Large clusters' n-grams are no rows of a shuffle; only those that several classes of a cluster hold become rows.
+    monkeypatch.setattr(ngram_join, "RUN_CLASSES", 7)
+    monkeypatch.setattr(ngram_join, "SHARED_ROWS", 50)
+    rng = random.Random(12)
+    start = [f"w{i}" for i in range(60)]
+    texts = list(dict.fromkeys(" ".join(edited(rng, start, rng.randrange(1, 5))) for _ in range(40)))
+    texts += [f"own{i} {i} text" for i in range(9)]
+    sets = ngram_join.shingle_sets([t.encode() for t in texts], 5)
+    rows = [(-i % 2, ngram_join._identity(s)[0], t) for i, (t, s) in enumerate(zip(texts, sets, strict=True))]
+    uses, own = Counter(), {}
+    for (cluster, h, _), s in zip(rows, sets, strict=True):
+        key = ngram_join.mix(np.array([cluster]).view(np.uint64))
+        own[h] = set((ngram_join.mix(s ^ key) & np.uint64((4 << 32) - 1)).tolist())
+        uses.update(own[h])
+    want = {h: {(g, uses[g]) for g in x if uses[g] > 1} for h, x in own.items()}
+    asked = [*rows, (0, 5, texts[0]), (1, 6, None)]  # the last two don't hold the class they are asked for
+    asked = spark.createDataFrame(asked, "cluster bigint, h bigint, text string").repartition(3)
+    dealt = ngram_join._dealt_grams(asked, 5, 8, 10, 4)
+    got = ngram_join._shared_grams(dealt).collect()
+    classes = {(r["run"], r["place"]): r["h"] for r in got if r["uses"] is None}
+    least = {r["h"]: r["least"] for r in got if r["uses"] is None}
+    assert least == {h: -(-len(s) * 8 // 10) for (_, h, _), s in zip(rows, sets, strict=True)}
+    found = {h: set() for h in classes.values()}
+    for r in got:
+        if r["uses"] is not None:
+            found[classes[r["run"], r["place"]]].add((r["g"], r["uses"]))
+    assert found == want and any(want.values())
+    assert dealt.count() <= (len(texts) // 7 + 3) * 5 < sum(map(len, sets)) // 10
+
+
 def test_overlaps():
     sets = [np.array(x, dtype=np.uint64) for x in ([1, 2, 3], [2, 3, 4, 5], [9])]
     assert ngram_join.overlaps(sets).tolist() == [[2, 2, 0], [2, 2, 0], [0, 0, 0]]
