@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from marquee.operators import weighted_pairs
+from marquee.operators import pairs, weighted_pairs
 
 
 def joined(rows):
@@ -46,6 +46,34 @@ def test_totals_over_groups_shuffle_no_pairs(spark):
     assert got.count() == 500 * 499 // 2
 
 
+def test_totals_over_few_groups_shuffle_each_value_once(spark):
+    """Blocks meet in a product of the whole tables: below it no value is repeated, above it nothing is shuffled or held."""
+    df = spark.range(2000).select((F.col("id") % 3).alias("g"), (F.col("id") % 500).alias("v"))
+    got = weighted_pairs(df, "g", "v", 8, over_groups=True)
+    above, below = got._jdf.queryExecution().executedPlan().toString().split("CartesianProduct")
+    assert "Generate" in above and "Exchange" not in above and "Aggregate" not in above and "Generate" not in below
+
+
+def test_totals_over_few_groups_in_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(pairs, "PAIRS_STREAMED", 700)
+    df = spark.range(3000).select((F.col("id") % 3).alias("g"), (F.col("id") % 130).alias("v"))
+    got = weighted_pairs(df, "g", "v", 8, over_groups=True)
+    want = joined(df).groupBy("a", "b").agg(F.sum("w").alias("w"))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+@pytest.mark.parametrize("groups", [2, 16, 17, 40])
+def test_totals_of_values_in_some_of_the_groups(spark, groups):
+    """Sets of groups that overlap, hold one another or share nothing; more groups than stand side by side."""
+    rng = random.Random(groups)
+    held = {v: rng.sample(range(groups), rng.randrange(1, min(groups, 4) + 1)) for v in range(70)}
+    rows = [(g, v) for v, of in held.items() for g in of for _ in range(rng.randrange(1, 4))]
+    df = spark.createDataFrame([*rows, *((g, 100 + g) for g in range(groups)), (None, 1), (0, None)], "g int, v bigint")
+    got = weighted_pairs(df, "g", "v", 4, over_groups=True)
+    want = joined(df).groupBy("a", "b").agg(F.sum("w").alias("w"))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
 def test_a_group_of_twenty_thousand_values(spark):
     """All pairs of one group, from many lists of at most about two blocks."""
     n = 20_000
