@@ -48,3 +48,16 @@ def test_odd_tables(spark):
     assert [tuple(r) for r in exact_quantiles(df, "_low", [0.0, 0.5], ["_v"], "q").collect()] == [("a", [1.0, 3.0])]
     whole = exact_quantiles(df, "_n", [0.5, 0.25]).first()["quantiles"]
     assert whole == [2.0, 1.5]
+
+
+def test_interpolation_from_the_lower_value(spark):
+    """As the reference engine, which the last bit decides before rounding; odd values as before."""
+    from marquee.operators import distribution_by_selection
+    values = [1.0, 81356.76, 81386.74, 90000.0, 100000.0, 110000.0]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    assert exact_quantiles(df, "v", [0.25], from_low=True).first()["quantiles"] == [81356.76 + 0.25 * (81386.74 - 81356.76)]
+    assert distribution_by_selection(df, "v", 2, 2).first()["p25"] == 81364.26
+    odd = spark.createDataFrame([("a", float("-inf")), ("a", 5.0), ("b", -1e308), ("b", 1.5e308), ("c", 5.0), ("c", float("nan"))],
+                                "g string, v double")
+    got = {r["g"]: r["quantiles"][0] for r in exact_quantiles(odd, "v", [0.25], ["g"], from_low=True).collect()}
+    assert (got["a"], got["b"]) == (float("-inf"), 0.75 * -1e308 + 0.25 * 1.5e308) and got["c"] != got["c"]
